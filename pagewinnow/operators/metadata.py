@@ -253,10 +253,13 @@ def metadata_coverage(extracted: DataFrame, by: str = "hostname") -> DataFrame:
 def tag_terms(extracted: DataFrame) -> DataFrame:
     """Keyword frequencies per host."""
     return (
+        # the outer form, because the plain one would push its emptiness test
+        # below the projection and work the tags out twice
         extracted.select(
             F.col("metadata.hostname").alias("host"),
-            F.explode(F.col("metadata.tags")).alias("term"),
+            F.explode_outer(F.col("metadata.tags")).alias("term"),
         )
+        .where(F.col("term").isNotNull())
         .groupBy("host", F.lower("term").alias("term"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
