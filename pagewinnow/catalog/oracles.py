@@ -107,7 +107,7 @@ UNSTRUCTURED = ("src", f"SELECT page_id, url, {X.UNSTRUCTURED} AS html FROM page
 def tag_grain() -> list[tuple[str, str]]:
     return [
         ("listed", f"SELECT page_id, regexp_extract_all({clean('html')}, {lit(P.TOKEN)}, 0) AS l FROM src"),
-        ("flat", "SELECT page_id, unnest(l) AS token, generate_subscripts(l, 1) - 1 AS pos FROM listed"),
+        ("flat", "SELECT page_id, unnest(l) AS token, (generate_subscripts(l, 1) - 1)::INTEGER AS pos FROM listed"),
         ("tagged", "SELECT *, regexp_matches(token, '^<[a-zA-Z/!?]') AS is_tag FROM flat"),
         (
             "tok",
@@ -118,15 +118,15 @@ def tag_grain() -> list[tuple[str, str]]:
     ]
 
 
-def block_grain(html: str = "html") -> list[tuple[str, str]]:
+def block_grain(html: str = "html", every_tag: bool = False) -> list[tuple[str, str]]:
     mark = "chr(1) || '\\1' || chr(2) || '\\2' || chr(2) || '\\3' || chr(2)"
     return [
         (
             "listed",
             f"SELECT page_id, string_split(chr(2) || chr(2) || chr(2) || regexp_replace({clean(html)}, "
-            f"{lit(P.block_tag())}, {mark}, 'g'), chr(1)) AS l FROM src",
+            f"{lit(P.block_tag(None) if every_tag else P.block_tag())}, {mark}, 'g'), chr(1)) AS l FROM src",
         ),
-        ("flat", "SELECT page_id, unnest(l) AS seg, generate_subscripts(l, 1) - 1 AS pos FROM listed"),
+        ("flat", "SELECT page_id, unnest(l) AS seg, (generate_subscripts(l, 1) - 1)::INTEGER AS pos FROM listed"),
         ("parted", "SELECT page_id, pos, string_split(seg, chr(2)) AS p FROM flat"),
         (
             "tok",
@@ -135,7 +135,7 @@ def block_grain(html: str = "html") -> list[tuple[str, str]]:
     ]
 
 
-def regions() -> list[tuple[str, str]]:
+def regions(pruned: str | None = None) -> list[tuple[str, str]]:
     unpaired = names((*P.VOID_TAGS, "html", "body", "head", ""))
     word = "(' ' || css_class || ' ' || css_id || ' ')"
     m = lambda pattern: f"regexp_matches({word}, {lit(pattern)})"
@@ -148,6 +148,8 @@ def regions() -> list[tuple[str, str]]:
         "teaser": m(P.TEASER_WORDS),
         "bottom": m(P.BOTTOM_WORDS),
     }
+    if pruned is not None:
+        opened["pruned"] = pruned
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     opens = ", ".join(
         f"CASE WHEN NOT closing AND tag NOT IN ({unpaired}) AND ({test}) THEN 1 ELSE 0 END AS o_{r}"
@@ -155,11 +157,11 @@ def regions() -> list[tuple[str, str]]:
     )
     ends = ", ".join(
         f"coalesce(lag(o_{r}) OVER (PARTITION BY page_id, tag, lvl ORDER BY pos), 0) AS e_{r}"
-        for r in REGION_NAMES
+        for r in opened
     )
     inside = ", ".join(
         f"sum(o_{r} - e_{r}) OVER (PARTITION BY page_id ORDER BY pos {so_far}) > 0 AS in_{r}"
-        for r in REGION_NAMES
+        for r in opened
     )
     by_tag = f"OVER (PARTITION BY page_id, tag ORDER BY pos {so_far})"
     css = ", ".join(
@@ -204,10 +206,10 @@ def block_rows(source: tuple[str, str] = INJECTED) -> list[tuple[str, str]]:
             "blk",
             "SELECT page_id, pos AS block_no, CASE WHEN closing OR tag = '' THEN 'p' ELSE tag END AS tag, "
             f"{FLAGS}, css_class, body, CASE WHEN tag = 'title' THEN '' ELSE {plain('body')} END AS text, "
-            f"CASE WHEN tag <> 'title' AND (is_open OR regexp_matches(body, '</?[aA]')) THEN length({plain(linked)}) ELSE 0 END AS link_chars "
+            f"CASE WHEN tag <> 'title' AND (is_open OR regexp_matches(body, '</?[aA]')) THEN length({plain(linked)})::INTEGER ELSE 0 END AS link_chars "
             "FROM anchored",
         ),
-        ("blks", "SELECT *, length(text) AS n_chars FROM blk"),
+        ("blks", "SELECT *, length(text)::INTEGER AS n_chars FROM blk"),
     ]
 
 
@@ -216,7 +218,7 @@ def features() -> tuple[str, str]:
         "feats",
         "SELECT *, CASE WHEN n_chars > 0 THEN link_chars / n_chars ELSE 0.0 END AS link_density, "
         "CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0.0 END AS stop_density FROM ("
-        f"SELECT *, len(ws) AS n_words, {hits('ws', B.ALL_STOP_WORDS)} AS n_stop FROM "
+        f"SELECT *, len(ws)::INTEGER AS n_words, {hits('ws', B.ALL_STOP_WORDS)}::INTEGER AS n_stop FROM "
         f"(SELECT *, {words('text')} AS ws FROM blks))",
     )
 
@@ -335,6 +337,56 @@ def one_run(final: str, source=INJECTED, min_chars: int = 250, **options) -> str
     return with_tables([*block_rows(source), *streams(table, min_chars)], final)
 
 
+def pruned_blocks() -> list[tuple[str, str]]:
+    """Blocks cut at every tag, blanked inside matches, joined per block tag."""
+    match = "contains(' ' || css_class || ' ', ' ad ') OR tag IN ('h1', 'a')"
+    block = f"(tag IN ({names(P.BLOCK_TAGS)}) OR pos = 0)"
+    inline = f"CASE WHEN {block} THEN '' ELSE '<' || CASE WHEN closing THEN '/' ELSE '' END || tag || attrs || '>' END"
+    return [
+        PLAIN_PAGES,
+        *block_grain(every_tag=True),
+        *regions(match),
+        (
+            "pieces",
+            f"SELECT page_id, pos, CASE WHEN in_pruned THEN '' ELSE {inline} || body END AS piece, "
+            f"CASE WHEN {block} THEN CASE WHEN closing OR tag = '' THEN 'p' ELSE tag END END AS own_tag, "
+            f"max(CASE WHEN {block} THEN pos END) OVER (PARTITION BY page_id ORDER BY pos) AS block_no FROM placed",
+        ),
+        (
+            "joined",
+            "SELECT page_id, block_no, max(own_tag) AS tag, string_agg(piece, '' ORDER BY pos) AS body FROM pieces GROUP BY page_id, block_no",
+        ),
+        ("texts", f"SELECT page_id, block_no, tag, CASE WHEN tag = 'title' THEN '' ELSE {plain('body')} END AS text FROM joined"),
+    ]
+
+
+def second_pass() -> list[tuple[str, str]]:
+    """Main, baseline and statistical pass side by side, with their scores."""
+    allowed = "(NOT in_teaser OR teasers) AND (NOT in_bottom OR bottoms)"
+    texts = lambda flag: f"coalesce(string_agg(text, chr(10) ORDER BY block_no) FILTER ({flag} AND text <> ''), '')"
+    score = lambda flag: f"coalesce(sum(n_chars - link_chars) FILTER ({flag}), 0)"
+    return [
+        *block_rows(UNSTRUCTURED),
+        features(),
+        *labelled(),
+        *smoothed(),
+        (
+            "passes",
+            f"SELECT *, n_chars > 0 AND in_content AND NOT in_chrome AND NOT in_comments AND {allowed} AS k_main, "
+            f"n_chars > 0 AND NOT in_chrome AND (NOT in_header OR in_content) AND NOT in_comments AND {allowed} AS k_base, "
+            f"keep AND NOT in_comments AND {allowed} AS k_second FROM smooth WHERE focus = 'balanced'",
+        ),
+        (
+            "scored",
+            f"SELECT page_id, {texts('k_main')} AS m, {texts('k_base')} AS b, {texts('k_second')} AS s, "
+            f"{score('k_main')} AS ms, {score('k_second')} AS ss FROM passes GROUP BY page_id",
+        ),
+        ("picked", "SELECT *, CASE WHEN (ms < 250 OR ss > 2 * ms) AND ss > ms THEN 'second' ELSE 'main' END AS chosen FROM scored"),
+        ("shown", "SELECT *, CASE WHEN chosen = 'second' THEN s ELSE m END AS t FROM picked"),
+        ("rescues", "SELECT *, length(t) < 250 AND length(b) > length(t) AS rescued FROM shown"),
+    ]
+
+
 # -- metadata --------------------------------------------------------------
 
 
@@ -363,7 +415,7 @@ def metadata_tables(
         ),
         (
             "pairs",
-            "SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos, key, "
+            "SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS pos, key, "
             f"{squash(unescape('value'))} AS value FROM meta_keyed WHERE key <> ''",
         ),
         ("ld", f"SELECT page_id, regexp_extract(html, {lit(P.JSON_LD)}, 1) AS j FROM src"),
@@ -490,9 +542,6 @@ def strict_ledger() -> list[tuple[str, str]]:
     )
     from pagewinnow.options import ExtractOptions
 
-    lang = ", ".join(
-        f"({hits('ws', ws)}, -{i}, '{l}')" for i, (l, ws) in enumerate(sorted(P.STOP_WORDS.items()))
-    )
     detected = (
         "SELECT page_id, first(lang ORDER BY n DESC, place) AS detected, max(n) AS n FROM ("
         + " UNION ALL ".join(
@@ -501,7 +550,6 @@ def strict_ledger() -> list[tuple[str, str]]:
         )
         + ") GROUP BY page_id"
     )
-    del lang
     meta = [(n, b) for n, b in metadata_tables(source) if n != "src"]
     return [
         *block_rows(source),
@@ -571,6 +619,20 @@ def percentiles(values: str) -> str:
     )
 
 
+def kept_blocks(visible: str) -> list[tuple[str, str]]:
+    """Main-content blocks of the injected pages with their page URL."""
+    return [
+        *block_rows(INJECTED),
+        focus_table(),
+        (
+            "kept",
+            "SELECT blks.*, url AS base FROM blks JOIN levels ON focus = 'balanced' JOIN src USING (page_id) "
+            f"WHERE {visible} AND in_content AND NOT in_chrome AND NOT in_comments "
+            "AND (NOT in_teaser OR teasers) AND (NOT in_bottom OR bottoms)",
+        ),
+    ]
+
+
 def _oracles() -> dict[str, str]:
     from pagewinnow.options import ExtractOptions
 
@@ -592,16 +654,9 @@ def _oracles() -> dict[str, str]:
         ),
     ]
     img = [
-        *block_rows(INJECTED),
-        focus_table(),
-        (
-            "kept",
-            "SELECT blks.*, url AS base FROM blks JOIN levels ON focus = 'balanced' JOIN src USING (page_id) "
-            "WHERE (n_chars > 0 OR (tag <> 'title' AND regexp_matches(body, '(?i)<img[ \\t\\r\\n\\f/]'))) AND in_content "
-            "AND NOT in_chrome AND NOT in_comments AND (NOT in_teaser OR teasers) AND (NOT in_bottom OR bottoms)",
-        ),
+        *kept_blocks("(n_chars > 0 OR (tag <> 'title' AND regexp_matches(body, '(?i)<img[ \\t\\r\\n\\f/]')))"),
         ("img_list", f"SELECT page_id, block_no, base, regexp_extract_all(body, {lit(P.named_tag('img'))}, 0) AS l FROM kept"),
-        ("img_flat", "SELECT page_id, block_no, base, unnest(l) AS t, generate_subscripts(l, 1) - 1 AS pos FROM img_list"),
+        ("img_flat", "SELECT page_id, block_no, base, unnest(l) AS t, (generate_subscripts(l, 1) - 1)::INTEGER AS pos FROM img_list"),
         ("img_raw", f"SELECT *, {attribute('t', 'src')} AS s, {attribute('t', 'alt')} AS alt FROM img_flat"),
         (
             "images",
@@ -611,7 +666,7 @@ def _oracles() -> dict[str, str]:
     ]
     edges = [
         ("a_list", f"SELECT page_id, block_no, base, regexp_extract_all(body, {lit(P.named_tag('a'))}, 0) AS l FROM kept"),
-        ("a_flat", "SELECT page_id, block_no, base, unnest(l) AS t, generate_subscripts(l, 1) - 1 AS pos FROM a_list"),
+        ("a_flat", "SELECT page_id, block_no, base, unnest(l) AS t, (generate_subscripts(l, 1) - 1)::INTEGER AS pos FROM a_list"),
         ("a_raw", f"SELECT *, {squash(unescape(attribute('t', 'href')))} AS h FROM a_flat"),
         ("a_abs", f"SELECT *, {resolve('h', 'base')} AS target FROM a_raw WHERE h <> ''"),
         (
@@ -641,7 +696,6 @@ def _oracles() -> dict[str, str]:
         + "]) AS f FROM meta) m USING (page_id) WHERE big = 1 AND m.f IS NOT NULL"
         + " UNION ALL SELECT page_id, 'url', 'changed' FROM both_sides JOIN meta USING (page_id) JOIN pages p USING (page_id) WHERE big = 1 AND meta.url IS DISTINCT FROM p.url"
         + f" UNION ALL SELECT page_id, 'hostname', 'changed' FROM both_sides JOIN meta USING (page_id) JOIN pages p USING (page_id) WHERE big = 1 AND meta.hostname IS DISTINCT FROM {host('p.url')}"
-        + " UNION ALL SELECT page_id, 'image', 'changed' FROM both_sides WHERE false"
     )
     scores = statistical_runs()
     rates = (
@@ -679,6 +733,23 @@ def _oracles() -> dict[str, str]:
             [*block_rows(), features(), *labelled(), *smoothed()],
             "SELECT focus, page_id, block_no, label, keep FROM smooth WHERE n_chars > 0",
         ),
+        "prune_blocks": with_tables(pruned_blocks(), "SELECT page_id, block_no, tag, text FROM texts WHERE text <> ''"),
+        "fallback_select": with_tables(
+            second_pass(),
+            "SELECT page_id, chosen, rescued, CASE WHEN rescued THEN b ELSE t END AS content_text FROM rescues",
+        ),
+        "run_record": with_tables(
+            [
+                *scores,
+                (
+                    "levels2",
+                    "SELECT DISTINCT page_id FROM blks WHERE n_chars > 0 AND in_content AND NOT in_chrome AND in_bottom",
+                ),
+            ],
+            "SELECT DATE '2024-01-01' AS run_date, 'corpus-1' AS corpus_version, (SELECT count(*) FROM pages) AS pages, "
+            "CASE WHEN EXISTS (SELECT 1 FROM levels2) THEN 'non-empty' ELSE 'empty' END AS verdict, "
+            f"(SELECT round({F_SCORE}, 6) FROM cells WHERE run = 'balanced') AS fscore",
+        ),
         "exclude_tables": one_run("SELECT page_id, content_text FROM result", exclude_tables=True),
         "split_comments": one_run("SELECT page_id, comments_text, comments_html FROM result"),
         "exclude_comments": one_run("SELECT page_id, comments_text FROM result", exclude_comments=True),
@@ -699,7 +770,7 @@ def _oracles() -> dict[str, str]:
         ),
         "link_edges": with_tables([*block_rows(INJECTED), all_based, *edges], "SELECT * FROM edges"),
         "host_degrees": with_tables(
-            [*img[:-4], *[(n, b.replace("SELECT page_id, block_no, base, regexp", "SELECT page_id, block_no, base, regexp")) for n, b in edges]],
+            [*kept_blocks("n_chars > 0"), *edges],
             "SELECT host, sum(o)::BIGINT AS out_links, sum(i)::BIGINT AS in_links FROM (SELECT source_host AS host, 1 AS o, 0 AS i FROM edges "
             "UNION ALL SELECT target_host, 0, 1 FROM edges) GROUP BY host",
         ),

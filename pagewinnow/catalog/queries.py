@@ -22,7 +22,7 @@ from pagewinnow.streaming.jobs import stream_dedup, stream_tally
 
 DEFAULTS = ExtractOptions()
 SIZE_CAP = 2600
-PRUNED = ".ad, nav, b"
+PRUNED = ".ad, h1, a"
 DATE_OVERRIDE = dt.date(1999, 12, 31)
 MAX_BLOCK_PAGES = 5
 REGION_FLAGS = [f"in_{r}" for r in markup.REGIONS[:-1]]
