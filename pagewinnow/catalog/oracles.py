@@ -557,24 +557,24 @@ def strict_ledger() -> list[tuple[str, str]]:
         *meta,
         ("body_words", f"SELECT page_id, {words('content_text')} AS ws FROM result"),
         ("spoken", detected),
-        (
-            "firsts",
-            "SELECT content_text, min(page_id) AS first_page FROM result WHERE content_text <> '' GROUP BY content_text HAVING count(*) > 1",
-        ),
         (
             "facts",
-            "SELECT src.*, r.content_text, r.comments_text, m.title, m.url AS doc_url, m.date, m.language, first_page, "
+            "SELECT src.*, r.content_text, r.comments_text, m.title, m.url AS doc_url, m.date, m.language, "
             "CASE WHEN n >= 2 THEN detected END AS detected FROM src JOIN result r USING (page_id) JOIN meta m USING (page_id) "
-            "JOIN spoken USING (page_id) LEFT JOIN firsts f ON f.content_text = r.content_text",
+            "JOIN spoken USING (page_id)",
         ),
         (
-            "reasons",
+            "owns",
             "SELECT *, CASE WHEN n_bytes > 9000 THEN 'input_too_large' WHEN bad THEN 'invalid_utf8' "
             "WHEN language <> 'en' THEN 'language_mismatch' "
             "WHEN title IS NULL OR doc_url IS NULL OR date IS NULL THEN 'missing_metadata' "
-            "WHEN content_text = '' AND comments_text = '' THEN 'insufficient_content' "
-            "WHEN first_page < page_id THEN 'duplicate_content' "
-            "WHEN detected <> 'en' THEN 'language_mismatch' END AS reason FROM facts",
+            "WHEN content_text = '' AND comments_text = '' THEN 'insufficient_content' END AS own FROM facts",
+        ),
+        (
+            "reasons",
+            "SELECT *, CASE WHEN own IS NOT NULL THEN own "
+            "WHEN content_text <> '' AND page_id > min(page_id) OVER (PARTITION BY content_text, own IS NULL) THEN 'duplicate_content' "
+            "WHEN detected <> 'en' THEN 'language_mismatch' END AS reason FROM owns",
         ),
         (
             "ledger",

@@ -15,34 +15,47 @@ REASONS = (
 LEDGER_COLUMNS = ("page_id", "url", "outcome", "reason", "reason_detail", "reason_offset")
 
 
-def refusal(options) -> str:
-    """``struct(reason, detail, offset)`` of the first failing check, else NULL.
+def _because(reason: str, detail: str = "NULL", offset: str = "NULL") -> str:
+    return (
+        f"struct({reason} AS reason, cast({detail} AS string) AS detail, "
+        f"cast({offset} AS bigint) AS offset)"
+    )
 
-    One ordered ``CASE``, because the optimizer may reorder a conjunction.
-    Expects ``gate_reason, gate_offset, metadata, content_text, comments_text``
-    plus ``detected`` with a target language and ``first_page`` with
-    deduplication.
-    """
-    target = options.target_language
 
-    def because(reason: str, detail: str = "NULL", offset: str = "NULL") -> str:
-        return (
-            f"struct({reason} AS reason, cast({detail} AS string) AS detail, "
-            f"cast({offset} AS bigint) AS offset)"
-        )
+def _first_failing(checks: list[tuple[str, str]]) -> str:
+    """One ordered ``CASE``, because the optimizer may reorder a conjunction."""
+    return "CASE " + " ".join(f"WHEN {test} THEN {why}" for test, why in checks) + " END"
+
 
-    checks = [("gate_reason IS NOT NULL", because("gate_reason", offset="gate_offset"))]
+def own_refusal(options) -> str:
+    """First failing check a page can decide on its own, before the text checks.
+
+    Expects ``gate_reason, gate_offset, metadata, content_text, comments_text``.
+    """
+    target = options.target_language
+    checks = [("gate_reason IS NOT NULL", _because("gate_reason", offset="gate_offset"))]
     if target is not None:
-        checks.append((mismatch("metadata.language", target), because("'language_mismatch'")))
+        checks.append((mismatch("metadata.language", target), _because("'language_mismatch'")))
     if options.has_essential_metadata:
         missing = missing_essential("metadata")
-        checks.append((f"{missing} IS NOT NULL", because("'missing_metadata'", missing)))
-    checks.append(("content_text = '' AND comments_text = ''", because("'insufficient_content'")))
+        checks.append((f"{missing} IS NOT NULL", _because("'missing_metadata'", missing)))
+    checks.append(("content_text = '' AND comments_text = ''", _because("'insufficient_content'")))
+    return _first_failing(checks)
+
+
+def refusal(options) -> str:
+    """``struct(reason, detail, offset)`` of the first failing check, else NULL.
+
+    Expects ``_own`` (``own_refusal``), plus ``first_page`` with deduplication
+    and ``detected`` with a target language.
+    """
+    target = options.target_language
+    checks = [("_own IS NOT NULL", "_own")]
     if options.deduplicate:
-        checks.append(("first_page < page_id", because("'duplicate_content'")))
+        checks.append(("first_page < page_id", _because("'duplicate_content'")))
     if target is not None:
-        checks.append((mismatch("detected", target), because("'language_mismatch'", "detected")))
-    return "CASE " + " ".join(f"WHEN {test} THEN {why}" for test, why in checks) + " END"
+        checks.append((mismatch("detected", target), _because("'language_mismatch'", "detected")))
+    return _first_failing(checks)
 
 
 OUTCOME_COLUMNS = (

@@ -3,7 +3,7 @@
 Both count by content hash with map-side combining, so a text on a third of all
 pages is one partial row per task.  The way back to the pages joins on
 ``(hash, salt)``: the repeated hashes, a small minority, are replicated over
-the salts, so one very common hash is spread over ``salts`` tasks.
+the salts, so one very common hash is spread over ``salts`` tasks.  Blocks and pages themselves stay where they are, partitioned by page.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pagewinnow.functions.text import squash
+from pagewinnow.session import durable
 
 DEFAULT_SALTS = 32
 
@@ -40,18 +41,39 @@ def with_block_hash(block_rows: DataFrame) -> DataFrame:
     )
 
 
-def block_frequency(block_rows: DataFrame, by_host: bool = False) -> DataFrame:
-    """Pages per block hash (per host with ``by_host``): ``hash, df``.
+def page_hashes(block_rows: DataFrame, by_host: bool = False) -> DataFrame:
+    """``page_id, [host,] hash, block_nos``: each text of a page once.
 
-    Expects ``page_id, host, hash``.  Distinct within the page first: the rows
-    are already hashed on ``page_id``, so that step needs no exchange and the
-    count that follows is a plain sum of ones.
+    Expects ``page_id, block_no, host, text``.  Block rows are already hashed
+    on ``page_id``, so grouping within the page needs no exchange.
     """
     scope = ["host", "hash"] if by_host else ["hash"]
-    once = block_rows.where(F.col("hash").isNotNull()).groupBy("page_id", *scope).agg(
-        F.lit(1).alias("_one")
+    return (
+        with_block_hash(block_rows)
+        .where("hash IS NOT NULL")
+        .groupBy("page_id", *scope)
+        .agg(F.collect_list("block_no").alias("block_nos"))
+    )
+
+
+def block_frequency(hashes: DataFrame, by_host: bool = False) -> DataFrame:
+    """Pages per block text: ``[host,] hash, df``, combined map-side."""
+    scope = ["host", "hash"] if by_host else ["hash"]
+    return hashes.groupBy(*scope).agg(F.count(F.lit(1)).alias("df"))
+
+
+def repeated_in_page(
+    hashes: DataFrame, max_df: int, by_host: bool = False, salts: int = DEFAULT_SALTS
+) -> DataFrame:
+    """``page_id, repeated``: the numbers of its blocks on more than ``max_df`` pages."""
+    scope = ["host", "hash"] if by_host else ["hash"]
+    repeated = block_frequency(hashes, by_host).where(F.col("df") > max_df).drop("df")
+    return (
+        _salted(hashes, "page_id", salts)
+        .join(_replicated(repeated, salts), ["_salt", *scope])
+        .groupBy("page_id")
+        .agg(F.flatten(F.collect_list("block_nos")).alias("repeated"))
     )
-    return once.groupBy(*scope).agg(F.sum("_one").alias("df"))
 
 
 def dedup_blocks(
@@ -62,33 +84,42 @@ def dedup_blocks(
 ) -> DataFrame:
     """Drop blocks whose normalised text is on more than ``max_df`` pages.
 
-    Expects ``page_id, host, text``; blank blocks are kept as they are.
+    Blank blocks are kept as they are.  Only hashes travel, and they are worked
+    out once: the repeated blocks of a page come back as one short list of
+    numbers joined on ``page_id``, on which the block rows are already
+    partitioned, so their text is not shuffled again.
     """
-    hashed = with_block_hash(block_rows)
-    repeated = block_frequency(hashed, by_host).where(F.col("df") > max_df).drop("df")
-    keys = ["_salt", *(["host", "hash"] if by_host else ["hash"])]
+    hashes = durable(page_hashes(block_rows, by_host))
+    hits = repeated_in_page(hashes, max_df, by_host, salts)
     return (
-        _salted(hashed, "page_id", salts)
-        .join(_replicated(repeated, salts), keys, "left_anti")
-        .drop("_salt", "hash")
+        block_rows.join(hits, "page_id", "left")
+        .where("repeated IS NULL OR NOT array_contains(repeated, block_no)")
+        .drop("repeated")
     )
 
 
 def duplicate_pages(
-    extracted: DataFrame, text: str = "content_text", salts: int = DEFAULT_SALTS
+    extracted: DataFrame,
+    text: str = "content_text",
+    among: str = "true",
+    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Add ``first_page``: smallest ``page_id`` with the same body.
 
-    NULL for a body seen once or blank; a page is a duplicate when
-    ``first_page < page_id``.  No ranking window: a window would sort all
-    copies of one body in a single task.
+    NULL for a body seen once or blank, and for pages outside the condition
+    ``among``; a page is a duplicate when ``first_page < page_id``.  No ranking
+    window, which would sort all copies of one body in a single task, and only
+    ``page_id`` and the hash are shuffled, never the text.
     """
-    hashed = extracted.selectExpr("*", f"{content_hash(text)} AS _body")
-    return (
+    hashed = durable(
+        extracted.where(among).selectExpr("page_id", f"{content_hash(text)} AS _body")
+    )
+    groups = (
         _salted(hashed, "page_id", salts)
-        .join(_replicated(body_firsts(hashed), salts), ["_body", "_salt"], "left")
-        .drop("_body", "_salt")
+        .join(_replicated(body_firsts(hashed), salts), ["_body", "_salt"])
+        .select("page_id", "first_page")
     )
+    return extracted.join(groups, "page_id", "left")
 
 
 def body_firsts(hashed: DataFrame) -> DataFrame:

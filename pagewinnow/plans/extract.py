@@ -64,12 +64,13 @@ def process(
     """Every page once: streams, metadata, and ``outcome`` with its reason.
 
     ``page_id`` must be unique.  Set ``co_located`` when the table is bucketed
-    on ``page_id`` to run without the exchange.
+    on ``page_id`` to run without the exchange.  ``deduplicate`` takes a second
+    pass over the pages, whose only result is a hash per page.
     """
     options = ExtractOptions.of(options, **overrides)
-    carry = ("record",)
-    needs_base = options.include_links or options.include_images
+    carry: tuple[str, ...] = ("record",)
     records = page_records(pages, options)
+    needs_base = options.include_links or options.include_images
     if needs_base:
         # the metadata URL already falls back to the supplied one
         records = records.withColumn("base", F.col("record.metadata.url"))
@@ -81,8 +82,10 @@ def process(
     result = result.select("page_id", *A.STREAMS, "record.*")
     if options.target_language is not None:
         result = detect_language(result, "content_text")
+    result = result.withColumn("_own", F.expr(Q.own_refusal(options)))
     if options.deduplicate:
-        result = duplicate_pages(result)
+        # a page refused for its own reasons does not make later copies duplicates
+        result = duplicate_pages(result, among="_own IS NULL")
     return result.withColumn("_refusal", F.expr(Q.refusal(options))).selectExpr(
         *EXTRACTED_COLUMNS, *Q.OUTCOME_COLUMNS
     )

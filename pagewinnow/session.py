@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pagewinnow") -> SparkSession:
@@ -23,15 +23,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def durable(df):
-    """Cut lineage through the reliable checkpoint folder of the session.
+def durable(df: DataFrame) -> DataFrame:
+    """Work a narrow frame out once, through the reliable checkpoint folder.
 
-    The folder the cluster names in ``spark.checkpoint.dir`` is used when set.
-    Where it is unset (tests), the caller must have set one on the context.
+    Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one
+    already set on the context), so the rows survive lost executors.  Without
+    either the frame stays lazy and is worked out again by each reader.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if folder and context.getCheckpointDir() is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if not folder:
+            return df
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
