@@ -7,9 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 PAGE_COLUMNS = ("page_id", "url", "html")
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet pages ``page_id, url, html``."""
-    return spark.read.parquet(path).select(*PAGE_COLUMNS)
+def read_pages(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Parquet pages ``page_id, url, html``.
+
+    A file of one row group is read by one task, and all work before the first
+    exchange stays in that task.  ``min_partitions`` spreads such a small input
+    first; a large table has splits enough and should leave it unset.
+    """
+    pages = spark.read.parquet(path).select(*PAGE_COLUMNS)
+    return pages if min_partitions is None else pages.repartition(min_partitions)
 
 
 def read_page_tree(spark: SparkSession, root: str, glob: str = "*.html") -> DataFrame:
