@@ -53,6 +53,7 @@ _TITLE = r"(?is)<title(?:[ \t\r\n\f][^<>]*)?>(.*?)</title"
 _H1 = r"(?is)<h1(?:[ \t\r\n\f][^<>]*)?>(.*?)</h1"
 _NESTED = r"^\s*[\[{]"
 _SOMETHING = r"\S"
+_TEXT = "coalesce(html, '')"
 _NAME_BREAK = r"\s*;\s*"
 _PRIMARY_SUBTAG = r"^([a-zA-Z]{2,3})(?:$|[-_,; ])"
 _LD_PATHS = {
@@ -91,8 +92,17 @@ def meta_pairs(pages: DataFrame) -> DataFrame:
 
 
 def _ld_block(html: str) -> str:
-    block = f"get(regexp_extract_all({html}, {quoted(P.JSON_LD)}, 1), 0)"
-    return f"CASE WHEN contains({html}, 'ld+json') THEN {block} END"
+    block = _first_element(html, P.JSON_LD, "script")
+    return f"CASE WHEN contains({html}, 'ld+json') THEN nullif({block}, '') END"
+
+
+def _first_element(markup: str, pattern: str, name: str) -> str:
+    """Content of the first element matching a pattern, to the end if unclosed.
+
+    The end tag put behind the markup makes the first opening tag match, so an
+    unclosed element is not searched for again from every later one.
+    """
+    return f"regexp_extract(concat({markup}, '</{name}>'), {quoted(pattern)}, 1)"
 
 
 def _ld_value(block: str, name: str) -> str:
@@ -126,7 +136,7 @@ def _link_href(head: str, rel: str) -> str:
 def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
     """Add ``_cands``: array of ``(field, rank, pos, value)`` for each page."""
     elements = {
-        "dom:title": f"regexp_extract(_head, {quoted(_TITLE)}, 1)",
+        "dom:title": _first_element("_head", _TITLE, "title"),
         "dom:h1": strip_tags("_h1"),
         "dom:canonical": _link_href("_head", "canonical"),
         "dom:license": _link_href("_head", "license"),
@@ -153,7 +163,7 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
             *carry,
             f"{head_of('html')} AS _head",
             f"{_ld_block('html')} AS _ld",
-            f"regexp_extract(coalesce(html, ''), {quoted(_H1)}, 1) AS _h1",
+            f"{_first_element(_TEXT, _H1, 'h1')} AS _h1",
             f"regexp_extract(coalesce(html, ''), {quoted(P.named_tag('html'))}, 0) AS _root",
         )
         .selectExpr("*", f"{meta_array('_head')} AS _metas")
