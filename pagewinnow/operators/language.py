@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from pagewinnow.functions.patterns import STOP_WORDS
-from pagewinnow.functions.text import count_in, letter_words, quoted
+from pagewinnow.functions.text import count_in, letter_words, listed, quoted
 
 MIN_HITS = 2
 
@@ -30,8 +30,10 @@ def detect_language(
         f"struct({count_in('_words', profiles[lang])} AS hits, -{i} AS place, '{lang}' AS lang)"
         for i, lang in enumerate(sorted(profiles))
     )
+    # one pass over all words, then short passes over the few that count
+    known = listed(sorted({w for words in profiles.values() for w in words}))
     return (
-        docs.selectExpr("*", f"{letter_words(text)} AS _words")
+        docs.selectExpr("*", f"filter({letter_words(text)}, w -> w IN ({known})) AS _words")
         .selectExpr(*docs.columns, f"array_max(array({hits})) AS _best")
         .selectExpr(*docs.columns, f"CASE WHEN _best.hits >= {min_hits} THEN _best.lang END AS detected")
     )

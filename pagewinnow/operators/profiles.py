@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pagewinnow.functions import patterns as P
 from pagewinnow.functions.text import listed, quoted
 from pagewinnow.operators.markup import clean_markup
+from pagewinnow.session import durable
 
 SKETCH_ACCURACY = 10_000
 
@@ -86,21 +87,27 @@ def exact_percentiles(
     )
 
 
+def _beside(whole: DataFrame, values: DataFrame, value: str) -> DataFrame:
+    """One row of totals with ``p50``, ``p90`` and ``p99`` put beside it."""
+    names = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    picked = ", ".join(f"max(CASE WHEN fraction = {p}D THEN cont END) AS {n}" for n, p in names.items())
+    shares = exact_percentiles(values, value, list(names.values()))
+    record = shares.agg(F.expr(f"struct({picked}) AS shares"))
+    return whole.select("*", record.scalar().alias("_shares")).selectExpr(
+        *whole.columns, *[f"_shares.{n} AS {n}" for n in names]
+    )
+
+
 def distribution(df: DataFrame, value: str, budget: float) -> DataFrame:
     """Mean, p50, p90, p99, max, count and how many are over the budget: one row."""
-    shares = exact_percentiles(df, value, (0.5, 0.9, 0.99))
-    wide = shares.agg(
-        *[F.expr(f"max(CASE WHEN fraction = {p}D THEN cont END) AS p{round(p * 100)}") for p in (0.5, 0.9, 0.99)]
-    )
-    whole = df.agg(
+    values = durable(df.select(value))
+    whole = values.agg(
         F.expr(f"count({value}) AS n"),
         F.expr(f"avg({value}) AS mean"),
         F.expr(f"cast(max({value}) AS double) AS max_value"),
         F.expr(f"count_if({value} > {budget!r}) AS over_budget"),
     )
-    return whole.select(
-        "*", *[wide.select(c).scalar().alias(c) for c in ("p50", "p90", "p99")]
-    )
+    return _beside(whole, values, value)
 
 
 def page_depth(pages: DataFrame) -> DataFrame:
@@ -126,17 +133,14 @@ def page_depth(pages: DataFrame) -> DataFrame:
 
 def nesting_profile(pages: DataFrame) -> DataFrame:
     """One row: depth percentiles and pages deeper than 50 and 500."""
-    depths = page_depth(pages)
-    wide = exact_percentiles(depths, "depth", (0.5, 0.9, 0.99)).agg(
-        *[F.expr(f"max(CASE WHEN fraction = {p}D THEN cont END) AS p{round(p * 100)}") for p in (0.5, 0.9, 0.99)]
-    )
+    depths = durable(page_depth(pages).select("depth"))
     whole = depths.agg(
         F.count(F.lit(1)).alias("pages"),
         F.max("depth").alias("max_depth"),
         F.expr("count_if(depth > 50) AS over_50"),
         F.expr("count_if(depth > 500) AS over_500"),
     )
-    return whole.select("*", *[wide.select(c).scalar().alias(c) for c in ("p50", "p90", "p99")])
+    return _beside(whole, depths, "depth")
 
 
 def measurement_summary(measurements: DataFrame, key: str, value: str) -> DataFrame:

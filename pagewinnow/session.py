@@ -13,6 +13,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # rows reach the page aggregate sorted by page, so it can stream one page
+        # at a time instead of holding many collected pages in a hash map
+        .config("spark.sql.execution.replaceHashWithSortAgg", "true")
         # the work is regular expressions over text, so small partitions pay off
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", "8g")
