@@ -50,24 +50,31 @@ def _digests(snapshot: DataFrame, side: str) -> DataFrame:
     )
 
 
+def _compared(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``page_id, in_a, in_b, changes``: both snapshots side by side, once."""
+    both = _digests(a, "a").join(_digests(b, "b"), "page_id", "full_outer")
+    cells = ", ".join(
+        f"CASE WHEN NOT (a_{n} <=> b_{n}) THEN struct('{n}' AS field, 'changed' AS change) END"
+        for n in ("outcome", *ALL_FIELDS)
+    )
+    one_sided = "array(struct('page' AS field, CASE WHEN in_a THEN 'only_a' ELSE 'only_b' END AS change))"
+    return both.selectExpr(
+        "*", "a_outcome IS NOT NULL AS in_a", "b_outcome IS NOT NULL AS in_b"
+    ).selectExpr(
+        "page_id",
+        "in_a",
+        "in_b",
+        f"CASE WHEN in_a AND in_b THEN filter(array({cells}), c -> c IS NOT NULL) ELSE {one_sided} END AS changes",
+    )
+
+
 def snapshot_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """``page_id, field, change`` for every difference.
 
     A page on one side only is one row with field ``page``; an error that
     became a success differs in ``outcome``.
     """
-    both = _digests(a, "a").join(_digests(b, "b"), "page_id", "full_outer")
-    names = ("outcome", *ALL_FIELDS)
-    cells = ", ".join(
-        f"CASE WHEN NOT (a_{n} <=> b_{n}) THEN struct('{n}' AS field, 'changed' AS change) END"
-        for n in names
-    )
-    side = (
-        "CASE WHEN a_outcome IS NULL THEN 'only_b' WHEN b_outcome IS NULL THEN 'only_a' END"
-    )
-    changed = f"filter(array({cells}), c -> c IS NOT NULL)"
-    rows = f"CASE WHEN {side} IS NOT NULL THEN array(struct('page' AS field, {side} AS change)) ELSE {changed} END"
-    return both.selectExpr("page_id", f"inline({rows})")
+    return _compared(a, b).selectExpr("page_id", "inline(changes)")
 
 
 def diff_verdict(
@@ -78,26 +85,14 @@ def diff_verdict(
     Broken when a side has no pages or both sides are the same version, so a
     comparison that compared nothing is never reported as clean.
     """
-    per_page = snapshot_diff(a, b).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
-    found = per_page.agg(
-        F.count(F.lit(1)).alias("pages_changed"), F.coalesce(F.sum("n"), F.lit(0)).alias("fields_changed")
-    )
-    counts = (
-        a.selectExpr("1 AS in_a", "0 AS in_b")
-        .unionAll(b.selectExpr("0 AS in_a", "1 AS in_b"))
-        .agg(
-            F.coalesce(F.sum("in_a"), F.lit(0)).alias("pages_a"),
-            F.coalesce(F.sum("in_b"), F.lit(0)).alias("pages_b"),
-        )
+    counts = _compared(a, b).agg(
+        F.count_if("in_a").alias("pages_a"),
+        F.count_if("in_b").alias("pages_b"),
+        F.expr("count_if(size(changes) > 0) AS pages_changed"),
+        F.expr("coalesce(sum(size(changes)), 0) AS fields_changed"),
     )
     same = "true" if version_a == version_b else "false"
-    # one row of counts beside one row of counts: two scalar subqueries
-    return counts.select(
-        "pages_a",
-        "pages_b",
-        found.select("pages_changed").scalar().alias("pages_changed"),
-        found.select("fields_changed").scalar().alias("fields_changed"),
-    ).selectExpr(
+    return counts.selectExpr(
         "*",
         f"CASE WHEN {same} OR pages_a = 0 OR pages_b = 0 THEN 'broken' "
         "WHEN fields_changed = 0 THEN 'empty' ELSE 'non-empty' END AS verdict",
@@ -114,13 +109,13 @@ def multiset_digest(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def determinism_check(first: DataFrame, second: DataFrame, columns: list[str]) -> DataFrame:
     """Two runs of one job: do they give the same rows, whatever the order."""
-    a = multiset_digest(first, columns).selectExpr("n_rows AS rows_a", "digest AS digest_a")
-    b = multiset_digest(second, columns)
-    return a.select(
-        "rows_a",
-        b.select("n_rows").scalar().alias("rows_b"),
-        "digest_a",
-        b.select("digest").scalar().alias("digest_b"),
-    ).selectExpr(
-        "rows_a", "rows_b", "rows_a = rows_b AND digest_a <=> digest_b AS same"
+    other = multiset_digest(second, columns).selectExpr("struct(n_rows, digest) AS d")
+    return (
+        multiset_digest(first, columns)
+        .select("n_rows", "digest", other.scalar().alias("other"))
+        .selectExpr(
+            "n_rows AS rows_a",
+            "other.n_rows AS rows_b",
+            "n_rows = other.n_rows AND digest <=> other.digest AS same",
+        )
     )

@@ -18,6 +18,7 @@ from pagewinnow.operators.markup import clean_markup
 from pagewinnow.session import durable
 
 SKETCH_ACCURACY = 10_000
+SALTS = 16
 
 
 def exact_percentiles(
@@ -47,7 +48,11 @@ def exact_percentiles(
     )
     brackets = sketched.selectExpr(*group, f"{bracket} AS b")
     if group:
-        ranked = counts.join(brackets, group)
+        # salted by value, so a group with a large share of all values is
+        # spread over several tasks
+        salt = f"pmod(xxhash64(v), {SALTS})"
+        copies = brackets.withColumn("_salt", F.expr(f"explode(sequence(0L, {SALTS - 1}L))"))
+        ranked = counts.withColumn("_salt", F.expr(salt)).join(copies, [*group, "_salt"]).drop("_salt")
     else:
         # a single row: a scalar subquery, not a join
         ranked = counts.withColumn("b", brackets.select("b").scalar())
@@ -145,18 +150,21 @@ def nesting_profile(pages: DataFrame) -> DataFrame:
 
 def measurement_summary(measurements: DataFrame, key: str, value: str) -> DataFrame:
     """Median of the repeats and their spread; a single repeat has no spread."""
-    medians = exact_percentiles(measurements, value, (0.5,), [key]).select(
-        key, F.col("disc").alias("median"), F.col("total").alias("repeats")
-    )
-    ends = measurements.where(F.col(value).isNotNull()).groupBy(key).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high")
-    )
-    return medians.join(ends, key).selectExpr(
-        key,
-        "repeats",
-        "median",
-        "CASE WHEN repeats > 1 THEN _low END AS fastest",
-        "CASE WHEN repeats > 1 THEN _high END AS slowest",
+    ends = exact_percentiles(measurements, value, (0.0, 0.5, 1.0), [key])
+    at = "max(CASE WHEN fraction = {}D THEN disc END)"
+    return (
+        ends.groupBy(key)
+        .agg(
+            F.max("total").alias("repeats"),
+            *[F.expr(f"{at.format(p)} AS {n}") for n, p in (("low", 0.0), ("median", 0.5), ("high", 1.0))],
+        )
+        .selectExpr(
+            key,
+            "repeats",
+            "median",
+            "CASE WHEN repeats > 1 THEN low END AS fastest",
+            "CASE WHEN repeats > 1 THEN high END AS slowest",
+        )
     )
 
 

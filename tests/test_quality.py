@@ -1,4 +1,4 @@
-import datetime as dt
+import re
 
 import numpy as np
 import pytest
@@ -138,17 +138,40 @@ def test_repeated_blocks_by_brute_force(spark, by_host):
     assert found == expected
 
 
-def test_text_is_not_shuffled_again_for_repeats(spark, pages):
+def exchanged_columns(spark, build):
+    """Input columns of every exchange of a plan, with broadcasts ruled out."""
+    import contextlib
+    import io
+
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = content_blocks(pages, ExtractOptions()).selectExpr("page_id", "block_no", "'h' AS host", "text", "body")
-        plan = R.dedup_blocks(rows, 3)._jdf.queryExecution().executedPlan().toString()
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            build().explain("formatted")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    wide = [line for line in plan.splitlines() if "Exchange" in line and "page_id" in line and "REPARTITION_BY_COL" in line]
-    assert len(wide) in (1, 2, 3) and "Cartesian" not in plan and "NestedLoop" not in plan
+    text = out.getvalue()
+    assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text
+    details = text.split("\n\n")
+    return [d.split("Input", 1)[1].split("\n")[0] for d in details if re.match(r"\(\d+\) Exchange", d.strip())]
+
+
+def test_text_is_not_shuffled_again_for_repeats(spark, pages):
+    def blocks():
+        rows = content_blocks(pages, ExtractOptions())
+        return R.dedup_blocks(rows.selectExpr("page_id", "block_no", "'h' AS host", "text", "body"), 3)
+
+    inputs = exchanged_columns(spark, blocks)
+    assert sum("marked#" in i for i in inputs) == 1
+    assert not any("text#" in i or "body#" in i for i in inputs)
+
+
+def test_content_is_not_shuffled_again_for_duplicates(spark, pages):
+    inputs = exchanged_columns(spark, lambda: process(pages, deduplicate=True))
+    assert sum("marked#" in i for i in inputs) == 1
+    assert not any("content_text#" in i or "_kept#" in i for i in inputs)
 
 
 def test_overlapping_streams(pages_of):
