@@ -18,13 +18,13 @@ def _when(test: str, *parts: str) -> str:
 
 _HEAD = ", ".join(
     [
-        _when("page_id % 4 = 2", '<meta name="author" content="Ada Lovelace">'),
-        _when("page_id % 4 = 0", '<meta content="Ada Lovelace; Grace Hopper" name="author">'),
-        _when("page_id % 3 = 0", '<meta property="og:site_name" content="The Example Journal">'),
-        _when("page_id % 5 <> 0", '<meta property="og:url" content="https://journal.example.com/p/', _ID, '">'),
+        _when("page_id % 4 = 2", '<meta name="author" content="Mary Somerville">'),
+        _when("page_id % 4 = 0", '<meta content="Mary Somerville; Emmy Noether" name="author">'),
+        _when("page_id % 3 = 0", '<meta property="og:site_name" content="The Harbour Gazette">'),
+        _when("page_id % 5 <> 0", '<meta property="og:url" content="https://gazette.example.com/p/', _ID, '">'),
         _when("page_id % 7 < 5", '<meta property="og:image" content="/img/cover', _ID, '.png">'),
-        _when("page_id % 3 = 1", '<meta name="keywords" content="extraction, boilerplate , Spark &amp; SQL">'),
-        _when("page_id % 4 = 3", '<meta content="A   short summary" property="og:description">'),
+        _when("page_id % 3 = 1", '<meta name="keywords" content="tides, harbours , Spark &amp; SQL">'),
+        _when("page_id % 4 = 3", '<meta content="What   the story says" property="og:description">'),
         _when("page_id % 6 = 0", '<meta property="article:published_time" content="2020-03-09">'),
         _when("page_id % 6 = 1", '<meta property="article:published_time" content="2020-01-21T02:00:00+05:30">'),
         _when("page_id % 6 = 2", '<meta property="article:published_time" content="2020-01-20T20:30:00-06:00">'),
@@ -40,16 +40,16 @@ _HEAD = ", ".join(
 )
 _BODY = ", ".join(
     [
-        _when("page_id % 4 = 1", "<table><tr><td>A cell of table ", _ID, "</td></tr></table>"),
-        _when("page_id % 10 = 7", '<p><img src="/img/', _ID, '.png" alt="A diagram"></p>'),
+        _when("page_id % 4 = 1", "<table><tr><td>Figures of row ", _ID, "</td></tr></table>"),
+        _when("page_id % 10 = 7", '<p><img src="/img/', _ID, '.png" alt="A harbour"></p>'),
         _when("page_id % 10 = 2", '<p>Seen here <img src="data:image/png;base64,AAAA"></p>'),
         _when("page_id % 10 = 4", '<p><img src="/static/logo.png" alt="Logo"> Mark ', _ID, "</p>"),
-        _when("page_id % 6 = 0", '<div class="teaser"><p>A teaser blurb ', _ID, "</p></div>"),
-        _when("page_id % 6 = 3", '<div class="bottom-links"><p>Trailing bait ', _ID, "</p></div>"),
+        _when("page_id % 6 = 0", '<div class="teaser"><p>A hint at another story ', _ID, "</p></div>"),
+        _when("page_id % 6 = 3", '<div class="bottom-links"><p>More to see at the end ', _ID, "</p></div>"),
         _when(
             "page_id % 3 = 2",
             '<p>Read <a href="/more/', _ID, '">more here</a>, <a href="//cdn.example.net/x">there</a>'
-            ' or <a href="https://other.example.org/y?a=1">elsewhere</a>.</p>',
+            ' or <a href="https://other.example.org/y?a=1">further on</a>.</p>',
         ),
         _when("page_id % 9 = 0", "<p>A line both streams carry ", _ID, "</p>"),
     ]
@@ -58,7 +58,7 @@ _AFTER = ", ".join(
     [
         _when(
             "page_id % 3 = 0",
-            '<div id="comments"><div class="comment"><p>A reader comment on ', _ID, "</p></div>",
+            '<div id="comments"><div class="comment"><p>Someone remarks on ', _ID, "</p></div>",
         ),
         _when("page_id % 9 = 0", '<div class="comment"><p>A line both streams carry ', _ID, "</p></div>"),
         _when("page_id % 3 = 0", "</div>"),

@@ -762,7 +762,7 @@ def _oracles() -> dict[str, str]:
                 *block_rows(INJECTED),
                 (
                     "bases",
-                    "SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN 'https://journal.example.com/p/' || page_id ELSE url END AS base FROM pages",
+                    "SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN 'https://gazette.example.com/p/' || page_id ELSE url END AS base FROM pages",
                 ),
                 *streams(option_table(options(include_links=True, include_images=True)), base="base"),
             ],
@@ -800,6 +800,21 @@ def _oracles() -> dict[str, str]:
             "json_extract_string(j, '$.datePublished') AS date, json_extract_string(j, '$.\"@type\"') AS type FROM ld WHERE j <> ''"
         ),
         "metadata_fields": meta_query(f"SELECT page_id, {META_COLUMNS} FROM meta"),
+        "null_if_empty": (
+            "SELECT page_id, CASE WHEN page_id % 4 = 3 THEN url END AS author, "
+            "CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END::INTEGER AS n_tags FROM pages"
+        ),
+        "split_sinks": one_run(
+            "SELECT page_id, CASE WHEN big THEN 'refused' ELSE 'accepted' END AS sink, "
+            "CASE WHEN big THEN 'input_too_large' END AS reason "
+            f"FROM (SELECT page_id, strlen(html) > {SIZE_CAP} AS big FROM src)"
+        ),
+        "stream_extract": one_run(
+            "SELECT page_id, CASE WHEN big THEN 'refused' ELSE 'ok' END AS outcome, "
+            "CASE WHEN big THEN 'input_too_large' END AS reason, CASE WHEN big THEN '' ELSE content_text END AS content_text "
+            f"FROM (SELECT r.*, strlen(html) > {SIZE_CAP} AS big FROM result r JOIN src USING (page_id))",
+            source=PLAIN_PAGES,
+        ),
         "resolve_url": meta_query("SELECT page_id, url, hostname, image FROM meta"),
         "publication_date": (
             "SELECT page_id, CASE WHEN page_id % 6 = 0 THEN DATE '2020-03-09' WHEN page_id % 6 = 1 THEN DATE '2020-01-21' "
@@ -808,7 +823,7 @@ def _oracles() -> dict[str, str]:
         ),
         "date_override": meta_query("SELECT page_id, date, title FROM meta", override=f"DATE '{DATE_OVERRIDE.isoformat()}'"),
         "exclude_authors": (
-            "SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'Grace Hopper' WHEN page_id % 4 = 2 THEN NULL "
+            "SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'Emmy Noether' WHEN page_id % 4 = 2 THEN NULL "
             "WHEN page_id % 8 = 5 THEN 'Linus Data' END AS author FROM pages"
         ),
         "tag_terms": meta_query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,13 +18,14 @@ from pagewinnow.options import ExtractOptions, SweptOptions
 from pagewinnow.plans import extract as E
 from pagewinnow.plans.sweep import option_sweep
 from pagewinnow.sources.pages import read_pages
-from pagewinnow.sources.sinks import run_record
-from pagewinnow.streaming.jobs import stream_dedup, stream_tally
+from pagewinnow.session import shared_folder
+from pagewinnow.sources.sinks import read_accepted, read_refused, run_record, split_sinks
+from pagewinnow.streaming.jobs import PAGE_SCHEMA, stream_dedup, stream_extract, stream_tally
 
 DEFAULTS = ExtractOptions()
 SIZE_CAP = 2600
 PRUNED = ".ad, h1, a"
-DATE_OVERRIDE = dt.date(1999, 12, 31)
+DATE_OVERRIDE = dt.date(2001, 2, 3)
 MAX_BLOCK_PAGES = 5
 REGION_FLAGS = [f"in_{r}" for r in markup.REGIONS[:-1]]
 FOCUS_SWEEP = [ExtractOptions(focus=f) for f in B.THRESHOLDS]
@@ -234,6 +236,18 @@ def metadata_fields(spark, d):
     return E.flat_metadata(metadata.metadata_fields(X.injected(spark, d), DEFAULTS))
 
 
+def null_if_empty(spark, d):
+    """Absent values in all their spellings, worked over the whole page table."""
+    spelled = X.pages(spark, d).selectExpr(
+        "page_id",
+        "CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN NULL ELSE concat(' ', url) END AS author",
+        "CASE WHEN page_id % 2 = 0 THEN array(url) END AS tags",
+    )
+    return metadata.null_if_empty(spelled, ("author",), ("tags",)).selectExpr(
+        "page_id", "author", "size(tags) AS n_tags"
+    )
+
+
 def resolve_url(spark, d):
     return metadata_fields(spark, d).select("page_id", "url", "hostname", "image")
 
@@ -249,7 +263,7 @@ def date_override(spark, d):
 
 
 def exclude_authors(spark, d):
-    options = ExtractOptions(excluded_authors=("ADA lovelace",))
+    options = ExtractOptions(excluded_authors=("MARY somerville",))
     meta = metadata.metadata_fields(X.injected(spark, d), options)
     return meta.select("page_id", "metadata.author")
 
@@ -430,6 +444,28 @@ def stream_dedup_q(spark, d):
     return stream_dedup(timed).selectExpr("lower(hex(body_sha)) AS body")
 
 
+def _fresh(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/pagewinnow-{name}-{uuid.uuid4().hex}"
+
+
+def split_sinks_q(spark, d):
+    """Both sinks written in one pass and read back."""
+    path = _fresh(spark, "sinks")
+    split_sinks(E.process(X.injected(spark, d), max_input_bytes=SIZE_CAP), path)
+    kept = read_accepted(spark, path).selectExpr("page_id", "'accepted' AS sink", "cast(NULL AS string) AS reason")
+    refused = read_refused(spark, path).selectExpr("page_id", "'refused' AS sink", "reason")
+    return kept.unionByName(refused)
+
+
+def stream_extract_q(spark, d):
+    """The page file as a stream, drained into a sink and read back."""
+    sink = _fresh(spark, "stream")
+    live = spark.readStream.schema(PAGE_SCHEMA).option("pathGlobFilter", "pages.parquet").parquet(d)
+    query = stream_extract(live, sink, f"{sink}-state", max_input_bytes=SIZE_CAP)
+    query.awaitTermination()
+    return spark.read.parquet(sink).select("page_id", "outcome", "reason", "content_text")
+
+
 def extracted(spark, d):
     done = E.extract(X.injected(spark, d))
     return E.flat_metadata(done).join(done.select("page_id", *A.STREAMS), "page_id")
@@ -439,6 +475,8 @@ REGISTERED: dict[str, Query] = {
     "read_pages": read_pages_q,
     "option_sweep": option_sweep_q,
     "run_record": run_record_q,
+    "split_sinks": split_sinks_q,
+    "stream_extract": stream_extract_q,
     "stream_tally": stream_tally_q,
     "stream_dedup": stream_dedup_q,
     **{
@@ -449,7 +487,7 @@ REGISTERED: dict[str, Query] = {
             prune_blocks, exclude_tables, split_comments, exclude_comments, rescue_short_pages,
             fallback_select, assemble, keep_links_and_images, link_edges, host_degrees, image_rows,
             image_inventory, dedup_blocks, dedup_blocks_by_host, duplicate_pages, meta_pairs,
-            jsonld_fields, metadata_fields, resolve_url, publication_date, date_override,
+            jsonld_fields, metadata_fields, null_if_empty, resolve_url, publication_date, date_override,
             exclude_authors, tag_terms, detect_language, language_gate, essential_metadata_gate,
             metadata_coverage, outcome_ledger, outcome_tally, snapshot_diff, diff_verdict,
             dump_manifest, score_extraction, fscore_tripwire, score_dates, paired_agreement,

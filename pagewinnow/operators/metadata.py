@@ -240,6 +240,15 @@ def metadata_fields(pages: DataFrame, options, carry: tuple[str, ...] = ()) -> D
     return placed.selectExpr(*kept, f"struct({record}) AS metadata")
 
 
+def null_if_empty(df: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...] = ()) -> DataFrame:
+    """The absence rule on flat columns: blank scalars NULL, missing lists empty."""
+    rule = {
+        **{c: blank_to_null(f"`{c}`") for c in scalars},
+        **{c: f"coalesce(`{c}`, cast(array() AS array<string>))" for c in lists},
+    }
+    return df.selectExpr(*[f"{rule[c]} AS `{c}`" if c in rule else f"`{c}`" for c in df.columns])
+
+
 def missing_essential(metadata: str) -> str:
     """First absent of title, url, date, in that order."""
     return "CASE " + " ".join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +28,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for intermediate files.
+
+    Only where none is named (a local test) a local one is made.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    return tempfile.mkdtemp(prefix="pagewinnow-")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Work a narrow frame out once, through the reliable checkpoint folder.
 
