@@ -57,7 +57,7 @@ _TEXT = "coalesce(html, '')"
 _NAME_BREAK = r"\s*;\s*"
 _PRIMARY_SUBTAG = r"^([a-zA-Z]{2,3})(?:$|[-_,; ])"
 _LD_PATHS = {
-    "headline": ("headline", "name"),
+    "headline": ("headline",),
     "author": ("author.name", "author[0].name", "author"),
     "description": ("description",),
     "publisher": ("publisher.name", "publisher"),
@@ -91,11 +91,6 @@ def meta_pairs(pages: DataFrame) -> DataFrame:
     ).selectExpr("page_id", "pos", "meta.key", f"{squash(unescape('meta.value'))} AS value")
 
 
-def _ld_block(html: str) -> str:
-    block = _first_element(html, P.JSON_LD, "script")
-    return f"CASE WHEN contains({html}, 'ld+json') THEN nullif({block}, '') END"
-
-
 def _first_element(markup: str, pattern: str, name: str) -> str:
     """Content of the first element matching a pattern, to the end if unclosed.
 
@@ -105,23 +100,31 @@ def _first_element(markup: str, pattern: str, name: str) -> str:
     return f"regexp_extract(concat({markup}, '</{name}>'), {quoted(pattern)}, 1)"
 
 
-def _ld_value(block: str, name: str) -> str:
-    """First plain value of a property, at the top or in a one-level wrapper."""
-    found = [
-        f"get_json_object({block}, {quoted(f'{root}.{path}')})"
+def _ld_blocks(html: str) -> str:
+    """Array of the JSON-LD texts of a page, NULL without any."""
+    found = f"regexp_extract_all(concat({html}, '</script>'), {quoted(P.JSON_LD)}, 1)"
+    return f"CASE WHEN contains({html}, 'ld+json') THEN nullif({found}, cast(array() AS array<string>)) END"
+
+
+def _ld_value(blocks: str, name: str) -> str:
+    """First plain value of a property over all blocks, the best path first.
+
+    Looks at the top of a block and inside a one-level wrapper; an object or a
+    list is not a plain value.
+    """
+    tries = ", ".join(
+        f"transform({blocks}, j -> get_json_object(j, {quoted(f'{root}.{path}')}))"
         for path in _LD_PATHS[name]
         for root in ("$", "$[0]", "$['@graph'][0]")
-    ]
-    # an object or a list is not a plain value
-    plain = f"filter(array({', '.join(found)}), v -> NOT v RLIKE {quoted(_NESTED)})"
-    return f"CASE WHEN {block} IS NOT NULL THEN get({plain}, 0) END"
+    )
+    return f"get(filter(flatten(array({tries})), v -> NOT v RLIKE {quoted(_NESTED)}), 0)"
 
 
 def jsonld_fields(pages: DataFrame) -> DataFrame:
-    """``page_id, title, author, date, type`` of the first JSON-LD block."""
+    """``page_id, title, author, date, type`` of pages with JSON-LD blocks."""
     named = {"title": "headline", "author": "author", "date": "datePublished", "type": "@type"}
     return (
-        pages.selectExpr("page_id", f"{_ld_block('html')} AS _ld")
+        pages.selectExpr("page_id", f"{_ld_blocks('html')} AS _ld")
         .where("_ld IS NOT NULL")
         .selectExpr("page_id", *[f"{squash(_ld_value('_ld', n))} AS {a}" for a, n in named.items()])
     )
@@ -162,7 +165,7 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
         pages.selectExpr(
             *carry,
             f"{head_of('html')} AS _head",
-            f"{_ld_block('html')} AS _ld",
+            f"{_ld_blocks('html')} AS _ld",
             f"{_first_element(_TEXT, _H1, 'h1')} AS _h1",
             f"regexp_extract(coalesce(html, ''), {quoted(P.named_tag('html'))}, 0) AS _root",
         )

@@ -50,6 +50,16 @@ def test_source_precedence(pages_of):
     assert (meta[1].author, meta[1].date, meta[1].page_type) == ("L. D.", dt.date(2020, 2, 2), "News")
 
 
+def test_several_linked_data_blocks(pages_of):
+    block = '<script type="application/ld+json">{}</script>'
+    first = block.format('{"@type": "Organization", "name": "Publisher Inc."}')
+    second = block.format('[{"@type": "Article", "headline": "Of interest", "author": "A. Writer"}]')
+    graph = block.format('{"@graph": [{"@type": "Article", "headline": "In a graph", "publisher": {"name": "P"}}]}')
+    meta = meta_of(pages_of(page("", first + second), page("", graph), page("", first), page("", block.format("{"))))
+    assert [meta[i].title for i in range(4)] == ["Of interest", "In a graph", "A small story", "A small story"]
+    assert meta[0].author == "A. Writer" and meta[1].sitename == "P"
+
+
 def test_url_from_the_page_wins_over_the_supplied_one(pages_of):
     pages = pages_of(article(), article("", HEAD), article("", '<link rel="canonical" href="/c">'))
     assert meta_of(pages)[0].url is None and meta_of(pages)[0].hostname is None

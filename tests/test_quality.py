@@ -11,7 +11,7 @@ from pagewinnow.operators import scoring as S
 from pagewinnow.operators.ledger import REASONS, outcome_tally
 from pagewinnow.options import ExtractOptions
 from pagewinnow.plans.extract import content_blocks, ledger, process
-from tests.conftest import DATA, article, page
+from tests.conftest import DATA, article
 
 
 @pytest.fixture(scope="module")

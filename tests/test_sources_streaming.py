@@ -6,7 +6,7 @@ from pagewinnow.plans.extract import ledger, process
 from pagewinnow.sources.pages import read_page_tree, read_pages
 from pagewinnow.sources.sinks import append_run, read_accepted, read_refused, run_record, split_sinks
 from pagewinnow.streaming.jobs import read_page_stream, stream_dedup, stream_extract, stream_tally
-from tests.conftest import DATA, article, page
+from tests.conftest import DATA, article
 
 CAP = 2600
 
