@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pagewinnow.llm import simhash
+from pagewinnow.llm import simhash, substrings
 
 QUERIES = {
+    "op2_substring_dedup": substrings.query,
     "op9_simhash_near_dedup": simhash.query,
 }
 ORACLES: dict[str, str] = {}
