@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pagewinnow.llm import simhash, substrings
+from pagewinnow.llm import packing, simhash, substrings
 
 QUERIES = {
     "op2_substring_dedup": substrings.query,
+    "op10_packing": packing.query,
     "op9_simhash_near_dedup": simhash.query,
 }
 ORACLES: dict[str, str] = {}
