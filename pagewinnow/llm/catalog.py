@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pagewinnow.llm import packing, simhash, substrings
+from pagewinnow.llm import packing, quality_classifier, quality_rules, simhash, substrings, toxicity
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.query,
     "op2_substring_dedup": substrings.query,
+    "op3_toxicity": toxicity.query,
+    "op5_quality_classifier": quality_classifier.query,
     "op10_packing": packing.query,
     "op9_simhash_near_dedup": simhash.query,
 }
