@@ -35,7 +35,7 @@ ship(__name__)
 WINDOW = 1024
 VOCABULARY = "byte_bpe_50k.json"
 #: rows of one bucket of the rank count
-BUCKET_ROWS = 1000
+BUCKET_ROWS = 500
 #: remainders travel as 16-bit ids
 ID_BYTES = 2
 #: words whose ids a task remembers
