@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
-from pagewinnow.llm import packing, quality_classifier, quality_rules, simhash, substrings, toxicity
+from pagewinnow.llm import (
+    knn,
+    links,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    substrings,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_substring_dedup": substrings.query,
     "op3_toxicity": toxicity.query,
+    "op4_mixing": mixing.query,
     "op5_quality_classifier": quality_classifier.query,
-    "op10_packing": packing.query,
+    "op6_warc": warc.query,
+    "op7_exact_top_k": knn.query,
+    "op8_url_filters": links.query,
     "op9_simhash_near_dedup": simhash.query,
+    "op10_packing": packing.query,
+}
+#: the others can't be expressed in SQL (trained models, tokenizers) or take it too long on whole tables
+ORACLES = {
+    "op4_mixing": mixing.oracle(),
+    "op6_warc": warc.ORACLE,
+    "op7_exact_top_k": knn.ORACLE,
+    "op8_url_filters": links.oracle(),
 }
-ORACLES: dict[str, str] = {}
