@@ -20,13 +20,14 @@ spanning forest, never all its pairs, and a dense ball costs one pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagewinnow.llm.shared import column_bytes, components, settle, ship, table
 
@@ -97,16 +98,20 @@ def buckets(nodes: DataFrame, radius: int, blocks: int) -> DataFrame:
     keys = F.array(
         *(F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(mask))) for k, mask in enumerate(masks))
     )
-    return nodes.select(F.explode(keys).alias("bucket"), "fp", "near", "far")
+    nodes = nodes.select("fp", keys.alias("keys"), as_bytes("fp").alias("bits"), as_bytes("near", "far").alias("coords"))
+    return nodes.select(F.explode("keys").alias("bucket"), F.col("fp").alias("node"), F.col("bits").alias("fp"), "coords")
 
 
-def explore(fp: np.ndarray, coords: np.ndarray, radius: int) -> tuple[list, list]:
+def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of fingerprints, rows of 64-bit words."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int32)
+
+
+def explore(node: np.ndarray, fp: np.ndarray, coords: np.ndarray, radius: int) -> tuple[list, list]:
     """A spanning forest of one bucket's links: parents and children."""
-    order = np.argsort(fp, kind="stable")
-    fp, coords = fp[order], coords[order]
-    keep = np.append(True, fp[1:] != fp[:-1])
-    fp, coords = fp[keep], coords[keep]
-    rest = np.arange(len(fp))
+    _, keep = np.unique(node, return_index=True)
+    node, fp, coords = node[keep], fp[keep], coords[keep]
+    rest = np.arange(len(node))
     parents, children = [], []
     while len(rest) > 1:
         front, rest = rest[:1], rest[1:]
@@ -118,58 +123,58 @@ def explore(fp: np.ndarray, coords: np.ndarray, radius: int) -> tuple[list, list
                 for k in range(1, coords.shape[1]):
                     ok = np.abs(coords[some[a], k] - coords[rest[b], k]) <= radius
                     a, b = a[ok], b[ok]
-                ok = np.bitwise_count(fp[some[a]] ^ fp[rest[b]]) <= radius
+                ok = bits_apart(fp[some[a]], fp[rest[b]]) <= radius
                 reached[b[ok]] = some[a[ok]]
                 if (reached >= 0).all():
                     break
             hit = reached >= 0
-            parents.append(fp[reached[hit]])
-            children.append(fp[rest[hit]])
+            parents.append(node[reached[hit]])
+            children.append(node[rest[hit]])
             front, rest = rest[hit], rest[~hit]
     return parents, children
 
 
 def linked(rows: pa.Table, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of whole buckets; the rows are sorted by bucket."""
-    fp = rows.column("fp").to_numpy().view(np.uint64)
-    coords = np.column_stack(
-        [rows.column(c).to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8) for c in ("near", "far")]
-    ).astype(np.int8)
+    n = rows.num_rows
+    node = rows.column("node").to_numpy()
+    binary = lambda name: np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint8).reshape(n, -1)
+    fp = np.ascontiguousarray(binary("fp")).view("<u8")
+    coords = binary("coords").astype(np.int16)
     keys = [rows.column(c).to_numpy() for c in ("bucket", "low", "high")]
-    new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) if len(fp) else np.zeros(0, bool)
+    new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
     starts = np.flatnonzero(new)
-    sizes = np.diff(np.append(starts, len(fp)))
+    sizes = np.diff(np.append(starts, n))
     group = np.cumsum(new) - 1
     left, right = [], []
-    small = sizes[group] <= SMALL if len(fp) else np.zeros(0, bool)
-    for gap in range(1, SMALL):
-        a = np.flatnonzero(small[:-gap] & (group[gap:] == group[:-gap])) if len(fp) > gap else np.zeros(0, int)
+    small = sizes[group] <= SMALL
+    for gap in range(1, min(SMALL, n)):
+        a = np.flatnonzero(small[:-gap] & (group[gap:] == group[:-gap]))
         for k in range(coords.shape[1]):
             if not len(a):
                 break
             a = a[np.abs(coords[a, k] - coords[a + gap, k]) <= radius]
-        a = a[np.bitwise_count(fp[a] ^ fp[a + gap]) <= radius]
-        left.append(fp[a])
-        right.append(fp[a + gap])
+        a = a[bits_apart(fp[a], fp[a + gap]) <= radius]
+        left.append(node[a])
+        right.append(node[a + gap])
     for g in np.flatnonzero(sizes > SMALL):
         s = slice(starts[g], starts[g] + sizes[g])
-        parents, children = explore(fp[s], coords[s], radius)
+        parents, children = explore(node[s], fp[s], coords[s], radius)
         left += parents
         right += children
-    empty = np.zeros(0, np.uint64)
+    empty = np.zeros(0, np.int64)
     return np.concatenate([empty, *left]), np.concatenate([empty, *right])
 
 
-def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
-    """Links ``a, b`` that join all fingerprints within ``radius``, a forest for each bucket."""
-    nodes = settle(tables(nodes))
-    rows = buckets(nodes, radius, blocks_for(nodes.count(), radius))
+def links_in(rows: DataFrame, radius: int) -> DataFrame:
+    """Links ``a, b`` of ``rows(bucket, node, fp, coords)``, a forest for each bucket; ``fp`` and ``coords`` are bytes."""
     crowded = rows.groupBy("bucket").count().where(F.col("count") > CHUNK)
     crowded = settle(crowded.select("bucket", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")))
-    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "fp"), F.col("chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("chunks")).cast("int")
     dealt = rows.join(crowded, "bucket", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     dealt = dealt.withColumn("own", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp", "near", "far")
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    dealt = dealt.select("bucket", low, high, "node", "fp", "coords")
     dealt = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,17 +185,30 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
             last = np.logical_and.reduce([k == k[-1] for k in keys])
             cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
             kept = whole.slice(cut).to_batches()
-            yield found(whole.slice(0, cut))
+            if cut:
+                yield found(whole.slice(0, cut))
         if kept:
             yield found(pa.Table.from_batches(kept))
 
     def found(rows: pa.Table) -> pa.RecordBatch:
         a, b = linked(rows, radius)
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def as_bytes(*longs: str) -> Column:
+    """Longs as bytes; in which order doesn't matter where bits or bytes are only compared."""
+    return F.unhex(F.concat(*(F.lpad(F.hex(x), 16, "0") for x in longs)))
+
+
+def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
+    """Links ``a, b`` that join all fingerprints ``nodes(fp)`` within ``radius``."""
+    nodes = settle(tables(nodes))
+    rows = buckets(nodes, radius, blocks_for(nodes.count(), radius))
+    return links_in(rows, radius)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs(doc_id, text)``.
 
@@ -212,5 +230,88 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     )
 
 
+#: the wide fingerprint, and the min-hash bands that documents meet in
+WORDS, BANDS, BAND_ROWS = 4, 12, 2
+WIDE_PIVOTS = np.array([[xxhash.xxh64_intdigest(f"wide {i} {k}") for k in range(WORDS)] for i in range(16)], np.uint64)
+
+
+def stirred(x: np.ndarray, salt: int) -> np.ndarray:
+    x = (x + np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x * np.uint64(0x94D049BB133111EB)
+
+
+def wide_fingerprint(text: bytes, shingle: int) -> tuple[bytes, list[int]]:
+    """A fingerprint of ``64 * WORDS`` bits, and a name for each band of min-hashes."""
+    words = text.lower().split()
+    width = max(1, min(shingle, len(words)))
+    hash_of, join = xxhash.xxh64_intdigest, b" ".join
+    grams = zip(*(words[i:] for i in range(width)), strict=False)
+    hashes = np.fromiter((hash_of(join(g), 42) for g in grams), np.uint64, max(len(words) - width + 1, 0))
+    least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, np.uint64)
+    sums = np.zeros(64 * WORDS, np.int64)
+    for i in range(0, len(hashes), STEP):
+        part = hashes[i : i + STEP]
+        for k in range(len(least)):
+            least[k] = min(least[k], stirred(part, k + 1).min())
+        rows = -(-len(part) // 255)
+        bits = np.zeros((rows * 255, 64 * WORDS), np.uint8)
+        wide = np.column_stack([stirred(part, 101 + k) for k in range(WORDS)]).astype("<u8")
+        bits[: len(part)] = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
+        # at most 255 rows add up to a byte
+        sums += np.add.reduce(bits.reshape(rows, 255, -1), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    bands = [xxhash.xxh64_intdigest(least[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) >> 1 for b in range(BANDS)]
+    return np.packbits(2 * sums > len(hashes), bitorder="little").tobytes(), bands
+
+
+def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
+    """``row_key, first_key`` for every row of ``docs(doc_id, text)``: near duplicates at a shingle similarity.
+
+    For similarities far below what a few bits of 64 can tell.  Documents are
+    linked if wide fingerprints are as close as those of two texts with the
+    given Jaccard similarity of their shingles.  Candidates meet in bands of
+    min-hashes (12 bands of 2: a pair at similarity 0.8 shares none with a
+    chance of 0.000005); in a band the pivot tables and explorations of the
+    other search are used.  ``row_key`` names a row by id and text;
+    ``first_key`` is that of its group's first row, the smallest id (nulls
+    last).  Null, empty and blank texts form one group.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    radius = round(64 * WORDS * math.acos(cosine) / math.pi)
+    bytes_of_coords = len(WIDE_PIVOTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, bands = [], []
+            for text in column_bytes(batch, "text"):
+                fp, names = wide_fingerprint(text, shingle)
+                fps.append(fp)
+                bands.append(names)
+            wide = np.frombuffer(b"".join(fps), "<u8").reshape(-1, 1, WORDS)
+            away = np.bitwise_count(wide ^ WIDE_PIVOTS[None]).sum(axis=2, dtype=np.int32)
+            tables = np.minimum(away, 255).astype(np.uint8).tobytes()
+            coords = [tables[i : i + bytes_of_coords] for i in range(0, len(tables), bytes_of_coords)]
+            arrays = [*batch.columns[:2], pa.array(fps, pa.binary()), pa.array(coords, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "fp", "coords", "bands"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("string"))
+    rows = rows.mapInArrow(run, "doc_id long, row_key long, fp binary, coords binary, bands array<long>")
+    rows = settle(rows)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    nodes = rows.groupBy("fp", "bands").agg(F.min(place).alias("place"), F.first("coords").alias("coords"))
+    nodes = settle(nodes.select("fp", "bands", "coords", "place", F.col("place.row_key").alias("node")))
+    met = nodes.select(F.explode("bands").alias("bucket"), "node", "fp", "coords")
+    found = components(links_in(met, radius))
+    nodes = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = nodes.groupBy("root").agg(F.min("place").alias("first"))
+    classes = nodes.join(first, "root").select("fp", "bands", F.col("first.row_key").alias("first_key"))
+    return rows.join(classes, ["fp", "bands"]).select("row_key", "first_key")
+
+
+def row_key() -> Column:
+    """A name for a row by its id and text."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
