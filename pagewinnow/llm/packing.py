@@ -5,9 +5,9 @@ of remainders has fewer bins than the window has places, so the plan is made on
 the driver whatever the size of the corpus: enumerate combinations of two and
 three lengths that fill the window, solve for how often each is used so that
 the histogram is met (non-negative least squares), round down, and pack what is
-left greedily, cutting a piece where nothing fits.  A plan is a table of rank
-ranges of the length classes; Spark gives every remainder its rank and looks
-its place up.
+left greedily, cutting pieces only where nothing fits.  A plan is a table of
+rank ranges of the length classes; Spark gives every remainder its rank and
+looks its place up.
 
 Ranks within a length are counted per bucket of documents and added up over
 buckets, so a length that a third of all documents share is no single task.
@@ -18,8 +18,9 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import deque
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -176,113 +177,116 @@ def least_squares(combos: np.ndarray, counts: np.ndarray, sweeps: int = 40) -> n
     return used
 
 
-class Stock:
-    """Remainders that have no place yet: rank ranges of each length class."""
+@dataclass
+class Plan:
+    """Where remainders go, by length class and rank.
 
-    def __init__(self, counts: np.ndarray, window: int):
-        self.window = window
-        self.parts = [deque() for _ in range(window)]
-        self.counts = np.zeros(window, np.int64)
-        for n in np.flatnonzero(counts):
-            self.add(int(n), (int(n), 0, int(counts[n]), 0))
+    ``rows``: class, first rank, pieces, first sequence, offset; the pieces of a
+    row go whole to consecutive sequences.  ``stream``: class, first rank,
+    pieces, begin; the pieces of these rows follow each other in one stream that
+    is cut at every window, its end at powers of two.
+    """
+
+    rows: np.ndarray
+    stream: np.ndarray
+    first: int  # the stream's first sequence
+    total: int  # the stream's tokens
+    window: int
 
-    def add(self, length: int, part: tuple[int, int, int, int]) -> None:
-        """part: class of origin, first rank, pieces, where in the remainder they begin."""
-        self.parts[length].append(part)
-        self.counts[length] += part[2]
+    def ends(self) -> np.ndarray:
+        """Ends of the stream's last sequences, after its whole windows."""
+        at, ends = self.total // self.window * self.window, []
+        while at < self.total:
+            at += 1 << ((self.total - at).bit_length() - 1)
+            ends.append(at)
+        return np.array(ends, np.int64)
 
-    def take(self, length: int, many: int) -> Iterator[tuple[int, int, int, int]]:
-        self.counts[length] -= many
-        while many:
-            origin, low, n, begin = self.parts[length].popleft()
-            if n > many:
-                self.parts[length].appendleft((origin, low + many, n - many, begin))
-                n = many
-            many -= n
-            yield origin, low, n, begin
+    def sequences(self) -> int:
+        return self.first + self.total // self.window + len(self.ends())
 
 
-def plan(counts: np.ndarray, window: int = WINDOW, triples: int = 1500) -> np.ndarray:
-    """Rows ``origin, first rank, pieces, begin, length, first sequence, offset`` that place all remainders.
+def plan(counts: np.ndarray, window: int = WINDOW, triples: int = 1500) -> Plan:
+    """A place for every remainder; ``counts[n]`` of them have length n.
 
-    ``counts[n]`` is the number of remainders of length n.  Pieces of a row go
-    to consecutive sequences.  The number of rows depends on the window and not
-    on the counts.  All sequences but the last ones are full; what is left at
-    the end is cut at powers of two, which need no padding.
+    Least squares first, rounded down.  Then greedily, for what is left: the
+    longest length with the longest ones that still fit, as often as the counts
+    allow, if that fills the window.  What fills no window is streamed and cut.
+    The number of rows depends on the window and not on the counts, since each
+    greedy step uses up or sets aside one length.
     """
-    stock, rows, sequence = Stock(counts, window), [], 0
+    left, used = counts.astype(np.int64), np.zeros(window, np.int64)
+    rows, sequence = [], 0
 
-    def use(lengths: list[int], many: int) -> None:
+    def use(parts: list[int], many: int) -> None:
         nonlocal sequence
         offset = 0
-        for n in lengths:
-            at = sequence
-            for origin, low, k, begin in stock.take(n, many):
-                rows.append((origin, low, k, begin, n, at, offset))
-                at += k
+        for n in parts:
+            rows.append((n, used[n], many, sequence, offset))
+            used[n] += many
+            left[n] -= many
             offset += n
         sequence += many
 
-    def cut(length: int, at: int, many: int) -> None:
-        for origin, low, k, begin in list(stock.take(length, many)):
-            stock.add(at, (origin, low, k, begin))
-            stock.add(length - at, (origin, low, k, begin + at))
+    def times(parts: list[int]) -> int:
+        return min(int(left[n]) // parts.count(n) for n in parts)
 
-    lengths = np.flatnonzero(stock.counts)
-    combos = combinations_of(lengths, window, triples)
-    for combo, wanted in zip(combos, least_squares(combos, stock.counts), strict=True):
+    combos = combinations_of(np.flatnonzero(left), window, triples)
+    for combo, wanted in zip(combos, least_squares(combos, left), strict=True):
         parts = [int(n) for n in combo if n]
-        each = {n: parts.count(n) for n in parts}
-        many = min(int(wanted), *(int(stock.counts[n]) // k for n, k in each.items()))
+        many = min(int(wanted), times(parts))
         if many > 0:
             use(parts, many)
-    while stock.counts.any():
-        chosen, room = [], window
-        left = stock.counts.copy()
-        while room:
-            fits = np.flatnonzero(left[: room + 1])
-            if not len(fits):
-                break
-            n = int(fits[-1])
-            left[n] -= 1
-            chosen.append(n)
-            room -= n
-        if room and left.any():  # nothing fits: cut the shortest piece that is too long
-            longer = int(np.flatnonzero(left)[0])
-            each = {n: chosen.count(n) for n in chosen}
-            many = min([int(stock.counts[n]) // k for n, k in each.items()] + [int(left[longer])])
-            cut(longer, room, max(1, many))
-            continue
-        if room:  # all that is left is in hand
-            total = window - room
-            size = 1 << (total.bit_length() - 1)
-            while sum(chosen) > size:
-                if sum(chosen[:-1]) >= size:
-                    chosen.pop()
-                    continue
-                cut(chosen[-1], size - sum(chosen[:-1]), 1)
-                chosen[-1] = size - sum(chosen[:-1])
-        each = {n: chosen.count(n) for n in chosen}
-        use(chosen, min(int(stock.counts[n]) // k for n, k in each.items()) if not room else 1)
-    return np.array(rows, np.int64).reshape(-1, 7)
+    aside = np.zeros(window, bool)
+    while (open_lengths := np.flatnonzero((left > 0) & ~aside)).size:
+        parts, room = [int(open_lengths[-1])], window - int(open_lengths[-1])
+        rest = np.where(aside, 0, left)
+        rest[parts[0]] -= 1
+        while room and (fits := np.flatnonzero(rest[: room + 1])).size:
+            parts.append(int(fits[-1]))
+            rest[parts[-1]] -= 1
+            room -= parts[-1]
+        if room:
+            aside[parts[0]] = True
+        else:
+            use(parts, times(parts))
+    stream, total = [], 0
+    for n in np.flatnonzero(left):
+        stream.append((n, used[n], left[n], total))
+        total += int(n * left[n])
+    shaped = lambda x, width: np.array(x, np.int64).reshape(-1, width)
+    return Plan(shaped(rows, 5), shaped(stream, 4), sequence, total, window)
 
 
 class Places:
     """A plan, looked up by length class and rank."""
 
-    def __init__(self, rows: np.ndarray):
-        self.classes = {}
-        for origin in np.unique(rows[:, 0]):
-            own = rows[rows[:, 0] == origin]
-            ends = np.unique(np.concatenate([own[:, 1], own[:, 1] + own[:, 2]]))
-            lists = [own[(own[:, 1] <= x) & (x < own[:, 1] + own[:, 2])].tolist() for x in ends]
-            self.classes[int(origin)] = ends, lists
+    def __init__(self, plan: Plan):
+        self.plan, self.ends = plan, plan.ends()
+        own = {int(n): plan.rows[plan.rows[:, 0] == n] for n in np.unique(plan.rows[:, 0])}
+        self.lows = {n: r[:, 1].tolist() for n, r in own.items()}  # ranks were given out in order
+        self.rows = {n: r.tolist() for n, r in own.items()}
+        self.streamed = {n: (low, begin) for n, low, _, begin in plan.stream.tolist()}
 
-    def __call__(self, origin: int, rank: int) -> Iterator[tuple[int, int, int, int]]:
+    def __call__(self, length: int, rank: int) -> Iterator[tuple[int, int, int, int]]:
         """begin, length, sequence, offset of each piece of a remainder"""
-        ends, lists = self.classes[origin]
-        for _, low, _, begin, length, first, offset in lists[int(np.searchsorted(ends, rank, side="right")) - 1]:
-            yield begin, length, first + rank - low, offset
+        low, begin = self.streamed.get(length, (rank + 1, 0))
+        if rank < low:
+            _, low, _, sequence, offset = self.rows[length][bisect_right(self.lows[length], rank) - 1]
+            yield 0, length, sequence + rank - low, offset
+            return
+        window, whole = self.plan.window, self.plan.total // self.plan.window
+        at = start = begin + (rank - low) * length
+        while at < start + length:
+            number = at // window
+            if number < whole:
+                first, end = number * window, (number + 1) * window
+            else:
+                k = int(np.searchsorted(self.ends, at, side="right"))
+                first, end = int(self.ends[k - 1]) if k else whole * window, int(self.ends[k])
+                number = whole + k
+            n = min(end, start + length) - at
+            yield at - start, n, self.plan.first + number, at - first
+            at += n
 
 
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -314,13 +318,13 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> D
     )
     remainders = totals.copy()
     remainders[0] = 0
-    rows_of_plan = plan(remainders)
-    first_whole = int((rows_of_plan[:, 5] + rows_of_plan[:, 2]).max()) if len(rows_of_plan) else 0
+    planned = plan(remainders)
+    first_whole = planned.sequences()
     class_begin = np.cumsum(totals) - totals
     n_docs = int(totals.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places(rows_of_plan)
+        places = Places(planned)
         for batch in batches:
             out = []
             for doc, n, crcs, rest, tail, rank in zip(*(c.to_pylist() for c in batch.columns), strict=True):
