@@ -76,8 +76,8 @@ def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         word = np.zeros(0, np.uint32)
     yield slot(word, 11), counts
     same = lambda k: np.append(np.zeros(min(k, len(owner)), bool), owner[k:] == owner[:-k])
-    two = word.copy()
-    two[1:] += np.where(same(1)[1:], word[:-1] * np.uint32(31), np.uint32(7))
+    two = word + np.uint32(7)
+    two[1:] += np.where(same(1)[1:], word[:-1] * np.uint32(31), np.uint32(0))
     yield slot(two, 12), counts
     pattern = np.zeros(len(word), np.uint32)
     for i, k in enumerate(BACK):

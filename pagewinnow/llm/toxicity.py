@@ -43,7 +43,7 @@ FOLD = LOOKALIKES | FULL_WIDTH | HIDDEN
 ODD = re.compile("[" + "".join(map(chr, [*LOOKALIKES, *HIDDEN])) + "！-～]")
 # fixed values: digits and signs that stand for letters inside words
 DIGITS = str.maketrans("0134578@$!", "oieastbasi")
-INSIDE = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![\w.])[0134578@$](?=[^\W\d_]{2})")
+INSIDE = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![\w.])[0134578@$](?=[^\W\d_]\w)")
 # fixed values: phrases in which a listed word is harmless
 EXCEPTIONS = (
     "trash can",

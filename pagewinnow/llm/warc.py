@@ -162,6 +162,9 @@ class Parser:
                 at = self.buffer.find(END)
                 if at < 0:
                     return
+                if not at:  # after a file's last record, where its end and the terminator overlap
+                    del self.buffer[:4]
+                    continue
                 self.begin(bytes(self.buffer[:at]).decode())
                 del self.buffer[: at + 4]
             if self.head:
