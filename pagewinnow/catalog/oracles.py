@@ -14,13 +14,25 @@ from pagewinnow.catalog.queries import (
     OPTION_SETS,
     SIZE_CAP,
 )
-from pagewinnow.functions import patterns as P
+from pagewinnow.functions import patterns
 from pagewinnow.operators import blocks as B
 from pagewinnow.operators import metadata as M
 from pagewinnow.operators.links import FURNITURE_IMAGE
 from pagewinnow.operators.markup import REGIONS
 
 REGION_NAMES = REGIONS[:-1]
+
+
+class _Patterns:
+    """The tag patterns for a matcher without possessive repetition, which needs none to be linear."""
+
+    def __getattr__(self, name: str):
+        found = getattr(patterns, name)
+        plain = lambda x: x.replace("*+", "*").replace("++", "+").replace("?+", "?") if isinstance(x, str) else x
+        return (lambda *a: plain(found(*a))) if callable(found) else plain(found)
+
+
+P = _Patterns()
 FLAGS = ", ".join(f"in_{r}" for r in REGION_NAMES)
 
 
@@ -62,7 +74,15 @@ def plain(x: str) -> str:
 
 
 def attribute(tag: str, name: str) -> str:
-    return f"trim(regexp_extract({tag}, {lit(P.attribute(name))}, 1), '\"''')"
+    """All attributes of the tag as a list; of the first with the name, what stands behind its sign."""
+    blank, some = "[ \\t\\r\\n\\f]", "[^ \\t\\r\\n\\f>]+"
+    one = rf"""[^ \t\r\n\f/>=]+(?:{blank}*={blank}*(?:"[^"]*"|'[^']*'|{some}))?"""
+    named = f"list_filter(regexp_extract_all({tag}, {lit(one)}, 0), lambda a: regexp_matches(a, {lit(f'(?i)^(?:{name}){blank}*=')}))"
+    value = f"regexp_replace(coalesce({named}[1], ''), {lit(f'^[^=]*={blank}*')}, '')"
+    return f"regexp_replace({value}, {lit(DELIMITED)}, '\\1\\2')"
+
+
+DELIMITED = """(?s)^(?:"([^"]*)"|'([^']*)')$"""
 
 
 def host(url: str) -> str:

@@ -1,17 +1,19 @@
 """Regular expressions and fixed word lists for raw markup.
 
-Every pattern is valid for both Java and RE2 (no lookaround, no
-backreference) and linear on hostile input: a tag scan stops at the next angle
+Patterns are linear on hostile input: a tag scan stops at the next angle
 bracket unless it is inside a quoted attribute value, alternatives are told
-apart by their first character, and repetition of a group is bounded, so the
-matcher neither backtracks exponentially nor recurses without limit.
+apart by their first character, and repeated groups are possessive, which Java
+runs as a loop, so the matcher neither backtracks nor recurses however many
+attributes a tag has.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 WS = r"[ \t\r\n\f]"
-_ASSIGNED = rf"""={WS}*(?:"[^"]*"|'[^']*'|[^<>"'= \t\r\n\f])[^<>=]*"""
-_ATTRS = rf"[^<>=]*(?:{_ASSIGNED}){{0,32}}"
+_ASSIGNED = rf"""={WS}*+(?:"[^"]*+"|'[^']*+'|[^<>"'= \t\r\n\f])[^<>=]*+"""
+_ATTRS = rf"[^<>=]*+(?:{_ASSIGNED})*+"
 
 # One tag of any name: quote-aware first, then up to the next bracket.
 ANY_TAG = rf"<[a-zA-Z/!?]{_ATTRS}>|<[a-zA-Z/!?][^<>]*>"
@@ -70,15 +72,24 @@ def named_tag(name: str) -> str:
 
 
 def attribute(name: str) -> str:
-    """Raw value (with its quotes) of one attribute, group 1."""
-    return rf"""(?i)[ \t\r\n\f"'/](?:{name}){WS}*={WS}*("[^"]*"|'[^']*'|[^ \t\r\n\f"'<>]+)"""
+    """Raw value (with its quotes) of the first attribute of one of the names, group 1.
+
+    Read from the tag's start, attribute by attribute, so that neither the text
+    nor the names inside another value can match.  The input begins with ``<``
+    and the tag's name, or with a blank and the attributes.
+    """
+    value = rf"""(?:"[^"]*+"|'[^']*+'|[^ \t\r\n\f>]++)"""
+    gap, equals = r"[ \t\r\n\f/]", rf"{WS}*+={WS}*+"
+    wanted = rf"(?:{name}){equals}"
+    other = rf"[^ \t\r\n\f/>=]++(?:{equals}{value}?+)?+"
+    return rf"(?i)^(?:<[^ \t\r\n\f/>]*+)?+(?:{gap}++(?!{wanted})(?:{other}|=))*+{gap}++{wanted}({value})"
 
 
 ANCHOR_TEXT = rf"(?is)<a(?:[ \t\r\n\f][^<>]*)?>(.*?)</a"
 ANCHOR_OPEN = r"(?i)<a[ \t\r\n\f>]"
 ANCHOR_CLOSE = r"(?i)</a[ \t\r\n\f>]"
-KEPT_LINK = rf"(?i)<(a(?:[ \t\r\n\f]{_ATTRS})?|/a{WS}*)>"
-KEPT_IMAGE = rf"(?i)<(img(?:[ \t\r\n\f/]{_ATTRS})?)>"
+KEPT_LINK = rf"(?i)<(a(?:[ \t\r\n\f]{_ATTRS}|[ \t\r\n\f][^<>]*)?|/a{WS}*)>"
+KEPT_IMAGE = rf"(?i)<(img(?:[ \t\r\n\f/]{_ATTRS}|[ \t\r\n\f/][^<>]*)?)>"
 JSON_LD = r"""(?is)<script[^<>]*application/ld\+json[^<>]*>(.*?)</script"""
 
 # Class / id words that mark page furniture and reader comments, matched
@@ -94,18 +105,8 @@ COMMENT_WORDS = r"[ _-]comments?[ _-]| comment-?(?:list|section|thread|area)s? |
 TEASER_WORDS = r"[ _-]teasers?[ _-]"
 BOTTOM_WORDS = r"[ _-]bottom[_-]?links?[ _-]"
 
-# Named character references we decode. Fixed values of the HTML standard.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"),
-    ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
-    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&sect;", "§"),
-    ("&deg;", "°"), ("&times;", "×"), ("&euro;", "€"), ("&pound;", "£"), ("&yen;", "¥"),
-    ("&cent;", "¢"), ("&agrave;", "à"), ("&aacute;", "á"), ("&acirc;", "â"), ("&auml;", "ä"),
-    ("&ccedil;", "ç"), ("&egrave;", "è"), ("&eacute;", "é"), ("&ecirc;", "ê"), ("&euml;", "ë"),
-    ("&iacute;", "í"), ("&ntilde;", "ñ"), ("&oacute;", "ó"), ("&ouml;", "ö"), ("&uacute;", "ú"),
-    ("&uuml;", "ü"), ("&szlig;", "ß"), ("&amp;", "&"),
-)
+# Named character references: all of the HTML standard that end in a semicolon.
+ENTITIES = tuple(sorted((f"&{name}", char) for name, char in html5.items() if name.endswith(";")))
 
 # Frequent function words per language; the choice of words is ours. Words
 # that two of these languages share are left out.

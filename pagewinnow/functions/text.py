@@ -24,7 +24,10 @@ def listed(words: Iterable[str]) -> str:
 
 _PAIRS = P.PART.join(f"{name.strip('&;')}{P.SEGMENT}{char}" for name, char in P.ENTITIES)
 _ENTITY_TABLE = f"str_to_map({quoted(_PAIRS)}, {quoted(P.PART)}, {quoted(P.SEGMENT)})"
-_REFERENCE = quoted("^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,8});")
+_REFERENCE = quoted("^(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")
+
+
+_DELIMITED = """(?s)^(?:"([^"]*)"|'([^']*)')$"""
 
 
 def squash(x: str) -> str:
@@ -82,7 +85,9 @@ def attribute(tag: str, name: str) -> str:
 
     ``name`` may be an alternation such as ``name|property``.
     """
-    return f"btrim(regexp_extract({tag}, {quoted(P.attribute(name))}, 1), '\"\\'')"
+    raw = f"regexp_extract({tag}, {quoted(P.attribute(name))}, 1)"
+    # one pair of delimiters goes; quotes inside it belong to the value
+    return f"regexp_replace({raw}, {quoted(_DELIMITED)}, '$1$2')"
 
 
 def letter_words(x: str) -> str:
