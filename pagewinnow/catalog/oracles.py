@@ -425,7 +425,7 @@ def metadata_tables(
     scalars = [f for f in M.FIELDS if f not in ("date", "hostname", "categories", "tags")]
     return [
         source,
-        ("heads", "SELECT page_id, url, html, string_split_regex(html, '(?i)</head|<body[ \\t\\r\\n\\f>]')[1] AS head FROM src"),
+        ("heads", f"SELECT page_id, url, html, {clean('html')} AS head FROM src"),
         ("metas", f"SELECT page_id, regexp_extract_all(head, {lit(P.named_tag('meta'))}, 0) AS l FROM heads"),
         ("meta_flat", "SELECT page_id, unnest(l) AS t, generate_subscripts(l, 1) AS i FROM metas"),
         (

@@ -22,6 +22,7 @@ from pagewinnow.functions.text import (
     unescape,
 )
 from pagewinnow.functions.urls import host_of, resolve
+from pagewinnow.operators.markup import clean_markup
 
 FIELDS = (
     "title", "author", "url", "hostname", "description", "sitename", "date",
@@ -48,32 +49,37 @@ SOURCES = {
 RANKED = [
     (source, field, rank) for field, sources in SOURCES.items() for rank, source in enumerate(sources)
 ]
-_HEAD_END = r"(?i)</head|<body[ \t\r\n\f>]"
 _TITLE = r"(?is)<title(?:[ \t\r\n\f][^<>]*)?>(.*?)</title"
 _H1 = r"(?is)<h1(?:[ \t\r\n\f][^<>]*)?>(.*?)</h1"
-_NESTED = r"^\s*[\[{]"
 _SOMETHING = r"\S"
 _TEXT = "coalesce(html, '')"
 _NAME_BREAK = r"\s*;\s*"
 _PRIMARY_SUBTAG = r"^([a-zA-Z]{2,3})(?:$|[-_,; ])"
-_LD_PATHS = {
-    "headline": ("headline",),
-    "author": ("author.name", "author[0].name", "author"),
-    "description": ("description",),
-    "publisher": ("publisher.name", "publisher"),
-    "datePublished": ("datePublished",),
-    "articleSection": ("articleSection",),
-    "keywords": ("keywords",),
-    "image": ("image.url", "image[0]", "image"),
-    "@type": ("@type",),
+# Properties of a linked-data item, and where the plain value of an object lies.
+_LD_INSIDE = {
+    "headline": ("name",),
+    "author": ("name",),
+    "description": ("name",),
+    "publisher": ("name",),
+    "datePublished": ("@value",),
+    "articleSection": ("name",),
+    "keywords": ("name",),
+    "image": ("url", "contentUrl", "@id"),
+    "@type": ("@id",),
 }
+# Several values of these are kept, joined; of the others the first one counts.
+_LD_JOINED = {"author": "; ", "articleSection": ",", "keywords": ","}
+# Items that describe the page's own text come before those about its site.
+_ARTICLE_TYPE = r"(?i)(?:article|posting|report|story|recipe|review|news)\b"
 
 
 def head_of(html: str) -> str:
-    """The document head, with comments out: everything before the body."""
-    head = f"get(split(coalesce({html}, ''), {quoted(_HEAD_END)}, 2), 0)"
-    closed = f"concat({head}, {quoted(P.TAIL + '-->')})"
-    return f"regexp_replace({closed}, {quoted(f'(?s)<!--.*?-->|{P.TAIL}.*')}, '')"
+    """The markup that meta elements, links and the title are read from.
+
+    All of the page: a meta element counts wherever it stands.  Comments,
+    scripts and styles are out, so nothing inside them is taken for one.
+    """
+    return clean_markup(html)
 
 
 def meta_array(head: str) -> str:
@@ -106,18 +112,31 @@ def _ld_blocks(html: str) -> str:
     return f"CASE WHEN contains({html}, 'ld+json') THEN nullif({found}, cast(array() AS array<string>)) END"
 
 
-def _ld_value(blocks: str, name: str) -> str:
-    """First plain value of a property over all blocks, the best path first.
+def _ld_items(blocks: str) -> str:
+    """Items of all blocks, lists and graphs as one array, articles first, then in document order.
 
-    Looks at the top of a block and inside a one-level wrapper; an object or a
-    list is not a plain value.
+    Every property is kept as written: plain text, or the JSON of a list or object.
     """
-    tries = ", ".join(
-        f"transform({blocks}, j -> get_json_object(j, {quoted(f'{root}.{path}')}))"
-        for path in _LD_PATHS[name]
-        for root in ("$", "$[0]", "$['@graph'][0]")
-    )
-    return f"get(filter(flatten(array({tries})), v -> NOT v RLIKE {quoted(_NESTED)}), 0)"
+    some = lambda x: f"coalesce(from_json({x}, 'array<string>'), cast(array() AS array<string>))"
+    top = f"flatten(transform({blocks}, j -> CASE WHEN ltrim(j) LIKE '[%' THEN {some('j')} ELSE array(j) END))"
+    graph = quoted("$['@graph']")
+    whole = f"flatten(transform({top}, j -> concat(array(j), {some(f'get_json_object(j, {graph})')})))"
+    schema = ", ".join(f"`{name}` STRING" for name in _LD_INSIDE)
+    parsed = f"transform({whole}, (j, i) -> struct(i AS i, from_json(j, {quoted(schema)}) AS item))"
+    known = f"filter({parsed}, x -> x.item IS NOT NULL)"
+    first = f"CASE WHEN coalesce(x.item.`@type`, '') RLIKE {quoted(_ARTICLE_TYPE)} THEN 0 ELSE 1 END"
+    return f"transform(array_sort(transform({known}, x -> struct({first} AS later, x.i AS i, x.item AS item))), x -> x.item)"
+
+
+def _ld_value(items: str, name: str) -> str:
+    """The property of the first item that has it; lists and named objects count with all their values."""
+    raw = f"filter(transform({items}, x -> trim(x.`{name}`)), v -> v <> '')"
+    parts = "CASE WHEN v LIKE '[%' THEN coalesce(from_json(v, 'array<string>'), array(v)) ELSE array(v) END"
+    inside = ", ".join(f"get_json_object(e, {quoted(path)})" for path in (f"$['{k}']" for k in _LD_INSIDE[name]))
+    plain = f"CASE WHEN e LIKE '{{%' AND e LIKE '%}}' THEN coalesce({inside}, '') ELSE e END"
+    values = f"transform({raw}, v -> filter(transform({parts}, e -> trim({plain})), e -> e <> ''))"
+    found = f"get(filter({values}, l -> size(l) > 0), 0)"
+    return f"array_join({found}, '{_LD_JOINED[name]}')" if name in _LD_JOINED else f"get({found}, 0)"
 
 
 def jsonld_fields(pages: DataFrame) -> DataFrame:
@@ -126,7 +145,8 @@ def jsonld_fields(pages: DataFrame) -> DataFrame:
     return (
         pages.selectExpr("page_id", f"{_ld_blocks('html')} AS _ld")
         .where("_ld IS NOT NULL")
-        .selectExpr("page_id", *[f"{squash(_ld_value('_ld', n))} AS {a}" for a, n in named.items()])
+        .selectExpr("page_id", f"{_ld_items('_ld')} AS _items")
+        .selectExpr("page_id", *[f"{squash(_ld_value('_items', n))} AS {a}" for a, n in named.items()])
     )
 
 
@@ -144,7 +164,7 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
         "dom:canonical": _link_href("_head", "canonical"),
         "dom:license": _link_href("_head", "license"),
         "dom:lang": attribute("_root", "lang"),
-        **{f"ld:{name}": _ld_value("_ld", name) for name in _LD_PATHS},
+        **{f"ld:{name}": _ld_value("_items", name) for name in _LD_INSIDE},
     }
     from_elements = ", ".join(
         f"struct('{field}' AS field, {rank} AS rank, 0 AS pos, {elements[source]} AS value)"
@@ -169,7 +189,7 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
             f"{_first_element(_TEXT, _H1, 'h1')} AS _h1",
             f"regexp_extract(coalesce(html, ''), {quoted(P.named_tag('html'))}, 0) AS _root",
         )
-        .selectExpr("*", f"{meta_array('_head')} AS _metas")
+        .selectExpr("*", f"{meta_array('_head')} AS _metas", f"{_ld_items('_ld')} AS _items")
         .selectExpr(*carry, f"filter(concat({from_meta}, array({from_elements})), {usable}) AS _cands")
     )
 
@@ -180,12 +200,24 @@ def _best(field: str) -> str:
     return f"array_min(transform({found}, c -> struct(c.rank, c.pos, c.value AS value))).value"
 
 
-def _all_of_best_source(field: str) -> str:
-    """Values of the best-ranked source, split at commas, blanks dropped."""
+def _of_best_source(field: str) -> str:
+    """Values of the best-ranked source in document order."""
     found = f"filter(_cands, c -> c.field = '{field}')"
     best = f"array_min(transform({found}, c -> c.rank))"
     ordered = f"array_sort(transform(filter({found}, c -> c.rank = {best}), c -> struct(c.pos, c.value AS value)))"
-    items = f"split(array_join(transform({ordered}, c -> c.value), ','), ',')"
+    return f"transform({ordered}, c -> c.value)"
+
+
+def _joined_authors() -> str:
+    """All names of the best-ranked source, each once."""
+    people = f"split(array_join({_of_best_source('author')}, '; '), {quoted(_NAME_BREAK)})"
+    named = f"array_distinct(filter(transform({people}, a -> {squash(unescape('a'))}), a -> a <> ''))"
+    return f"nullif(array_join({named}, '; '), '')"
+
+
+def _all_of_best_source(field: str) -> str:
+    """Values of the best-ranked source, split at commas, blanks dropped."""
+    items = f"split(array_join({_of_best_source(field)}, ','), ',')"
     return f"filter(transform({items}, x -> {squash(unescape('x'))}), x -> x <> '')"
 
 
@@ -216,7 +248,7 @@ def metadata_fields(pages: DataFrame, options, carry: tuple[str, ...] = ()) -> D
     kept = list(dict.fromkeys(["page_id", *carry]))
     with_base = pages.withColumn("_supplied", F.expr(supplied_url(pages, options)))
     cands = metadata_candidates(with_base, [*kept, "_supplied"])
-    scalars = [f for f in FIELDS if f not in (*LIST_FIELDS, "date", "hostname")]
+    scalars = [f for f in FIELDS if f not in (*LIST_FIELDS, "author", "date", "hostname")]
     override = options.html_date_override
     day = _best_date() if override is None else f"date'{override.isoformat()}'"
     # all scalar fields in one expression over the list of their names
@@ -229,6 +261,7 @@ def metadata_fields(pages: DataFrame, options, carry: tuple[str, ...] = ()) -> D
         "_supplied",
         f"{values} AS _values",
         f"{day} AS _date",
+        f"{_joined_authors()} AS _author",
         *[f"{_all_of_best_source(f)} AS _{f}" for f in LIST_FIELDS],
     ).selectExpr("*", *[f"get(_values, {i}) AS _{f}" for i, f in enumerate(scalars)])
     own_url = f"CASE WHEN _supplied IS NOT NULL THEN {resolve('_url', '_supplied')} ELSE _url END"
