@@ -110,9 +110,9 @@ def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def timed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_time(pages: DataFrame) -> DataFrame:
     when = f"timestampadd(SECOND, cast(page_id AS int), {STREAM_TIME}) AS ingest_ts"
-    return pages(spark, sf_dir).selectExpr("*", when)
+    return pages.selectExpr("*", when)
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,6 +121,10 @@ def clean(html: str) -> str:
 
 PLAIN_PAGES = ("src", "SELECT page_id, url, html FROM pages")
 INJECTED = ("src", f"SELECT page_id, url, {X.INJECTED} AS html FROM pages")
+BASES = (
+    "bases",
+    "SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN 'https://gazette.example.com/p/' || page_id ELSE url END AS base FROM pages",
+)
 UNSTRUCTURED = ("src", f"SELECT page_id, url, {X.UNSTRUCTURED} AS html FROM pages")
 
 
@@ -780,10 +784,7 @@ def _oracles() -> dict[str, str]:
         "keep_links_and_images": with_tables(
             [
                 *block_rows(INJECTED),
-                (
-                    "bases",
-                    "SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN 'https://gazette.example.com/p/' || page_id ELSE url END AS base FROM pages",
-                ),
+                BASES,
                 *streams(option_table(options(include_links=True, include_images=True)), base="base"),
             ],
             "SELECT page_id, content_html FROM result",
@@ -925,7 +926,8 @@ def _oracles() -> dict[str, str]:
                     "steps",
                     f"SELECT page_id, pos, CASE WHEN NOT is_tag THEN 0 WHEN closing THEN -1 WHEN token LIKE '%/>' OR tag IN ('', {names(P.VOID_TAGS)}) THEN 0 ELSE 1 END AS d FROM tok",
                 ),
-                ("running", "SELECT page_id, sum(d) OVER (PARTITION BY page_id ORDER BY pos) AS depth FROM steps"),
+                ("sums", "SELECT page_id, pos, sum(d) OVER (PARTITION BY page_id ORDER BY pos) AS s FROM steps"),
+                ("running", "SELECT page_id, s - least(0, min(s) OVER (PARTITION BY page_id ORDER BY pos)) AS depth FROM sums"),
                 ("depths", "SELECT page_id, greatest(max(depth), 0)::INTEGER AS depth FROM running GROUP BY page_id"),
             ],
             "SELECT count(*) AS pages, max(depth) AS max_depth, count(*) FILTER (depth > 50) AS over_50, "
@@ -934,11 +936,11 @@ def _oracles() -> dict[str, str]:
         "determinism_check": "SELECT count(*) AS rows_a, count(*) AS rows_b, true AS same FROM pages",
         "measurement_summary": (
             "SELECT event_type, count(value) AS repeats, quantile_disc(value, 0.5) AS median, "
-            "CASE WHEN count(value) > 1 THEN min(value) END AS fastest, CASE WHEN count(value) > 1 THEN max(value) END AS slowest "
+            "CASE WHEN min(value) < max(value) THEN min(value) END AS fastest, CASE WHEN min(value) < max(value) THEN max(value) END AS slowest "
             "FROM events WHERE value IS NOT NULL GROUP BY event_type"
         ),
         "option_sweep": with_tables(
-            [*block_rows(INJECTED), *streams(option_table(*OPTION_SETS))],
+            [*block_rows(INJECTED), BASES, *streams(option_table(*OPTION_SETS), base="base")],
             "SELECT option_id, page_id, sha256(content_text) AS content_text, sha256(comments_text) AS comments_text, "
             "sha256(content_html) AS content_html, sha256(comments_html) AS comments_html FROM result",
         ),

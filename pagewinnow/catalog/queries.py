@@ -354,13 +354,11 @@ def _statistical_runs(spark, d) -> DataFrame:
 
 def _judged_runs(spark, d) -> DataFrame:
     """Every truth snippet judged in every run, also where a page is missing."""
-    levels = ", ".join(f"'{f}'" for f in B.THRESHOLDS)
-    expected = X.truth(spark, d).selectExpr("*", f"explode(array({levels})) AS run")
-    return expected.join(_statistical_runs(spark, d), ["run", "page_id"], "left")
+    return scoring.judged_runs(_statistical_runs(spark, d), X.truth(spark, d), list(B.THRESHOLDS))
 
 
 def _scores(spark, d) -> DataFrame:
-    return scoring.score_judged(scoring.judge(_judged_runs(spark, d)))
+    return scoring.score_extraction(_statistical_runs(spark, d), X.truth(spark, d), list(B.THRESHOLDS))
 
 
 def score_extraction(spark, d):
@@ -385,7 +383,7 @@ def score_dates(spark, d):
 
 
 def paired_agreement(spark, d):
-    return scoring.paired_agreement(scoring.judge(_judged_runs(spark, d)), "favor_precision", "favor_recall")
+    return scoring.paired_agreement(_judged_runs(spark, d), "favor_precision", "favor_recall")
 
 
 def stream_overlap(spark, d):
@@ -434,14 +432,39 @@ def run_record_q(spark, d):
     return _rounded(record)
 
 
+def _live(spark, d, table: str, schema: str) -> DataFrame:
+    """A table's file as a stream."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(d)
+
+
+def _drained(spark, live: DataFrame, name: str, mode: str) -> DataFrame:
+    """What a stream gives until it is drained; the last complete result, or all appended rows."""
+    sink = _fresh(spark, name)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(sink if mode == "complete" else f"{sink}/batch_id={batch_id}")
+
+    query = (
+        live.writeStream.foreachBatch(one_batch)
+        .outputMode(mode)
+        .option("checkpointLocation", f"{sink}-state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(live.schema).parquet(sink)
+
+
 def stream_tally_q(spark, d):
-    return stream_tally(X.timed_pages(spark, d), max_input_bytes=SIZE_CAP)
+    live = X.with_time(_live(spark, d, "pages", PAGE_SCHEMA))
+    return _drained(spark, stream_tally(live, max_input_bytes=SIZE_CAP), "tally", "complete")
 
 
 def stream_dedup_q(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").selectExpr("doc_id AS page_id", "text AS html")
-    timed = docs.selectExpr("*", f"{X.STREAM_TIME} AS ingest_ts")
-    return stream_dedup(timed).selectExpr("lower(hex(body_sha)) AS body")
+    live = _live(spark, d, "documents", "doc_id BIGINT, text STRING").selectExpr("doc_id AS page_id", "text AS html")
+    timed = live.selectExpr("*", f"{X.STREAM_TIME} AS ingest_ts")
+    found = stream_dedup(timed, late="1000 hours").selectExpr("lower(hex(body_sha)) AS body")
+    return _drained(spark, found, "dedup", "append")
 
 
 def _fresh(spark, name: str) -> str:
@@ -468,7 +491,7 @@ def stream_extract_q(spark, d):
 
 def extracted(spark, d):
     done = E.extract(X.injected(spark, d))
-    return E.flat_metadata(done).join(done.select("page_id", *A.STREAMS), "page_id")
+    return E.flat_metadata(done, A.STREAMS)
 
 
 REGISTERED: dict[str, Query] = {

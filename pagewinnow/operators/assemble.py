@@ -48,14 +48,18 @@ def block_html(rows: DataFrame, options, base: str | None = None) -> DataFrame:
     return rows.withColumn("inner", F.expr(squash(restored)))
 
 
-def label_passes(block_rows: DataFrame, options, keys: Sequence[str] = ("page_id",)) -> DataFrame:
+def label_passes(
+    block_rows: DataFrame, options, keys: Sequence[str] = ("page_id",), featured: bool = False
+) -> DataFrame:
     """Add one boolean per pass: ``k_main``, ``k_base``, ``k_comment``, ``k_second``.
 
-    The second pass (statistical) is only worked out when fallback can be on.
+    The second pass (statistical) is only worked out when fallback can be on;
+    ``featured`` rows have the features it needs already.
     """
     labelled, second = block_rows, "false"
     if options.possible("enable_fallback"):
-        labelled = B.smooth_blocks(B.classify_blocks(B.block_features(block_rows), options), keys)
+        rows = block_rows if featured else B.block_features(block_rows)
+        labelled = B.smooth_blocks(B.classify_blocks(rows, options), keys)
         second = (
             f"keep AND NOT in_comments AND {B.allowed_by_options(options)} "
             f"AND {options.sql('enable_fallback')}"

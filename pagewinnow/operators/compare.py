@@ -44,9 +44,10 @@ def _digests(snapshot: DataFrame, side: str) -> DataFrame:
     """One digest column per field, and whether the page was accepted."""
     outcome = "outcome" if "outcome" in snapshot.columns else "'ok'"
     reason = "reason" if "reason" in snapshot.columns else "cast(NULL AS string)"
+    more = ", ".join(c if c in snapshot.columns else f"cast(NULL AS string) AS {c}" for c in ("reason_detail", "reason_offset"))
     fields = [f"{_sized(f)}.digest AS {side}_{f}" for f in ALL_FIELDS]
     return snapshot.selectExpr(
-        "page_id", f"concat_ws(':', {outcome}, {reason}) AS {side}_outcome", *fields
+        "page_id", f"to_json(struct({outcome} AS outcome, {reason} AS reason, {more})) AS {side}_outcome", *fields
     )
 
 
@@ -101,7 +102,8 @@ def diff_verdict(
 
 def multiset_digest(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: ``n_rows`` and an order-free digest of the rows."""
-    row = f"xxhash64({', '.join(columns)})"
+    # hashing skips NULLs, so where they stand is hashed as well
+    row = f"xxhash64({', '.join([*columns, *(f'{c} IS NULL' for c in columns)])})"
     return df.selectExpr(f"cast({row} AS decimal(38,0)) AS h").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("h").alias("digest")
     )

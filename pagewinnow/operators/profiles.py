@@ -119,7 +119,7 @@ def page_depth(pages: DataFrame) -> DataFrame:
     """``page_id, depth``: deepest raw-markup nesting of each page.
 
     A fold over the tags of the page inside its own row: linear in the page,
-    and no shuffle or sort at all.
+    and no shuffle or sort at all.  End tags that close nothing don't count.
     """
     tags = f"regexp_extract_all(markup, {quoted(P.ANY_TAG)}, 0)"
     name = "lower(regexp_extract(t, '^<([a-zA-Z][a-zA-Z0-9]*)', 1))"
@@ -129,7 +129,7 @@ def page_depth(pages: DataFrame) -> DataFrame:
     )
     fold = (
         f"aggregate(transform({tags}, t -> {step}), named_struct('d', 0, 'm', 0), "
-        "(a, s) -> named_struct('d', a.d + s, 'm', greatest(a.m, a.d + s)), a -> a.m)"
+        "(a, s) -> named_struct('d', greatest(a.d + s, 0), 'm', greatest(a.m, a.d + s)), a -> a.m)"
     )
     return pages.selectExpr("page_id", f"{clean_markup('html')} AS markup").selectExpr(
         "page_id", f"{fold} AS depth"
@@ -149,7 +149,7 @@ def nesting_profile(pages: DataFrame) -> DataFrame:
 
 
 def measurement_summary(measurements: DataFrame, key: str, value: str) -> DataFrame:
-    """Median of the repeats and their spread; a single repeat has no spread."""
+    """Median of the repeats and their spread; equal repeats have no spread."""
     ends = exact_percentiles(measurements, value, (0.0, 0.5, 1.0), [key])
     at = "max(CASE WHEN fraction = {}D THEN disc END)"
     return (
@@ -162,8 +162,8 @@ def measurement_summary(measurements: DataFrame, key: str, value: str) -> DataFr
             key,
             "repeats",
             "median",
-            "CASE WHEN repeats > 1 THEN low END AS fastest",
-            "CASE WHEN repeats > 1 THEN high END AS slowest",
+            "CASE WHEN low < high THEN low END AS fastest",
+            "CASE WHEN low < high THEN high END AS slowest",
         )
     )
 

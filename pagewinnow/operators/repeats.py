@@ -1,9 +1,10 @@
 """Cross-page repetition: repeated blocks and repeated page bodies.
 
 Both count by content hash with map-side combining, so a text on a third of all
-pages is one partial row per task.  The way back to the pages joins on
-``(hash, salt)``: the repeated hashes, a small minority, are replicated over
-the salts, so one very common hash is spread over ``salts`` tasks.  Blocks and pages themselves stay where they are, partitioned by page.
+pages is one partial row per task.  The way back to the pages is a plain join on
+the hash, with one row per hash on one side: adaptive execution splits the
+partition of a very common hash over tasks and repeats only that one row.
+Blocks and pages themselves stay where they are, partitioned by page.
 """
 
 from __future__ import annotations
@@ -13,8 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 from pagewinnow.functions.text import squash
 from pagewinnow.session import durable
 
-DEFAULT_SALTS = 32
-
 
 def normal_text(text: str, host: str) -> str:
     """Text as compared across pages: own host name out, case and blanks folded."""
@@ -26,14 +25,6 @@ def content_hash(text: str) -> str:
     return f"CASE WHEN {text} <> '' THEN unhex(sha2({text}, 256)) END"
 
 
-def _salted(df: DataFrame, key: str, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-
-
-def _replicated(df: DataFrame, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-
-
 def with_block_hash(block_rows: DataFrame) -> DataFrame:
     """Add ``hash`` of the normalised text; expects ``host, text``."""
     return block_rows.withColumn("_norm", F.expr(normal_text("text", "host"))).selectExpr(
@@ -62,26 +53,18 @@ def block_frequency(hashes: DataFrame, by_host: bool = False) -> DataFrame:
     return hashes.groupBy(*scope).agg(F.count(F.lit(1)).alias("df"))
 
 
-def repeated_in_page(
-    hashes: DataFrame, max_df: int, by_host: bool = False, salts: int = DEFAULT_SALTS
-) -> DataFrame:
+def repeated_in_page(hashes: DataFrame, max_df: int, by_host: bool = False) -> DataFrame:
     """``page_id, repeated``: the numbers of its blocks on more than ``max_df`` pages."""
     scope = ["host", "hash"] if by_host else ["hash"]
     repeated = block_frequency(hashes, by_host).where(F.col("df") > max_df).drop("df")
     return (
-        _salted(hashes, "page_id", salts)
-        .join(_replicated(repeated, salts), ["_salt", *scope])
+        hashes.join(repeated, scope)
         .groupBy("page_id")
         .agg(F.flatten(F.collect_list("block_nos")).alias("repeated"))
     )
 
 
-def dedup_blocks(
-    block_rows: DataFrame,
-    max_df: int,
-    by_host: bool = False,
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
+def dedup_blocks(block_rows: DataFrame, max_df: int, by_host: bool = False) -> DataFrame:
     """Drop blocks whose normalised text is on more than ``max_df`` pages.
 
     Blank blocks are kept as they are.  Only hashes travel, and they are worked
@@ -90,7 +73,7 @@ def dedup_blocks(
     partitioned, so their text is not shuffled again.
     """
     hashes = durable(page_hashes(block_rows, by_host))
-    hits = repeated_in_page(hashes, max_df, by_host, salts)
+    hits = repeated_in_page(hashes, max_df, by_host)
     return (
         block_rows.join(hits, "page_id", "left")
         .where("repeated IS NULL OR NOT array_contains(repeated, block_no)")
@@ -98,12 +81,7 @@ def dedup_blocks(
     )
 
 
-def duplicate_pages(
-    extracted: DataFrame,
-    text: str = "content_text",
-    among: str = "true",
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
+def duplicate_pages(extracted: DataFrame, text: str = "content_text", among: str = "true") -> DataFrame:
     """Add ``first_page``: smallest ``page_id`` with the same body.
 
     NULL for a body seen once or blank, and for pages outside the condition
@@ -114,11 +92,7 @@ def duplicate_pages(
     hashed = durable(
         extracted.where(among).selectExpr("page_id", f"{content_hash(text)} AS _body")
     )
-    groups = (
-        _salted(hashed, "page_id", salts)
-        .join(_replicated(body_firsts(hashed), salts), ["_body", "_salt"])
-        .select("page_id", "first_page")
-    )
+    groups = hashed.join(body_firsts(hashed), "_body").select("page_id", "first_page")
     return extracted.join(groups, "page_id", "left")
 
 

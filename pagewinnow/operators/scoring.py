@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+from pagewinnow.functions.text import listed
+
 RELEASE_FLOOR = 0.903
 
 
-def judge(joined: DataFrame) -> DataFrame:
-    """Add ``found``; a page the run lacks (no content) finds nothing."""
-    return joined.selectExpr("*", "coalesce(contains(content_text, snippet), false) AS found")
+def judged_runs(extracted: DataFrame, truth: DataFrame, runs: Sequence[str] | None = None) -> DataFrame:
+    """``run, page_id, kind, snippet, found``: every snippet of the truth in every run.
+
+    Expects ``run, page_id, content_text``, a page once per run.  The contents
+    of a page meet in one map, which the truth joins on ``page_id`` once; no
+    content is repeated per snippet and run.  A page that a run lacks finds
+    nothing.  ``runs`` defaults to the runs that are there, a short list.
+    """
+    if runs is None:
+        runs = sorted(r[0] for r in extracted.select("run").distinct().collect())
+    contents = extracted.groupBy("page_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("run", "content_text"))).alias("_contents")
+    )
+    found = "coalesce(contains(try_element_at(_contents, r), snippet), false)"
+    return truth.join(contents, "page_id", "left").selectExpr(
+        "page_id", "kind", "snippet", f"inline(transform(array({listed(runs)}), r -> struct(r AS run, {found} AS found)))"
+    )
 
 
-def score_extraction(extracted: DataFrame, truth: DataFrame) -> DataFrame:
-    """Score one or more runs; expects ``run, page_id, content_text``.
+def score_extraction(extracted: DataFrame, truth: DataFrame, runs: Sequence[str] | None = None) -> DataFrame:
+    """Score one or more runs; see ``judged_runs`` for the input.
 
-    Equi-join on ``page_id`` with containment worked out on the joined row; the
-    content of a page is never paired with another page's snippets.  Expects
-    the runs to hold every page of the truth; join the truth per run and use
-    ``score_judged`` where pages may be missing.
+    Containment is worked out on the joined row; only counts are exchanged after.
     """
-    return score_judged(judge(truth.join(extracted, "page_id")))
+    return score_judged(judged_runs(extracted, truth, runs))
 
 
 def score_judged(judged: DataFrame, run: str = "run") -> DataFrame:
@@ -49,13 +64,20 @@ def score_judged(judged: DataFrame, run: str = "run") -> DataFrame:
 def fscore_tripwire(
     scores: DataFrame, gate_row: str, floor: float = RELEASE_FLOOR, run: str = "run"
 ) -> DataFrame:
-    """Every row reported; only the row of the default options can fail."""
+    """Every row reported; only the row of the default options can fail.
+
+    Without that row nothing has been gated, which is a failure as well.
+    """
+    there = scores.agg(F.coalesce(F.expr(f"bool_or({run} = '{gate_row}')"), F.lit(False)).alias("there"))
+    absent = there.where("NOT there").selectExpr(
+        f"'{gate_row}' AS {run}", "cast(NULL AS double) AS f_score", "'fail' AS status"
+    )
     return scores.selectExpr(
         run,
         "f_score",
         f"CASE WHEN {run} <> '{gate_row}' THEN 'reported' "
         f"WHEN f_score >= {floor!r} THEN 'pass' ELSE 'fail' END AS status",
-    )
+    ).unionByName(absent)
 
 
 def score_dates(extracted: DataFrame, truth: DataFrame) -> DataFrame:

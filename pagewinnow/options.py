@@ -27,6 +27,7 @@ _BOOLEAN_KEYS = (
     "deduplicate",
 )
 _SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]*:\S+")
+_LANGUAGE = re.compile(r"[a-zA-Z]{2}")
 
 # Options whose value may differ between the option sets of one sweep: they
 # only act on block rows, after the shared tokenizing work is done.
@@ -73,6 +74,9 @@ class ExtractOptions:
             value = getattr(self, key)
             if value is not None and not isinstance(value, str):
                 raise OptionError(f"{key}: expected a string or None, got {value!r}")
+        language = self.target_language
+        if language is not None and not _LANGUAGE.fullmatch(language):
+            raise OptionError(f"target_language: expected a two-letter code such as 'en', got {language!r}")
         if self.original_url is not None and not _SCHEME.fullmatch(self.original_url):
             raise OptionError(
                 f"original_url: expected an absolute URL with a scheme, got {self.original_url!r}"
@@ -119,7 +123,8 @@ class ExtractOptions:
         known = {f.name for f in fields(cls)}
         for key, value in [*pairs, *overrides.items()]:
             if key not in known or key in chosen:
-                raise OptionError(f"unknown options [{key}], valid options are {sorted(known)}")
+                fault = "given twice" if key in chosen else f"not an option; there are {', '.join(sorted(known))}"
+                raise OptionError(f"{key}: {fault}")
             chosen[key] = value
         return cls(**chosen)
 
@@ -143,6 +148,8 @@ class SweptOptions:
     """Options read per row from a struct column, for many sets in one job."""
 
     struct_name: str = "opt"
+    never: tuple[str, ...] = ()
+    """Keys that no set of the sweep turns on."""
 
     def sql(self, key: str) -> str:
         if key not in SWEEPABLE_KEYS:
@@ -150,4 +157,4 @@ class SweptOptions:
         return f"{self.struct_name}.{key}"
 
     def possible(self, key: str) -> bool:
-        return key in SWEEPABLE_KEYS
+        return key in SWEEPABLE_KEYS and key not in self.never

@@ -102,8 +102,8 @@ def ledger(pages: DataFrame, options=None, **overrides) -> DataFrame:
     return Q.outcome_ledger(process(pages, options, **overrides))
 
 
-def flat_metadata(extracted: DataFrame) -> DataFrame:
-    """Metadata as flat columns, lists joined by ``|``, for reports."""
+def flat_metadata(extracted: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Metadata as flat columns beside ``carry``, lists joined by ``|``, for reports."""
     record = F.col("metadata")
     lists = ("categories", "tags")
     return extracted.select(
@@ -112,4 +112,5 @@ def flat_metadata(extracted: DataFrame) -> DataFrame:
             (F.array_join(record[f], "|") if f in lists else record[f]).alias(f)
             for f in FIELDS
         ],
+        *carry,
     )

@@ -1,8 +1,8 @@
 """Many option sets over one corpus in one job.
 
 Tokenizing, regions, text and features are worked out once per page; the
-option sets, a short literal list, multiply the finished block rows inside
-their task.  Grouping by ``(option_id, page_id)`` is satisfied by the hash
+option sets, a literal list, multiply the finished block rows inside their
+task.  The statistical pass is only worked out for sets that ask for it.  Grouping by ``(option_id, page_id)`` is satisfied by the hash
 partitioning on ``page_id``, so the sweep exchanges nothing more.
 """
 
@@ -13,15 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from pagewinnow.operators import assemble as A
+from pagewinnow.operators import blocks as B
 from pagewinnow.options import SWEEPABLE_KEYS, ExtractOptions, OptionError, SweptOptions
-from pagewinnow.plans.extract import content_blocks, gated_pages
-
-MAX_OPTION_SETS = 64
+from pagewinnow.plans.extract import content_blocks, gated_pages, page_records
 
 
 def _option_rows(option_sets: Sequence[ExtractOptions]) -> str:
-    if not 0 < len(option_sets) <= MAX_OPTION_SETS:
-        raise OptionError(f"a sweep takes 1 to {MAX_OPTION_SETS} option sets")
+    if not option_sets:
+        raise OptionError("a sweep takes at least one option set")
     plain = ExtractOptions()
     for options in option_sets:
         for key in vars(plain):
@@ -40,8 +39,18 @@ def option_sweep(
     pages: DataFrame, option_sets: Sequence[ExtractOptions], co_located: bool = False
 ) -> DataFrame:
     """``option_id, page_id`` and the four streams, for every option set."""
-    shared, swept, keys = option_sets[0], SweptOptions(), ("option_id", "page_id")
-    rows = content_blocks(gated_pages(pages, shared), shared, co_located=co_located)
-    each = rows.selectExpr("*", _option_rows(option_sets)).selectExpr("opt.option_id", "*")
-    labelled = A.label_passes(each, swept, keys)
-    return A.assemble(labelled, swept, keys=keys).select(*keys, *A.STREAMS)
+    multiplied, shared, keys = _option_rows(option_sets), option_sets[0], ("option_id", "page_id")
+    swept = SweptOptions(never=tuple(k for k in SWEEPABLE_KEYS if not any(getattr(o, k) for o in option_sets)))
+    needs_base = swept.possible("include_links") or swept.possible("include_images")
+    fallback = swept.possible("enable_fallback")
+    if needs_base:
+        records = page_records(pages, shared).selectExpr("page_id", "html", "record.metadata.url AS base")
+        rows = content_blocks(records, shared, ("base",), co_located)
+    else:
+        rows = content_blocks(gated_pages(pages, shared), shared, co_located=co_located)
+    if fallback:
+        rows = B.block_features(rows)
+    each = rows.selectExpr("*", multiplied).selectExpr("opt.option_id", "*")
+    labelled = A.label_passes(each, swept, keys, featured=fallback)
+    whole = A.assemble(labelled, swept, keys=keys, base="base" if needs_base else None)
+    return whole.select(*keys, *A.STREAMS)

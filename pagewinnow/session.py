@@ -31,11 +31,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate files.
 
-    Only where none is named (a local test) a local one is made.
+    Only a local session may go without and gets a temporary folder; elsewhere
+    executors would each write to their own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="pagewinnow-")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pagewinnow.functions.text import quoted
+
 PAGE_COLUMNS = ("page_id", "url", "html")
 
 
@@ -31,7 +33,8 @@ def read_page_tree(spark: SparkSession, root: str, glob: str = "*.html") -> Data
         .load(root)
     )
     folder = root.rstrip("/") + "/"
-    relative = F.substring_index(F.col("path"), folder, -1)
+    # from the root's first place on, which is the leading one
+    relative = F.expr(f"substr(path, locate({quoted(folder)}, path) + {len(folder)})")
     return files.select(
         F.xxhash64(relative).alias("page_id"),
         F.lit(None).cast("string").alias("url"),

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pagewinnow.operators.assemble import STREAMS
 from pagewinnow.operators.ledger import LEDGER_COLUMNS
 
 
@@ -13,10 +14,13 @@ def split_sinks(processed: DataFrame, path: str, mode: str = "errorifexists") ->
     """Write accepted and refused pages to their own partitions in one pass.
 
     One job and one write: the documents are processed once, and each side is
-    read back by partition pruning.
+    read back by partition pruning.  A refused row keeps its ledger columns and
+    none of its text.
     """
+    accepted = F.col("outcome") == "ok"
+    let_go = {c: F.when(accepted, F.col(c)) for c in (*STREAMS, "metadata") if c in processed.columns}
     # files are named by task, so a hot reason is spread over many files
-    processed.withColumn("refused_as", F.coalesce("reason", F.lit("none"))).write.mode(
+    processed.withColumns(let_go).withColumn("refused_as", F.coalesce("reason", F.lit("none"))).write.mode(
         mode
     ).partitionBy("outcome", "refused_as").parquet(path)
 

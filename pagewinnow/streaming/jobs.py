@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pagewinnow.functions.text import squash
 from pagewinnow.operators.intake import gate_reason
 from pagewinnow.operators.repeats import content_hash
-from pagewinnow.options import ExtractOptions
+from pagewinnow.options import ExtractOptions, OptionError
 from pagewinnow.plans.extract import process
 
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
@@ -31,6 +31,8 @@ def stream_extract(
     from pagewinnow.sources.sinks import split_sinks
 
     options = ExtractOptions.of(options, **overrides)
+    if options.deduplicate:
+        raise OptionError("deduplicate: copies in other batches can't be seen here; use stream_dedup first")
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         split_sinks(process(batch, options), f"{sink}/batch_id={batch_id}", mode="overwrite")
@@ -64,9 +66,12 @@ def stream_dedup(pages: DataFrame, time: str = "ingest_ts", late: str = "10 minu
     """Drop pages whose body was seen within the lateness bound.
 
     State holds one 32-byte hash per body inside the watermark, spread by that
-    hash; a body on many pages is one state row.
+    hash; a body on many pages is one state row.  Pages with a blank body have
+    no copies and all pass.
     """
     hashed = pages.selectExpr("*", f"{content_hash(squash('html'))} AS body_sha")
+    own = "coalesce(body_sha, encode(concat('page ', page_id), 'utf-8'))"
+    hashed = hashed.selectExpr("*", f"{own} AS _body")
     if pages.isStreaming:
-        return hashed.withWatermark(time, late).dropDuplicatesWithinWatermark(["body_sha"])
-    return hashed.dropDuplicates(["body_sha"])
+        return hashed.withWatermark(time, late).dropDuplicatesWithinWatermark(["_body"]).drop("_body")
+    return hashed.dropDuplicates(["_body"]).drop("_body")
