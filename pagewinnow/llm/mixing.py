@@ -117,7 +117,8 @@ def decided(docs: DataFrame, targets: Targets | None = None, carry: tuple[str, .
     rows = rows.withColumn("order", F.md5(F.concat_ws(":", F.lit(str(targets.seed)), F.col("epochs").cast("string"), name)))
     lead = F.conv(F.substring("order", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("bucket", F.shiftright(lead * F.col("buckets"), 32))
-    cells = rows.groupBy(*NODE, "bucket").agg(F.sum("n_tokens").alias("n"))
+    # settled, else one exchange by leaf would serve the sums and the window, with a row per task and bucket
+    cells = settle(rows.groupBy(*NODE, "bucket").agg(F.sum("n_tokens").alias("n")))
     upto = Window.partitionBy(*NODE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(*NODE, "bucket", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
     inside = Window.partitionBy(*NODE, "bucket").orderBy("order", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)

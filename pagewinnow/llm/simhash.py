@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     found = components(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
     nodes = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    first = nodes.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # settled, so that the join below is between plain exchanges, which adaptive execution can split
+    first = settle(nodes.groupBy("root").agg(F.min("first_id").alias("component_id")))
     classes = nodes.select("fp", "root").join(first, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -303,7 +304,7 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
     met = nodes.select(F.explode("bands").alias("bucket"), "node", "fp", "coords")
     found = components(links_in(met, radius))
     nodes = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = nodes.groupBy("root").agg(F.min("place").alias("first"))
+    first = settle(nodes.groupBy("root").agg(F.min("place").alias("first")))
     classes = nodes.join(first, "root").select("fp", "bands", F.col("first.row_key").alias("first_key"))
     return rows.join(classes, ["fp", "bands"]).select("row_key", "first_key")
 
