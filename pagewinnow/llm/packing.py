@@ -29,7 +29,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from pagewinnow.llm.shared import ship, table, written
+from pagewinnow.llm.shared import settle, ship, table, written
 
 ship(__name__)
 
@@ -309,7 +309,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> D
     buckets = F.array(*(F.lit(int(-(-n // BUCKET_ROWS)) or 1) for n in totals))
     rows = rows.withColumn("order", F.xxhash64("doc_id", "doc_tokens", "rest"))
     rows = rows.withColumn("bucket", F.pmod(F.col("order"), buckets[F.col("tail")]))
-    cells = rows.groupBy("tail", "bucket").agg(F.count("*").alias("n"))
+    cells = settle(rows.groupBy("tail", "bucket").agg(F.count("*").alias("n")))
     before = Window.partitionBy("tail").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("tail", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("tail", "bucket").orderBy("order", "doc_id")
