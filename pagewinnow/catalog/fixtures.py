@@ -103,6 +103,18 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as bytes, each seventh with another oddity: marks, a bad byte, a NUL."""
+    data = "cast(html AS binary)"
+    return pages(spark, sf_dir).withColumn(
+        "html",
+        F.expr(
+            f"CASE page_id % 7 WHEN 0 THEN concat(X'EFBBBF', {data}) WHEN 1 THEN concat(X'FFFE', {data}) "
+            f"WHEN 2 THEN concat({data}, X'00') WHEN 3 THEN concat({data}, {BAD_BYTE}) ELSE {data} END"
+        ),
+    )
+
+
 def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fourth of the pages start with a byte-order mark."""
     return pages(spark, sf_dir).withColumn(

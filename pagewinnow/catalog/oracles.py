@@ -286,12 +286,17 @@ def smoothed() -> list[tuple[str, str]]:
     ]
 
 
+def line_kept(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^[ \\t]*\\r?\\n', ''), '[ \\t\\r\\n]+$', '')"
+
+
 def inner_html(links: str = "links", images: str = "images") -> str:
     """Inline markup, with anchors and images kept by the option columns."""
     keep = "chr(4) || '\\1' || chr(5)"
     x = f"CASE WHEN {links} THEN regexp_replace(rel, {lit(P.KEPT_LINK)}, {keep}, 'g') ELSE rel END"
     x = f"CASE WHEN {images} THEN regexp_replace({x}, {lit(P.KEPT_IMAGE)}, {keep}, 'g') ELSE {x} END"
-    return squash(f"translate({bare(x)}, chr(4) || chr(5), '<>')")
+    shown = f"translate({bare(x)}, chr(4) || chr(5), '<>')"
+    return f"CASE WHEN tag = 'pre' THEN {line_kept(shown)} ELSE {squash(shown)} END"
 
 
 def streams(option_rows: str, min_chars: int = 250, base: str | None = None) -> list[tuple[str, str]]:
@@ -617,7 +622,7 @@ def manifest_tables(flat: str = "flat_rows") -> list[tuple[str, str]]:
         if f in lists:
             parts = f"CASE WHEN {f} = '' THEN [] ELSE string_split({f}, '|') END"
             cells.append(
-                f"SELECT page_id, '{f}' AS field, strlen(replace({f}, '|', '')) AS n_bytes, len({parts}) AS n_items, "
+                f"SELECT page_id, '{f}' AS field, strlen({f}) AS n_bytes, len({parts}) AS n_items, "
                 f"CASE WHEN {f} <> '' THEN sha256(replace({f}, '|', chr(31))) END AS digest FROM {flat}"
             )
         else:
@@ -734,9 +739,9 @@ def _oracles() -> dict[str, str]:
         "lossy_decode": f"SELECT page_id, page_id % 10 = 3 AS lossy, sha256(CASE WHEN page_id % 10 = 3 THEN {prefix} || chr(65533) || {rest} ELSE html END) AS digest FROM pages",
         "strip_bom": "SELECT page_id, sha256(html) AS digest FROM pages",
         "encoding_profile": (
-            f"SELECT {host('url')} AS host, count(*) AS pages, 0::BIGINT AS not_utf8, "
-            "count(*) FILTER (starts_with(html, chr(65279))) AS utf8_bom, 0::BIGINT AS utf16_bom, "
-            "count(*) FILTER (contains(html, chr(0))) AS has_nul, "
+            f"SELECT {host('url')} AS host, count(*) AS pages, count(*) FILTER (page_id % 7 IN (1, 3)) AS not_utf8, "
+            "count(*) FILTER (page_id % 7 = 0) AS utf8_bom, count(*) FILTER (page_id % 7 = 1) AS utf16_bom, "
+            "count(*) FILTER (page_id % 7 = 2) AS has_nul, "
             "count(*) FILTER (NOT contains(lower(html), '</html>')) AS unclosed FROM pages GROUP BY 1"
         ),
         "markup_tokens": with_tables([PLAIN_PAGES, *tag_grain()], "SELECT page_id, pos, token, is_tag, closing, tag FROM tok"),
@@ -886,7 +891,10 @@ def _oracles() -> dict[str, str]:
                 ("flat_rows", "SELECT * FROM result JOIN meta USING (page_id) WHERE content_text <> '' OR comments_text <> ''"),
                 *manifest_tables(),
             ],
-            "SELECT page_id, field, n_bytes, n_items::BIGINT AS n_items, digest FROM manifest",
+            "SELECT page_id, field, n_bytes, n_items::BIGINT AS n_items, digest FROM manifest UNION ALL "
+            "SELECT page_id, 'outcome', strlen(o), 1, sha256(o) FROM (SELECT page_id, CASE WHEN content_text <> '' OR comments_text <> '' "
+            "THEN 'ok' ELSE 'refused' END AS o FROM result) UNION ALL SELECT page_id, 'error', strlen('insufficient_content'), 1, "
+            "sha256('insufficient_content') FROM result WHERE content_text = '' AND comments_text = ''",
         ),
         "score_extraction": with_tables(scores, f"SELECT run, tp, fn, fp, tn, {rates} FROM cells"),
         "fscore_tripwire": with_tables(
@@ -933,7 +941,10 @@ def _oracles() -> dict[str, str]:
             "SELECT count(*) AS pages, max(depth) AS max_depth, count(*) FILTER (depth > 50) AS over_50, "
             f"count(*) FILTER (depth > 500) AS over_500, {percentiles('depth')} FROM depths",
         ),
-        "determinism_check": "SELECT count(*) AS rows_a, count(*) AS rows_b, true AS same FROM pages",
+        "determinism_check": (
+            "SELECT 'shuffled' AS against, count(*) AS rows_a, count(*) AS rows_b, true AS same FROM pages "
+            "UNION ALL SELECT 'changed', count(*), count(*), false FROM pages UNION ALL SELECT 'longer', count(*), count(*) + 1, false FROM pages"
+        ),
         "measurement_summary": (
             "SELECT event_type, count(value) AS repeats, quantile_disc(value, 0.5) AS median, "
             "CASE WHEN min(value) < max(value) THEN min(value) END AS fastest, CASE WHEN min(value) < max(value) THEN max(value) END AS slowest "

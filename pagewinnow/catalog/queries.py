@@ -56,7 +56,7 @@ def utf8_gate(spark, d):
 
 
 def encoding_profile(spark, d):
-    return intake.encoding_profile(X.pages(spark, d))
+    return intake.encoding_profile(X.odd_pages(spark, d))
 
 
 def lossy_decode(spark, d):
@@ -339,7 +339,7 @@ def diff_verdict(spark, d):
 
 
 def dump_manifest(spark, d):
-    return C.dump_manifest(E.extract(X.injected(spark, d)))
+    return C.dump_manifest(E.process(X.injected(spark, d)))
 
 
 def _statistical_runs(spark, d) -> DataFrame:
@@ -410,7 +410,12 @@ def determinism_check(spark, d):
     pages = X.injected(spark, d)
     first = E.process(pages)
     second = E.process(pages.repartition(3, "url"))
-    return C.determinism_check(first, second, columns)
+    changed = second.withColumn("content_text", F.expr("CASE WHEN page_id = 7 THEN 'other' ELSE content_text END"))
+    runs = {"shuffled": second, "changed": changed, "longer": second.unionByName(second.where("page_id = 7"))}
+    checks = [
+        C.determinism_check(first, other, columns).withColumn("against", F.lit(name)) for name, other in runs.items()
+    ]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
 def measurement_summary(spark, d):
@@ -452,7 +457,7 @@ def _drained(spark, live: DataFrame, name: str, mode: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(live.schema).parquet(sink)
+    return spark.read.schema(live.schema).parquet(sink).select(*live.columns)
 
 
 def stream_tally_q(spark, d):

@@ -93,9 +93,11 @@ KEPT_IMAGE = rf"(?i)<(img(?:[ \t\r\n\f/]{_ATTRS}|[ \t\r\n\f/][^<>]*)?)>"
 JSON_LD = r"""(?is)<script[^<>]*application/ld\+json[^<>]*>(.*?)</script"""
 
 # Class / id words that mark page furniture and reader comments, matched
-# against ' class id ' in lower case.  The choice of words is ours.
+# against ' class id ' in lower case.  A furniture word has to begin a class or
+# id: ``sidebar-left`` is one, ``has-sidebar`` only says that there is one.  The
+# choice of words is ours.
 CHROME_WORDS = (
-    r"[ _-](?:ad|ads|advert|advertisement|banner|breadcrumbs?|cookie|newsletter|pagination"
+    r" (?:ad|ads|advert|advertisement|banner|breadcrumbs?|cookie|newsletter|pagination"
     r"|popup|promo|promoted|related|share|sharing|sidebar|social|sponsored|subscribe|widget)[ _-]"
 )
 CONTENT_WORDS = (

@@ -45,7 +45,9 @@ def block_html(rows: DataFrame, options, base: str | None = None) -> DataFrame:
     spaced = f"regexp_replace({kept}, {quoted(P.LINE_BREAK)}, ' ')"
     bare = f"regexp_replace({spaced}, {quoted(P.ANY_TAG)}, '')"
     restored = f"translate({bare}, {quoted(P.KEEP_OPEN + P.KEEP_CLOSE)}, '<>')"
-    return rows.withColumn("inner", F.expr(squash(restored)))
+    # line breaks of preformatted text are part of it
+    in_lines = f"regexp_replace({restored}, {quoted(r'^[ \t]*\r?\n|[ \t\r\n]+$')}, '')"
+    return rows.withColumn("inner", F.expr(f"CASE WHEN tag = 'pre' THEN {in_lines} ELSE {squash(restored)} END"))
 
 
 def label_passes(

@@ -23,7 +23,7 @@ def _sized(field: str) -> str:
     if field in LIST_FIELDS:
         joined = f"array_join(metadata.{field}, '{ITEM_BREAK}')"
         items, text = f"size(metadata.{field})", f"CASE WHEN size(metadata.{field}) > 0 THEN {joined} END"
-        size = f"octet_length(array_join(metadata.{field}, ''))"
+        size = f"octet_length({joined})"
     else:
         value = field if field in STREAMS else f"cast(metadata.{field} AS string)"
         items, text = f"CASE WHEN {value} IS NULL THEN 0 ELSE 1 END", value
@@ -34,10 +34,22 @@ def _sized(field: str) -> str:
     )
 
 
-def dump_manifest(extracted: DataFrame) -> DataFrame:
-    """One row per page and field: bytes, items, digest.  Narrow."""
+def dump_manifest(processed: DataFrame) -> DataFrame:
+    """One row per page and field: bytes, items, digest.  Narrow.
+
+    Where the outcome is there, it is a row as well; a refused page has that row
+    and one for the error (reason, detail and byte offset), none for its fields.
+    """
     cells = ", ".join(_sized(f) for f in ALL_FIELDS)
-    return extracted.selectExpr("page_id", f"inline(array({cells}))")
+    if "outcome" not in processed.columns:
+        return processed.selectExpr("page_id", f"inline(array({cells}))")
+    plain = lambda field, x: (
+        f"struct('{field}' AS field, cast(octet_length({x}) AS bigint) AS n_bytes, 1L AS n_items, sha2({x}, 256) AS digest)"
+    )
+    error = "concat_ws(':', reason, reason_detail, cast(reason_offset AS string))"
+    accepted = f"array({cells}, {plain('outcome', 'outcome')})"
+    refused = f"array({plain('outcome', 'outcome')}, {plain('error', error)})"
+    return processed.selectExpr("page_id", f"inline(CASE WHEN outcome = 'ok' THEN {accepted} ELSE {refused} END)")
 
 
 def _digests(snapshot: DataFrame, side: str) -> DataFrame:

@@ -18,7 +18,9 @@ def split_sinks(processed: DataFrame, path: str, mode: str = "errorifexists") ->
     none of its text.
     """
     accepted = F.col("outcome") == "ok"
-    let_go = {c: F.when(accepted, F.col(c)) for c in (*STREAMS, "metadata") if c in processed.columns}
+    let_go = {c: F.when(accepted, F.col(c)).otherwise("") for c in STREAMS if c in processed.columns}
+    if "metadata" in processed.columns:
+        let_go["metadata"] = F.when(accepted, F.col("metadata"))
     # files are named by task, so a hot reason is spread over many files
     processed.withColumns(let_go).withColumn("refused_as", F.coalesce("reason", F.lit("none"))).write.mode(
         mode

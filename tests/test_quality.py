@@ -51,7 +51,7 @@ def test_snapshot_diff_and_verdict(pages_of):
 def test_manifest_tells_one_item_from_two(pages_of):
     one, two = '<meta property="article:tag" content="a\nb">', '<meta property="article:tag" content="a"><meta property="article:tag" content="b">'
     rows = {(r.page_id, r.field): r for r in C.dump_manifest(process(pages_of(article("", one), article("é", two)))).collect()}
-    assert len(rows) == 2 * 17
+    assert len(rows) == 2 * 18
     assert (rows[0, "tags"].n_items, rows[1, "tags"].n_items) == (1, 2)
     assert rows[0, "tags"].digest != rows[1, "tags"].digest
     assert rows[0, "date"].n_items == 0 and rows[0, "date"].digest is None

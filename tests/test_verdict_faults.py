@@ -69,7 +69,7 @@ def test_refused_pages_leave_no_text(spark, pages_of, tmp_path):
     done = process(pages_of(article(), page("<p>x</p>" * 9)), max_input_bytes=300)
     split_sinks(done, str(tmp_path / "sinks"))
     rows = spark.read.parquet(str(tmp_path / "sinks")).where("outcome <> 'ok'").collect()
-    assert rows and all(r.content_text is None and r.metadata is None for r in rows)
+    assert rows and all(r.content_text == '' and r.metadata is None for r in rows)
 
 
 def test_files_below_a_folder_named_like_the_root(spark, tmp_path):
@@ -87,3 +87,22 @@ def test_links_of_a_tag_with_many_attributes(pages_of):
     html = article(f'<p>See <a {many} href="/far">there</a> <img {many} alt="a > b" src="/i.png"></p>')
     text = process(pages_of(html, urls={0: "https://h.org/"}), include_links=True, include_images=True).first().content_html
     assert "https://h.org/far" in text and "https://h.org/i.png" in text and '">"' not in text
+
+
+def test_a_wrapper_that_has_a_sidebar_is_none(pages_of):
+    inner = article().split("<body>")[1].split("</body>")[0]
+    rows = process(pages_of(page(f'<div class="wrap has-sidebar">{inner}</div>'), page(f'<div class="sidebar-left">{inner}</div>')))
+    found = {r.page_id: r.outcome for r in rows.collect()}
+    assert found == {0: "ok", 1: "refused"}
+
+
+def test_preformatted_lines_stay(pages_of):
+    row = process(pages_of(article("<pre>\nif a:\n    <b>b</b>()\n</pre>"))).first()
+    assert "<pre>if a:\n    b()</pre>" in row.content_html
+
+
+def test_the_manifest_has_refused_pages(pages_of):
+    rows = compare.dump_manifest(process(pages_of(article(), page("")))).collect()
+    fields = {i: {r.field: r.n_bytes for r in rows if r.page_id == i} for i in (0, 1)}
+    assert fields[0]["outcome"] == 2 and "error" not in fields[0] and fields[0]["content_text"] > 0
+    assert fields[1] == {"outcome": 7, "error": len("insufficient_content")}
