@@ -20,11 +20,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from pagewinnow.llm.shared import settle, table
+from pagewinnow.llm.shared import settle, table, written
 
 NODE = ("domain", "language", "source")
 #: documents of one bucket of a leaf's order
 BUCKET_ROWS = 400
+#: parts that a leaf's rows are joined in
+SALTS = 64
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -104,7 +106,7 @@ def decided(docs: DataFrame, targets: Targets | None = None, carry: tuple[str, .
         *(F.col(c).alias(f"carried_{c}") for c in carry),
     )
     leaves = rows.groupBy(*NODE).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("supply"))
-    leaves = settle(budgets(settle(leaves), targets))
+    leaves = written(budgets(settle(leaves), targets), "leaves")
     whole = F.expr("budget div greatest(supply, 1)")
     leaves = leaves.select(
         *NODE,
@@ -113,7 +115,11 @@ def decided(docs: DataFrame, targets: Targets | None = None, carry: tuple[str, .
         F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("long").alias("buckets"),
     )
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    rows = rows.join(leaves, list(NODE))
+    # the written leaves' size is known, so a short list is broadcast; a long one is joined in salted parts,
+    # also because a partition by leaf would serve the windows below and keep a hot leaf in one task
+    leaves = leaves.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SALTS)).cast("int"))
+    rows = rows.join(leaves, [*NODE, "salt"]).drop("salt")
     rows = rows.withColumn("order", F.md5(F.concat_ws(":", F.lit(str(targets.seed)), F.col("epochs").cast("string"), name)))
     lead = F.conv(F.substring("order", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("bucket", F.shiftright(lead * F.col("buckets"), 32))
