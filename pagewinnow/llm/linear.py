@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,14 +9,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pagewinnow.llm.ngrams import BITS, features, labelled, learned_from, means
+from pagewinnow.llm.ngrams import BITS, features, labelled, means, texts_of
 from pagewinnow.llm.shared import ship
 
 ship(__name__)
 
 #: bounds of the samples that models are fitted and calibrated on
 FIT_ROWS, CALIBRATION_ROWS = 3000, 2000
-SAMPLE = "doc_id long, y int, hash long, slots array<int>, shares array<float>"
+SAMPLE = "doc_id long, y int, slots array<int>, shares array<float>"
 
 
 def logistic(x):
@@ -55,24 +54,18 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, fold: int, most: int
                     [
                         pa.array([doc], pa.int64()),
                         pa.array([y], pa.int32()),
-                        pa.array([hash_of(text)], pa.int64()),
                         pa.array([slots], pa.list_(pa.int32())),
                         pa.array([shares], pa.list_(pa.float32())),
                     ],
-                    ["doc_id", "y", "hash", "slots", "shares"],
+                    ["doc_id", "y", "slots", "shares"],
                 )
 
-    rows = learned_from(docs, labelled(labels, label, fold, most, balanced), SAMPLE, run)
-    order = np.lexsort((rows["hash"].to_numpy(), rows["doc_id"].to_numpy()))
+    rows = texts_of(docs, labelled(labels, label, fold, most, balanced)).mapInArrow(run, SAMPLE).toArrow()
+    order = np.argsort(rows["doc_id"].to_numpy())
     y, slots, shares = rows["y"].to_numpy(), rows["slots"], rows["shares"]
     return [(int(y[i]), slots[int(i)].values.to_numpy(), shares[int(i)].values.to_numpy()) for i in order]
 
 
-def hash_of(text: str) -> int:
-    data = text.encode()
-    return zlib.crc32(data) << 31 | zlib.adler32(data) & 0x7FFFFFFF
-
-
 def calibrated(model: Model, rows: Rows) -> Model:
     """Platt's fit of the probability on rows the table has not been fitted to."""
     y = np.array([r[0] for r in rows], float)

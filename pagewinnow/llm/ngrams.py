@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pagewinnow.llm.shared import held_out, ship
@@ -157,8 +156,8 @@ def labelled(labels: DataFrame, label: str, fold: int, most: int, balanced: bool
     return take(known, most)
 
 
-def learned_from(docs: DataFrame, sample: DataFrame, columns: str, run) -> pa.Table:
-    """What ``run`` makes of the sample's texts; the sample is bounded, so it is broadcast and collected."""
+def texts_of(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """``doc_id, text, y`` of a bounded sample, which is broadcast; of repeated ids the least text."""
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").mapInArrow(run, columns)
-    return rows.toArrow()
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    return rows.select("doc_id", "text", "y")

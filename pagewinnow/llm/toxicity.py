@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pagewinnow.llm.linear import logistic
-from pagewinnow.llm.ngrams import labelled
+from pagewinnow.llm.ngrams import labelled, texts_of
 from pagewinnow.llm.shared import held_out, ship, table
 
 ship(__name__)
@@ -128,8 +128,7 @@ def weights_of(docs: DataFrame, sample: DataFrame) -> dict[str, float]:
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
     if not ones or not zeros:
         return {}
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    seen = texts.join(F.broadcast(sample), "doc_id").mapInArrow(run, "entry string, y int")
+    seen = texts_of(docs, sample).mapInArrow(run, "entry string, y int")
     counts = seen.groupBy("entry").agg(F.sum("y").alias("ones"), F.sum(1 - F.col("y")).alias("zeros"))
     odds = F.log((F.col("ones") + 0.5) / (ones + 1)) - F.log((F.col("zeros") + 0.5) / (zeros + 1))
     counts = counts.withColumn("odds", odds).where((F.col("ones") >= max(3.0, LEAST_SHARE * ones)) & (F.col("odds") >= LEAST_ODDS))
@@ -154,9 +153,8 @@ def learned(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[d
             arrays = [batch.column(0), batch.column(2), *(pa.array(c) for c in found.T)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "y", "a", "b", "c"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sample = labelled(labels, label, 2, CALIBRATION_ROWS, balanced=False)
-    rows = texts.join(F.broadcast(sample), "doc_id").mapInArrow(run, "doc_id long, y int, a double, b double, c double").toPandas()
+    rows = texts_of(docs, sample).mapInArrow(run, "doc_id long, y int, a double, b double, c double").toPandas()
     rows = rows.sort_values(list(rows.columns))
     y = rows["y"].to_numpy(float)
     if not len(y):
