@@ -27,8 +27,9 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash.query,
     "op10_packing": packing.query,
 }
-#: the others can't be expressed in SQL (trained models, tokenizers) or take it too long on whole tables
+#: the others can't be expressed in SQL: trained models, a tokenizer, a hash that the other engine lacks
 ORACLES = {
+    "op2_substring_dedup": substrings.ORACLE,
     "op4_mixing": mixing.oracle(),
     "op6_warc": warc.ORACLE,
     "op7_exact_top_k": knn.ORACLE,

@@ -386,3 +386,16 @@ def without_repeats(docs: DataFrame, carry: tuple[str, ...] = (), with_text: boo
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH w AS (SELECT doc_id, REGEXP_EXTRACT_ALL(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+listed AS (SELECT doc_id, [ARRAY_TO_STRING(l[i:i + {WINDOW - 1}], ' ') FOR i IN RANGE(1, LEN(l) - {WINDOW - 2})] AS s FROM w),
+windows AS (SELECT doc_id, UNNEST(s) AS s, GENERATE_SUBSCRIPTS(s, 1) AS i FROM listed),
+later AS (SELECT doc_id, i FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, UNNEST(RANGE(i, i + {WINDOW})) AS pos FROM later),
+words AS (SELECT doc_id, UNNEST(l) AS word, GENERATE_SUBSCRIPTS(l, 1) AS pos FROM w),
+kept AS (SELECT doc_id, STRING_AGG(word, ' ' ORDER BY pos) AS text FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
+counted AS (SELECT doc_id, COUNT(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(LEN(l) AS BIGINT) AS n_words, COALESCE(n, 0) AS n_removed, SHA256(COALESCE(text, '')) AS kept_sha256
+FROM w LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)"""
