@@ -21,7 +21,7 @@ spanning forest, never all its pairs, and a dense ball costs one pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagewinnow.llm.shared import column_bytes, components, settle, ship, table
+from pagewinnow.llm.shared import column_bytes, components, settle, ship, slices, table
 
 ship(__name__)
 
@@ -170,11 +170,16 @@ def links_in(rows: DataFrame, radius: int) -> DataFrame:
     """Links ``a, b`` of ``rows(bucket, node, fp, coords)``, a forest for each bucket; ``fp`` and ``coords`` are bytes."""
     crowded = rows.groupBy("bucket").count().where(F.col("count") > CHUNK)
     crowded = settle(crowded.select("bucket", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks")))
+    return in_buckets(rows.select("bucket", "node", "fp", "coords"), crowded, lambda whole: linked(whole, radius))
+
+
+def in_buckets(rows: DataFrame, crowded: DataFrame, solve: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Links ``a, b`` that ``solve`` finds in whole buckets; those of ``crowded(bucket, chunks)`` are dealt out as pairs of chunks."""
     chunk = F.pmod(F.xxhash64(F.lit("chunk"), "node"), F.col("chunks")).cast("int")
     dealt = rows.join(crowded, "bucket", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     dealt = dealt.withColumn("own", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    dealt = dealt.select("bucket", low, high, "node", "fp", "coords")
+    dealt = dealt.select("bucket", low, high, *(c for c in rows.columns if c != "bucket"))
     dealt = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +196,7 @@ def links_in(rows: DataFrame, radius: int) -> DataFrame:
             yield found(pa.Table.from_batches(kept))
 
     def found(rows: pa.Table) -> pa.RecordBatch:
-        a, b = linked(rows, radius)
+        a, b = solve(rows)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -233,6 +238,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 
 #: the wide fingerprint, and the min-hash bands that documents meet in
 WORDS, BANDS, BAND_ROWS = 4, 12, 2
+#: standard deviations from the mean distance of a linked pair to the radius
+MARGIN = 7
+#: shingle hashes of one chunk of a crowded group, in bytes
+CHUNK_BYTES = 1 << 23
 WIDE_PIVOTS = np.array([[xxhash.xxh64_intdigest(f"wide {i} {k}") for k in range(WORDS)] for i in range(16)], np.uint64)
 
 
@@ -242,13 +251,17 @@ def stirred(x: np.ndarray, salt: int) -> np.ndarray:
     return x * np.uint64(0x94D049BB133111EB)
 
 
-def wide_fingerprint(text: bytes, shingle: int) -> tuple[bytes, list[int]]:
-    """A fingerprint of ``64 * WORDS`` bits, and a name for each band of min-hashes."""
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order; fewer words than ``shingle`` make one."""
     words = text.lower().split()
     width = max(1, min(shingle, len(words)))
     hash_of, join = xxhash.xxh64_intdigest, b" ".join
     grams = zip(*(words[i:] for i in range(width)), strict=False)
-    hashes = np.fromiter((hash_of(join(g), 42) for g in grams), np.uint64, max(len(words) - width + 1, 0))
+    return np.unique(np.fromiter((hash_of(join(g), 42) for g in grams), np.uint64, max(len(words) - width + 1, 0)))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, list[int]]:
+    """A fingerprint of ``64 * WORDS`` bits of a set of shingles, and a name for each band of min-hashes."""
     least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, np.uint64)
     sums = np.zeros(64 * WORDS, np.int64)
     for i in range(0, len(hashes), STEP):
@@ -265,48 +278,121 @@ def wide_fingerprint(text: bytes, shingle: int) -> tuple[bytes, list[int]]:
     return np.packbits(2 * sums > len(hashes), bitorder="little").tobytes(), bands
 
 
+def safe_radius(similarity: float) -> int:
+    """A distance of wide fingerprints that a pair of the given Jaccard similarity doesn't reach.
+
+    Seven standard deviations above the mean of large sets; of very small ones,
+    whose bits are often tied (four shingles of five: 48 bits at 0.8), still five.
+    """
+    bits, differs = 64 * WORDS, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * differs + MARGIN * math.sqrt(bits * differs * (1 - differs)))
+
+
+def verified(rows: pa.Table, radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of whole groups by exact Jaccard similarity; the rows are sorted by group."""
+    keys = [rows.column(c).to_numpy() for c in ("bucket", "low", "high")]
+    new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
+    edges = np.append(np.flatnonzero(new), rows.num_rows)
+    left, right = [], []
+    for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        some = rows.slice(start, stop - start)
+        node, at = np.unique(some.column("node").to_numpy(), return_index=True)
+        fp, sets = (some.column(c).take(pa.array(at)).to_pylist() for c in ("fp", "shingles"))
+        if len(node) > 1:
+            fp = np.frombuffer(b"".join(fp), "<u8").reshape(-1, WORDS)
+            parents, children = explore_sets(fp, [np.frombuffer(x, "<u8") for x in sets], radius, similarity)
+            left.append(node[parents])
+            right.append(node[children])
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+
+
+def explore_sets(fp: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> tuple[list[int], list[int]]:
+    """A spanning forest of the links among sets of shingles; fingerprints discard, exact Jaccard similarity decides."""
+    sizes = np.array([len(x) for x in sets])
+    names, places = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(places.astype(np.int32), np.cumsum(sizes)[:-1])
+    marked = np.zeros(len(names), bool)
+    rest, parents, children = np.arange(len(sets)), [], []
+    while len(rest) > 1:
+        front, rest = [int(rest[0])], rest[1:]
+        while front and len(rest):
+            x = front.pop()
+            large = np.maximum(sizes[rest], sizes[x])
+            near = (np.minimum(sizes[rest], sizes[x]) / large >= similarity) & (bits_apart(fp[x][None, :], fp[rest]) <= radius)
+            some = np.flatnonzero(near)
+            marked[own[x]] = True
+            common = np.array([np.count_nonzero(marked[own[y]]) for y in rest[some]], np.int64)
+            marked[own[x]] = False
+            hit = some[common / (sizes[rest[some]] + sizes[x] - common) >= similarity]
+            reached = rest[hit].tolist()
+            parents += [x] * len(reached)
+            children += reached
+            front += reached
+            rest = np.delete(rest, hit)
+    return parents, children
+
+
 def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
     """``row_key, first_key`` for every row of ``docs(doc_id, text)``: near duplicates at a shingle similarity.
 
     For similarities far below what a few bits of 64 can tell.  Documents are
-    linked if wide fingerprints are as close as those of two texts with the
-    given Jaccard similarity of their shingles.  Candidates meet in bands of
-    min-hashes (12 bands of 2: a pair at similarity 0.8 shares none with a
-    chance of 0.000005); in a band the pivot tables and explorations of the
-    other search are used.  ``row_key`` names a row by id and text;
-    ``first_key`` is that of its group's first row, the smallest id (nulls
-    last).  Null, empty and blank texts form one group.
+    linked if the exact Jaccard similarity of their sets of shingles (64-bit
+    hashes) is ``similarity`` or more.  Candidates meet in bands of min-hashes
+    (12 bands of 2: a pair at similarity 0.8 shares none with a chance of
+    0.000005); in a band the pivot tables and explorations of the other search
+    join those whose wide fingerprints are within a safe radius.  Only texts
+    that meet another one so have their shingles fetched, and each group's
+    pairs are explored again by exact similarity.  ``row_key`` names a row by
+    id and text; ``first_key`` is that of its group's first row, the smallest
+    id (nulls last).  Null, empty and blank texts form one group.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    radius = round(64 * WORDS * math.acos(cosine) / math.pi)
+    radius = safe_radius(similarity)
     bytes_of_coords = len(WIDE_PIVOTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, bands = [], []
+            names, fps, bands = [], [], []
             for text in column_bytes(batch, "text"):
-                fp, names = wide_fingerprint(text, shingle)
+                hashes = shingle_set(text, shingle)
+                fp, own = wide_fingerprint(hashes)
+                names.append(xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes()))
                 fps.append(fp)
-                bands.append(names)
+                bands.append(own)
             wide = np.frombuffer(b"".join(fps), "<u8").reshape(-1, 1, WORDS)
             away = np.bitwise_count(wide ^ WIDE_PIVOTS[None]).sum(axis=2, dtype=np.int32)
             tables = np.minimum(away, 255).astype(np.uint8).tobytes()
             coords = [tables[i : i + bytes_of_coords] for i in range(0, len(tables), bytes_of_coords)]
-            arrays = [*batch.columns[:2], pa.array(fps, pa.binary()), pa.array(coords, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "fp", "coords", "bands"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("string"))
-    rows = rows.mapInArrow(run, "doc_id long, row_key long, fp binary, coords binary, bands array<long>")
+            arrays = [pa.array(x, pa.binary()) for x in (names, fps, coords)]
+            arrays = [*batch.columns[:2], *arrays, pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "name", "fp", "coords", "bands"])
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", 1 << 24):
+                sets = [shingle_set(text, shingle).astype("<u8").tobytes() for text in column_bytes(batch, "text")]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("string"))
+    rows = texts.mapInArrow(run, "doc_id long, row_key long, name binary, fp binary, coords binary, bands array<long>")
     rows = settle(rows)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    nodes = rows.groupBy("fp", "bands").agg(F.min(place).alias("place"), F.first("coords").alias("coords"))
-    nodes = settle(nodes.select("fp", "bands", "coords", "place", F.col("place.row_key").alias("node")))
+    nodes = rows.groupBy("name").agg(F.min(place).alias("place"), *(F.first(c).alias(c) for c in ("fp", "coords", "bands")))
+    nodes = settle(nodes.select("name", "fp", "bands", "coords", "place", F.col("place.row_key").alias("node")))
     met = nodes.select(F.explode("bands").alias("bucket"), "node", "fp", "coords")
-    found = components(links_in(met, radius))
+    groups = settle(components(links_in(met, radius)).select("node", F.col("root").alias("bucket")))
+    asked = texts.select(F.col("row_key").alias("node"), "text").join(groups, "node", "left_semi").dropDuplicates(["node"])
+    sets = asked.mapInArrow(fetch, "node long, shingles binary")
+    sets = sets.join(groups, "node").join(nodes.select("node", "fp"), "node").select("bucket", "node", "fp", "shingles")
+    sets = settle(sets)
+    held = sets.groupBy("bucket").agg(F.count("*").alias("rows"), F.sum(F.length("shingles")).alias("bytes"))
+    chunks = F.ceil(F.greatest(F.col("rows") / CHUNK, F.col("bytes") / CHUNK_BYTES)).cast("int")
+    crowded = settle(held.select("bucket", chunks.alias("chunks")).where("chunks > 1"))
+    found = components(in_buckets(sets, crowded, lambda whole: verified(whole, radius, similarity)))
     nodes = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = settle(nodes.groupBy("root").agg(F.min("place").alias("first")))
-    classes = nodes.join(first, "root").select("fp", "bands", F.col("first.row_key").alias("first_key"))
-    return rows.join(classes, ["fp", "bands"]).select("row_key", "first_key")
+    classes = nodes.join(first, "root").select("name", F.col("first.row_key").alias("first_key"))
+    return rows.join(classes, "name").select("row_key", "first_key")
 
 
 def row_key() -> Column:

@@ -115,3 +115,45 @@ def test_components_of_a_long_chain_and_a_star(spark):
     found = {r.node: r.root for r in shared.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(300)}
     assert shared.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def shingles_of(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_similar_as_by_all_pairs(spark, monkeypatch):
+    """Pairs from 0.7 to 0.9, also of few words and in families: the classes are those of exact similarity."""
+    monkeypatch.setattr(simhash, "CHUNK", 8)
+    pick = random.Random(7)
+    words = [f"w{i}" for i in range(5000)]
+    texts = []
+    for i in range(240):
+        base = pick.choices(words, k=(8, 13, 60, 300)[i % 4])
+        texts.append(" ".join(base))
+        # a tail of other words: the similarity goes down in small steps from 0.9 to 0.7
+        shingles = len(base) - 4
+        changed = round(shingles * (1 - 2 * (s := 0.7 + 0.2 * i / 239) / (1 + s)))
+        texts.append(" ".join(base[: len(base) - changed] + pick.choices(words, k=changed)))
+        texts.append(" ".join(base[: len(base) - round(shingles * (1 - s))]))
+    family = pick.choices(words, k=200)
+    texts += [" ".join(family[:160] + pick.choices(words, k=40)) for _ in range(30)]
+    texts += [" ".join(["again"] * 900 + pick.choices(words, k=12)) for _ in range(10)]
+    sets = [shingles_of(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = docs.withColumn("row_key", simhash.row_key())
+    first = keyed.select(F.col("row_key").alias("first_key"), F.col("doc_id").alias("first_id"))
+    classes = simhash.similar(docs).join(first, "first_key").join(keyed, "row_key")
+    assert {r.doc_id: r.first_id for r in classes.collect()} == {i: find(i) for i in range(len(texts))}
