@@ -5,8 +5,10 @@ group's summary is its size, the radius around its pivot and its longest
 vector.  From summaries alone a query learns a lower bound for its k-th score
 (groups counted from the best guaranteed score downwards) and for each group the
 highest score it could hold.  A query is sent only to groups that can reach its
-bound.  Groups are dealt out in blocks by a hash of the id, queries in blocks as
-well, and each pair of blocks is solved by one exact integer product.
+bound; rows of its own id, which are no candidates, don't count for it.  Equal
+rows are kept once with their number.  Groups are dealt out in blocks by a hash
+of id and vector, queries in blocks as well, and each pair of blocks is solved by
+one exact integer product.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
 
 def pivots_of(vectors: DataFrame, most: int) -> dict[int, np.ndarray]:
     """Pivots for each length of vectors that the sample holds."""
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(most).collect()
+    sample = vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(most).collect()
     by: dict[int, list] = {}
     for r in sample:
         by.setdefault(len(r["v"]), []).append(r["v"])
@@ -71,20 +73,23 @@ def grouped(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 cell[at], norm[at] = near, np.sqrt((m * m).sum(axis=1))
                 away[at] = np.sqrt(((m - p[near]) ** 2).sum(axis=1))
             arrays = [*batch.columns, pa.array(sizes.astype("i4")), pa.array(cell), pa.array(away), pa.array(norm)]
-            yield pa.RecordBatch.from_arrays(arrays, ["vec_id", "v", "size", "cell", "away", "norm"])
+            yield pa.RecordBatch.from_arrays(arrays, ["vec_id", "v", "copies", "size", "cell", "away", "norm"])
 
-    return vectors.mapInArrow(run, "vec_id long, v array<double>, size int, cell int, away double, norm double")
+    return vectors.mapInArrow(run, "vec_id long, v array<double>, copies long, size int, cell int, away double, norm double")
 
 
-def wanted_cells(query: np.ndarray, own: int, pivots: np.ndarray, cells: np.ndarray, k: int) -> np.ndarray:
-    """Which of ``cells`` (number, rows, radius, longest) can hold one of the query's k best."""
+def wanted_cells(query: np.ndarray, own: np.ndarray | int, pivots: np.ndarray, cells: np.ndarray, k: int) -> np.ndarray:
+    """Which of ``cells`` (number, rows, radius, longest) can hold one of the query's k best.
+
+    ``own`` is how many rows of each cell have the query's id.
+    """
     length = np.sqrt(query @ query)
     middle = pivots[cells[:, 0].astype(int)] @ query
     slack = 1e-9 * (np.abs(middle) + length * (cells[:, 2] + cells[:, 3])) + 1e-6
     upper = np.minimum(middle + length * cells[:, 2], length * cells[:, 3]) + slack
     lower = np.maximum(middle - length * cells[:, 2], -length * cells[:, 3]) - slack
     order = np.argsort(-lower, kind="stable")
-    rows = np.cumsum(cells[order, 1] - (cells[order, 0] == own))
+    rows = np.cumsum((cells[:, 1] - own)[order])
     reached = np.flatnonzero(rows >= k)
     return upper >= (lower[order[reached[0]]] if len(reached) else -np.inf)
 
@@ -118,23 +123,25 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
     each for itself.  Empty vectors score 0 with each other.  Other columns are
     ignored.
     """
-    vectors = settle(whole_vectors(rows, scale))
+    vectors = settle(whole_vectors(rows, scale).groupBy("vec_id", "v").agg(F.count("*").alias("copies")))
     pivots = pivots_of(vectors, PIVOTS)
     vectors = settle(grouped(vectors, pivots))
-    summary = vectors.groupBy("size", "cell").agg(F.count("*").alias("rows"), F.max("away").alias("radius"), F.max("norm").alias("longest"))
+    summary = vectors.groupBy("size", "cell").agg(F.sum("copies").alias("rows"), F.count("*").alias("kinds"), F.max("away").alias("radius"), F.max("norm").alias("longest"))
     # a row per pivot and length: no more than PIVOTS rows, plus one for each odd length
     summary = settle(summary)
     known: dict[int, list] = {}
     for r in summary.where(F.col("size").isin(list(pivots) or [-1])).collect():
         known.setdefault(r["size"], []).append((r["cell"], r["rows"], r["radius"], r["longest"]))
     cells = {n: np.array(sorted(v), float) for n, v in known.items()}
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+    blocks = F.ceil(F.col("kinds") / BLOCK).cast("int")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, to = [], []
-            for i, (v, size, own) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
+            for i, (v, size, held) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
                 if size in cells:
+                    rows_of = {x["cell"]: x["rows"] for x in held}
+                    own = np.array([rows_of.get(int(c), 0) for c in cells[size][:, 0]])
                     ok = wanted_cells(np.array(v, float), own, pivot_matrix(pivots, size), cells[size], k)
                     found = cells[size][ok, 0].astype(int).tolist()
                 else:
@@ -144,16 +151,20 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(to, pa.int32())], ["vec_id", "v", "size", "cell"])
 
-    asking = vectors.where(F.col("vec_id") % every == 0).select("vec_id", "v", "size", "cell").distinct()
+    asking = vectors.where(F.col("vec_id") % every == 0)
     n_queries = asking.count()
+    # no more cells for an id than there are pivots
+    held = asking.groupBy("vec_id", "size", "cell").agg(F.sum("copies").alias("rows"))
+    held = settle(held.groupBy("vec_id", "size").agg(F.collect_list(F.struct("cell", "rows")).alias("held")))
+    asking = asking.select("vec_id", "v", "size").join(held, ["vec_id", "size"]).select("vec_id", "v", "size", "held")
     asking = asking.mapInArrow(route, "vec_id long, v array<double>, size int, cell int")
-    part = F.pmod(F.xxhash64(F.lit("query"), "vec_id"), F.lit(-(-max(n_queries, 1) // QUERY_BLOCK)))
+    part = F.pmod(F.xxhash64(F.lit("query"), "vec_id", "v"), F.lit(-(-max(n_queries, 1) // QUERY_BLOCK)))
     asking = asking.groupBy("size", "cell", part.alias("part")).agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
     asking = asking.join(summary.select("size", "cell", blocks.alias("blocks")), ["size", "cell"])
     asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "part")
-    block = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int")
     asked = vectors.join(summary.select("size", "cell", blocks.alias("blocks")), ["size", "cell"])
-    asked = asked.groupBy("size", "cell", block.alias("block")).agg(F.collect_list(F.struct("vec_id", "v")).alias("candidates"))
+    asked = asked.groupBy("size", "cell", block.alias("block")).agg(F.collect_list(F.struct("vec_id", "v", "copies")).alias("candidates"))
     pairs = asked.join(asking, ["size", "cell", "block"]).select("size", "candidates", "queries")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +173,9 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
                 size = batch.column(0)[i].as_py()
                 (ids, m), (asks, q) = (matrix(batch.column(c)[i].values, size) for c in (1, 2))
                 scores = products(q, m)
+                # a row's copies have places of their own, of which no more than k can be reached
+                copies = np.minimum(batch.column(1)[i].values.field(2).to_numpy(), k)
+                ids, scores = np.repeat(ids, copies), np.repeat(scores, copies, axis=1)
                 out = []
                 for j in range(len(asks)):
                     other = np.flatnonzero(ids != asks[j])

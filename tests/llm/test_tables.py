@@ -182,6 +182,25 @@ def test_top_k_on_edges(spark, monkeypatch):
     assert knn.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_a_repeated_id(spark, monkeypatch):
+    """Rows of the query's own id are no candidates and guarantee nothing, whether they are equal or not."""
+    monkeypatch.setattr(knn, "PIVOTS", 500)  # so that the copies are a group of radius 0
+    pick = random.Random(11)
+    own = [8.0, 0.0, 0.0]
+    rows = [(100, own)] * 50 + [(200, [7.0, round(pick.uniform(-1, 1), 3), 0.5]) for _ in range(50)]
+    rows += [(301 + i, [round(pick.uniform(-3, 3), 3) for _ in range(3)]) for i in range(80)] + [(450, [2.0, 2.0, 2.0])] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    exact = [(r.vec_id, r.embedding) for r in df.collect()]
+    want = plain_top(exact, 10)
+    assert Counter(tuple(r) for r in knn.top_k(df).collect()) == want
+    # without the other hot id, the copies alone would fill the guaranteed places
+    few = [r for r in exact if r[0] != 200]
+    got = knn.top_k(df.where("vec_id <> 200"))
+    assert Counter(tuple(r) for r in got.collect()) == plain_top(few, 10)
+    monkeypatch.setattr(knn, "BLOCK", 8)
+    assert Counter(tuple(r) for r in knn.top_k(df).collect()) == want
+
+
 def test_bounds_leave_out_far_groups():
     pick = np.random.default_rng(5)
     centres = np.array([[1000.0, 0], [0, 1000.0], [-1000.0, 0]])
