@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -28,8 +28,8 @@ ship(__name__)
 #: bounds of the samples the weights and the logistic function are fitted on, and of the lexicon
 FIT_ROWS, CALIBRATION_ROWS, MOST_ENTRIES = 4000, 4000, 600
 TOXIC_FROM = 0.7
-#: an entry needs this share of the toxic sample (and 3 texts), and these log odds
-LEAST_SHARE, LEAST_ODDS = 0.008, 2.5
+#: an entry needs so many toxic texts and these log odds, which lie so many standard errors above zero
+LEAST_TEXTS, LEAST_ODDS, ERRORS = 3, 2.5, 1.64
 BEGINNINGS = range(5, 10)
 
 # fixed values: look-alike letters
@@ -131,14 +131,26 @@ def weights_of(docs: DataFrame, sample: DataFrame) -> dict[str, float]:
     seen = texts_of(docs, sample).mapInArrow(run, "entry string, y int")
     counts = seen.groupBy("entry").agg(F.sum("y").alias("ones"), F.sum(1 - F.col("y")).alias("zeros"))
     odds = F.log((F.col("ones") + 0.5) / (ones + 1)) - F.log((F.col("zeros") + 0.5) / (zeros + 1))
-    counts = counts.withColumn("odds", odds).where((F.col("ones") >= max(3.0, LEAST_SHARE * ones)) & (F.col("odds") >= LEAST_ODDS))
+    error = F.sqrt(1 / (F.col("ones") + 0.5) + 1 / (F.col("zeros") + 0.5))
+    sure = (F.col("ones") >= LEAST_TEXTS) & (F.col("odds") >= LEAST_ODDS) & (F.col("odds") > ERRORS * error)
     order = F.desc(F.col("odds") * F.col("ones")), F.desc(F.length("entry")), "entry"
+    counts = counts.withColumn("odds", odds).where(sure).orderBy(*order)
+    return chosen((r["entry"], r["odds"]) for r in counts.select("entry", "odds").toLocalIterator())
+
+
+def chosen(ranked: Iterable[tuple[str, float]]) -> dict[str, float]:
+    """The first ``MOST_ENTRIES`` of the entries that say more than those before them."""
     weights: dict[str, float] = {}
-    for entry, odds in ((r["entry"], r["odds"]) for r in counts.orderBy(*order).limit(MOST_ENTRIES).collect()):
-        covered = any(entry.startswith(e) and w >= odds - 0.5 for e, w in weights.items())
-        vague = any(e.startswith(entry) and abs(w - odds) < 0.05 for e, w in weights.items())  # says no more than the longer one
+    longer: dict[str, list[float]] = {}
+    for entry, odds in ranked:
+        covered = any(weights.get(entry[:n], -1.0) >= odds - 0.5 for n in range(1, len(entry) + 1))
+        vague = any(abs(w - odds) < 0.05 for w in longer.get(entry, ()))  # says no more than the longer one
         if not covered and not vague:
             weights[entry] = odds
+            for n in range(1, len(entry) + 1):
+                longer.setdefault(entry[:n], []).append(odds)
+            if len(weights) == MOST_ENTRIES:
+                break
     return weights
 
 

@@ -143,3 +143,18 @@ def test_folding_and_exceptions():
     assert hit("a trash can of trash") == 4
     short, long = "trash " + "word " * 5, "trash " + "word " * 500
     assert lexicon.measures(short)[0] > 10 * lexicon.measures(long)[0]
+
+
+def test_lexicon_has_rare_words(spark, monkeypatch):
+    """A word of 10 among 1,000 or more toxic texts is listed however large the sample; chance words aren't."""
+    for size in (1000, 2000):
+        rows = [(i, f"common filler text{' grobnax' if i < 10 else ''}{' vilest' if i % 2 else ''}{' once' if i == 3 else ''}", 1) for i in range(size)]
+        rows += [(size + i, f"common filler text{' plain' if i % 2 else ''}", 0) for i in range(size)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, y int")
+        weights = toxicity.weights_of(df.select("doc_id", "text"), df.select("doc_id", "y"))
+        assert any("grobnax ".startswith(e) for e in weights) and any("vilest ".startswith(e) for e in weights)
+        assert not any(e.startswith(("once", "common", "plain")) for e in weights)
+    # beginnings of a listed word take no place from others
+    monkeypatch.setattr(toxicity, "MOST_ENTRIES", 2)
+    weights = toxicity.weights_of(df.select("doc_id", "text"), df.select("doc_id", "y"))
+    assert len(weights) == 2 and any("grobnax ".startswith(e) for e in weights)
