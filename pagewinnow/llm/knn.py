@@ -29,8 +29,10 @@ PIVOTS = 64
 BLOCK, QUERY_BLOCK = 512, 1024
 SCALE = 1024
 TOP = 10
-#: components beyond this are cut to it
-LARGEST = float(1 << 52)
+#: components beyond this are whole numbers as they are; and the limits of a double
+WHOLE, LARGEST = float(1 << 52), 1.7976931348623157e308
+#: the limits of a score
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
 def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
@@ -38,8 +40,10 @@ def whole_vectors(rows: DataFrame, scale: int) -> DataFrame:
     v = F.col("embedding").cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = rows.select(F.col("vec_id").cast("long"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & good)
-    cut = lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(x * scale).cast("double")))
-    return rows.select("vec_id", F.transform("v", cut).alias("v"))
+    # only products beyond a double's limits are cut
+    scaled = lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), x * scale))
+    whole = lambda x: F.when(F.abs(x) < WHOLE, F.floor(x).cast("double")).otherwise(x)
+    return rows.select("vec_id", F.transform(F.transform("v", scaled), whole).alias("v"))
 
 
 def pivots_of(vectors: DataFrame, most: int) -> dict[int, np.ndarray]:
@@ -88,14 +92,17 @@ def wanted_cells(query: np.ndarray, own: np.ndarray | int, pivots: np.ndarray, c
     slack = 1e-9 * (np.abs(middle) + length * (cells[:, 2] + cells[:, 3])) + 1e-6
     upper = np.minimum(middle + length * cells[:, 2], length * cells[:, 3]) + slack
     lower = np.maximum(middle - length * cells[:, 2], -length * cells[:, 3]) - slack
+    lower = np.where(np.isnan(lower), -np.inf, lower)  # beyond a double's limits nothing is known
     order = np.argsort(-lower, kind="stable")
     rows = np.cumsum((cells[:, 1] - own)[order])
     reached = np.flatnonzero(rows >= k)
-    return upper >= (lower[order[reached[0]]] if len(reached) else -np.inf)
+    return ~(upper < (lower[order[reached[0]]] if len(reached) else -np.inf))
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
     if len(scores) > 4 * k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         at = np.flatnonzero(scores >= least)
@@ -104,13 +111,30 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))[:k]]
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; those beyond 64 bits are cut to its limits."""
+def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact integer inner products; Python's integers where a long may be too small."""
     most = (np.abs(a).max(initial=0) * np.abs(b).max(initial=0)) * max(a.shape[1], 1)
     if most < 2**53:
         return (a @ b.T).astype(np.int64)
-    exact = a.astype(np.int64).astype(object) @ b.astype(np.int64).astype(object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    whole = np.frompyfunc(int, 1, 1)
+    exact = whole(a) @ whole(b).T
+    return exact if most >= 2**62 else exact.astype(np.int64)
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact integer inner products; those beyond 64 bits are cut to its limits."""
+    return np.clip(exact_products(a, b), LOW, HIGH).astype(np.int64)
+
+
+def beyond(score: int) -> bytes:
+    """Orders, by bytes, scores that are cut to the same limit."""
+    if LOW < score <= HIGH:
+        return b""
+    over = score - HIGH if score > 0 else LOW - score
+    size = (over.bit_length() + 7) // 8
+    name = size.to_bytes(2, "big") + over.to_bytes(size, "big")
+    # of low ones the less exceeding is the higher
+    return name if score > 0 else bytes(255 - x for x in name) + b"\xff"
 
 
 def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -> DataFrame:
@@ -120,8 +144,10 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
     Rows with a null id, a null vector, or a null or non-finite component take
     no part.  Repeated candidates each take a rank; repeated queries (equal id
     and vector) are one, and queries of one id with different vectors are ranked
-    each for itself.  Empty vectors score 0 with each other.  Other columns are
-    ignored.
+    each for itself.  Empty vectors score 0 with each other.  Ranks are by exact
+    scores; a score that doesn't fit a long is given as the long nearest to it.
+    A component whose product with ``scale`` is no finite double counts as the
+    largest one.  Other columns are ignored.
     """
     vectors = settle(whole_vectors(rows, scale).groupBy("vec_id", "v").agg(F.count("*").alias("copies")))
     pivots = pivots_of(vectors, PIVOTS)
@@ -172,7 +198,7 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
             for i in range(batch.num_rows):
                 size = batch.column(0)[i].as_py()
                 (ids, m), (asks, q) = (matrix(batch.column(c)[i].values, size) for c in (1, 2))
-                scores = products(q, m)
+                scores = exact_products(q, m)
                 # a row's copies have places of their own, of which no more than k can be reached
                 copies = np.minimum(batch.column(1)[i].values.field(2).to_numpy(), k)
                 ids, scores = np.repeat(ids, copies), np.repeat(scores, copies, axis=1)
@@ -182,8 +208,10 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
                     at = other[best_of(scores[j, other], ids[other], k)]
                     out.append((np.full(len(at), asks[j]), np.full(len(at), j), ids[at], scores[j, at]))
                 a, number, c, d = (np.concatenate(x) for x in zip(*out, strict=True))
+                extra = pa.array([beyond(x) for x in d] if d.dtype == object else [b""] * len(d), pa.binary())
+                d = np.clip(d, LOW, HIGH).astype(np.int64)
                 tags = np.array([hash_of(v) for v in q], np.int64)[number]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, tags, c, d)], ["query_id", "tag", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (a, tags, c, d)), extra], ["query_id", "tag", "vec_id", "score", "beyond"])
 
     def hash_of(v: np.ndarray) -> int:
         import zlib
@@ -194,8 +222,8 @@ def top_k(rows: DataFrame, every: int = 100, k: int = TOP, scale: int = SCALE) -
         lists = structs.field(1)
         return structs.field(0).to_numpy(), lists.flatten().to_numpy().reshape(len(lists), size)
 
-    found = pairs.mapInArrow(solve, "query_id long, tag long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "tag").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(solve, "query_id long, tag long, vec_id long, score long, beyond binary")
+    order = Window.partitionBy("query_id", "tag").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -1,8 +1,10 @@
 """Operators with SQL twins: the twins on given tables, edge cases by brute force."""
 
 import hashlib
+import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -201,6 +203,20 @@ def test_top_k_of_a_repeated_id(spark, monkeypatch):
     assert Counter(tuple(r) for r in knn.top_k(df).collect()) == want
 
 
+def test_top_k_of_huge_components(spark):
+    """Ranks are by exact scores, also where these don't fit a long or a double."""
+    pick = random.Random(12)
+    rows = [(i, [pick.uniform(-1, 1) * 2.0 ** pick.choice((3, 45, 60, 120, 600)) for _ in range(3)]) for i in range(0, 1200, 4)]
+    want = Counter()
+    whole = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows]
+    for q, v in whole:
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole if i != q)
+            want.update((q, rank, i, max(-(2**63), min(2**63 - 1, -s))) for rank, (s, i) in enumerate(scored[:10], 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(tuple(r) for r in knn.top_k(df).collect()) == want
+
+
 def test_bounds_leave_out_far_groups():
     pick = np.random.default_rng(5)
     centres = np.array([[1000.0, 0], [0, 1000.0], [-1000.0, 0]])
