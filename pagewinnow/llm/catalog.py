@@ -7,6 +7,7 @@ from pagewinnow.llm import (
     links,
     mixing,
     packing,
+    pair_index,
     quality_classifier,
     quality_rules,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_url_filters": links.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_packing": packing.query,
+    "op13_pair_index": pair_index.query,
 }
 #: the others can't be expressed in SQL: trained models, a tokenizer, a hash that the other engine lacks
 ORACLES = {

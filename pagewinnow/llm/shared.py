@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -66,6 +68,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def worker_value(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker makes once and keeps for its later tasks.
+
+    Functions travel by value, so their modules' globals are new with each
+    task; a module that stands in ``sys.modules`` stays as long as the worker.
+    """
+    kept = sys.modules.setdefault("pagewinnow_llm_worker", types.ModuleType("pagewinnow_llm_worker"))
+    values = kept.__dict__.setdefault("values", {})
+    if name not in values:
+        values[name] = make()
+    return values[name]
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
