@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pagewinnow.llm import (
+    conversations,
     knn,
     links,
     mixing,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_url_filters": links.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_packing": packing.query,
+    "op11_conversation_repair": conversations.query,
     "op13_pair_index": pair_index.query,
 }
 #: the others can't be expressed in SQL: trained models, a tokenizer, a hash that the other engine lacks
