@@ -12,6 +12,7 @@ worker, so that each word is merged once while it stays in use.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -27,13 +28,15 @@ ship(__name__)
 
 VOCABULARY = "word_bpe_49k.json"
 #: bytes of text whose words share one index
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 #: symbols of one index; more words are laid out in several
 INDEX_SYMBOLS = 8_000_000
-#: chunks that a worker remembers beyond those of its last slice
-REMEMBERED = 600_000
+#: chunks, and words, that a worker remembers from one slice to the next
+REMEMBERED = 350_000
 #: of Python's white space, what the vocabulary's pattern does not count as such
 NO_SPACE = "\x1c\x1d\x1e\x1f"
+#: letters whose class and lower case are the same in all versions of Unicode; an apostrophe can begin a word
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
 DEAD = -1
 
 
@@ -61,8 +64,8 @@ class Merges:
         cuts = np.flatnonzero(np.diff(one[order])) + 1
         return {int(one[x[0]]): (other[x], x) for x in np.split(order, cuts) if len(x)}
 
-    def merged(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; words are in the vocabulary's letters, none is empty."""
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each word; words are in the vocabulary's letters, none is empty."""
         codes = np.frombuffer(("\n" + "\n".join(words) + "\n").encode("utf-32-le"), "<u4")
         symbols = self.inner[codes]
         stops = np.flatnonzero(symbols == self.stop)
@@ -70,8 +73,9 @@ class Merges:
         self._apply(symbols)
         alive = symbols != DEAD
         kept = symbols[alive]
-        ends = np.flatnonzero(kept == self.stop)
-        return [kept[a + 1 : b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        ends = (np.flatnonzero(kept == self.stop) * 4).tolist()
+        data = kept.astype("<i4").tobytes()
+        return [data[a + 4 : b] for a, b in zip(ends, ends[1:], strict=False)]
 
     def _index(self, symbols: np.ndarray) -> dict[int, list[np.ndarray]]:
         """All positions of each rank's pair, in ascending order."""
@@ -158,19 +162,33 @@ class Codec:
             raise ValueError(f"{path}: only byte-pair vocabularies that drop white space and name no decoder can be used")
         self.merges = Merges(model["vocab"], model["merges"], model["end_of_word_suffix"] or "")
         self.special = {x["content"]: x["id"] for x in rules["added_tokens"]}
-        self.tokens = {i: t for t, i in (model["vocab"] | self.special).items()}
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        #: the splitter's letters for the bytes of letters beyond ASCII that ``PLAIN`` knows
+        self.letters = {}
+        for c in map(chr, range(0xC0, 0x100)):
+            ((shown, _),) = self.splitter.pre_tokenize_str(c)
+            self.letters |= dict(zip(c.encode(), shown, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.cut(t) for t in texts]
-        wanted = {c for chunks in cut for c in chunks}
-        self.learn([c for c in wanted if c not in self.chunks])
+        wanted: set[str] = set()
+        for t in texts:
+            wanted.update(self.cut(t))
+        first = new = [c for c in wanted if c not in self.chunks]
+        if any(s in t for t in texts for s in self.special):
+            for c in new:
+                if any(s in c for s in self.special):
+                    self.chunks[c] = b"".join(self.parts(c))
+            new = [c for c in new if c not in self.chunks]
+        self.learn(new)
         get = self.chunks.__getitem__
-        out = [b"".join(map(get, chunks)) for chunks in cut]
+        out = [b"".join(map(get, self.cut(t))) for t in texts]
         if len(self.chunks) > REMEMBERED:
-            self.chunks = {c: self.chunks[c] for c in wanted}
+            # those that have come in several slices stay
+            again = wanted.difference(first)
+            self.chunks = {c: self.chunks[c] for c in again} if len(again) <= REMEMBERED else {}
+        if len(self.words) > REMEMBERED:
             self.words = {}
         return out
 
@@ -187,14 +205,6 @@ class Codec:
 
     def learn(self, chunks: list[str]) -> None:
         """Remember the ids of chunks."""
-        rare = [c for c in chunks if any(s in c for s in self.special)]
-        for c in rare:
-            self.chunks[c] = b"".join(self.parts(c))
-        if rare:
-            gone = set(rare)
-            chunks = [c for c in chunks if c not in gone]
-        if not chunks:
-            return
         words = self.split(chunks)
         self.merge({w for ws in words for w in ws})
         get = self.words.__getitem__
@@ -219,13 +229,19 @@ class Codec:
         out: list[list[str]] = []
         strange = []
         for c in chunks:
-            if c.isascii() and c.isalpha():
-                out.append([c.lower()])
+            if plain := PLAIN(c):
+                word, marks = plain.groups()
+                word = word.lower()
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(self.letters)
+                out.append([word, marks] if marks else [word])
             else:
                 strange.append(len(out))
                 out.append([])
+        if not strange:
+            return out
         text = self.normalizer.normalize_str(" ".join([chunks[i] for i in strange]))
-        ends = np.cumsum([len(c) + 1 for c in text.split(" ")]) if strange else np.zeros(0, int)
+        ends = np.cumsum([len(c) + 1 for c in text.split(" ")])
         assert len(ends) == len(strange)
         found = self.splitter.pre_tokenize_str(text)
         owner = np.searchsorted(ends, [span[0] for _, span in found], side="right").tolist()
@@ -238,18 +254,27 @@ class Codec:
         begin = size = 0
         for i, w in enumerate([*new, None]):
             if w is None or size > INDEX_SYMBOLS:
-                for x, ids in zip(new[begin:i], self.merges.merged(new[begin:i]) if i > begin else [], strict=True):
-                    self.words[x] = ids.astype("<i4").tobytes()
+                if i > begin:
+                    self.words.update(zip(new[begin:i], self.merges.merged(new[begin:i]), strict=True))
                 begin, size = i, 0
             size += len(w or "") + 1
 
-    def decode(self, ids: list[int]) -> str:
+
+class Tokens:
+    """Texts of ids."""
+
+    def __init__(self, path: str):
+        rules = json.loads(Tokenizer.from_file(path).to_str())
+        names = rules["model"]["vocab"] | {x["content"]: x["id"] for x in rules["added_tokens"]}
+        self.names = np.full(max(names.values()) + 1, None, object)
+        for t, i in names.items():
+            self.names[i] = t
+
+    def text(self, ids: np.ndarray) -> str:
         """Tokens joined by spaces; ids that the vocabulary lacks are left out."""
-        tokens = self.tokens
-        try:
-            return " ".join(map(tokens.__getitem__, ids))
-        except KeyError:
-            return " ".join([tokens[i] for i in ids if i in tokens])
+        ids = ids[(ids >= 0) & (ids < len(self.names))]
+        found = self.names[ids].tolist()
+        return " ".join([t for t in found if t is not None] if None in found else found)
 
 
 def codec(path: str) -> Codec:
@@ -283,20 +308,22 @@ def encoded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 def decoded(coded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``doc_id, ids, decoded``: the text of each row's ids, special tokens included.
 
-    Null ids, or a null among them, count as none; ids beyond the vocabulary are
+    Null ids have an empty text, nulls among ids are left out; ids beyond the vocabulary are
     left out, as the library does.  Other columns are ignored.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        own = worker_value(f"tokens {path}", lambda: Tokens(path))
         for whole in batches:
-            for i in range(0, whole.num_rows, 256):
-                batch = whole.slice(i, 256)
-                texts = [own.decode(ids or []) for ids in batch.column(1).to_pylist()]
+            for i in range(0, whole.num_rows, 64):
+                batch = whole.slice(i, 64)
+                ends = batch.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).cumsum()
+                ids = batch.column(1).flatten().to_numpy()
+                texts = [own.text(x) for x in np.split(ids, ends[:-1])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
-    rows = coded.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>"))
+    rows = coded.select(F.col("doc_id").cast("long"), F.filter(F.col("ids").cast("array<int>"), lambda i: i.isNotNull()).alias("ids"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
