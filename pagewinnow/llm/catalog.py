@@ -7,6 +7,7 @@ from pagewinnow.llm import (
     knn,
     links,
     mixing,
+    negatives,
     packing,
     pair_index,
     quality_classifier,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash.query,
     "op10_packing": packing.query,
     "op11_conversation_repair": conversations.query,
+    "op12_hard_negatives": negatives.query,
     "op13_pair_index": pair_index.query,
 }
 #: the others can't be expressed in SQL: trained models, a tokenizer, a hash that the other engine lacks
@@ -38,4 +40,5 @@ ORACLES = {
     "op6_warc": warc.ORACLE,
     "op7_exact_top_k": knn.ORACLE,
     "op8_url_filters": links.oracle(),
+    "op12_hard_negatives": negatives.ORACLE,
 }
