@@ -28,11 +28,11 @@ ship(__name__)
 
 VOCABULARY = "word_bpe_49k.json"
 #: bytes of text whose words share one index
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: symbols of one index; more words are laid out in several
 INDEX_SYMBOLS = 8_000_000
 #: chunks, and words, that a worker remembers from one slice to the next
-REMEMBERED = 350_000
+REMEMBERED = 250_000
 #: of Python's white space, what the vocabulary's pattern does not count as such
 NO_SPACE = "\x1c\x1d\x1e\x1f"
 #: letters whose class and lower case are the same in all versions of Unicode; an apostrophe can begin a word
@@ -282,27 +282,45 @@ def codec(path: str) -> Codec:
     return worker_value(f"pair index {path}", lambda: Codec(path))
 
 
-def encoded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, ids``: ids of each whole text, as the vocabulary's library gives them without special tokens added.
+def tokens(path: str) -> Tokens:
+    """The tokens of a Python worker."""
+    return worker_value(f"tokens {path}", lambda: Tokens(path))
 
-    A row for each row, repeated or with a null id as well.  A null text counts
-    as empty and has no ids.  Very long texts are encoded whole: their distinct
-    words are merged in indexes of bounded size.  Strings of special tokens in a
-    text become their ids, as in the library.  Other columns are ignored.
-    """
+
+def _coded(docs: DataFrame, vocabulary: str | None, back: bool) -> DataFrame:
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
+        texts = tokens(path) if back else None
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 data = own.encode([t or "" for t in batch.column(1).to_pylist()])
                 ends = np.cumsum([0, *(len(x) // 4 for x in data)])
                 ids = pa.array(np.frombuffer(b"".join(data), "<i4"))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], ["doc_id", "ids"])
+                out = {"doc_id": batch.column(0), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)}
+                if texts is not None:
+                    out["decoded"] = pa.array([texts.text(np.frombuffer(x, "<i4")) for x in data], pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>" + (", decoded string" if back else ""))
+
+
+def encoded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``doc_id, ids``: ids of each whole text, as the vocabulary's library gives them without special tokens added.
+
+    A row for each row, repeated or with a null id as well.  A null text counts
+    as empty and has no ids.  Very long texts are encoded whole: their distinct
+    words are merged in indexes of bounded size.  Strings of special tokens in a
+    text become their ids, as in the library.  Other columns are ignored.
+    """
+    return _coded(docs, vocabulary, back=False)
+
+
+def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``doc_id, ids, decoded``: ``decoded(encoded(docs))`` in one pass over the rows, with one Python worker a task."""
+    return _coded(docs, vocabulary, back=True)
 
 
 def decoded(coded: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -314,7 +332,7 @@ def decoded(coded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = worker_value(f"tokens {path}", lambda: Tokens(path))
+        own = tokens(path)
         for whole in batches:
             for i in range(0, whole.num_rows, 64):
                 batch = whole.slice(i, 64)
@@ -328,7 +346,7 @@ def decoded(coded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decoded(encoded(table(spark, sf_dir, "documents")))
+    rows = round_trip(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

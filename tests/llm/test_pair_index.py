@@ -92,6 +92,8 @@ def test_table_and_edges(spark, clashing_docs, small, no_docs):
         want = sorted(((r.doc_id, ids_of(r.text)) for r in docs.collect()), key=key)
         back = pair_index.decoded(coded).collect()
         assert sorted(((r.doc_id, r.ids) for r in back), key=key) == want
+        once = pair_index.round_trip(docs).collect()
+        assert sorted(map(tuple, once), key=key) == sorted(map(tuple, back), key=key)
         assert all(r.decoded == TOKENIZER.decode(r.ids, skip_special_tokens=False) for r in back)
     assert pair_index.decoded(pair_index.encoded(no_docs)).count() == 0
     assert spark.createDataFrame([], DOCS).schema["text"].dataType == no_docs.schema["text"].dataType
