@@ -31,11 +31,28 @@ _HEAD = ", ".join(
         _when("page_id % 6 = 3", '<meta property="article:published_time" content="20190405">'),
         _when("page_id % 6 = 4", '<meta property="article:published_time" content="1234567é9">'),
         _when(
-            "page_id % 8 = 5",
+            "page_id % 16 = 5",
             '<script type="application/ld+json">{"@type": "NewsArticle", "headline": "Linked headline ',
             _ID,
             '", "author": {"name": "Linus Data"}, "datePublished": "2021-05-06"}</script>',
         ),
+        # the author is named in another item, and that item's name in a third one
+        _when(
+            "page_id % 16 = 13",
+            '<script type="application/ld+json">{"@graph": [{"@type": "Person", "@id": "#writer", "name": {"@id": "#name"}}, '
+            '{"@type": "NewsArticle", "headline": "Linked headline ',
+            _ID,
+            '", "author": [{"@id": "#nobody"}, {"@id": "#writer"}], "datePublished": "2021-05-06"}, '
+            '{"@id": "#name", "name": "Linus Data"}]}</script>',
+        ),
+        # names that lead to each other
+        _when(
+            "page_id % 16 = 3",
+            '<script type="application/ld+json">{"@graph": [{"@id": "#a", "name": {"@id": "#b"}}, {"@id": "#b", "name": {"@id": "#a"}}, '
+            '{"@type": "Article", "headline": "In a circle ',
+            _ID,
+            '", "author": {"@id": "#a"}}]}</script>',
+        ),
     ]
 )
 _BODY = ", ".join(
@@ -52,6 +69,20 @@ _BODY = ", ".join(
             ' or <a href="https://other.example.org/y?a=1">further on</a>.</p>',
         ),
         _when("page_id % 9 = 0", "<p>A line both streams carry ", _ID, "</p>"),
+        _when(
+            "page_id % 5 = 1",
+            "<ul><li>First of ", _ID, "<li>Second <ol><li>inner <b>one</b></li></ol></li></ul><p>Area x<sup>2</sup> of "
+            "<em class=\"e\">all <strong>parts</strong></em>, <b>cross <i>ing</b> marks</i> and <u>open</p>",
+        ),
+        _when(
+            "page_id % 5 = 3",
+            "<table><tr><td>Cell ", _ID, "</td><td><code>b</code></td></tr><tr><td>next</td></tr></table>"
+            "<blockquote><p>Quoted in ", _ID, "</p></blockquote></ol><dl><dt>Term</dt><dd>Meaning<ul><li>Left open ", _ID, "</dl>",
+        ),
+        _when(
+            "page_id % 7 = 3",
+            '<p>From <a title="page > part > ', _ID, '" href="/part">here</a> on the text goes further than the link.</p>',
+        ),
     ]
 )
 _AFTER = ", ".join(
@@ -70,10 +101,37 @@ INJECTED = (
     f"'</article>', concat({_BODY}, '</article>', {_AFTER}))"
 )
 # A third of the pages lose their article element and become anonymous markup.
+# Of others the article is little more than one link whose attributes hold brackets.
 UNSTRUCTURED = (
     "CASE WHEN page_id % 3 = 0 THEN "
-    "replace(replace(html, '<article>', '<div>'), '</article>', '</div>') ELSE html END"
+    "replace(replace(html, '<article>', '<div>'), '</article>', '</div>') "
+    "WHEN page_id % 3 = 1 THEN concat(split_part(html, '<article>', 1), '<article><p>', "
+    f"'<a href=\"/all\" title=\"', repeat('one > ', 60), '\">All of it ', {_ID}, '</a></p></article>') "
+    "ELSE html END"
+)
+# Articles in wrappers that sound like furniture, furniture in articles, furniture by tag around
+# articles, and pages that are one such wrapper without an article.
+_OPENED = ", ".join(
+    [
+        _when("page_id % 6 = 0", '<div class="sidebar-right layout"><p>Beside the story of ', _ID, "</p><article>"),
+        _when("page_id % 6 = 1", '<div class="widget-area"><main id="share-page"><article>'),
+        _when("page_id % 6 = 2", '<aside class="box"><article>'),
+        _when("page_id % 6 = 3", '<section class="promo"><div class="post-content"><article>'),
+        _when("page_id % 6 = 4", '<div class="related layout">'),
+        _when("page_id % 6 = 5", '<article><div class="related"><p>Also read about ', _ID, '</p></div>'),
+    ]
 )
+_CLOSED = ", ".join(
+    [
+        _when("page_id % 6 = 0", "</article></div>"),
+        _when("page_id % 6 = 1", '<nav><a href="/in">Within the story ', _ID, "</a></nav></article><p>After it ", _ID, "</p></main></div>"),
+        _when("page_id % 6 = 2", "</article></aside>"),
+        _when("page_id % 6 = 3", '</article><div class="share-bar"><p>Pass on ', _ID, "</p><article><p>Inner piece ", _ID, "</p></article></div></div></section>"),
+        _when("page_id % 6 = 4", "</div>"),
+        _when("page_id % 6 = 5", "</article>"),
+    ]
+)
+WRAPPED = f"replace(replace(html, '<article>', concat({_OPENED})), '</article>', concat({_CLOSED}))"
 # One byte that no UTF-8 sequence starts with, put in front of the article.
 BAD_BYTE = "unhex('93')"
 STREAM_TIME = "timestamp '2024-01-01 00:00:00'"
@@ -91,6 +149,10 @@ def unstructured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).withColumn("html", F.expr(UNSTRUCTURED))
 
 
+def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages(spark, sf_dir).withColumn("html", F.expr(WRAPPED))
+
+
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as bytes, a tenth of them with one bad byte inside."""
     damaged = (

@@ -18,9 +18,7 @@ from pagewinnow.functions import patterns
 from pagewinnow.operators import blocks as B
 from pagewinnow.operators import metadata as M
 from pagewinnow.operators.links import FURNITURE_IMAGE
-from pagewinnow.operators.markup import REGIONS
-
-REGION_NAMES = REGIONS[:-1]
+from pagewinnow.operators.markup import FLAGS as REGION_NAMES
 
 
 class _Patterns:
@@ -45,7 +43,7 @@ def names(words) -> str:
 
 
 def with_tables(tables: list[tuple[str, str]], final: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in tables) + "\n" + final
+    return "WITH RECURSIVE " + ",\n".join(f"{name} AS ({body})" for name, body in tables) + "\n" + final
 
 
 # -- expressions -----------------------------------------------------------
@@ -117,10 +115,14 @@ def clean(html: str) -> str:
     return f"regexp_replace({html} || {lit(P.CLOSING_TAIL)}, {lit(P.DROPPED)}, '', 'g')"
 
 
+# an anchor and its text: quoted values first, whatever they hold
+ANCHOR = r"""(?is)<a(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?>(.*?)</a"""
+
 # -- shared tables ---------------------------------------------------------
 
 PLAIN_PAGES = ("src", "SELECT page_id, url, html FROM pages")
 INJECTED = ("src", f"SELECT page_id, url, {X.INJECTED} AS html FROM pages")
+WRAPPED = ("src", f"SELECT page_id, url, {X.WRAPPED} AS html FROM pages")
 BASES = (
     "bases",
     "SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN 'https://gazette.example.com/p/' || page_id ELSE url END AS base FROM pages",
@@ -165,7 +167,8 @@ def regions(pruned: str | None = None) -> list[tuple[str, str]]:
     m = lambda pattern: f"regexp_matches({word}, {lit(pattern)})"
     opened = {
         "content": f"tag IN ('article', 'main') OR role = 'main' OR {m(P.CONTENT_WORDS)}",
-        "chrome": f"tag IN ('nav', 'footer', 'aside', 'menu', 'dialog') OR {m(P.CHROME_WORDS)}",
+        "furniture": "tag IN ('nav', 'footer', 'aside', 'menu', 'dialog')",
+        "wrapper": m(P.CHROME_WORDS),
         "header": "tag = 'header'",
         "table": "tag = 'table'",
         "comments": m(P.COMMENT_WORDS),
@@ -176,17 +179,12 @@ def regions(pruned: str | None = None) -> list[tuple[str, str]]:
         opened["pruned"] = pruned
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     opens = ", ".join(
-        f"CASE WHEN NOT closing AND tag NOT IN ({unpaired}) AND ({test}) THEN 1 ELSE 0 END AS o_{r}"
+        f"coalesce(NOT closing AND tag NOT IN ({unpaired}) AND ({test}), false) AS o_{r}"
         for r, test in opened.items()
     )
-    ends = ", ".join(
-        f"coalesce(lag(o_{r}) OVER (PARTITION BY page_id, tag, lvl ORDER BY pos), 0) AS e_{r}"
-        for r in opened
-    )
-    inside = ", ".join(
-        f"sum(o_{r} - e_{r}) OVER (PARTITION BY page_id ORDER BY pos {so_far}) > 0 AS in_{r}"
-        for r in opened
-    )
+    plain = [r for r in opened if r != "wrapper"]
+    inside = ", ".join(f"bool_or(c.o_{r}) AS i_{r}" for r in plain)
+    flags = ", ".join(f"coalesce(i_{r}, false) AS in_{r}" for r in plain)
     by_tag = f"OVER (PARTITION BY page_id, tag ORDER BY pos {so_far})"
     css = ", ".join(
         f"CASE WHEN contains(attrs, '=') THEN lower({attribute(chr(39) + ' ' + chr(39) + ' || attrs', a)}) ELSE '' END AS {n}"
@@ -205,8 +203,23 @@ def regions(pruned: str | None = None) -> list[tuple[str, str]]:
             f"SELECT *, CASE WHEN tag IN ({names(P.OPTIONAL_END_TAGS)}) THEN 1 "
             "WHEN closing THEN s - least(0, low) + 1 ELSE s - least(0, low) END AS lvl FROM lowest",
         ),
-        ("ended", f"SELECT *, {ends} FROM levelled"),
-        ("placed", f"SELECT *, {inside} FROM ended"),
+        # an element lasts until the next tag of its name on its level, or to the end
+        (
+            "intervals",
+            "SELECT *, coalesce(lead(pos) OVER (PARTITION BY page_id, tag, lvl ORDER BY pos), 2147483647) AS until FROM levelled",
+        ),
+        ("containers", f"SELECT * FROM intervals WHERE {' OR '.join(f'o_{r}' for r in opened)}"),
+        (
+            "surrounded",
+            f"SELECT t.page_id, t.pos, {inside}, max(c.pos) FILTER (c.o_content) AS content_from, "
+            "max(c.pos) FILTER (c.o_wrapper) AS wrapper_from FROM levelled t JOIN containers c "
+            "ON c.page_id = t.page_id AND c.pos <= t.pos AND t.pos < c.until GROUP BY t.page_id, t.pos",
+        ),
+        (
+            "placed",
+            f"SELECT l.*, {flags}, coalesce(i_furniture OR wrapper_from >= coalesce(content_from, -1), false) AS in_chrome "
+            "FROM levelled l LEFT JOIN surrounded USING (page_id, pos)",
+        ),
     ]
 
 
@@ -215,7 +228,7 @@ def block_rows(source: tuple[str, str] = INJECTED) -> list[tuple[str, str]]:
         f"len(regexp_extract_all(body, {lit(P.ANCHOR_OPEN)})) - len(regexp_extract_all(body, {lit(P.ANCHOR_CLOSE)}))"
     )
     scope = "(CASE WHEN is_open THEN '<a>' ELSE '' END || body || '</a>')"
-    linked = f"array_to_string(regexp_extract_all({scope}, {lit(P.ANCHOR_TEXT)}, 1), ' ')"
+    linked = f"array_to_string(regexp_extract_all({scope}, {lit(ANCHOR)}, 1), ' ')"
     return [
         source,
         *block_grain(),
@@ -293,12 +306,51 @@ def line_kept(x: str) -> str:
 def inner_html(links: str = "links", images: str = "images") -> str:
     """Inline markup, with anchors and images kept by the option columns."""
     keep = "chr(4) || '\\1' || chr(5)"
-    x = f"CASE WHEN {links} THEN regexp_replace(rel, {lit(P.KEPT_LINK)}, {keep}, 'g') ELSE rel END"
+    x = f"CASE WHEN {links} THEN regexp_replace(rel, {lit(P.KEPT_LINK)}, chr(6) || '\\1' || chr(7), 'g') ELSE rel END"
     x = f"CASE WHEN {images} THEN regexp_replace({x}, {lit(P.KEPT_IMAGE)}, {keep}, 'g') ELSE {x} END"
-    shown = f"translate({bare(x)}, chr(4) || chr(5), '<>')"
+    x = f"regexp_replace({x}, {lit(P.LINE_BREAK)}, ' ', 'g')"
+    x = f"regexp_replace({x}, {lit(P.MARK_TAG)}, chr(6) || '\\1\\2' || chr(7), 'g')"
+    x = f"regexp_replace({x}, {lit(P.ANY_TAG)}, '', 'g')"
+    shown = f"translate(regexp_replace({matched_marks(x)}, {lit(P.MARKED)}, '', 'g'), chr(4) || chr(5), '<>')"
     return f"CASE WHEN tag = 'pre' THEN {line_kept(shown)} ELSE {squash(shown)} END"
 
 
+def matched_marks(x: str) -> str:
+    """Name by name, so that no pattern has to refer to what it found; the tables nest two names at most."""
+    open_, close = "\x06", "\x07"
+    for _ in range(2):
+        for name in (*P.INLINE_MARKS, "a"):
+            pair = f"(?i){open_}{name}((?:[ \\t\\r\\n\\f][^{open_}{close}]*)?){close}([^{open_}{close}]*){open_}/{name}[ \\t\\r\\n\\f]*{close}"
+            shown = f"chr(4) || '{name}\\1' || chr(5) || '\\2' || chr(4) || '/{name}' || chr(5)"
+            x = f"regexp_replace({x}, {lit(pair)}, {shown}, 'g')"
+    return x
+
+
+def brackets() -> list[tuple[str, str]]:
+    """Lists, tables, closed rows and quotations as intervals of one nesting."""
+    page = "(PARTITION BY page_id ORDER BY pos)"
+    alike = "(PARTITION BY page_id, tag ORDER BY pos)"
+    named = names(t for t in P.NESTING_TAGS if t != "tr")
+    return [
+        (
+            "stepped",
+            f"SELECT *, CASE WHEN tag IN ({named}) THEN CASE WHEN closing THEN -1 ELSE 1 END "
+            f"WHEN tag = 'tr' AND closing AND NOT lag(closing) OVER {alike} THEN -1 "
+            f"WHEN tag = 'tr' AND NOT closing AND lead(closing) OVER {alike} THEN 1 ELSE 0 END AS step FROM placed",
+        ),
+        ("summed_steps", f"SELECT *, sum(step) OVER {page} AS st FROM stepped"),
+        (
+            "stacked",
+            f"SELECT *, st - least(0, min(st) OVER {page}) + CASE WHEN step < 0 THEN 1 ELSE 0 END AS stack FROM summed_steps",
+        ),
+        (
+            "brackets",
+            "SELECT * FROM (SELECT *, coalesce(lead(pos) OVER (PARTITION BY page_id, stack ORDER BY pos), 2147483647) AS ending "
+            "FROM stacked WHERE step <> 0) WHERE step > 0",
+        ),
+    ]
+
+
 def streams(option_rows: str, min_chars: int = 250, base: str | None = None) -> list[tuple[str, str]]:
     """Four streams per option row and page; the fallback pass is separate."""
     allowed = "(NOT in_teaser OR teasers) AND (NOT in_bottom OR bottoms) AND (NOT in_table OR NOT no_tables)"
@@ -325,20 +377,47 @@ def streams(option_rows: str, min_chars: int = 250, base: str | None = None) ->
             f"SELECT o.option_id, blks.*, links, images, {rel} AS rel, "
             f"{seen} AND in_content AND NOT in_chrome AND NOT in_comments AND {allowed} AS k_main, "
             f"{seen} AND NOT in_chrome AND (NOT in_header OR in_content) AND NOT in_comments AND {allowed} AS k_base, "
+            f"{seen} AND NOT in_furniture AND (NOT in_header OR in_content) AND NOT in_comments AND {allowed} AS k_loose, "
             f"{seen} AND in_comments AND NOT no_comments AS k_comment "
             f"FROM blks CROSS JOIN opts o JOIN levels USING (focus){join}",
         ),
         ("inners", f"SELECT *, {inner_html()} AS inside FROM labelled_blocks"),
         ("elements", f"SELECT *, '<' || {name} || '>' || inside || '</' || {name} || '>' AS html FROM inners"),
+        *brackets(),
+        (
+            "nests",
+            f"SELECT option_id, n.page_id, n.pos, n.tag, n.ending, n.stack, in_content AND NOT in_chrome AND NOT in_comments AND {allowed} AS k_main, "
+            "in_comments AND NOT no_comments AS k_comment FROM brackets n CROSS JOIN opts o JOIN levels USING (focus)",
+        ),
+        # an element stays where it holds a block that stays
+        (
+            "holding",
+            "SELECT n.option_id, n.page_id, n.pos, n.tag, n.ending, n.stack, bool_or(n.k_main AND e.k_main) AS k_main, "
+            "bool_or(n.k_comment AND e.k_comment) AS k_comment FROM nests n JOIN elements e ON e.option_id = n.option_id "
+            "AND e.page_id = n.page_id AND e.block_no >= n.pos AND e.block_no < n.ending GROUP BY 1, 2, 3, 4, 5, 6",
+        ),
+        (
+            "events",
+            "SELECT option_id, page_id, block_no AS pos, 1 AS part, 0 AS place, html, k_main, k_comment FROM elements "
+            "UNION ALL SELECT option_id, page_id, pos, 0, 0, '<' || tag || '>', k_main, k_comment FROM holding "
+            "UNION ALL SELECT option_id, page_id, ending, 0, -stack, '</' || tag || '>', k_main, k_comment FROM holding",
+        ),
+        (
+            "htmls",
+            "SELECT option_id, page_id, coalesce(string_agg(html, '' ORDER BY pos, part, place) FILTER (k_main), '') AS main_html, "
+            "coalesce(string_agg(html, '' ORDER BY pos, part, place) FILTER (k_comment), '') AS comments_html FROM events GROUP BY 1, 2",
+        ),
         (
             "gathered",
-            f"SELECT option_id, page_id, {agg('text', 'k_main', 'chr(10)')} AS main_text, {agg('html', 'k_main', lit(''))} AS main_html, "
-            f"{agg('text', 'k_base', 'chr(10)')} AS base_text, {agg('text', 'k_comment', 'chr(10)')} AS comments_text, "
-            f"{agg('html', 'k_comment', lit(''))} AS comments_html FROM elements GROUP BY option_id, page_id",
+            f"SELECT option_id, page_id, {agg('text', 'k_main', 'chr(10)')} AS main_text, any_value(main_html) AS main_html, "
+            f"{agg('text', 'k_base', 'chr(10)')} AS strict_text, {agg('text', 'k_loose', 'chr(10)')} AS loose_text, "
+            f"{agg('text', 'k_comment', 'chr(10)')} AS comments_text, "
+            "any_value(comments_html) AS comments_html FROM elements JOIN htmls USING (option_id, page_id) GROUP BY option_id, page_id",
         ),
         (
             "judged_pages",
-            f"SELECT *, length(main_text) < {min_chars} AND length(base_text) > length(main_text) AS rescued FROM gathered",
+            f"SELECT *, length(main_text) < {min_chars} AND length(base_text) > length(main_text) AS rescued FROM (SELECT *, "
+            f"CASE WHEN main_text = '' AND strict_text = '' AND length(loose_text) >= {min_chars} THEN loose_text ELSE strict_text END AS base_text FROM gathered)",
         ),
         (
             "result",
@@ -393,7 +472,7 @@ def second_pass() -> list[tuple[str, str]]:
     """Main, baseline and statistical pass side by side, with their scores."""
     allowed = "(NOT in_teaser OR teasers) AND (NOT in_bottom OR bottoms)"
     texts = lambda flag: f"coalesce(string_agg(text, chr(10) ORDER BY block_no) FILTER ({flag} AND text <> ''), '')"
-    score = lambda flag: f"coalesce(sum(n_chars - link_chars) FILTER ({flag}), 0)"
+    score = lambda flag: f"greatest(coalesce(sum(n_chars - link_chars) FILTER ({flag}), 0), 0)"
     return [
         *block_rows(UNSTRUCTURED),
         features(),
@@ -403,31 +482,78 @@ def second_pass() -> list[tuple[str, str]]:
             "passes",
             f"SELECT *, n_chars > 0 AND in_content AND NOT in_chrome AND NOT in_comments AND {allowed} AS k_main, "
             f"n_chars > 0 AND NOT in_chrome AND (NOT in_header OR in_content) AND NOT in_comments AND {allowed} AS k_base, "
+            f"n_chars > 0 AND NOT in_furniture AND (NOT in_header OR in_content) AND NOT in_comments AND {allowed} AS k_loose, "
             f"keep AND NOT in_comments AND {allowed} AS k_second FROM smooth WHERE focus = 'balanced'",
         ),
         (
             "scored",
-            f"SELECT page_id, {texts('k_main')} AS m, {texts('k_base')} AS b, {texts('k_second')} AS s, "
+            f"SELECT page_id, {texts('k_main')} AS m, {texts('k_base')} AS strict, {texts('k_loose')} AS loose, {texts('k_second')} AS s, "
             f"{score('k_main')} AS ms, {score('k_second')} AS ss FROM passes GROUP BY page_id",
         ),
         ("picked", "SELECT *, CASE WHEN (ms < 250 OR ss > 2 * ms) AND ss > ms THEN 'second' ELSE 'main' END AS chosen FROM scored"),
         ("shown", "SELECT *, CASE WHEN chosen = 'second' THEN s ELSE m END AS t FROM picked"),
-        ("rescues", "SELECT *, length(t) < 250 AND length(b) > length(t) AS rescued FROM shown"),
+        ("based", "SELECT *, CASE WHEN t = '' AND strict = '' AND length(loose) >= 250 THEN loose ELSE strict END AS b FROM shown"),
+        ("rescues", "SELECT *, length(t) < 250 AND length(b) > length(t) AS rescued FROM based"),
     ]
 
 
 # -- metadata --------------------------------------------------------------
 
 
+def linked_data() -> list[tuple[str, str]]:
+    """Linked-data items, and the names that references between them lead to, step by step."""
+    earliest = lambda c: f"arg_min({c}, place) FILTER ({c} IS NOT NULL)"
+    return [
+        (
+            "ld_list",
+            "SELECT page_id, list_concat([j::JSON], coalesce(json_extract(j, '$.\"@graph\"[*]'), [])) AS l FROM ld WHERE j <> ''",
+        ),
+        ("ld_nodes", "SELECT page_id, unnest(l) AS node, generate_subscripts(l, 1) AS i FROM ld_list"),
+        (
+            "ld_named",
+            "SELECT page_id, json_extract_string(node, '$.\"@id\"') AS id, json_extract(node, '$.name') AS name FROM ld_nodes "
+            "WHERE json_extract(node, '$.\"@id\"') IS NOT NULL AND json_extract(node, '$.name') IS NOT NULL",
+        ),
+        (
+            "ld_walk",
+            "SELECT page_id, id AS start, name, [id] AS path FROM ld_named UNION ALL "
+            "SELECT w.page_id, w.start, n.name, list_append(w.path, n.id) FROM ld_walk w JOIN ld_named n "
+            "ON n.page_id = w.page_id AND n.id = json_extract_string(w.name, '$.\"@id\"') WHERE NOT list_contains(w.path, n.id)",
+        ),
+        (
+            "ld_resolved",
+            "SELECT page_id, start AS id, any_value(json_extract_string(name, '$')) AS value FROM ld_walk "
+            "WHERE json_type(name) = 'VARCHAR' GROUP BY page_id, start",
+        ),
+        (
+            "ld_people",
+            "SELECT page_id, i, k, unnest(l) AS a FROM (SELECT page_id, i, unnest([1]) AS k, CASE json_type(json_extract(node, '$.author')) "
+            "WHEN 'ARRAY' THEN json_extract(node, '$.author[*]') ELSE [json_extract(node, '$.author')] END AS l FROM ld_nodes)",
+        ),
+        (
+            "ld_authors",
+            "SELECT p.page_id, p.i, nullif(string_agg(coalesce(json_extract_string(a, '$.name'), r.value), '; '), '') AS author "
+            "FROM ld_people p LEFT JOIN ld_resolved r ON r.page_id = p.page_id AND r.id = json_extract_string(a, '$.\"@id\"') GROUP BY 1, 2",
+        ),
+        (
+            "ld_items",
+            "SELECT page_id, CASE WHEN regexp_matches(coalesce(json_extract_string(node, '$.\"@type\"'), ''), 'Article') THEN 0 ELSE 1000 END + i AS place, "
+            "json_extract_string(node, '$.headline') AS title, author, json_extract_string(node, '$.datePublished') AS date, "
+            "json_extract_string(node, '$.\"@type\"') AS type FROM ld_nodes LEFT JOIN ld_authors USING (page_id, i)",
+        ),
+        (
+            "linked",
+            f"SELECT page_id, {', '.join(f'{earliest(c)} AS {c}' for c in ('title', 'author', 'date', 'type'))} FROM ld_items GROUP BY page_id",
+        ),
+    ]
+
+
 def metadata_tables(
     source: tuple[str, str] = INJECTED, supplied: str = "url", override: str | None = None
 ) -> list[tuple[str, str]]:
     ranks = ", ".join(f"({lit(s)}, '{f}', {r})" for s, f, r in M.RANKED)
-    ld_paths = {"headline": "$.headline", "author": "$.author.name", "datePublished": "$.datePublished", "@type": '$."@type"'}
-    ld = " UNION ALL ".join(
-        f"SELECT page_id, 0, {lit('ld:' + n)}, json_extract_string(j, {lit(path)}) FROM ld WHERE j <> ''"
-        for n, path in ld_paths.items()
-    )
+    ld_names = {"headline": "title", "author": "author", "datePublished": "date", "@type": "type"}
+    ld = " UNION ALL ".join(f"SELECT page_id, 0, {lit('ld:' + n)}, {column} FROM linked" for n, column in ld_names.items())
     iso = "regexp_replace(regexp_replace(value, '^\\s*(\\d{4})[-/](\\d{2})[-/](\\d{2})(?:$|[^0-9].*)', '\\1-\\2-\\3'), '^\\s*(\\d{4})(\\d{2})(\\d{2})(?:$|[T\\s].*)', '\\1-\\2-\\3')"
     day = f"CASE WHEN regexp_matches({iso}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast({iso} AS DATE) END"
     pick = lambda f: f"max(value) FILTER (field = '{f}')"
@@ -448,6 +574,7 @@ def metadata_tables(
             f"{squash(unescape('value'))} AS value FROM meta_keyed WHERE key <> ''",
         ),
         ("ld", f"SELECT page_id, regexp_extract(html, {lit(P.JSON_LD)}, 1) AS j FROM src"),
+        *linked_data(),
         ("ranks", f"SELECT * FROM (VALUES {ranks}) v(source, field, rank)"),
         (
             "elements_found",
@@ -785,6 +912,10 @@ def _oracles() -> dict[str, str]:
         "rescue_short_pages": one_run(
             "SELECT page_id, rescued, content_text, content_html FROM result", min_chars=1500
         ),
+        "nested_containers": with_tables(
+            block_rows(WRAPPED), "SELECT page_id, block_no, in_content, in_chrome, in_furniture FROM blks WHERE n_chars > 0"
+        ),
+        "wrapped_pages": one_run("SELECT page_id, rescued, content_text, content_html FROM result", source=WRAPPED),
         "assemble": one_run("SELECT page_id, content_text, content_html FROM result"),
         "keep_links_and_images": with_tables(
             [
@@ -822,8 +953,7 @@ def _oracles() -> dict[str, str]:
         ),
         "meta_pairs": meta_query("SELECT page_id, pos, key, value FROM pairs"),
         "jsonld_fields": meta_query(
-            "SELECT page_id, json_extract_string(j, '$.headline') AS title, json_extract_string(j, '$.author.name') AS author, "
-            "json_extract_string(j, '$.datePublished') AS date, json_extract_string(j, '$.\"@type\"') AS type FROM ld WHERE j <> ''"
+            "SELECT page_id, title, author, date, type FROM linked"
         ),
         "metadata_fields": meta_query(f"SELECT page_id, {META_COLUMNS} FROM meta"),
         "null_if_empty": (

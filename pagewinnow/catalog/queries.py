@@ -27,7 +27,7 @@ SIZE_CAP = 2600
 PRUNED = ".ad, h1, a"
 DATE_OVERRIDE = dt.date(2001, 2, 3)
 MAX_BLOCK_PAGES = 5
-REGION_FLAGS = [f"in_{r}" for r in markup.REGIONS[:-1]]
+REGION_FLAGS = [f"in_{r}" for r in markup.FLAGS]
 FOCUS_SWEEP = [ExtractOptions(focus=f) for f in B.THRESHOLDS]
 OPTION_SETS = [
     DEFAULTS,
@@ -156,6 +156,16 @@ def fallback_select(spark, d):
     return A.assemble(rows, options).select("page_id", "chosen", "rescued", "content_text")
 
 
+def nested_containers(spark, d):
+    rows = _blocks(X.wrapped(spark, d)).where("n_chars > 0")
+    return rows.select("page_id", "block_no", "in_content", "in_chrome", "in_furniture")
+
+
+def wrapped_pages(spark, d):
+    rows = A.label_passes(_blocks(X.wrapped(spark, d)), DEFAULTS)
+    return A.assemble(rows, DEFAULTS).select("page_id", "rescued", "content_text", "content_html")
+
+
 def assemble(spark, d):
     return _streams(X.injected(spark, d)).select("page_id", "content_text", "content_html")
 
@@ -513,7 +523,7 @@ REGISTERED: dict[str, Query] = {
             size_gate, utf8_gate, encoding_profile, lossy_decode, strip_bom, markup_tokens,
             region_state, block_tokens, blocks, block_features, classify_blocks, smooth_blocks,
             prune_blocks, exclude_tables, split_comments, exclude_comments, rescue_short_pages,
-            fallback_select, assemble, keep_links_and_images, link_edges, host_degrees, image_rows,
+            fallback_select, nested_containers, wrapped_pages, assemble, keep_links_and_images, link_edges, host_degrees, image_rows,
             image_inventory, dedup_blocks, dedup_blocks_by_host, duplicate_pages, meta_pairs,
             jsonld_fields, metadata_fields, null_if_empty, resolve_url, publication_date, date_override,
             exclude_authors, tag_terms, detect_language, language_gate, essential_metadata_gate,

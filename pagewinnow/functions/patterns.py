@@ -25,7 +25,8 @@ BLANKS = "[ \\t\\r\\n\\f\u00a0]+"
 # Marks that segment the markup; removed from the input first.
 SEGMENT, PART, TAIL = "\x01", "\x02", "\x03"
 KEEP_OPEN, KEEP_CLOSE = "\x04", "\x05"
-MARKS = SEGMENT + PART + TAIL + KEEP_OPEN + KEEP_CLOSE
+MARK_OPEN, MARK_CLOSE = "\x06", "\x07"
+MARKS = SEGMENT + PART + TAIL + KEEP_OPEN + KEEP_CLOSE + MARK_OPEN + MARK_CLOSE
 
 # Elements whose whole content is dropped before tokenizing.
 DROPPED_ELEMENTS = ("script", "style", "noscript", "template", "iframe", "svg")
@@ -56,8 +57,14 @@ OPTIONAL_END_TAGS = (
     "dd", "dt", "li", "optgroup", "option", "p", "tbody", "td", "tfoot", "th", "thead", "tr",
 )
 HEADING_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+# Elements that stay around the blocks inside them in the HTML stream.
+NESTING_TAGS = ("blockquote", "dl", "ol", "table", "tr", "ul")
+# Inline elements that stay in the HTML stream, without attributes.
+INLINE_MARKS = ("b", "code", "del", "em", "i", "ins", "kbd", "q", "s", "strong", "sub", "sup", "u")
+# So many inline elements inside each other are kept; of more the outer ones go.
+MARK_DEPTH = 4
 # Block tags that keep their own name in the HTML stream; others become div.
-OUTPUT_TAGS = (*HEADING_TAGS, "blockquote", "caption", "dd", "dt", "figcaption", "li", "p", "pre", "td", "th")
+OUTPUT_TAGS = (*HEADING_TAGS, "caption", "dd", "dt", "figcaption", "li", "p", "pre", "td", "th")
 
 
 def block_tag(names: tuple[str, ...] | None = BLOCK_TAGS) -> str:
@@ -85,9 +92,17 @@ def attribute(name: str) -> str:
     return rf"(?i)^(?:<[^ \t\r\n\f/>]*+)?+(?:{gap}++(?!{wanted})(?:{other}|=))*+{gap}++{wanted}({value})"
 
 
-ANCHOR_TEXT = rf"(?is)<a(?:[ \t\r\n\f][^<>]*)?>(.*?)</a"
+ANCHOR_TEXT = rf"(?is)<a(?:[ \t\r\n\f]{_ATTRS}|[ \t\r\n\f][^<>]*)?>(.*?)</a"
 ANCHOR_OPEN = r"(?i)<a[ \t\r\n\f>]"
 ANCHOR_CLOSE = r"(?i)</a[ \t\r\n\f>]"
+# A tag of a kept inline element; and, of tags that are marked, two that match with no other one between them.
+MARK_TAG = rf"(?i)<(/?)({'|'.join(INLINE_MARKS)})(?:[ \t\r\n\f]{_ATTRS}|[ \t\r\n\f][^<>]*)?/?>"
+MARKED = f"{MARK_OPEN}[^{MARK_OPEN}{MARK_CLOSE}]*{MARK_CLOSE}"
+MARK_PAIR = (
+    rf"(?i){MARK_OPEN}({'|'.join((*INLINE_MARKS, 'a'))})(|[ \t\r\n\f][^{MARK_OPEN}{MARK_CLOSE}]*){MARK_CLOSE}"
+    rf"([^{MARK_OPEN}{MARK_CLOSE}]*+){MARK_OPEN}/\1{WS}*{MARK_CLOSE}"
+)
+EMPTY_NEST = rf"<({'|'.join(NESTING_TAGS)})></\1>"
 KEPT_LINK = rf"(?i)<(a(?:[ \t\r\n\f]{_ATTRS}|[ \t\r\n\f][^<>]*)?|/a{WS}*)>"
 KEPT_IMAGE = rf"(?i)<(img(?:[ \t\r\n\f/]{_ATTRS}|[ \t\r\n\f/][^<>]*)?)>"
 JSON_LD = r"""(?is)<script[^<>]*application/ld\+json[^<>]*>(.*?)</script"""

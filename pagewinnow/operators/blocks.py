@@ -61,7 +61,7 @@ def blocks(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         "page_id",
         "pos AS block_no",
         "CASE WHEN closing OR tag = '' THEN 'p' ELSE tag END AS tag",
-        *[c for c in rows.columns if c.startswith("in_")],
+        *[c for c in rows.columns if c.startswith(("in_", "mark_"))],
         "css_class",
         "css_id",
         "body",
@@ -125,49 +125,74 @@ def baseline_label(options) -> str:
     )
 
 
+def loose_label(options) -> str:
+    """Last resort: as the rescue pass, but only tags make page furniture.
+
+    For pages that lie in one wrapper whose class or id sounds like furniture.
+    """
+    return (
+        f"{visible(options)} AND NOT in_furniture AND (NOT in_header OR in_content) "
+        f"AND NOT in_comments AND {allowed_by_options(options)}"
+    )
+
+
 def comment_label(options) -> str:
     return f"{visible(options)} AND in_comments AND NOT {options.sql('exclude_comments')}"
 
 
-def classify_blocks(features: DataFrame, options) -> DataFrame:
-    """Statistical label, blind to containers: good, near, short, bad or blank.
+def nest_labels(options) -> dict[str, str]:
+    """Which lists and tables each pass may keep around its blocks."""
+    allowed = allowed_by_options(options)
+    return {
+        "main": f"in_content AND NOT in_chrome AND NOT in_comments AND {allowed}",
+        "comment": f"in_comments AND NOT {options.sql('exclude_comments')}",
+        "second": f"NOT in_comments AND {allowed} AND {options.sql('enable_fallback')}",
+    }
+
+
+def statistical_label(options) -> str:
+    """Blind to containers: good, near, short, bad or blank.
 
     Headings and blocks a little too short that read like prose are ``near``;
     the neighbour pass decides on them.
     """
     focus = options.sql("focus")
     min_chars, max_links = threshold(focus, 0), threshold(focus, 1)
-    return features.selectExpr(
-        "*",
+    return (
         "CASE WHEN n_chars = 0 THEN 'blank' "
         f"WHEN link_density > {max_links} THEN 'bad' "
         f"WHEN n_chars >= {min_chars} THEN 'good' "
         f"WHEN tag IN ({listed(P.HEADING_TAGS)}) THEN 'near' "
         f"WHEN n_chars * 2 >= {min_chars} AND n_stop > 0 THEN 'near' "
-        "ELSE 'short' END AS label",
+        "ELSE 'short' END"
     )
 
 
-def smooth_blocks(labelled: DataFrame, keys: Sequence[str] = ("page_id",)) -> DataFrame:
+def classify_blocks(features: DataFrame, options) -> DataFrame:
+    """Add the statistical label as ``label``."""
+    return features.selectExpr("*", f"{statistical_label(options)} AS label")
+
+
+def smooth_blocks(labelled: DataFrame, keys: Sequence[str] = ("page_id",), labels: Sequence[str] = ("label",)) -> DataFrame:
     """Context pass: ``near`` follows either decided neighbour, ``short`` both.
 
-    Adds ``keep``.  The nearest good or bad block on each side decides; the
-    edge of the page counts as bad.  The following side is a descending running
-    frame: one pass, where a frame open at the far end would be rescanned for
-    every row.
+    Adds ``keep`` for ``label`` (``keep_x`` for a column ``label_x``).  The
+    nearest good or bad block on each side decides; the edge of the page counts
+    as bad.  The following side is a descending running frame: one pass, where a
+    frame open at the far end would be rescanned for every row.
     """
-    decided = "last(CASE WHEN label IN ('good', 'bad') THEN label END, true)"
     page = f"PARTITION BY {', '.join(keys)} ORDER BY block_no"
-    return (
-        labelled.selectExpr(
-            "*",
-            f"coalesce({decided} OVER ({page} {_ROWS_BEFORE}), 'bad') = 'good' AS _before",
-            f"coalesce({decided} OVER ({page} DESC {_ROWS_BEFORE}), 'bad') = 'good' AS _after",
-        )
-        .selectExpr(
-            "*",
-            "label = 'good' OR (label = 'near' AND (_before OR _after)) "
-            "OR (label = 'short' AND _before AND _after) AS keep",
-        )
-        .drop("_before", "_after")
-    )
+
+    def sides(name: str) -> list[str]:
+        decided = f"last(CASE WHEN {name} IN ('good', 'bad') THEN {name} END, true)"
+        return [
+            f"coalesce({decided} OVER ({page} {_ROWS_BEFORE}), 'bad') = 'good' AS _before_{name}",
+            f"coalesce({decided} OVER ({page} DESC {_ROWS_BEFORE}), 'bad') = 'good' AS _after_{name}",
+        ]
+
+    kept = [
+        f"{n} = 'good' OR ({n} = 'near' AND (_before_{n} OR _after_{n})) "
+        f"OR ({n} = 'short' AND _before_{n} AND _after_{n}) AS {n.replace('label', 'keep')}"
+        for n in labels
+    ]
+    return labelled.selectExpr("*", *[x for n in labels for x in sides(n)]).selectExpr(*labelled.columns, *kept)

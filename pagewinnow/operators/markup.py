@@ -19,9 +19,14 @@ from pagewinnow.functions.text import attribute, listed, quoted
 from pagewinnow.functions.utf8 import without_bom
 from pagewinnow.options import OptionError
 
-# What an open container says about the rows inside it, one bit each.
-REGIONS = ("content", "chrome", "header", "table", "comments", "teaser", "bottom", "pruned")
+# What an open container says about the rows inside it, one bit each.  ``furniture``
+# is an element that is page furniture by its tag, ``wrapper`` one that is by its words.
+REGIONS = ("content", "furniture", "header", "table", "comments", "teaser", "bottom", "wrapper", "pruned")
 BIT = {name: 1 << i for i, name in enumerate(REGIONS)}
+# What rows are told: ``chrome`` follows from furniture, wrappers and content.
+FLAGS = ("content", "chrome", "furniture", "header", "table", "comments", "teaser", "bottom")
+# Wrappers nested deeper than this count as one level.
+_WRAPPER_LEVELS = 4
 
 _CONTENT_TAGS = ("article", "main")
 _CHROME_TAGS = ("nav", "footer", "aside", "menu", "dialog")
@@ -143,7 +148,8 @@ def _opened_regions(selector: str | None) -> str:
 
     tests = {
         "content": f"tag IN ({listed(_CONTENT_TAGS)}) OR role = 'main' OR {named(P.CONTENT_WORDS)}",
-        "chrome": f"tag IN ({listed(_CHROME_TAGS)}) OR {named(P.CHROME_WORDS)}",
+        "furniture": f"tag IN ({listed(_CHROME_TAGS)})",
+        "wrapper": named(P.CHROME_WORDS),
         "header": "tag = 'header'",
         "table": "tag = 'table'",
         "comments": named(P.COMMENT_WORDS),
@@ -156,15 +162,25 @@ def _opened_regions(selector: str | None) -> str:
     return f"CASE WHEN closing OR tag IN ({_UNPAIRED}) THEN 0 ELSE {bits} END"
 
 
-def region_state(tokens: DataFrame, selector: str | None = None) -> DataFrame:
+def region_state(tokens: DataFrame, selector: str | None = None, nested: bool = False) -> DataFrame:
     """Add ``in_<region>`` flags: is this row inside an open element of a kind.
 
+    ``nested`` adds ``mark_step`` and ``mark_level`` too (see ``_marks``).
+
     An element ends at its own end tag: opening and closing tags of one name
     alternate within one nesting level, so the tag before a closing tag on the
-    same level is the one it closes.  All windows partition by ``page_id``
-    first and reuse the hash partitioning of the tokens.
+    same level is the one it closes.
+
+    ``in_chrome`` is page furniture: inside an element that is furniture by its
+    tag, or inside one that is by its class or id words (a wrapper), unless a
+    content container lies between.  A content container opens and closes at one
+    wrapper depth, so the innermost of both kinds is a content container where
+    one that opened at the present wrapper depth is still open.  An element that
+    is both counts as a wrapper.
+
+    All windows partition by ``page_id`` first and reuse the hash partitioning
+    of the tokens.
     """
-    regions = REGIONS if selector is not None else REGIONS[:-1]
     by_name = f"OVER (PARTITION BY page_id, tag ORDER BY pos {_ROWS_SO_FAR})"
     step = f"CASE WHEN tag IN ({_UNPAIRED}) THEN 0 WHEN closing THEN -1 ELSE 1 END"
     # nesting level that stray end tags cannot push below zero; an end tag
@@ -175,20 +191,59 @@ def region_state(tokens: DataFrame, selector: str | None = None) -> DataFrame:
         f"WHEN closing THEN {depth} + 1 ELSE {depth} END"
     )
     page = f"OVER (PARTITION BY page_id ORDER BY pos {_ROWS_SO_FAR})"
-    inside = [
-        f"sum((_opened & {BIT[name]}) - (_ended & {BIT[name]})) {page} > 0 AS in_{name}"
-        for name in regions
-    ]
-    return (
-        tokens.selectExpr("*", f"{_opened_regions(selector)} AS _opened", f"sum({step}) {by_name} AS _sum")
+
+    def still_open(name: str, test: str = "true") -> str:
+        return f"sum(CASE WHEN {test} THEN (_opened & {BIT[name]}) - (_ended & {BIT[name]}) ELSE 0 END) {page} > 0"
+
+    counted = [n for n in FLAGS if n != "chrome"] + (["pruned"] if selector is not None else [])
+    wrapper = BIT["wrapper"]
+    wrappers = f"sum((_opened & {wrapper}) - (_ended & {wrapper})) {page} / {wrapper}"
+    plain = f"((_opened | _ended) & {wrapper}) = 0"
+    at_depth = " ".join(
+        f"WHEN {n} THEN {still_open('content', f'_depth = {n} AND {plain}')}" for n in range(1, _WRAPPER_LEVELS + 1)
+    )
+    flags = [f"in_{n}" for n in FLAGS + (("pruned",) if selector is not None else ())]
+    rows = (
+        tokens.selectExpr("*", f"{_opened_regions(selector)} AS _opened", f"sum({step}) {by_name} AS _sum", *_marks(1))
         .selectExpr("*", f"min(_sum) {by_name} AS _low")
         .selectExpr("*", f"{level} AS _level")
         .selectExpr(
             "*",
             "coalesce(lag(_opened) OVER (PARTITION BY page_id, tag, _level ORDER BY pos), 0) AS _ended",
         )
-        .selectExpr(*tokens.columns, *inside)
+        .selectExpr(
+            "*",
+            *[f"{still_open(n)} AS in_{n}" for n in counted],
+            f"cast(least(greatest({wrappers}, 0), {_WRAPPER_LEVELS}) AS int) AS _depth",
+            *_marks(2),
+        )
+    )
+    inside = f"CASE _depth WHEN 0 THEN true {at_depth} END"
+    rows = rows.selectExpr("*", f"in_furniture OR NOT ({inside}) AS in_chrome", *_marks(3))
+    return rows.selectExpr(*tokens.columns, *flags, *(_marks(4) if nested else []))
+
+
+def _marks(stage: int) -> list[str]:
+    """Lists, tables, rows and quotations as one kind of bracket: ``mark_step`` and ``mark_level``.
+
+    A table row counts where it has an end tag of its own.  The level of an
+    opening tag is its depth, that of an end tag the depth it leaves; stray end
+    tags can't push the depth below zero.
+    """
+    alike = "OVER (PARTITION BY page_id, tag ORDER BY pos)"
+    page = f"OVER (PARTITION BY page_id ORDER BY pos {_ROWS_SO_FAR})"
+    named = listed(t for t in P.NESTING_TAGS if t != "tr")
+    step = (
+        f"CASE WHEN tag IN ({named}) THEN CASE WHEN closing THEN -1 ELSE 1 END "
+        "WHEN tag <> 'tr' THEN 0 WHEN closing AND NOT _tag_before THEN -1 WHEN NOT closing AND _tag_after THEN 1 ELSE 0 END"
     )
+    depth = "_mark_sum - least(0, min(_mark_sum) {page})".format(page=page)
+    return {
+        1: [f"lag(closing) {alike} AS _tag_before", f"lead(closing) {alike} AS _tag_after"],
+        2: [f"coalesce({step}, 0) AS mark_step", f"sum(coalesce({step}, 0)) {page} AS _mark_sum"],
+        3: [f"{depth} + CASE WHEN mark_step < 0 THEN 1 ELSE 0 END AS mark_level"],
+        4: ["mark_step", "cast(mark_level AS int) AS mark_level"],
+    }[stage]
 
 
 def prune_blocks(
@@ -201,7 +256,7 @@ def prune_blocks(
     aggregate groups within ``page_id``, so it needs no exchange of its own.
     """
     rows = region_state(
-        block_tokens(pages, carry, every_tag=True, co_located=co_located), selector
+        block_tokens(pages, carry, every_tag=True, co_located=co_located), selector, nested=True
     )
     is_block = f"(tag IN ({listed(P.BLOCK_TAGS)}) OR pos = 0)"
     inline_tag = "concat('<', CASE WHEN closing THEN '/' ELSE '' END, tag, attrs, '>')"
@@ -216,14 +271,15 @@ def prune_blocks(
         f"struct(pos, {markup} AS markup) AS _piece",
         f"{is_block} AS _is_block",
     )
-    flags = [f"in_{name}" for name in REGIONS[:-1]]
-    own = ["closing", "tag", "css_class", "css_id", "role", *flags, *carry]
+    flags = [f"in_{name}" for name in FLAGS]
+    own = ["closing", "tag", "css_class", "css_id", "role", *flags, "mark_step", "mark_level", *carry]
     pieces = "array_join(transform(array_sort(collect_list(_piece)), p -> p.markup), '') AS body"
     return (
         numbered.groupBy("page_id", "_block")
         .agg(
             F.expr(pieces),
             *[F.expr(f"first(CASE WHEN _is_block THEN {c} END, true) AS {c}") for c in own],
+            F.expr("coalesce(first(CASE WHEN _is_block THEN in_pruned END, true), false) AS in_pruned"),
         )
         .withColumnRenamed("_block", "pos")
     )
@@ -237,5 +293,5 @@ def page_blocks(
 ) -> DataFrame:
     """Block-grain rows of every page with their regions, pruned on request."""
     if selector is None:
-        return region_state(block_tokens(pages, carry, co_located=co_located))
+        return region_state(block_tokens(pages, carry, co_located=co_located), nested=True)
     return prune_blocks(pages, selector, carry, co_located)

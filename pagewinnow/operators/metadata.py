@@ -67,6 +67,11 @@ _LD_INSIDE = {
     "image": ("url", "contentUrl", "@id"),
     "@type": ("@id",),
 }
+# Where the value of an object that is only named, by its ``@id``, lies in the object that has that name.
+_LD_TARGET = {("name",): "name", ("url", "contentUrl", "@id"): "media"}
+# Objects of a page that can be referred to, the first ones in document order; it bounds the work on
+# hostile pages.  So many doublings follow any chain between them to its end.
+MOST_TARGETS, _DOUBLINGS = 1000, 10
 # Several values of these are kept, joined; of the others the first one counts.
 _LD_JOINED = {"author": "; ", "articleSection": ",", "keywords": ","}
 # Items that describe the page's own text come before those about its site.
@@ -112,15 +117,19 @@ def _ld_blocks(html: str) -> str:
     return f"CASE WHEN contains({html}, 'ld+json') THEN nullif({found}, cast(array() AS array<string>)) END"
 
 
-def _ld_items(blocks: str) -> str:
-    """Items of all blocks, lists and graphs as one array, articles first, then in document order.
-
-    Every property is kept as written: plain text, or the JSON of a list or object.
-    """
+def _ld_whole(blocks: str) -> str:
+    """The JSON of the items of all blocks, lists and graphs, in document order."""
     some = lambda x: f"coalesce(from_json({x}, 'array<string>'), cast(array() AS array<string>))"
     top = f"flatten(transform({blocks}, j -> CASE WHEN ltrim(j) LIKE '[%' THEN {some('j')} ELSE array(j) END))"
     graph = quoted("$['@graph']")
-    whole = f"flatten(transform({top}, j -> concat(array(j), {some(f'get_json_object(j, {graph})')})))"
+    return f"flatten(transform({top}, j -> concat(array(j), {some(f'get_json_object(j, {graph})')})))"
+
+
+def _ld_items(whole: str) -> str:
+    """Items as one array, articles first, then in document order.
+
+    Every property is kept as written: plain text, or the JSON of a list or object.
+    """
     schema = ", ".join(f"`{name}` STRING" for name in _LD_INSIDE)
     parsed = f"transform({whole}, (j, i) -> struct(i AS i, from_json(j, {quoted(schema)}) AS item))"
     known = f"filter({parsed}, x -> x.item IS NOT NULL)"
@@ -128,12 +137,82 @@ def _ld_items(blocks: str) -> str:
     return f"transform(array_sort(transform({known}, x -> struct({first} AS later, x.i AS i, x.item AS item))), x -> x.item)"
 
 
-def _ld_value(items: str, name: str) -> str:
-    """The property of the first item that has it; lists and named objects count with all their values."""
+def _json(x: str, key: str) -> str:
+    path = quoted(f"$['{key}']")
+    return f"trim(get_json_object({x}, {path}))"
+
+
+def _is_object(x: str) -> str:
+    return f"({x} LIKE '{{%' AND {x} LIKE '%}}')"
+
+
+def _ld_targets(whole: str) -> str:
+    """``map<@id, struct<name, media>>`` of the objects that a page refers to; NULL where nothing is referred to.
+
+    Objects count where they are items, and one level below, as values of a
+    property.  Of those with one ``@id`` each value is taken from the first that
+    has it.  A value may be a reference again: names are followed from object to
+    object, each round doubling the way, until every chain has ended.  A chain
+    that leads back to itself, or to an object that the page lacks, has no value.
+    """
+    inner = (
+        f"flatten(transform({whole}, j -> flatten(transform(filter(coalesce(map_values(from_json(j, 'map<string,string>')), "
+        "cast(array() AS array<string>)), v -> contains(v, '@id')), v -> CASE WHEN ltrim(v) LIKE '[%' "
+        "THEN coalesce(from_json(v, 'array<string>'), cast(array() AS array<string>)) ELSE array(v) END))))"
+    )
+    objects = f"filter(concat({whole}, {inner}), o -> contains(o, '@id'))"
+
+    def known(value: str) -> str:
+        """Plain text of a value, or where it leads."""
+        leads = f"CASE WHEN {_is_object('v.v')} AND {_json('v.v', '@value')} IS NULL THEN {_json('v.v', '@id')} END"
+        plain = f"CASE WHEN {_is_object('v.v')} THEN {_json('v.v', '@value')} ELSE v.v END"
+        return f"get(transform(array(struct({value} AS v)), v -> struct(nullif({plain}, '') AS text, {leads} AS next)), 0)"
+
+    named = (
+        f"filter(transform({objects}, o -> struct({_json('o', '@id')} AS id, {known(_json('o', 'name'))} AS name, "
+        f"{known('coalesce(' + _json('o', 'url') + ', ' + _json('o', 'contentUrl') + ')')} AS media)), "
+        "x -> x.id <> '' AND (x.name.text IS NOT NULL OR x.name.next IS NOT NULL OR x.media.text IS NOT NULL OR x.media.next IS NOT NULL))"
+    )
+    # (id, value, next) of each kind; the first object of a name that has a value counts
+    chains = (
+        "flatten(transform(array('name', 'media'), k -> transform(filter(_named, x -> CASE k WHEN 'name' "
+        "THEN coalesce(x.name.text, x.name.next) ELSE coalesce(x.media.text, x.media.next) END IS NOT NULL), "
+        "x -> struct(concat(k, ' ', x.id) AS id, CASE k WHEN 'name' THEN x.name.text ELSE x.media.text END AS text, "
+        "CASE k WHEN 'name' THEN concat(k, ' ', x.name.next) ELSE concat(k, ' ', x.media.next) END AS next))))"
+    ).replace("_named", f"slice({named}, 1, {MOST_TARGETS})")
+    fields = "struct(e.text AS text, e.next AS next)"
+    first = (
+        f"transform(array(struct({chains} AS c)), q -> transform(q.c, (e, i) -> struct(e.id AS id, {fields} AS value, "
+        "array_position(transform(q.c, y -> y.id), e.id) = i + 1 AS first)))"
+    )
+    table = f"map_from_entries(transform(filter(get({first}, 0), e -> e.first), e -> struct(e.id, e.value)))"
+    onward = "try_element_at(m, v.next)"
+    step = (
+        "transform_values(m, (k, v) -> CASE WHEN v.text IS NOT NULL OR v.next IS NULL THEN v "
+        f"ELSE coalesce({onward}, struct(cast(NULL AS string) AS text, cast(NULL AS string) AS next)) END)"
+    )
+    settled = f"aggregate(sequence(1, {_DOUBLINGS}), {table}, (m, i) -> CASE WHEN exists(map_values(m), v -> v.text IS NULL AND v.next IS NOT NULL) THEN {step} ELSE m END)"
+    return f"CASE WHEN exists({whole}, j -> contains(j, '@id')) THEN transform_values({settled}, (k, v) -> v.text) END"
+
+
+def _ld_value(items: str, name: str, targets: str) -> str:
+    """The property of the first item that has it; lists and named objects count with all their values.
+
+    An object that has no value of its own but an ``@id`` has that of the object
+    it refers to.
+    """
     raw = f"filter(transform({items}, x -> trim(x.`{name}`)), v -> v <> '')"
     parts = "CASE WHEN v LIKE '[%' THEN coalesce(from_json(v, 'array<string>'), array(v)) ELSE array(v) END"
-    inside = ", ".join(f"get_json_object(e, {quoted(path)})" for path in (f"$['{k}']" for k in _LD_INSIDE[name]))
-    plain = f"CASE WHEN e LIKE '{{%' AND e LIKE '%}}' THEN coalesce({inside}, '') ELSE e END"
+    keys = _LD_INSIDE[name]
+    own = [_json("e", k) for k in keys if k != "@id" or len(keys) == 1]
+    # a name can be an object again: its value, or where it leads
+    own = [f"CASE WHEN {_is_object(x)} THEN {_json(x, '@value')} ELSE {x} END" if k == "name" else x for k, x in zip(keys, own)]
+    if keys in _LD_TARGET:
+        kind = _LD_TARGET[keys]
+        leads = f"coalesce({_json(_json('e', 'name'), '@id')}, {_json('e', '@id')})" if kind == "name" else _json("e", "@id")
+        own.append(f"CASE WHEN {targets} IS NOT NULL THEN try_element_at({targets}, concat('{kind} ', {leads})) END")
+    own += [_json("e", "@id")] if "@id" in keys and len(keys) > 1 else []
+    plain = f"CASE WHEN {_is_object('e')} THEN coalesce({', '.join(own)}, '') ELSE e END"
     values = f"transform({raw}, v -> filter(transform({parts}, e -> trim({plain})), e -> e <> ''))"
     found = f"get(filter({values}, l -> size(l) > 0), 0)"
     return f"array_join({found}, '{_LD_JOINED[name]}')" if name in _LD_JOINED else f"get({found}, 0)"
@@ -145,8 +224,9 @@ def jsonld_fields(pages: DataFrame) -> DataFrame:
     return (
         pages.selectExpr("page_id", f"{_ld_blocks('html')} AS _ld")
         .where("_ld IS NOT NULL")
-        .selectExpr("page_id", f"{_ld_items('_ld')} AS _items")
-        .selectExpr("page_id", *[f"{squash(_ld_value('_items', n))} AS {a}" for a, n in named.items()])
+        .selectExpr("page_id", f"{_ld_whole('_ld')} AS _whole")
+        .selectExpr("page_id", f"{_ld_items('_whole')} AS _items", f"{_ld_targets('_whole')} AS _targets")
+        .selectExpr("page_id", *[f"{squash(_ld_value('_items', n, '_targets'))} AS {a}" for a, n in named.items()])
     )
 
 
@@ -164,7 +244,7 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
         "dom:canonical": _link_href("_head", "canonical"),
         "dom:license": _link_href("_head", "license"),
         "dom:lang": attribute("_root", "lang"),
-        **{f"ld:{name}": _ld_value("_items", name) for name in _LD_INSIDE},
+        **{f"ld:{name}": _ld_value("_items", name, "_targets") for name in _LD_INSIDE},
     }
     from_elements = ", ".join(
         f"struct('{field}' AS field, {rank} AS rank, 0 AS pos, {elements[source]} AS value)"
@@ -185,11 +265,11 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
         pages.selectExpr(
             *carry,
             f"{head_of('html')} AS _head",
-            f"{_ld_blocks('html')} AS _ld",
+            f"CASE WHEN contains(html, 'ld+json') THEN {_ld_whole(_ld_blocks('html'))} END AS _ld",
             f"{_first_element(_TEXT, _H1, 'h1')} AS _h1",
             f"regexp_extract(coalesce(html, ''), {quoted(P.named_tag('html'))}, 0) AS _root",
         )
-        .selectExpr("*", f"{meta_array('_head')} AS _metas", f"{_ld_items('_ld')} AS _items")
+        .selectExpr("*", f"{meta_array('_head')} AS _metas", f"{_ld_items('_ld')} AS _items", f"{_ld_targets('_ld')} AS _targets")
         .selectExpr(*carry, f"filter(concat({from_meta}, array({from_elements})), {usable}) AS _cands")
     )
 

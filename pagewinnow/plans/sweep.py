@@ -1,56 +1,151 @@
 """Many option sets over one corpus in one job.
 
-Tokenizing, regions, text and features are worked out once per page; the
-option sets, a literal list, multiply the finished block rows inside their
-task.  The statistical pass is only worked out for sets that ask for it.  Grouping by ``(option_id, page_id)`` is satisfied by the hash
-partitioning on ``page_id``, so the sweep exchanges nothing more.
+Tokenizing, regions, text, features and labels are worked out once per page.  A
+block row carries one bitmap per pass, whose bits tell which option sets keep
+it; rules that several sets share are evaluated once, labels of the statistical
+pass once per focus, HTML once per choice of links and images.  The page
+aggregate is that of the extraction job, and only finished page rows multiply.
+Grouping by ``page_id`` is satisfied by the hash partitioning on it, so the
+sweep exchanges nothing more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from pagewinnow.operators import assemble as A
 from pagewinnow.operators import blocks as B
-from pagewinnow.options import SWEEPABLE_KEYS, ExtractOptions, OptionError, SweptOptions
+from pagewinnow.options import SWEEPABLE_KEYS, ExtractOptions, OptionError
 from pagewinnow.plans.extract import content_blocks, gated_pages, page_records
 
+#: option sets of one word of a bitmap
+WORD = 62
 
-def _option_rows(option_sets: Sequence[ExtractOptions]) -> str:
+
+def _checked(option_sets: Sequence[ExtractOptions]) -> list[ExtractOptions]:
     if not option_sets:
         raise OptionError("a sweep takes at least one option set")
-    plain = ExtractOptions()
     for options in option_sets:
-        for key in vars(plain):
+        for key in vars(option_sets[0]):
             if key not in SWEEPABLE_KEYS and getattr(options, key) != getattr(option_sets[0], key):
                 raise OptionError(f"{key}: cannot differ between the option sets of a sweep")
-    sets = ", ".join(
-        f"struct({i} AS option_id, "
-        + ", ".join(f"{options.sql(key)} AS {key}" for key in SWEEPABLE_KEYS)
-        + ")"
-        for i, options in enumerate(option_sets)
+    return list(option_sets)
+
+
+def _bitmap(tests: Sequence[str]) -> str:
+    """``array<bigint>`` with a bit for each test that holds; equal tests are made once."""
+    owners: dict[str, list[int]] = {}
+    for i, test in enumerate(tests):
+        owners.setdefault(test, []).append(i)
+    words = []
+    for w in range(-(-len(tests) // WORD)):
+        masks = {t: sum(1 << i % WORD for i in own if i // WORD == w) for t, own in owners.items() if t != "false"}
+        bits = [f"CASE WHEN {t} THEN {m}L ELSE 0L END" for t, m in masks.items() if m]
+        words.append(" + ".join(bits) or "0L")
+    return f"array({', '.join(words)})"
+
+
+def _index(values: Sequence) -> tuple[list, list[int]]:
+    """Distinct values, and the place of each value among them."""
+    distinct = list(dict.fromkeys(values))
+    return distinct, [distinct.index(v) for v in values]
+
+
+def _second(options: ExtractOptions) -> str:
+    if not options.enable_fallback:
+        return "false"
+    return f"keep_{options.focus} AND NOT in_comments AND {B.allowed_by_options(options)}"
+
+
+PASS_TESTS: dict[str, Callable[[ExtractOptions], str]] = {
+    "main": B.structural_label,
+    "base": B.baseline_label,
+    "loose": B.loose_label,
+    "comment": B.comment_label,
+    "second": _second,
+}
+
+
+def swept_pages(rows: DataFrame, sets: list[ExtractOptions], base: str | None, min_chars: int) -> DataFrame:
+    """One row per page: its kept blocks with their bitmaps, and the scores of the sets that fall back."""
+    focuses = sorted({o.focus for o in sets if o.enable_fallback})
+    if focuses:
+        rows = B.block_features(rows)
+        labels = [f"{B.statistical_label(ExtractOptions(focus=f))} AS label_{f}" for f in focuses]
+        rows = B.smooth_blocks(rows.selectExpr("*", *labels), labels=[f"label_{f}" for f in focuses])
+    if base is not None:
+        rows = rows.withColumn("_base", F.expr(f"first({base}, true) OVER (PARTITION BY page_id ORDER BY block_no ROWS UNBOUNDED PRECEDING)"))
+    variants, _ = _index([(o.include_links, o.include_images) for o in sets])
+    for i, (links, images) in enumerate(variants):
+        shown = A.block_html(rows, ExtractOptions(include_links=links, include_images=images), base and "_base")
+        rows = shown.withColumnRenamed("inner", f"_inner_{i}")
+    bitmaps = {f"k_{p}": _bitmap([test(o) for o in sets]) for p, test in PASS_TESTS.items()}
+    rows = rows.selectExpr("*", *[f"{x} AS {name}" for name, x in bitmaps.items()])
+    some = " OR ".join(f"exists({name}, w -> w <> 0)" for name in bitmaps)
+    html = ", ".join(A.element(f"_inner_{i}") for i in range(len(variants)))
+    kept = f"CASE WHEN {some} THEN struct(block_no AS pos, text, array({html}) AS html, {', '.join(bitmaps)}) END"
+    outside = "NOT in_pruned AND " if "in_pruned" in rows.columns else ""
+    nests = ", ".join(
+        f"{_bitmap([outside + B.nest_labels(o)[p] if p != 'second' or o.enable_fallback else 'false' for o in sets])} AS k_{p}"
+        for p in A.NEST_PASSES
+    )
+    mark = f"CASE WHEN mark_step <> 0 THEN struct(mark_level AS level, block_no AS pos, mark_step AS step, tag AS name, {nests}) END"
+    score = "greatest(coalesce(sum(CASE WHEN {} THEN n_chars - link_chars END), 0), 0)".format
+    falling = [o for o in sets if o.enable_fallback]
+    scores = {
+        "_main_scores": [score(t) for t in _index([B.structural_label(o) for o in falling])[0]],
+        "_second_scores": [score(t) for t in _index([_second(o) for o in falling])[0]],
+    }
+    pages = rows.groupBy("page_id").agg(
+        F.expr(f"array_sort(collect_list({kept})) AS _kept"),
+        F.expr(f"array_sort(collect_list({mark})) AS _sorted"),
+        *[F.expr(f"array({', '.join(x) or '0L'}) AS {name}") for name, x in scores.items()],
     )
-    return f"explode(array({sets})) AS opt"
+    return pages.withColumn("_marks", F.expr(A.paired_marks("_sorted")))
 
 
-def option_sweep(
-    pages: DataFrame, option_sets: Sequence[ExtractOptions], co_located: bool = False
-) -> DataFrame:
+def option_sweep(pages: DataFrame, option_sets: Sequence[ExtractOptions], co_located: bool = False) -> DataFrame:
     """``option_id, page_id`` and the four streams, for every option set."""
-    multiplied, shared, keys = _option_rows(option_sets), option_sets[0], ("option_id", "page_id")
-    swept = SweptOptions(never=tuple(k for k in SWEEPABLE_KEYS if not any(getattr(o, k) for o in option_sets)))
-    needs_base = swept.possible("include_links") or swept.possible("include_images")
-    fallback = swept.possible("enable_fallback")
-    if needs_base:
-        records = page_records(pages, shared).selectExpr("page_id", "html", "record.metadata.url AS base")
-        rows = content_blocks(records, shared, ("base",), co_located)
+    sets, min_chars = _checked(option_sets), A.MIN_EXTRACTED_CHARS
+    base = "base" if any(o.include_links or o.include_images for o in sets) else None
+    if base:
+        records = page_records(pages, sets[0]).selectExpr("page_id", "html", "record.metadata.url AS base")
+        rows = content_blocks(records, sets[0], ("base",), co_located)
     else:
-        rows = content_blocks(gated_pages(pages, shared), shared, co_located=co_located)
-    if fallback:
-        rows = B.block_features(rows)
-    each = rows.selectExpr("*", multiplied).selectExpr("opt.option_id", "*")
-    labelled = A.label_passes(each, swept, keys, featured=fallback)
-    whole = A.assemble(labelled, swept, keys=keys, base="base" if needs_base else None)
-    return whole.select(*keys, *A.STREAMS)
+        rows = content_blocks(gated_pages(pages, sets[0]), sets[0], co_located=co_located)
+    found = swept_pages(rows, sets, base, min_chars)
+
+    variant = _index([(o.include_links, o.include_images) for o in sets])[1]
+    falling = [i for i, o in enumerate(sets) if o.enable_fallback]
+    scored = [dict(zip(falling, _index([label(sets[i]) for i in falling])[1], strict=True)) for label in (B.structural_label, _second)]
+    wanted = ", ".join(
+        f"struct({i} AS option_id, {i // WORD} AS word, {i % WORD} AS bit, {variant[i]} AS variant, "
+        f"{str(o.enable_fallback).lower()} AS falls, {scored[0].get(i, 0)} AS main, {scored[1].get(i, 0)} AS second)"
+        for i, o in enumerate(sets)
+    )
+
+    def stream(name: str, field: str) -> str:
+        return A.stream(name, field, f"getbit(get({{}}.k_{name}, o.word), o.bit) = 1", "get(b.html, o.variant)")
+
+    of = ", ".join(f"o.{f}" for f in ("option_id", "word", "bit", "variant"))
+    first, other = "get(_main_scores, o.main)", "get(_second_scores, o.second)"
+    better = f"o.falls AND ({first} < {min_chars} OR {other} > 2 * {first}) AND {other} > {first}"
+    chosen = f"transform(array({wanted}), o -> struct({of}, coalesce({better}, false) AS second))"
+    texts = f"transform(_chosen, o -> struct({of}, o.second, CASE WHEN o.second THEN {stream('second', 'text')} ELSE {stream('main', 'text')} END AS text))"
+    # the rescue passes are only put together where the text is short
+    strict = f"transform(_texts, o -> struct({of}, o.second, o.text, CASE WHEN length(o.text) < {min_chars} THEN {stream('base', 'text')} END AS strict))"
+    loose = f"CASE WHEN o.text = '' AND o.strict = '' THEN {stream('loose', 'text')} END"
+    bases = f"transform(_strict, o -> struct({of}, o.second, o.text, o.strict, {loose} AS loose))"
+    rescue = f"CASE WHEN length(o.loose) >= {min_chars} THEN o.loose WHEN length(o.strict) > length(o.text) THEN o.strict END"
+    rescued = f"transform(_bases, o -> struct({of}, o.second, o.text, {rescue} AS rescue))"
+    html = f"CASE WHEN o.rescue IS NOT NULL THEN {A.paragraph('o.rescue')} WHEN o.second THEN {stream('second', 'html')} ELSE {stream('main', 'html')} END"
+    done = (
+        f"transform(_rescued, o -> struct(o.option_id, coalesce(o.rescue, o.text) AS content_text, {stream('comment', 'text')} AS comments_text, "
+        f"{html} AS content_html, {stream('comment', 'html')} AS comments_html))"
+    )
+    for name, x in (("_chosen", chosen), ("_texts", texts), ("_strict", strict), ("_bases", bases), ("_rescued", rescued), ("_done", done)):
+        found = found.withColumn(name, F.expr(x))
+    finished = found.selectExpr("page_id", "inline(_done)")
+    return finished.select("option_id", "page_id", *A.STREAMS)

@@ -59,3 +59,42 @@ def test_tags_with_very_many_attributes(spark):
 def test_references_of_the_whole_standard(spark):
     (m,) = fields(spark, "<title>&Uuml;ber &Ouml;l &frac12; &ograve; &rarr; &iquest; &#00000000233; &lt&amp;lt;</title>")
     assert m.title == "Über Öl ½ ò → ¿ é &lt&lt;"
+
+
+def graph(*items):
+    return linked('{"@graph": [' + ", ".join(items) + "]}")
+
+
+def test_names_are_found_by_reference(spark):
+    story = '{"@type": "NewsArticle", "author": {"@id": "#ann"}, "publisher": {"@id": "#org"}, "image": {"@id": "#pic"}}'
+    ann, org = '{"@id": "#ann", "@type": "Person", "name": "Ann Lee"}', '{"@id": "#org", "name": {"@value": "The Org"}}'
+    pic = '{"@id": "#pic", "@type": "ImageObject", "contentUrl": "https://n.example/p.png"}'
+    inside = '{"@type": "WebPage", "isPartOf": {"@id": "#site", "name": "x"}, "about": [{"@id": "#ann", "name": "Ann Lee"}]}'
+    m = fields(
+        spark,
+        graph(story, ann, org, pic),
+        # in other blocks, and as a value of another item
+        linked(story, org, ann),
+        graph(inside, story),
+        linked('{"author": [{"@id": "#a"}, "Plain", {"@id": "#b"}]}', '[{"@id": "#a", "name": "One"}, {"@id": "#b", "name": "Two"}]'),
+    )
+    assert [x.author for x in m] == ["Ann Lee", "Ann Lee", "Ann Lee", "One; Plain; Two"]
+    assert [x.sitename for x in m[:3]] == ["The Org", "The Org", None]
+    assert [x.image for x in m[:3]] == ["https://n.example/p.png", "#pic", "#pic"]
+
+
+def test_references_that_lead_nowhere_or_in_circles(spark):
+    story = '{"@type": "NewsArticle", "headline": "H", "author": {"@id": "#0"}}'
+    ring = [f'{{"@id": "#{i}", "name": {{"@id": "#{(i + 1) % 5}"}}}}' for i in range(5)]
+    chain = [f'{{"@id": "#{i}", "name": {{"@id": "#{i + 1}"}}}}' for i in range(700)] + ['{"@id": "#700", "name": "Far"}']
+    m = fields(
+        spark,
+        graph(story),
+        graph(story, *ring),
+        graph(story, '{"@id": "#0", "name": {"@id": "#0"}}'),
+        graph(story, *reversed(chain)),
+        graph(story, '{"@id": "#0"}', '{"@id": "#0", "name": "Second"}', '{"@id": "#0", "name": "Third"}'),
+        graph(story, '{"@id": "#0", "name": ""}', '{"@id": "", "name": "No"}', '{"@id": "#0", "name": "Late"}', "5", "null", '{"@id": 7}'),
+    )
+    assert [x.author for x in m] == [None, None, None, "Far", "Second", "Late"]
+    assert {x.title for x in m} == {"H"}
