@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pagewinnow.sources.pages import read_pages
+
 _ID = "cast(page_id AS varchar(20))"
 
 
@@ -138,7 +140,7 @@ STREAM_TIME = "timestamp '2024-01-01 00:00:00'"
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return read_pages(spark, f"{sf_dir}/pages.parquet", min_partitions=spark.sparkContext.defaultParallelism)
 
 
 def injected(spark: SparkSession, sf_dir: str) -> DataFrame:

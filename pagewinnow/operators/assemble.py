@@ -25,32 +25,33 @@ NEST_PASSES = ("main", "comment", "second")
 PASSES = ("main", "base", "loose", "comment", "second")
 
 
-def block_html(rows: DataFrame, options, base: str | None = None) -> DataFrame:
+def block_html(rows: DataFrame, options, base: str | None = None, where: str = "true") -> DataFrame:
     """Add ``inner``: a block's inline markup, balanced.
 
     Emphasis, scripts above and below the line and code stay, without their
     attributes; anchors and images stay when asked for, with their targets made
     absolute against ``base``.  Tags are matched inside the block, innermost
     pairs first; a tag without a partner goes, and of two pairs that cross the
-    one that is matched last.  All other tags go.
+    one that is matched last.  All other tags go.  Only blocks ``where`` holds
+    for are worked on.
     """
-    kept = "body"
+    rows = rows.withColumn("inner", F.expr(f"CASE WHEN {where} THEN body END"))
+    kept = "inner"
     links, images = options.sql("include_links"), options.sql("include_images")
     marked = quoted(f"{P.MARK_OPEN}$1{P.MARK_CLOSE}")
     if options.possible("include_links") or options.possible("include_images"):
         if base is not None:
-            kept = f"CASE WHEN {links} OR {images} THEN {absolutize(kept, base)} ELSE {kept} END"
-        rows = rows.selectExpr("*", f"{kept} AS inner")
+            absolute = f"CASE WHEN ({links} OR {images}) AND contains(inner, '=') THEN {absolutize('inner', base)} ELSE inner END"
+            rows = rows.withColumn("inner", F.expr(absolute))
         keep_as = quoted(f"{P.KEEP_OPEN}$1{P.KEEP_CLOSE}")
         rows = rows.withColumn(
             "inner",
-            F.expr(f"CASE WHEN {links} THEN regexp_replace(inner, {quoted(P.KEPT_LINK)}, {marked}) ELSE inner END"),
+            F.expr(f"CASE WHEN {links} AND contains(inner, '<') THEN regexp_replace(inner, {quoted(P.KEPT_LINK)}, {marked}) ELSE inner END"),
         )
         rows = rows.withColumn(
             "inner",
-            F.expr(f"CASE WHEN {images} THEN regexp_replace(inner, {quoted(P.KEPT_IMAGE)}, {keep_as}) ELSE inner END"),
+            F.expr(f"CASE WHEN {images} AND contains(inner, '<') THEN regexp_replace(inner, {quoted(P.KEPT_IMAGE)}, {keep_as}) ELSE inner END"),
         )
-        kept = "inner"
     spaced = f"regexp_replace({kept}, {quoted(P.LINE_BREAK)}, ' ')"
     both = quoted(f"{P.MARK_OPEN}$1$2{P.MARK_CLOSE}")
     bare = f"regexp_replace(regexp_replace({spaced}, {quoted(P.MARK_TAG)}, {both}), {quoted(P.ANY_TAG)}, '')"
@@ -109,14 +110,16 @@ def assemble(
     neither finds a character, the text outside elements that are furniture by
     their tag is taken, if it has at least ``min_chars``.
     """
-    rows = labelled if "mark_step" in labelled.columns else labelled.selectExpr("*", "0 AS mark_step", "0 AS mark_level")
+    rows = labelled if "mark_step" in labelled.columns else labelled.selectExpr(
+        "*", "0 AS mark_step", "0 AS mark_level", "CASE WHEN block_no = 0 THEN 1 ELSE 0 END AS mark_copies"
+    )
     if base is not None:
         page = f"PARTITION BY {', '.join(keys)} ORDER BY block_no"
         rows = rows.withColumn(
             "_base", F.expr(f"first({base}, true) OVER ({page} ROWS UNBOUNDED PRECEDING)")
         )
-    rows = block_html(rows, options, "_base" if base is not None else None)
     flags = [f"k_{p}" for p in PASSES]
+    rows = block_html(rows, options, "_base" if base is not None else None, " OR ".join(flags))
     kept = (
         f"CASE WHEN {' OR '.join(flags)} THEN struct(block_no AS pos, text, "
         f"{element('inner')} AS html, {', '.join(flags)}) END"
@@ -132,6 +135,7 @@ def assemble(
         F.expr(f"{score.format('main')} AS main_score"),
         F.expr(f"{score.format('second')} AS second_score"),
         F.expr(f"max({options.sql('enable_fallback')}) AS _second_on"),
+        F.expr("sum(mark_copies) AS copies"),
         *[F.expr(f"first({c}, true) AS {c}") for c in carry],
     )
     pages = fallback_select(pages, "_second_on", min_chars)
@@ -141,6 +145,7 @@ def assemble(
         *keys,
         *carry,
         "chosen",
+        "copies",
         won.format(stream("second", "text"), stream("main", "text")) + " AS _text",
         won.format(stream("second", "html"), stream("main", "html")) + " AS _html",
         f"{stream('base', 'text')} AS _base_only",
@@ -149,7 +154,7 @@ def assemble(
         f"{stream('comment', 'html')} AS comments_html",
     )
     return rescue_short_pages(pages, min_chars).select(
-        *keys, *STREAMS, "chosen", "rescued", *carry
+        *keys, *STREAMS, "chosen", "rescued", "copies", *carry
     )
 
 

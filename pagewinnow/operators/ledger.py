@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from pagewinnow.operators.language import mismatch
 from pagewinnow.operators.metadata import missing_essential
 
-# The closed set of reasons; the last two only occur on imported snapshots.
+# The closed set of reasons; ``duplicate_id`` is ours and comes before all others, the last two only occur on imported snapshots.
 REASONS = (
     "input_too_large", "invalid_utf8", "language_mismatch", "missing_metadata",
-    "insufficient_content", "duplicate_content", "panic", "unknown",
+    "insufficient_content", "duplicate_content", "duplicate_id", "panic", "unknown",
 )
 LEDGER_COLUMNS = ("page_id", "url", "outcome", "reason", "reason_detail", "reason_offset")
 
@@ -30,10 +30,11 @@ def _first_failing(checks: list[tuple[str, str]]) -> str:
 def own_refusal(options) -> str:
     """First failing check a page can decide on its own, before the text checks.
 
-    Expects ``gate_reason, gate_offset, metadata, content_text, comments_text``.
+    Expects ``copies, gate_reason, gate_offset, metadata, content_text, comments_text``.
     """
     target = options.target_language
-    checks = [("gate_reason IS NOT NULL", _because("gate_reason", offset="gate_offset"))]
+    checks = [("copies > 1", _because("'duplicate_id'", "copies"))]
+    checks += [("gate_reason IS NOT NULL", _because("gate_reason", offset="gate_offset"))]
     if target is not None:
         checks.append((mismatch("metadata.language", target), _because("'language_mismatch'")))
     if options.has_essential_metadata:
@@ -43,16 +44,17 @@ def own_refusal(options) -> str:
     return _first_failing(checks)
 
 
-def refusal(options) -> str:
+def refusal(options, seen: bool = False) -> str:
     """``struct(reason, detail, offset)`` of the first failing check, else NULL.
 
     Expects ``_own`` (``own_refusal``), plus ``first_page`` with deduplication
-    and ``detected`` with a target language.
+    (and ``seen_page`` with an index of bodies ``seen`` before) and ``detected`` with a target language.
     """
     target = options.target_language
     checks = [("_own IS NOT NULL", "_own")]
     if options.deduplicate:
-        checks.append(("first_page < page_id", _because("'duplicate_content'")))
+        test = "first_page < page_id OR seen_page IS NOT NULL" if seen else "first_page < page_id"
+        checks.append((test, _because("'duplicate_content'")))
     if target is not None:
         checks.append((mismatch("detected", target), _because("'language_mismatch'", "detected")))
     return _first_failing(checks)

@@ -226,6 +226,8 @@ def region_state(tokens: DataFrame, selector: str | None = None, nested: bool =
 def _marks(stage: int) -> list[str]:
     """Lists, tables, rows and quotations as one kind of bracket: ``mark_step`` and ``mark_level``.
 
+    ``mark_copies`` is 1 on a page's first row: more in sum are pages of one id.
+
     A table row counts where it has an end tag of its own.  The level of an
     opening tag is its depth, that of an end tag the depth it leaves; stray end
     tags can't push the depth below zero.
@@ -242,7 +244,7 @@ def _marks(stage: int) -> list[str]:
         1: [f"lag(closing) {alike} AS _tag_before", f"lead(closing) {alike} AS _tag_after"],
         2: [f"coalesce({step}, 0) AS mark_step", f"sum(coalesce({step}, 0)) {page} AS _mark_sum"],
         3: [f"{depth} + CASE WHEN mark_step < 0 THEN 1 ELSE 0 END AS mark_level"],
-        4: ["mark_step", "cast(mark_level AS int) AS mark_level"],
+        4: ["mark_step", "cast(mark_level AS int) AS mark_level", "CASE WHEN pos = 0 THEN 1 ELSE 0 END AS mark_copies"],
     }[stage]
 
 
@@ -280,6 +282,7 @@ def prune_blocks(
             F.expr(pieces),
             *[F.expr(f"first(CASE WHEN _is_block THEN {c} END, true) AS {c}") for c in own],
             F.expr("coalesce(first(CASE WHEN _is_block THEN in_pruned END, true), false) AS in_pruned"),
+            F.expr("cast(sum(mark_copies) AS int) AS mark_copies"),
         )
         .withColumnRenamed("_block", "pos")
     )

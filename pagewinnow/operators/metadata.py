@@ -236,8 +236,11 @@ def _link_href(head: str, rel: str) -> str:
     return attribute(f"get({named}, 0)", "href")
 
 
-def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
-    """Add ``_cands``: array of ``(field, rank, pos, value)`` for each page."""
+def metadata_candidates(pages: DataFrame, carry: list[str], fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """Add ``_cands``: array of ``(field, rank, pos, value)`` for each page.
+
+    Sources that only other fields have are not looked at.
+    """
     elements = {
         "dom:title": _first_element("_head", _TITLE, "title"),
         "dom:h1": strip_tags("_h1"),
@@ -249,12 +252,12 @@ def metadata_candidates(pages: DataFrame, carry: list[str]) -> DataFrame:
     from_elements = ", ".join(
         f"struct('{field}' AS field, {rank} AS rank, 0 AS pos, {elements[source]} AS value)"
         for source, field, rank in RANKED
-        if source in elements
+        if source in elements and field in fields
     )
     ranks = ", ".join(
         f"'{source}', struct('{field}' AS field, {rank} AS rank)"
         for source, field, rank in RANKED
-        if source not in elements
+        if source not in elements and field in fields
     )
     from_meta = (
         "transform(transform(_metas, (m, i) -> struct(try_element_at(_ranks, m.key) AS r, i AS i, m.value AS v)), "
@@ -323,6 +326,20 @@ def supplied_url(pages: DataFrame, options) -> str:
     return own if options.original_url is None else quoted(options.original_url)
 
 
+def document_url(pages: DataFrame, options, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``base``: the URL that ``metadata_fields`` gives, without the other fields."""
+    kept = list(dict.fromkeys(["page_id", *carry]))
+    with_base = pages.withColumn("_supplied", F.expr(supplied_url(pages, options)))
+    cands = metadata_candidates(with_base, [*kept, "_supplied"], ("url",))
+    found = f"get(transform(array({_best(quoted('url'))}), v -> {blank_to_null(squash(unescape('v')))}), 0)"
+    return cands.selectExpr(*kept, "_supplied", f"{found} AS _url").selectExpr(*kept, f"{_placed_url()} AS base")
+
+
+def _placed_url() -> str:
+    own = f"CASE WHEN _supplied IS NOT NULL THEN {resolve('_url', '_supplied')} ELSE _url END"
+    return f"coalesce({own}, _supplied)"
+
+
 def metadata_fields(pages: DataFrame, options, carry: tuple[str, ...] = ()) -> DataFrame:
     """Add ``metadata``: the thirteen-field struct, absent as NULL or ``[]``."""
     kept = list(dict.fromkeys(["page_id", *carry]))
@@ -344,8 +361,7 @@ def metadata_fields(pages: DataFrame, options, carry: tuple[str, ...] = ()) -> D
         f"{_joined_authors()} AS _author",
         *[f"{_all_of_best_source(f)} AS _{f}" for f in LIST_FIELDS],
     ).selectExpr("*", *[f"get(_values, {i}) AS _{f}" for i, f in enumerate(scalars)])
-    own_url = f"CASE WHEN _supplied IS NOT NULL THEN {resolve('_url', '_supplied')} ELSE _url END"
-    placed = decoded.withColumn("_url", F.expr(f"coalesce({own_url}, _supplied)"))
+    placed = decoded.withColumn("_url", F.expr(_placed_url()))
     special = {
         "author": exclude_authors("_author", options.excluded_authors),
         "hostname": host_of("_url"),

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from pagewinnow.functions.text import squash
 from pagewinnow.session import durable
 
+#: bitmaps of the Bloom filter, and the bits that Spark gives each
+FILTER_PARTS, FILTER_BITS = 1024, 32768
+
 
 def normal_text(text: str, host: str) -> str:
     """Text as compared across pages: own host name out, case and blanks folded."""
@@ -81,19 +84,63 @@ def dedup_blocks(block_rows: DataFrame, max_df: int, by_host: bool = False) -> D
     )
 
 
-def duplicate_pages(extracted: DataFrame, text: str = "content_text", among: str = "true") -> DataFrame:
+def duplicate_pages(
+    extracted: DataFrame, text: str = "content_text", among: str = "true", seen: DataFrame | None = None
+) -> DataFrame:
     """Add ``first_page``: smallest ``page_id`` with the same body.
 
     NULL for a body seen once or blank, and for pages outside the condition
     ``among``; a page is a duplicate when ``first_page < page_id``.  No ranking
     window, which would sort all copies of one body in a single task, and only
     ``page_id`` and the hash are shuffled, never the text.
+
+    With ``seen(body, first_page)``, an index of bodies of earlier runs (see
+    ``new_bodies``), ``seen_page`` is added: the page that a body was first seen
+    on, NULL for new ones.
     """
-    hashed = durable(
-        extracted.where(among).selectExpr("page_id", f"{content_hash(text)} AS _body")
-    )
+    return with_firsts(extracted, body_hashes(extracted, text, among), seen)
+
+
+def body_hashes(extracted: DataFrame, text: str = "content_text", among: str = "true") -> DataFrame:
+    """``page_id, _body`` of the pages in question, worked out once."""
+    return durable(extracted.where(among).selectExpr("page_id", f"{content_hash(text)} AS _body"))
+
+
+def with_firsts(extracted: DataFrame, hashed: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     groups = hashed.join(body_firsts(hashed), "_body").select("page_id", "first_page")
-    return extracted.join(groups, "page_id", "left")
+    done = extracted.join(groups, "page_id", "left")
+    if seen is None:
+        return done
+    hits = hashed.join(seen_bodies(hashed, seen), "_body").select("page_id", "seen_page")
+    return done.join(hits, "page_id", "left")
+
+
+def seen_bodies(hashed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Bodies of ``hashed`` that the index has: ``_body, seen_page``.
+
+    A Bloom filter of the new bodies goes over the index first, where it lies,
+    so that what is exchanged follows the new pages and not the index.  The
+    filter is ``FILTER_PARTS`` bitmaps of 4 KB whatever the input.
+    """
+    place = "pmod(xxhash64({}), {})".format
+    bits = FILTER_PARTS * FILTER_BITS
+    new = hashed.where("_body IS NOT NULL").selectExpr(f"{place('_body', bits)} AS place")
+    parts = new.groupBy(F.expr(f"place div {FILTER_BITS}").alias("part")).agg(
+        F.expr(f"bitmap_construct_agg(place % {FILTER_BITS})").alias("bits")
+    )
+    placed = seen.selectExpr("body AS _body", "first_page", f"{place('body', bits)} AS place")
+    byte = f"cast(conv(hex(substr(bits, cast(place % {FILTER_BITS} div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    # at most FILTER_PARTS rows of 4 KB
+    maybe = placed.join(F.broadcast(parts), F.expr(f"place div {FILTER_BITS} = part")).where(
+        f"(shiftright({byte}, cast(place % 8 AS int)) & 1) = 1"
+    )
+    return maybe.groupBy("_body").agg(F.min("first_page").alias("seen_page"))
+
+
+def new_bodies(hashed: DataFrame, seen: DataFrame) -> DataFrame:
+    """What an index lacks of the bodies of ``hashed``: ``body, first_page``."""
+    firsts = hashed.where("_body IS NOT NULL").groupBy("_body").agg(F.min("page_id").alias("first_page"))
+    return firsts.join(seen_bodies(hashed, seen), "_body", "left_anti").select(F.col("_body").alias("body"), "first_page")
 
 
 def body_firsts(hashed: DataFrame) -> DataFrame:

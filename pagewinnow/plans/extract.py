@@ -18,7 +18,7 @@ from pagewinnow.operators.intake import gate_reason
 from pagewinnow.operators.language import detect_language
 from pagewinnow.operators.markup import page_blocks
 from pagewinnow.operators.metadata import FIELDS, metadata_fields
-from pagewinnow.operators.repeats import duplicate_pages
+from pagewinnow.operators.repeats import body_hashes, with_firsts
 from pagewinnow.options import ExtractOptions
 
 EXTRACTED_COLUMNS = ("page_id", "url", *A.STREAMS, "metadata")
@@ -63,11 +63,22 @@ def process(
 ) -> DataFrame:
     """Every page once: streams, metadata, and ``outcome`` with its reason.
 
-    ``page_id`` must be unique.  Set ``co_located`` when the table is bucketed
-    on ``page_id`` to run without the exchange.  ``deduplicate`` takes a second
-    pass over the pages, whose only result is a hash per page.
+    Pages that share a ``page_id`` are one row, refused as ``duplicate_id`` with
+    their number; their texts are not put together.  Set ``co_located`` when the
+    table is bucketed on ``page_id`` to run without the exchange.
+    ``deduplicate`` takes a second pass over the pages, whose only result is a
+    hash per page.
+    """
+    return process_with_bodies(pages, ExtractOptions.of(options, **overrides), co_located)[0]
+
+
+def process_with_bodies(
+    pages: DataFrame, options: ExtractOptions, co_located: bool = False, seen: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """``process``, and with ``deduplicate`` the bodies that count, ``page_id, _body``.
+
+    Bodies in ``seen(body, first_page)`` make later copies duplicates as well.
     """
-    options = ExtractOptions.of(options, **overrides)
     carry: tuple[str, ...] = ("record",)
     records = page_records(pages, options)
     needs_base = options.include_links or options.include_images
@@ -79,16 +90,20 @@ def process(
     result = A.assemble(
         A.label_passes(rows, options), options, carry=carry, base="base" if needs_base else None
     )
-    result = result.select("page_id", *A.STREAMS, "record.*")
+    clear = [f"CASE WHEN copies > 1 THEN '' ELSE {c} END AS {c}" for c in A.STREAMS]
+    own = ["CASE WHEN copies = 1 THEN record.{0} END AS {0}".format(c) for c in ("url", "gate_reason", "gate_offset", "metadata")]
+    result = result.selectExpr("page_id", *clear, *own, "copies")
     if options.target_language is not None:
         result = detect_language(result, "content_text")
     result = result.withColumn("_own", F.expr(Q.own_refusal(options)))
+    bodies = None
     if options.deduplicate:
         # a page refused for its own reasons does not make later copies duplicates
-        result = duplicate_pages(result, among="_own IS NULL")
-    return result.withColumn("_refusal", F.expr(Q.refusal(options))).selectExpr(
-        *EXTRACTED_COLUMNS, *Q.OUTCOME_COLUMNS
-    )
+        bodies = body_hashes(result, among="_own IS NULL")
+        result = with_firsts(result, bodies, seen)
+    refusal = Q.refusal(options, seen is not None)
+    done = result.withColumn("_refusal", F.expr(refusal)).selectExpr(*EXTRACTED_COLUMNS, *Q.OUTCOME_COLUMNS)
+    return done, bodies
 
 
 def extract(pages: DataFrame, options=None, **overrides) -> DataFrame:

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from pagewinnow.operators import assemble as A
 from pagewinnow.operators import blocks as B
+from pagewinnow.operators.metadata import document_url
 from pagewinnow.options import SWEEPABLE_KEYS, ExtractOptions, OptionError
-from pagewinnow.plans.extract import content_blocks, gated_pages, page_records
+from pagewinnow.plans.extract import content_blocks, gated_pages
 
 #: option sets of one word of a bitmap
 WORD = 62
@@ -77,15 +78,15 @@ def swept_pages(rows: DataFrame, sets: list[ExtractOptions], base: str | None, m
         rows = B.smooth_blocks(rows.selectExpr("*", *labels), labels=[f"label_{f}" for f in focuses])
     if base is not None:
         rows = rows.withColumn("_base", F.expr(f"first({base}, true) OVER (PARTITION BY page_id ORDER BY block_no ROWS UNBOUNDED PRECEDING)"))
+    bitmaps = {f"k_{p}": _bitmap([test(o) for o in sets]) for p, test in PASS_TESTS.items()}
+    some = " OR ".join(f"exists({name}, w -> w <> 0)" for name in bitmaps)
+    rows = rows.selectExpr("*", *[f"{x} AS {name}" for name, x in bitmaps.items()]).selectExpr("*", f"{some} AS _some")
     variants, _ = _index([(o.include_links, o.include_images) for o in sets])
     for i, (links, images) in enumerate(variants):
-        shown = A.block_html(rows, ExtractOptions(include_links=links, include_images=images), base and "_base")
+        shown = A.block_html(rows, ExtractOptions(include_links=links, include_images=images), base and "_base", "_some")
         rows = shown.withColumnRenamed("inner", f"_inner_{i}")
-    bitmaps = {f"k_{p}": _bitmap([test(o) for o in sets]) for p, test in PASS_TESTS.items()}
-    rows = rows.selectExpr("*", *[f"{x} AS {name}" for name, x in bitmaps.items()])
-    some = " OR ".join(f"exists({name}, w -> w <> 0)" for name in bitmaps)
     html = ", ".join(A.element(f"_inner_{i}") for i in range(len(variants)))
-    kept = f"CASE WHEN {some} THEN struct(block_no AS pos, text, array({html}) AS html, {', '.join(bitmaps)}) END"
+    kept = f"CASE WHEN _some THEN struct(block_no AS pos, text, array({html}) AS html, {', '.join(bitmaps)}) END"
     outside = "NOT in_pruned AND " if "in_pruned" in rows.columns else ""
     nests = ", ".join(
         f"{_bitmap([outside + B.nest_labels(o)[p] if p != 'second' or o.enable_fallback else 'false' for o in sets])} AS k_{p}"
@@ -102,17 +103,18 @@ def swept_pages(rows: DataFrame, sets: list[ExtractOptions], base: str | None, m
         F.expr(f"array_sort(collect_list({kept})) AS _kept"),
         F.expr(f"array_sort(collect_list({mark})) AS _sorted"),
         *[F.expr(f"array({', '.join(x) or '0L'}) AS {name}") for name, x in scores.items()],
+        F.expr("sum(mark_copies) AS copies"),
     )
     return pages.withColumn("_marks", F.expr(A.paired_marks("_sorted")))
 
 
 def option_sweep(pages: DataFrame, option_sets: Sequence[ExtractOptions], co_located: bool = False) -> DataFrame:
-    """``option_id, page_id`` and the four streams, for every option set."""
+    """``option_id, page_id`` and the four streams, for every option set; empty where pages share an id."""
     sets, min_chars = _checked(option_sets), A.MIN_EXTRACTED_CHARS
     base = "base" if any(o.include_links or o.include_images for o in sets) else None
     if base:
-        records = page_records(pages, sets[0]).selectExpr("page_id", "html", "record.metadata.url AS base")
-        rows = content_blocks(records, sets[0], ("base",), co_located)
+        based = document_url(gated_pages(pages, sets[0]), sets[0], ("html",))
+        rows = content_blocks(based, sets[0], ("base",), co_located)
     else:
         rows = content_blocks(gated_pages(pages, sets[0]), sets[0], co_located=co_located)
     found = swept_pages(rows, sets, base, min_chars)
@@ -147,5 +149,5 @@ def option_sweep(pages: DataFrame, option_sets: Sequence[ExtractOptions], co_loc
     )
     for name, x in (("_chosen", chosen), ("_texts", texts), ("_strict", strict), ("_bases", bases), ("_rescued", rescued), ("_done", done)):
         found = found.withColumn(name, F.expr(x))
-    finished = found.selectExpr("page_id", "inline(_done)")
-    return finished.select("option_id", "page_id", *A.STREAMS)
+    finished = found.selectExpr("page_id", "copies", "inline(_done)")
+    return finished.selectExpr("option_id", "page_id", *[f"CASE WHEN copies > 1 THEN '' ELSE {c} END AS {c}" for c in A.STREAMS])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pagewinnow.functions.text import quoted
+from pagewinnow.session import durable
 
 PAGE_COLUMNS = ("page_id", "url", "html")
 
@@ -14,17 +15,20 @@ def read_pages(spark: SparkSession, path: str, min_partitions: int | None = None
 
     A file of one row group is read by one task, and all work before the first
     exchange stays in that task.  ``min_partitions`` spreads such a small input
-    first; a large table has splits enough and should leave it unset.
+    first; a table that has as many splits is left as it is.
     """
     pages = spark.read.parquet(path).select(*PAGE_COLUMNS)
-    return pages if min_partitions is None else pages.repartition(min_partitions)
+    if min_partitions is None or pages.rdd.getNumPartitions() >= min_partitions:
+        return pages
+    return pages.repartition(min_partitions)
 
 
 def read_page_tree(spark: SparkSession, root: str, glob: str = "*.html") -> DataFrame:
     """Every HTML file under a directory, raw bytes, keyed by relative path.
 
-    ``page_id`` is a hash of the relative path, so it needs no numbering pass
-    and stays the same when files are added.
+    ``page_id`` is the file's place among the sorted relative paths, so ids
+    never clash; they change when files are added.  Only paths are sorted and
+    numbered, at once, and the numbers are joined to the files.
     """
     files = (
         spark.read.format("binaryFile")
@@ -35,9 +39,23 @@ def read_page_tree(spark: SparkSession, root: str, glob: str = "*.html") -> Data
     folder = root.rstrip("/") + "/"
     # from the root's first place on, which is the leading one
     relative = F.expr(f"substr(path, locate({quoted(folder)}, path) + {len(folder)})")
-    return files.select(
-        F.xxhash64(relative).alias("page_id"),
-        F.lit(None).cast("string").alias("url"),
-        F.col("content").alias("html"),
-        relative.alias("path"),
-    )
+    numbers = numbered(files.select(relative.alias("path")), "path", "page_id")
+    files = files.select(relative.alias("path"), F.col("content").alias("html"))
+    return files.join(numbers, "path").select("page_id", F.lit(None).cast("string").alias("url"), "html", "path")
+
+
+def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds ``name``: 0, 1, 2 … in the order of ``key``, without bringing the rows together.
+
+    Rows are dealt out by ranges of the key and numbered within each; where a
+    range begins follows from the counts of those before it.
+    """
+    dealt = rows.repartitionByRange(key).sortWithinPartitions(key)
+    dealt = durable(dealt.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id")))
+    # the upper bits of such an id are the partition, the lower ones the place in it
+    place = F.col("_id") - F.shiftleft(F.col("_part").cast("long"), 33)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # a row for each partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin"))
+    return dealt.join(begins, "_part").select(*rows.columns, (F.col("_begin") + place).alias(name))

@@ -13,10 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagewinnow.functions.text import squash
 from pagewinnow.operators.intake import gate_reason
-from pagewinnow.operators.repeats import content_hash
+from pagewinnow.operators.repeats import content_hash, new_bodies
 from pagewinnow.options import ExtractOptions, OptionError
-from pagewinnow.plans.extract import process
+from pagewinnow.plans.extract import process, process_with_bodies
 
+BODY_SCHEMA = "body BINARY, first_page BIGINT"
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
@@ -25,17 +26,34 @@ def read_page_stream(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA)
 
 
 def stream_extract(
-    pages: DataFrame, sink: str, checkpoint: str, options=None, **overrides
+    pages: DataFrame, sink: str, checkpoint: str, options=None, index: str | None = None, run: str = "stream", **overrides
 ) -> StreamingQuery:
-    """Accepted and refused pages of each batch to ``sink/batch_id=N``."""
+    """Accepted and refused pages of each batch to ``sink/batch_id=N``.
+
+    With ``deduplicate`` copies of bodies of earlier batches, and of other runs
+    that use the same ``index`` folder, are refused too: the first batch that
+    has a body keeps it, within a batch the smallest ``page_id``.  A batch adds
+    its new bodies under its ``run`` and number and looks only at what lies
+    before it, so a replayed batch gives the same rows and the same index.
+    """
     from pagewinnow.sources.sinks import split_sinks
 
     options = ExtractOptions.of(options, **overrides)
-    if options.deduplicate:
-        raise OptionError("deduplicate: copies in other batches can't be seen here; use stream_dedup first")
+    bodies = f"{(index or sink.rstrip('/') + '-bodies').rstrip('/')}"
+    if options.deduplicate and "/" in run:
+        raise OptionError(f"run: expected a plain name, got {run!r}")
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        split_sinks(process(batch, options), f"{sink}/batch_id={batch_id}", mode="overwrite")
+        if not options.deduplicate:
+            split_sinks(process(batch, options), f"{sink}/batch_id={batch_id}", mode="overwrite")
+            return
+        spark = batch.sparkSession
+        spark.createDataFrame([], BODY_SCHEMA).coalesce(1).write.mode("ignore").parquet(f"{bodies}/run=none/batch_id=-1")
+        every = spark.read.schema(f"{BODY_SCHEMA}, run STRING, batch_id BIGINT").parquet(bodies)
+        seen = every.where((F.col("run") != run) | (F.col("batch_id") < batch_id)).select("body", "first_page")
+        done, hashed = process_with_bodies(batch, options, seen=seen)
+        split_sinks(done, f"{sink}/batch_id={batch_id}", mode="overwrite")
+        new_bodies(hashed, seen).write.mode("overwrite").parquet(f"{bodies}/run={run}/batch_id={batch_id}")
 
     return (
         pages.writeStream.foreachBatch(one_batch)

@@ -100,3 +100,73 @@ def test_streamed_dedup_keeps_one_page_per_body(spark, tmp_path):
     batch = stream_dedup(spark.read.parquet(source).withColumn("ingest_ts", F.expr("timestamp'2024-01-01'")))
     bodies = lambda df: sorted(bytes(r.body_sha).hex() for r in df.select("body_sha").collect())
     assert bodies(streamed) == bodies(batch) and len(bodies(batch)) < docs.count()
+
+
+def copies(spark, tmp_path):
+    """Three files in the order of page ids; bodies recur inside and across them."""
+    texts = [article(f"<p>Body number {n} of them all.</p>") for n in (0, 1, 1, 2, 0, 3, 2, 2, 4, 1, 0, 5)]
+    rows = [(i, None, t) for i, t in enumerate(texts)] + [(20, None, ""), (21, None, "")]
+    for k in range(3):
+        part = spark.createDataFrame(rows[k * 5 : k * 5 + 5], "page_id BIGINT, url STRING, html STRING")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{k}"))
+    return rows
+
+
+def test_copies_across_batches(spark, tmp_path):
+    """Each file is a batch: the stream refuses what the batch job refuses."""
+    rows = copies(spark, tmp_path)
+    sink, state, index = (str(tmp_path / x) for x in ("out", "cp", "bodies"))
+    source = str(tmp_path / "live")
+    for k in range(3):
+        spark.read.parquet(str(tmp_path / f"in/{k}")).coalesce(1).write.mode("append").parquet(source)
+        query = stream_extract(read_page_stream(spark, source), sink, state, index=index, deduplicate=True)
+        query.awaitTermination(240)
+        assert query.exception() is None
+    frame = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    look = lambda df: sorted((r.page_id, r.outcome, r.reason) for r in df.collect())
+    want = look(process(frame, deduplicate=True))
+    assert look(spark.read.parquet(sink)) == want
+    assert sum(r == "duplicate_content" for _, _, r in want) == 6
+    entries = lambda: sorted((bytes(r.body), r.first_page) for r in spark.read.parquet(index).collect())
+    before = entries()
+    assert [p for _, p in sorted(before, key=lambda x: x[1])] == [0, 1, 3, 5, 8, 11]
+
+    # the second batch comes again, as after a failure
+    from pagewinnow.operators.repeats import new_bodies
+    from pagewinnow.options import ExtractOptions
+    from pagewinnow.plans.extract import process_with_bodies
+
+    seen = spark.read.parquet(index).where("batch_id < 1").select("body", "first_page")
+    again, hashed = process_with_bodies(spark.read.parquet(str(tmp_path / "in/1")), ExtractOptions(deduplicate=True), seen=seen)
+    assert look(again) == [w for w in want if 5 <= w[0] < 10]
+    assert {r.first_page for r in new_bodies(hashed, seen).collect()} == {5, 8}
+
+    # another run finds all of it seen
+    query = stream_extract(read_page_stream(spark, source), f"{sink}-2", f"{state}-2", index=index, run="second", deduplicate=True)
+    query.awaitTermination(240)
+    assert {r.reason for r in spark.read.parquet(f"{sink}-2").collect()} == {"duplicate_content", "insufficient_content"}
+    assert entries() == before
+
+
+def test_the_index_is_filtered_before_it_is_exchanged(spark):
+    from pagewinnow.operators.repeats import body_hashes, seen_bodies
+
+    seen = spark.range(5000).selectExpr("unhex(sha2(cast(id AS string), 256)) AS body", "id AS first_page")
+    pages = spark.createDataFrame([(1, "17"), (2, "x"), (3, "4999"), (4, "")], "page_id BIGINT, content_text STRING")
+    found = seen_bodies(body_hashes(pages), seen)
+    assert sorted(r.seen_page for r in found.collect()) == [17, 4999]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("bitmap_construct_agg") > 0 and "BroadcastHashJoin" in plan
+
+
+def test_files_are_numbered_by_path(spark, tmp_path):
+    names = [f"{d}/{i:03}.html" for d in ("b", "a", "a/c", "ä") for i in range(40)]
+    for n in names:
+        path = tmp_path / "tree" / n
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(f"<p>{n}</p>")
+    found = {r.path: (r.page_id, bytes(r.html).decode()) for r in read_page_tree(spark, str(tmp_path / "tree")).collect()}
+    order = sorted(names, key=lambda n: n.encode())
+    assert {n: found[n][0] for n in names} == {n: i for i, n in enumerate(order)}
+    assert all(found[n][1] == f"<p>{n}</p>" for n in names)
+    assert read_page_tree(spark, str(tmp_path / "tree"), "*.none").count() == 0

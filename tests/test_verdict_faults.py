@@ -1,14 +1,14 @@
 """Faults that green rows once hid."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from pagewinnow.operators import compare, profiles, scoring
-from pagewinnow.options import OptionError
+from pagewinnow.options import ExtractOptions
 from pagewinnow.plans.extract import process
+from pagewinnow.plans.sweep import option_sweep
 from pagewinnow.sources.pages import read_page_tree
 from pagewinnow.sources.sinks import split_sinks
-from pagewinnow.streaming.jobs import stream_dedup, stream_extract
+from pagewinnow.streaming.jobs import stream_dedup
 from tests.conftest import article, page
 
 
@@ -59,10 +59,16 @@ def test_blank_pages_are_no_copies(spark):
     assert sorted(r.body_sha is None for r in kept.collect()) == [False, True, True] and "_body" not in kept.columns
 
 
-def test_streams_refuse_cross_batch_duplicates(spark, tmp_path):
-    live = spark.readStream.schema("page_id BIGINT, url STRING, html STRING").parquet(str(tmp_path))
-    with pytest.raises(OptionError, match="deduplicate"):
-        stream_extract(live, str(tmp_path / "out"), str(tmp_path / "state"), deduplicate=True)
+def test_pages_of_one_id_are_refused_together(spark):
+    rows = [(1, None, article()), (1, None, article("<p>other words</p>")), (2, None, article()), (None, None, article()), (None, None, "")]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+    for options in ({}, {"prune_selector": ".x"}, {"deduplicate": True}, {"include_links": True, "max_input_bytes": 100_000}):
+        found = {r.page_id: r for r in process(pages, **options).collect()}
+        assert len(found) == 3 and found[2].outcome == "ok"
+        for i in (1, None):
+            assert (found[i].reason, found[i].reason_detail, found[i].content_text, found[i].metadata) == ("duplicate_id", "2", "", None)
+    swept = {r.page_id: r.content_text for r in option_sweep(pages, [ExtractOptions()]).collect()}
+    assert swept[1] == "" and swept[2] != ""
 
 
 def test_refused_pages_leave_no_text(spark, pages_of, tmp_path):
@@ -79,7 +85,7 @@ def test_files_below_a_folder_named_like_the_root(spark, tmp_path):
     (root / "a.html").write_text("one")
     (inner / "a.html").write_text("two")
     tree = read_page_tree(spark, str(root)).collect()
-    assert len({r.page_id for r in tree}) == 2 and {r.path for r in tree} == {"a.html", f"y{str(root)[1:]}/a.html"}
+    assert {r.page_id for r in tree} == {0, 1} and {r.path for r in tree} == {"a.html", f"y{str(root)[1:]}/a.html"}
 
 
 def test_links_of_a_tag_with_many_attributes(pages_of):
