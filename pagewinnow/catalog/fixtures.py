@@ -191,6 +191,17 @@ def with_time(pages: DataFrame) -> DataFrame:
     return pages.selectExpr("*", when)
 
 
+#: page ids in thirds, one a batch; some rows come ten minutes late
+BATCH = "cast(floor(page_id * 3 / (top + 1)) AS int)"
+LATE_TIME = f"timestampadd(MINUTE, cast(CASE WHEN page_id % 9 = 8 THEN -10 ELSE 0 END AS int), timestampadd(SECOND, cast(page_id * 4 AS int), {STREAM_TIME}))"
+
+
+def batches(pages: DataFrame) -> list[DataFrame]:
+    (top,) = pages.agg(F.max("page_id")).first()
+    numbered = pages.withColumn("batch", F.expr(BATCH.replace("top", str(top or 0))))
+    return [numbered.where(f"batch = {k}").drop("batch") for k in range(3)]
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snippets cut from the raw markup by container, for scoring.
 

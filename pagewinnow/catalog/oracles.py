@@ -1089,6 +1089,26 @@ def _oracles() -> dict[str, str]:
             "SELECT time_bucket(INTERVAL 1 MINUTE, TIMESTAMP '2024-01-01' + to_seconds(page_id)) AS window_start, "
             f"CASE WHEN strlen(html) > {SIZE_CAP} THEN 'input_too_large' ELSE 'ok' END AS reason, count(*) AS pages FROM pages GROUP BY 1, 2"
         ),
+        "stream_late": (
+            f"WITH timed AS (SELECT page_id, html, {X.BATCH} AS batch, TIMESTAMP '2024-01-01' + to_seconds(page_id * 4) "
+            "- to_minutes(CASE WHEN page_id % 9 = 8 THEN 10 ELSE 0 END) AS ts FROM pages, (SELECT max(page_id) AS top FROM pages)), "
+            "newest AS (SELECT batch, max(ts) AS t FROM timed GROUP BY batch), "
+            "marked AS (SELECT timed.*, time_bucket(INTERVAL 1 MINUTE, ts) AS w, (SELECT max(t) FROM newest n WHERE n.batch < timed.batch) - INTERVAL 2 MINUTE AS mark FROM timed) "
+            f"SELECT w AS window_start, CASE WHEN strlen(html) > {SIZE_CAP} THEN 'input_too_large' ELSE 'ok' END AS reason, "
+            "coalesce(w + INTERVAL 1 MINUTE <= mark, false) AS late, w + INTERVAL 1 MINUTE <= (SELECT max(t) FROM newest) - INTERVAL 2 MINUTE AS closed, "
+            "count(*) AS pages FROM marked GROUP BY 1, 2, 3, 4"
+        ),
+        "stream_extract_copies": one_run(
+            "SELECT page_id, CASE WHEN reason IS NULL THEN 'ok' ELSE 'refused' END AS outcome, reason FROM ("
+            "SELECT page_id, CASE WHEN content_text = '' AND comments_text = '' THEN 'insufficient_content' "
+            "WHEN content_text <> '' AND page_id > min(page_id) OVER (PARTITION BY content_text) THEN 'duplicate_content' END AS reason FROM ("
+            "SELECT page_id, content_text, comments_text FROM result UNION ALL SELECT page_id + 1000000, content_text, comments_text "
+            f"FROM result, (SELECT max(page_id) AS top FROM pages) WHERE {X.BATCH} < 2))",
+            source=PLAIN_PAGES,
+        ),
+        "read_page_tree": (
+            "SELECT row_number() OVER (ORDER BY 'page_id=' || page_id || '/') - 1 AS page_id, page_id AS file_id, sha256(html) AS digest FROM pages"
+        ),
         "stream_dedup": f"SELECT DISTINCT sha256({squash('text')}) AS body FROM documents",
         "extracted": with_tables(
             full_tables(ExtractOptions()),

@@ -17,10 +17,10 @@ from pagewinnow.functions.urls import host_of
 from pagewinnow.options import ExtractOptions, SweptOptions
 from pagewinnow.plans import extract as E
 from pagewinnow.plans.sweep import option_sweep
-from pagewinnow.sources.pages import read_pages
+from pagewinnow.sources.pages import read_page_tree, read_pages
 from pagewinnow.session import shared_folder
 from pagewinnow.sources.sinks import read_accepted, read_refused, run_record, split_sinks
-from pagewinnow.streaming.jobs import PAGE_SCHEMA, stream_dedup, stream_extract, stream_tally
+from pagewinnow.streaming.jobs import PAGE_SCHEMA, read_tally, stream_dedup, stream_extract, stream_tally, stream_tally_sink
 
 DEFAULTS = ExtractOptions()
 SIZE_CAP = 2600
@@ -475,6 +475,42 @@ def stream_tally_q(spark, d):
     return _drained(spark, stream_tally(live, max_input_bytes=SIZE_CAP), "tally", "complete")
 
 
+def _in_batches(spark, parts: list[DataFrame], name: str, start) -> None:
+    """Each part becomes a file of a growing source, which a stream then takes up as one batch."""
+    source = _fresh(spark, name)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+        start(spark.readStream.schema(part.schema).parquet(source)).awaitTermination()
+
+
+def stream_late_q(spark, d):
+    """Three batches, some rows of which come after their windows have closed."""
+    sink = _fresh(spark, "late")
+    parts = [p.withColumn("ingest_ts", F.expr(X.LATE_TIME)) for p in X.batches(X.pages(spark, d))]
+    start = lambda live: stream_tally_sink(live, sink, f"{sink}-state", late="2 minutes", max_input_bytes=SIZE_CAP)
+    _in_batches(spark, parts, "late-source", start)
+    return read_tally(spark, sink, "2 minutes")
+
+
+def stream_extract_copies_q(spark, d):
+    """Three batches; the last one brings copies of the others' pages."""
+    sink = _fresh(spark, "copies")
+    pages = X.pages(spark, d)
+    first, second, third = X.batches(pages)
+    parts = [first, second, third.unionByName(first.unionByName(second).withColumn("page_id", F.col("page_id") + 1_000_000))]
+    _in_batches(spark, parts, "copies-source", lambda live: stream_extract(live, sink, f"{sink}-state", deduplicate=True))
+    return spark.read.parquet(sink).select("page_id", "outcome", "reason")
+
+
+def read_page_tree_q(spark, d):
+    """The pages as files, a folder each, read back by path."""
+    root = _fresh(spark, "tree")
+    X.pages(spark, d).where("page_id IS NOT NULL").select("page_id", "html").write.partitionBy("page_id").text(root)
+    tree = read_page_tree(spark, root, "*.txt")
+    own = "cast(regexp_extract(path, 'page_id=([0-9]+)', 1) AS bigint) AS file_id"
+    return tree.selectExpr("page_id", own, "sha2(regexp_replace(cast(html AS string), '\\\\n$', ''), 256) AS digest")
+
+
 def stream_dedup_q(spark, d):
     live = _live(spark, d, "documents", "doc_id BIGINT, text STRING").selectExpr("doc_id AS page_id", "text AS html")
     timed = live.selectExpr("*", f"{X.STREAM_TIME} AS ingest_ts")
@@ -516,6 +552,9 @@ REGISTERED: dict[str, Query] = {
     "split_sinks": split_sinks_q,
     "stream_extract": stream_extract_q,
     "stream_tally": stream_tally_q,
+    "stream_late": stream_late_q,
+    "stream_extract_copies": stream_extract_copies_q,
+    "read_page_tree": read_page_tree_q,
     "stream_dedup": stream_dedup_q,
     **{
         f.__name__: f

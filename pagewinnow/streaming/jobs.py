@@ -80,6 +80,55 @@ def stream_tally(
     )
 
 
+def stream_tally_sink(
+    pages: DataFrame, sink: str, checkpoint: str, time: str = "ingest_ts", width: str = "1 minute", late: str = "10 minutes",
+    options=None, **overrides,
+) -> StreamingQuery:
+    """Gate outcomes per tumbling window, batch by batch, with late rows counted apart.
+
+    The watermark of a batch is the newest time of all batches before it, less
+    ``late``; a row is late when its window ended at or before it.  Such rows
+    never change a window again, but they are counted, not lost.  Each batch
+    writes its own counts and its newest time under its number and reads only
+    those before it, so a replayed batch changes nothing.  ``read_tally`` sums up.
+    """
+    options = ExtractOptions.of(options, **overrides)
+    reason, _ = gate_reason(options.byte_cap)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        none = spark.createDataFrame([], "newest TIMESTAMP").coalesce(1)
+        none.write.mode("ignore").parquet(f"{sink}/times/batch_id=-1")
+        times = spark.read.schema("newest TIMESTAMP, batch_id BIGINT").parquet(f"{sink}/times").where(F.col("batch_id") < batch_id)
+        mark = _watermark(times, late)
+        rows = batch.selectExpr(f"window({time}, '{width}') AS w", f"coalesce({reason}, 'ok') AS reason")
+        counts = rows.groupBy("w", "reason").agg(F.count(F.lit(1)).alias("pages"))
+        counts = counts.selectExpr("w.start AS window_start", "w.end AS window_end", "reason", f"coalesce(w.end <= {mark}, false) AS late", "pages")
+        counts.write.mode("overwrite").parquet(f"{sink}/counts/batch_id={batch_id}")
+        batch.agg(F.max(time).alias("newest")).write.mode("overwrite").parquet(f"{sink}/times/batch_id={batch_id}")
+
+    return (
+        pages.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_tally(spark: SparkSession, sink: str, late: str = "10 minutes") -> DataFrame:
+    """``window_start, reason, late, closed, pages`` of a tally sink; a closed window takes no more rows."""
+    mark = _watermark(spark.read.parquet(f"{sink}/times"), late)
+    counts = spark.read.parquet(f"{sink}/counts").groupBy("window_start", "window_end", "reason", "late")
+    counts = counts.agg(F.sum("pages").cast("long").alias("pages"))
+    return counts.selectExpr("window_start", "reason", "late", f"coalesce(window_end <= {mark}, false) AS closed", "pages")
+
+
+def _watermark(times: DataFrame, late: str) -> str:
+    """The newest time less ``late``, as an expression; one value comes to the driver."""
+    (newest,) = times.agg(F.unix_micros(F.max("newest"))).first()
+    return "cast(NULL AS timestamp)" if newest is None else f"(timestamp_micros({newest}) - interval {late})"
+
+
 def stream_dedup(pages: DataFrame, time: str = "ingest_ts", late: str = "10 minutes") -> DataFrame:
     """Drop pages whose body was seen within the lateness bound.
 
