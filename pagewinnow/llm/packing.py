@@ -16,7 +16,6 @@ buckets, so a length that a third of all documents share is no single task.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from pagewinnow.llm.shared import settle, ship, table, written
+from pagewinnow.llm.shared import settle, ship, table, worker_value, written
 
 ship(__name__)
 
@@ -39,18 +38,13 @@ VOCABULARY = "byte_bpe_50k.json"
 BUCKET_ROWS = 500
 #: remainders travel as 16-bit ids
 ID_BYTES = 2
-#: words whose ids a task remembers
-REMEMBERED = 400_000
-ODD_SPACE = re.compile(r"[^\S \n]|  | \n|\n |^\s|\s$")
 
 
 class Words:
-    """Ids of texts, by remembering the ids of space-separated words.
+    """Ids of texts.
 
-    Byte-level BPE never merges across the space before a word, so where single
-    spaces stand between words a text's ids are the ids of its words in turn.
-    Other texts are encoded whole.  Unknown words are encoded together and cut
-    apart by the lengths of their tokens.
+    A faster library encodes with the same vocabulary; only texts that hold the
+    string of a special token go to the vocabulary's own, which makes it that token.
     """
 
     def __init__(self, path: str):
@@ -64,10 +58,6 @@ class Words:
         self.encoding = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
-        for t, i in ranks.items():
-            self.bytes_of[i] = len(t)
-        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def _letters() -> list[int]:
@@ -78,47 +68,22 @@ class Words:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut = []
+        out = []
         for t in texts:
             if any(s in t for s in self.special):
-                cut.append(np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
-            elif ODD_SPACE.search(t):
-                cut.append(self.encoding.encode_to_numpy(t, allowed_special=set(), disallowed_special=()).astype("<u4").tobytes())
+                ids = np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4")
             else:
-                cut.append(t.split(" "))
-        self.learn({w for words in cut if type(words) is list for w in words[1:]})
-        get = self.known.__getitem__
-        out = []
-        for words in cut:
-            if type(words) is list:
-                first = self.encoding.encode_to_numpy(words[0], allowed_special=set(), disallowed_special=())
-                words = first.astype("<u4").tobytes() + b"".join(map(get, words[1:]))
-            out.append(words)
+                ids = self.encoding.encode_to_numpy(t, allowed_special=set(), disallowed_special=()).astype("<u4")
+            out.append(ids.tobytes())
         return out
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        if not new:
-            return
-        ids = self.encoding.encode_to_numpy("".join([" " + w for w in new]), allowed_special=set(), disallowed_special=())
-        ids = ids.astype("<u4")
-        ends = np.cumsum([len(w.encode()) + 1 for w in new])
-        cuts = (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1) * 4
-        data = ids.tobytes()
-        begin = 0
-        for w, end in zip(new, cuts.tolist(), strict=True):
-            self.known[w] = data[begin:end]
-            begin = end
-
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     """``doc_id, doc_tokens, whole_crcs, rest``: checksums of whole windows, and the remainder's ids as bytes."""
     schema = "doc_id long, doc_tokens long, whole_crcs array<long>, rest binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(vocabulary)
+        words = worker_value(f"words {vocabulary}", lambda: Words(vocabulary))
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * WINDOW
         for whole in batches:
@@ -300,8 +265,12 @@ def packed(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0) -> D
     as well; a null text is empty and gives the end id alone; a null ``doc_id``
     stays null.  Other columns are ignored.  An empty table gives no pieces.
     Only the last few sequences may be shorter than the window, each a power of two.
+    Very long texts are tokenized whole.  A vocabulary with ids beyond 16 bits is refused.
     """
-    tokens = written(tokenized(docs, vocabulary or public_tokenizers.path(VOCABULARY), end_id), "tokens")
+    vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
+    if max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1) > 1 << 8 * ID_BYTES:
+        raise ValueError(f"{vocabulary}: ids beyond {8 * ID_BYTES} bits")
+    tokens = written(tokenized(docs, vocabulary, end_id), "tokens")
     rows = tokens.withColumn("tail", (F.octet_length("rest") / ID_BYTES).cast("int"))
     totals = np.zeros(WINDOW, np.int64)
     for tail, n in rows.groupBy("tail").count().collect():  # as many rows as the window has places, at most
