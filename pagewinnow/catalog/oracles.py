@@ -1106,6 +1106,9 @@ def _oracles() -> dict[str, str]:
             f"FROM result, (SELECT max(page_id) AS top FROM pages) WHERE {X.BATCH} < 2))",
             source=PLAIN_PAGES,
         ),
+        "stream_unique": (
+            f"SELECT doc_id AS page_id FROM documents QUALIFY coalesce({squash('text')}, '') = '' OR doc_id = min(doc_id) OVER (PARTITION BY {squash('text')})"
+        ),
         "read_page_tree": (
             "SELECT row_number() OVER (ORDER BY 'page_id=' || page_id || '/') - 1 AS page_id, page_id AS file_id, sha256(html) AS digest FROM pages"
         ),

@@ -20,7 +20,7 @@ from pagewinnow.plans.sweep import option_sweep
 from pagewinnow.sources.pages import read_page_tree, read_pages
 from pagewinnow.session import shared_folder
 from pagewinnow.sources.sinks import read_accepted, read_refused, run_record, split_sinks
-from pagewinnow.streaming.jobs import PAGE_SCHEMA, read_tally, stream_dedup, stream_extract, stream_tally, stream_tally_sink
+from pagewinnow.streaming.jobs import PAGE_SCHEMA, read_tally, stream_dedup, stream_extract, stream_tally, stream_tally_sink, stream_unique
 
 DEFAULTS = ExtractOptions()
 SIZE_CAP = 2600
@@ -502,6 +502,14 @@ def stream_extract_copies_q(spark, d):
     return spark.read.parquet(sink).select("page_id", "outcome", "reason")
 
 
+def stream_unique_q(spark, d):
+    """Documents in three batches; of each body the first one stays."""
+    sink = _fresh(spark, "unique")
+    docs = spark.read.parquet(f"{d}/documents.parquet").selectExpr("doc_id AS page_id", "text AS html")
+    _in_batches(spark, X.batches(docs), "unique-source", lambda live: stream_unique(live, sink, f"{sink}-state"))
+    return spark.read.parquet(sink).select("page_id")
+
+
 def read_page_tree_q(spark, d):
     """The pages as files, a folder each, read back by path."""
     root = _fresh(spark, "tree")
@@ -554,6 +562,7 @@ REGISTERED: dict[str, Query] = {
     "stream_tally": stream_tally_q,
     "stream_late": stream_late_q,
     "stream_extract_copies": stream_extract_copies_q,
+    "stream_unique": stream_unique_q,
     "read_page_tree": read_page_tree_q,
     "stream_dedup": stream_dedup_q,
     **{

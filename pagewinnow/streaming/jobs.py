@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagewinnow.functions.text import squash
 from pagewinnow.operators.intake import gate_reason
-from pagewinnow.operators.repeats import content_hash, new_bodies
+from pagewinnow.operators.repeats import body_hashes, content_hash, new_bodies, with_firsts
 from pagewinnow.options import ExtractOptions, OptionError
 from pagewinnow.plans.extract import process, process_with_bodies
 
@@ -25,6 +25,25 @@ def read_page_stream(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA)
     return spark.readStream.schema(schema).parquet(path)
 
 
+class _Bodies:
+    """An index of body hashes in a folder, versioned by run and batch; 40 bytes a body."""
+
+    def __init__(self, folder: str, run: str):
+        if "/" in run or not run:
+            raise OptionError(f"run: expected a plain name, got {run!r}")
+        self.folder, self.run = folder.rstrip("/"), run
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """``body, first_page`` of all other runs and of this run's earlier batches."""
+        spark.createDataFrame([], BODY_SCHEMA).coalesce(1).write.mode("ignore").parquet(f"{self.folder}/run=none/batch_id=-1")
+        every = spark.read.schema(f"{BODY_SCHEMA}, run STRING, batch_id BIGINT").parquet(self.folder)
+        return every.where((F.col("run") != self.run) | (F.col("batch_id") < batch_id)).select("body", "first_page")
+
+    def add(self, hashed: DataFrame, seen: DataFrame, batch_id: int) -> None:
+        """The batch's new bodies, in place of what an earlier try wrote."""
+        new_bodies(hashed, seen).write.mode("overwrite").parquet(f"{self.folder}/run={self.run}/batch_id={batch_id}")
+
+
 def stream_extract(
     pages: DataFrame, sink: str, checkpoint: str, options=None, index: str | None = None, run: str = "stream", **overrides
 ) -> StreamingQuery:
@@ -39,21 +58,16 @@ def stream_extract(
     from pagewinnow.sources.sinks import split_sinks
 
     options = ExtractOptions.of(options, **overrides)
-    bodies = f"{(index or sink.rstrip('/') + '-bodies').rstrip('/')}"
-    if options.deduplicate and "/" in run:
-        raise OptionError(f"run: expected a plain name, got {run!r}")
+    bodies = _Bodies(index or f"{sink.rstrip('/')}-bodies", run)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         if not options.deduplicate:
             split_sinks(process(batch, options), f"{sink}/batch_id={batch_id}", mode="overwrite")
             return
-        spark = batch.sparkSession
-        spark.createDataFrame([], BODY_SCHEMA).coalesce(1).write.mode("ignore").parquet(f"{bodies}/run=none/batch_id=-1")
-        every = spark.read.schema(f"{BODY_SCHEMA}, run STRING, batch_id BIGINT").parquet(bodies)
-        seen = every.where((F.col("run") != run) | (F.col("batch_id") < batch_id)).select("body", "first_page")
+        seen = bodies.before(batch.sparkSession, batch_id)
         done, hashed = process_with_bodies(batch, options, seen=seen)
         split_sinks(done, f"{sink}/batch_id={batch_id}", mode="overwrite")
-        new_bodies(hashed, seen).write.mode("overwrite").parquet(f"{bodies}/run={run}/batch_id={batch_id}")
+        bodies.add(hashed, seen, batch_id)
 
     return (
         pages.writeStream.foreachBatch(one_batch)
@@ -142,3 +156,31 @@ def stream_dedup(pages: DataFrame, time: str = "ingest_ts", late: str = "10 minu
     if pages.isStreaming:
         return hashed.withWatermark(time, late).dropDuplicatesWithinWatermark(["_body"]).drop("_body")
     return hashed.dropDuplicates(["_body"]).drop("_body")
+
+
+def stream_unique(
+    pages: DataFrame, sink: str, checkpoint: str, index: str | None = None, run: str = "stream"
+) -> StreamingQuery:
+    """Pages whose raw body no earlier page had, whenever that came, to ``sink/batch_id=N``.
+
+    There is no state store and no bound on lateness: hashes alone are compared,
+    with an index in a folder, as in ``stream_extract``; the pages are rejoined by
+    ``page_id``, so a body on very many pages sends no page to one task.  Pages
+    with a blank body have no copies and all pass.  Within a batch the smallest
+    ``page_id`` stays, across batches the first batch.
+    """
+    bodies = _Bodies(index or f"{sink.rstrip('/')}-bodies", run)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        seen = bodies.before(batch.sparkSession, batch_id)
+        hashed = body_hashes(batch.selectExpr("page_id", f"{squash('html')} AS body"), "body")
+        kept = with_firsts(batch, hashed, seen).where("seen_page IS NULL AND (first_page IS NULL OR first_page = page_id)")
+        kept.drop("seen_page", "first_page").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        bodies.add(hashed, seen, batch_id)
+
+    return (
+        pages.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pagewinnow.plans.extract import ledger, process
 from pagewinnow.sources.pages import read_page_tree, read_pages
 from pagewinnow.sources.sinks import append_run, read_accepted, read_refused, run_record, split_sinks
-from pagewinnow.streaming.jobs import read_page_stream, stream_dedup, stream_extract, stream_tally
+from pagewinnow.streaming.jobs import read_page_stream, read_tally, stream_dedup, stream_extract, stream_tally, stream_tally_sink, stream_unique
 from tests.conftest import DATA, article
 
 CAP = 2600
@@ -170,3 +170,32 @@ def test_files_are_numbered_by_path(spark, tmp_path):
     assert {n: found[n][0] for n in names} == {n: i for i, n in enumerate(order)}
     assert all(found[n][1] == f"<p>{n}</p>" for n in names)
     assert read_page_tree(spark, str(tmp_path / "tree"), "*.none").count() == 0
+
+
+def test_a_replayed_tally_changes_nothing_and_late_rows_are_counted(spark, tmp_path):
+    sink, source = str(tmp_path / "out"), str(tmp_path / "in")
+    frame = lambda rows: spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, s INT").selectExpr("page_id", "url", "html", "timestamp_seconds(s) AS ingest_ts")
+    for rows in ([(1, None, "a", 0), (2, None, "b", 200)], [(3, None, "c", 30), (4, None, "d", 170), (5, None, "x" * 99, 300)], [(6, None, "e", 10), (7, None, "f", 290)]):
+        frame(rows).coalesce(1).write.mode("append").parquet(source)
+        live = spark.readStream.schema(frame(rows).schema).parquet(source)
+        stream_tally_sink(live, sink, str(tmp_path / "cp"), late="60 seconds", max_input_bytes=50).awaitTermination(240)
+    look = lambda: sorted((r.window_start.timestamp(), r.reason, r.late, r.closed, r.pages) for r in read_tally(spark, sink, "60 seconds").collect())
+    want = [
+        (0.0, "ok", False, True, 1), (0.0, "ok", True, True, 2), (120.0, "ok", False, True, 1),
+        (180.0, "ok", False, True, 1), (240.0, "ok", False, False, 1), (300.0, "input_too_large", False, False, 1),
+    ]
+    assert look() == want
+    # from the beginning, over what has been written
+    live = spark.readStream.schema(frame([(1, None, "a", 0)]).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream_tally_sink(live, sink, str(tmp_path / "again"), late="60 seconds", max_input_bytes=50).awaitTermination(240)
+    assert look() == want
+
+
+def test_unique_bodies_without_pages_in_state(spark, tmp_path):
+    rows = [(1, "a"), (2, " a "), (3, ""), (4, None), (5, "b"), (6, ""), (7, "a"), (8, "b"), (9, "c")]
+    sink, source = str(tmp_path / "out"), str(tmp_path / "in")
+    for part in (rows[:4], rows[4:7], rows[7:]):
+        spark.createDataFrame(part, "page_id LONG, html STRING").coalesce(1).write.mode("append").parquet(source)
+        live = read_page_stream(spark, source, "page_id LONG, html STRING")
+        stream_unique(live, sink, str(tmp_path / "cp")).awaitTermination(240)
+    assert sorted(r.page_id for r in spark.read.parquet(sink).collect()) == [1, 3, 4, 5, 6, 9]
