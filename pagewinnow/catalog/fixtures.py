@@ -32,6 +32,7 @@ _HEAD = ", ".join(
         _when("page_id % 6 = 2", '<meta property="article:published_time" content="2020-01-20T20:30:00-06:00">'),
         _when("page_id % 6 = 3", '<meta property="article:published_time" content="20190405">'),
         _when("page_id % 6 = 4", '<meta property="article:published_time" content="1234567é9">'),
+        _when("page_id % 12 = 10", '<meta name="date" content="Wednesday, March 9th, 2016">'),
         _when(
             "page_id % 16 = 5",
             '<script type="application/ld+json">{"@type": "NewsArticle", "headline": "Linked headline ',
@@ -71,6 +72,8 @@ _BODY = ", ".join(
             ' or <a href="https://other.example.org/y?a=1">further on</a>.</p>',
         ),
         _when("page_id % 9 = 0", "<p>A line both streams carry ", _ID, "</p>"),
+        _when("page_id % 6 = 5", '<p>Out on <time datetime="2018-11-30T23:00:00-08:00">the last of the month</time>, page ', _ID, "</p>"),
+        _when("page_id % 12 = 4", "<p>Out on <time>9. März 2017</time>, page ", _ID, "</p>"),
         _when(
             "page_id % 5 = 1",
             "<ul><li>First of ", _ID, "<li>Second <ol><li>inner <b>one</b></li></ol></li></ul><p>Area x<sup>2</sup> of "

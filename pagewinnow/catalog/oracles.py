@@ -555,7 +555,14 @@ def metadata_tables(
     ld_names = {"headline": "title", "author": "author", "datePublished": "date", "@type": "type"}
     ld = " UNION ALL ".join(f"SELECT page_id, 0, {lit('ld:' + n)}, {column} FROM linked" for n, column in ld_names.items())
     iso = "regexp_replace(regexp_replace(value, '^\\s*(\\d{4})[-/](\\d{2})[-/](\\d{2})(?:$|[^0-9].*)', '\\1-\\2-\\3'), '^\\s*(\\d{4})(\\d{2})(\\d{2})(?:$|[T\\s].*)', '\\1-\\2-\\3')"
-    day = f"CASE WHEN regexp_matches({iso}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast({iso} AS DATE) END"
+    # the two spelled-out shapes of the tables
+    english, german = "^\\s*[A-Za-z]+, ([A-Z][a-z]+) (\\d+)th, (\\d{4})$", "^\\s*(\\d+)\\. (\\S+) (\\d{4})$"
+    month = "CASE lower({}) WHEN 'march' THEN 3 WHEN 'märz' THEN 3 END".format
+    got = lambda p, i: f"regexp_extract(value, {lit(p)}, {i})"
+    spelled = " ".join(
+        f"WHEN regexp_matches(value, {lit(p)}) THEN make_date({got(p, 3)}::INT, {month(got(p, m))}, {got(p, d)}::INT)" for p, m, d in ((english, 1, 2), (german, 2, 1))
+    )
+    day = f"CASE WHEN regexp_matches({iso}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN try_cast({iso} AS DATE) {spelled} END"
     pick = lambda f: f"max(value) FILTER (field = '{f}')"
     scalars = [f for f in M.FIELDS if f not in ("date", "hostname", "categories", "tags")]
     return [
@@ -581,6 +588,8 @@ def metadata_tables(
             f"SELECT page_id, 0 AS pos, 'dom:title' AS source, regexp_extract(head, {lit(M._TITLE)}, 1) AS value FROM heads "
             f"UNION ALL SELECT page_id, 0, 'dom:h1', {bare('regexp_extract(html, ' + lit(M._H1) + ', 1)')} FROM heads "
             f"UNION ALL SELECT page_id, 0, 'dom:lang', {attribute('regexp_extract(html, ' + lit(P.named_tag('html')) + ', 0)', 'lang')} FROM heads "
+            f"UNION ALL SELECT page_id, 0, 'dom:time', CASE WHEN contains(t, 'datetime') THEN {attribute('t', 'datetime')} ELSE x END FROM ("
+            f"SELECT page_id, regexp_extract(head, {lit('<time[^>]*>')}, 0) AS t, regexp_extract(head, {lit('<time[^>]*>([^<]*)</time>')}, 1) AS x FROM heads) "
             f"UNION ALL {ld}",
         ),
         (
@@ -975,7 +984,8 @@ def _oracles() -> dict[str, str]:
         "publication_date": (
             "SELECT page_id, CASE WHEN page_id % 6 = 0 THEN DATE '2020-03-09' WHEN page_id % 6 = 1 THEN DATE '2020-01-21' "
             "WHEN page_id % 6 = 2 THEN DATE '2020-01-20' WHEN page_id % 6 = 3 THEN DATE '2019-04-05' "
-            "WHEN page_id % 8 = 5 THEN DATE '2021-05-06' END AS date FROM pages"
+            "WHEN page_id % 8 = 5 THEN DATE '2021-05-06' WHEN page_id % 6 = 5 THEN DATE '2018-11-30' "
+            "WHEN page_id % 12 = 4 THEN DATE '2017-03-09' WHEN page_id % 12 = 10 THEN DATE '2016-03-09' END AS date FROM pages"
         ),
         "date_override": meta_query("SELECT page_id, date, title FROM meta", override=f"DATE '{DATE_OVERRIDE.isoformat()}'"),
         "exclude_authors": (
@@ -1037,7 +1047,8 @@ def _oracles() -> dict[str, str]:
             "round(count(*) FILTER (d = t) / count(*) FILTER (d IS NOT NULL), 6) AS precision_when_answered FROM ("
             "SELECT CASE WHEN page_id % 6 = 0 THEN DATE '2020-03-09' WHEN page_id % 6 = 1 THEN DATE '2020-01-21' "
             "WHEN page_id % 6 = 2 THEN DATE '2020-01-20' WHEN page_id % 6 = 3 THEN DATE '2019-04-05' "
-            "WHEN page_id % 8 = 5 THEN DATE '2021-05-06' END AS d, "
+            "WHEN page_id % 8 = 5 THEN DATE '2021-05-06' WHEN page_id % 6 = 5 THEN DATE '2018-11-30' "
+            "WHEN page_id % 12 = 4 THEN DATE '2017-03-09' WHEN page_id % 12 = 10 THEN DATE '2016-03-09' END AS d, "
             "CASE WHEN page_id % 6 IN (0, 4) THEN DATE '2020-03-09' ELSE DATE '2020-01-21' END AS t FROM pages)"
         ),
         "paired_agreement": with_tables(

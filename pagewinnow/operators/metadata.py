@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pagewinnow.functions import patterns as P
-from pagewinnow.functions.dates import publication_day
+from pagewinnow.functions.dates import day_in_path, publication_day
 from pagewinnow.functions.text import (
     attribute,
     blank_to_null,
@@ -31,14 +31,14 @@ FIELDS = (
 LIST_FIELDS = ("categories", "tags")
 
 # Source precedence per field, best first; the order is ours.  ``ld:`` is a
-# JSON-LD property and ``dom:`` an element, the rest are meta keys.
+# JSON-LD property, ``dom:`` an element and ``url:`` a part of the page's URL, the rest are meta keys.
 SOURCES = {
     "title": ("og:title", "twitter:title", "dc.title", "ld:headline", "dom:title", "dom:h1"),
     "author": ("author", "article:author", "dc.creator", "ld:author"),
     "url": ("og:url", "dom:canonical"),
     "description": ("description", "og:description", "twitter:description", "dc.description", "ld:description"),
     "sitename": ("og:site_name", "application-name", "ld:publisher"),
-    "date": ("article:published_time", "og:published_time", "datepublished", "date", "dc.date", "ld:datePublished"),
+    "date": ("article:published_time", "og:published_time", "datepublished", "date", "dc.date", "ld:datePublished", "dom:time", "url:path"),
     "categories": ("article:section", "ld:articleSection"),
     "tags": ("keywords", "news_keywords", "article:tag", "ld:keywords"),
     "license": ("dom:license", "dc.rights", "copyright"),
@@ -51,6 +51,7 @@ RANKED = [
 ]
 _TITLE = r"(?is)<title(?:[ \t\r\n\f][^<>]*)?>(.*?)</title"
 _H1 = r"(?is)<h1(?:[ \t\r\n\f][^<>]*)?>(.*?)</h1"
+_TIME = r"(?is)<time(?:[ \t\r\n\f][^<>]*)?>(.*?)</time"
 _SOMETHING = r"\S"
 _TEXT = "coalesce(html, '')"
 _NAME_BREAK = r"\s*;\s*"
@@ -247,6 +248,8 @@ def metadata_candidates(pages: DataFrame, carry: list[str], fields: tuple[str, .
         "dom:canonical": _link_href("_head", "canonical"),
         "dom:license": _link_href("_head", "license"),
         "dom:lang": attribute("_root", "lang"),
+        "dom:time": f"coalesce(nullif({attribute('_time', 'datetime')}, ''), {strip_tags('_time_text')})",
+        "url:path": day_in_path("_supplied"),
         **{f"ld:{name}": _ld_value("_items", name, "_targets") for name in _LD_INSIDE},
     }
     from_elements = ", ".join(
@@ -272,6 +275,11 @@ def metadata_candidates(pages: DataFrame, carry: list[str], fields: tuple[str, .
             f"{_first_element(_TEXT, _H1, 'h1')} AS _h1",
             f"regexp_extract(coalesce(html, ''), {quoted(P.named_tag('html'))}, 0) AS _root",
         )
+        .selectExpr(
+            "*",
+            f"regexp_extract(_head, {quoted(P.named_tag('time'))}, 0) AS _time",
+            f"{_first_element('_head', _TIME, 'time')} AS _time_text",
+        )
         .selectExpr("*", f"{meta_array('_head')} AS _metas", f"{_ld_items('_ld')} AS _items", f"{_ld_targets('_ld')} AS _targets")
         .selectExpr(*carry, f"filter(concat({from_meta}, array({from_elements})), {usable}) AS _cands")
     )

@@ -98,3 +98,34 @@ def test_references_that_lead_nowhere_or_in_circles(spark):
     )
     assert [x.author for x in m] == [None, None, None, "Far", "Second", "Late"]
     assert {x.title for x in m} == {"H"}
+
+
+def test_days_spelled_out(spark):
+    shapes = {
+        "March 9, 2020": "2020-03-09", "Mon, Mar. 9th 2020 at noon": "2020-03-09", "9 March 2020": "2020-03-09", "Montag, 9. März 2020": "2020-03-09",
+        "le 1er août 2019": "2019-08-01", "9 de marzo de 2020": "2020-03-09", "lunes, 9 de Marzo del 2020": "2020-03-09", "31 décembre 1999 23:59": "1999-12-31",
+        "2020-03-09T23:00:00-08:00": "2020-03-09", "20200309": "2020-03-09", "March 32, 2020": None, "Foo 9, 2020": None, "9 of 2020": None,
+        "March 9, 20201": None, "March 9, 1890": None, "1234567é9": None, "yesterday": None, "May 2020": None, "": None,
+    }
+    for found in (
+        fields(spark, *[f'<meta name="date" content="{x}">' for x in shapes]),
+        fields(spark, *[f"<title>t</title><p>By A. <time>{x}</time> <time>1 May 2001</time></p>" for x in shapes]),
+        fields(spark, *[f'<p><time class="x" datetime="{x}">1 May 2001</time></p>' for x in shapes if x]),
+    ):
+        assert [m.date and m.date.isoformat() for m in found] == list(shapes.values())[: len(found)]
+
+
+def test_ranks_of_dates(spark):
+    rows = [
+        ("https://n.example/2019/3/9/story?x=/2001/01/01", "<p>x</p>"),
+        ("https://n.example/news/2019-03-09-story.html", "<p>x</p>"),
+        ("https://n.example/2019/03/09", "<time datetime='2018-01-02'>x</time>"),
+        ("https://n.example/2019/03/09", "<meta name=date content='junk'><time>soon</time>"),
+        ("https://n.example/2019/13/09/", "<p>x</p>"),
+        ("https://n.example/120190309/20/1/2/?d=/2019/03/09", "<p>x</p>"),
+        ("https://n.example/2019/03/091", "<p>x</p>"),
+        (None, "<time datetime='2018-01-02'>x</time><meta name=date content='3 May 2017'>"),
+    ]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id BIGINT, url STRING, html STRING")
+    found = [r.metadata.date for r in M.metadata_fields(pages, ExtractOptions()).orderBy("page_id").collect()]
+    assert [d and d.isoformat() for d in found] == ["2019-03-09", "2019-03-09", "2018-01-02", "2019-03-09", None, None, None, "2017-05-03"]
