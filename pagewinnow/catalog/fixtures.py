@@ -205,6 +205,27 @@ def batches(pages: DataFrame) -> list[DataFrame]:
     return [numbered.where(f"batch = {k}").drop("batch") for k in range(3)]
 
 
+# A later state of stored results: lines in another order, new, gone or put at the end, titles
+# with an addition, and a tenth of the pages under another id.
+EDITED_TEXT = (
+    "CASE page_id % 5 WHEN 0 THEN array_join(reverse(lines), '\\n') "
+    "WHEN 1 THEN concat('Added to page ', page_id, '\\n', content_text, '\\n', lines[0]) "
+    "WHEN 2 THEN array_join(concat(slice(lines, 1, 1), slice(lines, 3, 1000000)), '\\n') "
+    "WHEN 3 THEN array_join(concat(slice(lines, 2, 1000000), slice(lines, 1, 1)), '\\n') ELSE content_text END"
+)
+
+
+def edited(processed: DataFrame) -> DataFrame:
+    title = "CASE WHEN page_id % 7 = 0 THEN concat(metadata.title, ' (2)') ELSE metadata.title END"
+    return (
+        processed.withColumn("lines", F.split("content_text", "\n"))
+        .withColumn("content_text", F.expr(EDITED_TEXT))
+        .withColumn("metadata", F.col("metadata").withField("title", F.expr(title)))
+        .withColumn("page_id", F.expr("CASE WHEN page_id % 10 = 4 THEN page_id + 1000000000 ELSE page_id END"))
+        .drop("lines")
+    )
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snippets cut from the raw markup by container, for scoring.
 

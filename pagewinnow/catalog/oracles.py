@@ -778,6 +778,98 @@ def full_tables(*option_sets) -> list[tuple[str, str]]:
 META_COLUMNS = ", ".join(M.FIELDS)
 
 
+def edited_snapshot() -> list[tuple[str, str]]:
+    """Stored results and their edited state, field by field as lists of lines."""
+    from pagewinnow.options import ExtractOptions
+
+    nl = "chr(10)"
+    return [
+        *full_tables(ExtractOptions()),
+        ("a_side", "SELECT page_id, content_text AS body, string_split(content_text, chr(10)) AS ls, title FROM result JOIN meta USING (page_id)"),
+        (
+            "b_side",
+            f"SELECT page_id + CASE WHEN page_id % 10 = 4 THEN 1000000000 ELSE 0 END AS page_id, "
+            f"CASE WHEN page_id % 5 = 0 THEN array_to_string(list_reverse(ls), {nl}) "
+            f"WHEN page_id % 5 = 1 THEN 'Added to page ' || page_id || {nl} || body || {nl} || ls[1] "
+            f"WHEN page_id % 5 = 2 THEN array_to_string(ls[1:1] || ls[3:], {nl}) "
+            f"WHEN page_id % 5 = 3 THEN array_to_string(ls[2:] || ls[1:1], {nl}) ELSE body END AS body, "
+            "title || CASE WHEN page_id % 7 = 0 THEN ' (2)' ELSE '' END AS title FROM a_side",
+        ),
+    ]
+
+
+def compared_lines() -> list[tuple[str, str]]:
+    """Lines paired copy by copy; the longest common order by steps over all earlier pairs."""
+    fields = lambda t: (
+        f"SELECT page_id, 'content_text' AS field, CASE WHEN body = '' THEN []::VARCHAR[] ELSE string_split(body, chr(10)) END AS l FROM {t} "
+        f"UNION ALL SELECT page_id, 'title', CASE WHEN title IS NULL THEN []::VARCHAR[] ELSE [title] END FROM {t}"
+    )
+    flat = lambda t: (
+        "SELECT *, row_number() OVER (PARTITION BY page_id, field, line ORDER BY n) AS nth FROM "
+        f"(SELECT page_id, field, unnest(l) AS line, generate_subscripts(l, 1) AS n FROM {t} WHERE (page_id, field) IN (SELECT page_id, field FROM differ))"
+    )
+    return [
+        *edited_snapshot(),
+        ("a_lists", fields("a_side")),
+        ("b_lists", fields("b_side")),
+        ("differ", "SELECT page_id, field FROM a_lists a JOIN b_lists b USING (page_id, field) WHERE a.l <> b.l"),
+        ("a_lines", flat("a_lists")),
+        ("b_lines", flat("b_lists")),
+        (
+            "met",
+            "SELECT page_id, field, line, a.n::INTEGER AS line_a, b.n::INTEGER AS line_b FROM a_lines a FULL JOIN b_lines b USING (page_id, field, line, nth)",
+        ),
+        (
+            "orders",
+            "SELECT page_id, field, list(line_a ORDER BY line_a) AS pa, list(line_b ORDER BY line_a) AS pb FROM met "
+            "WHERE line_a IS NOT NULL AND line_b IS NOT NULL GROUP BY ALL",
+        ),
+        (
+            "climb",
+            "SELECT page_id, field, pa, pb, 0 AS i, []::INTEGER[] AS lv FROM orders UNION ALL "
+            "SELECT page_id, field, pa, pb, i + 1, list_append(lv, (1 + coalesce(list_max(list_transform("
+            "list_filter(range(1, i + 1), lambda j: pb[j] < pb[i + 1]), lambda j: lv[j])), 0))::INTEGER) FROM climb WHERE i < len(pb)",
+        ),
+        ("levels_of", "SELECT page_id, field, pa, lv, list_max(lv) AS top FROM climb WHERE i = len(pb)"),
+        (
+            "descent",
+            "SELECT page_id, field, pa, lv, top AS level, list_max(list_filter(range(1, len(lv) + 1), lambda j: lv[j] = top)) AS spot FROM levels_of UNION ALL "
+            "SELECT page_id, field, pa, lv, level - 1, list_max(list_filter(range(1, spot), lambda j: lv[j] = level - 1)) FROM descent WHERE level > 1",
+        ),
+        ("settled", "SELECT page_id, field, pa[spot] AS line_a FROM descent"),
+    ]
+
+
+def profile_tables(fold: str = "true") -> list[tuple[str, str]]:
+    grams = (
+        "list_concat(list_concat(list_transform(range(1, len(w) + 1), lambda i: substr(w, i, 1)), "
+        "list_transform(range(1, len(w) + 2), lambda i: substr('_' || w || '_', i, 2))), "
+        "list_transform(range(1, len(w) + 1), lambda i: substr('_' || w || '_', i, 3)))"
+    )
+    return [
+        ("word_rows", f"SELECT doc_id, lang, unnest({words('text')}) AS w FROM documents"),
+        ("gram_rows", f"SELECT doc_id, lang, unnest({grams}) AS gram FROM word_rows"),
+        ("gram_counts", "SELECT lang, gram, count(*) AS n FROM gram_rows WHERE doc_id % 2 = 0 AND lang IS NOT NULL GROUP BY ALL"),
+        ("ranked_grams", "SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rank FROM gram_counts"),
+        ("profile", "SELECT lang, gram, rank::INTEGER AS rank FROM ranked_grams WHERE rank <= 300"),
+        ("sized", "SELECT doc_id, count(*) AS n FROM gram_rows GROUP BY 1"),
+        (
+            "points",
+            "SELECT g.doc_id, p.lang, sum(301 - rank) AS score FROM gram_rows g JOIN profile p USING (gram) GROUP BY ALL",
+        ),
+        (
+            "contest",
+            "SELECT doc_id, lang, score, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS place, "
+            "coalesce(lead(score) OVER (PARTITION BY doc_id ORDER BY score DESC, lang), 0) AS following FROM points",
+        ),
+        (
+            "found",
+            "SELECT doc_id, d.lang AS named, coalesce(n, 0) AS n_grams, CASE WHEN n >= 40 AND score * 100 >= following * 105 AND score >= n * 30 THEN c.lang END AS detected "
+            f"FROM documents d LEFT JOIN sized USING (doc_id) LEFT JOIN (SELECT * FROM contest WHERE place = 1) c USING (doc_id) WHERE {fold}",
+        ),
+    ]
+
+
 def percentiles(values: str) -> str:
     return ", ".join(
         f"round(quantile_cont({values}, {p}), 6) AS p{round(p * 100)}" for p in (0.5, 0.9, 0.99)
@@ -996,6 +1088,11 @@ def _oracles() -> dict[str, str]:
             "SELECT hostname AS host, lower(term) AS term, count(*) AS n FROM (SELECT hostname, unnest(string_split(tags, '|')) AS term FROM meta WHERE tags <> '') GROUP BY 1, 2"
         ),
         "detect_language": with_tables(detected, "SELECT page_id, declared, detected FROM found"),
+        "language_profiles": with_tables(profile_tables(), "SELECT lang, gram, rank FROM profile"),
+        "detect_by_profiles": with_tables(profile_tables(), "SELECT doc_id, n_grams, detected FROM found"),
+        "profile_agreement": with_tables(
+            profile_tables("doc_id % 2 <> 0"), "SELECT named AS lang, detected, count(*) AS texts FROM found GROUP BY ALL"
+        ),
         "language_gate": with_tables(
             detected,
             "SELECT page_id, coalesce(d <> 'en', false) OR coalesce(detected <> 'en', false) AS refused, "
@@ -1019,6 +1116,19 @@ def _oracles() -> dict[str, str]:
             [*strict_ledger(), ("hosts", f"SELECT {host('url')} AS host, outcome FROM ledger")],
             "SELECT host, outcome, grouping(host, outcome)::INTEGER AS level, count(*) AS pages FROM hosts GROUP BY ROLLUP (host, outcome)",
         ),
+        "changed_lines": with_tables(
+            compared_lines(),
+            "SELECT page_id, field, CASE WHEN line_a IS NULL THEN 'added' WHEN line_b IS NULL THEN 'removed' ELSE 'moved' END AS change, line_a, line_b, line "
+            "FROM met WHERE line_a IS NULL OR line_b IS NULL OR (page_id, field, line_a) NOT IN (SELECT page_id, field, line_a FROM settled)",
+        ),
+        "renamed_pages": with_tables(
+            edited_snapshot(),
+            "SELECT sha256(body) AS body_sha, min(page_id) FILTER (side = 'a') AS page_a, min(page_id) FILTER (side = 'b') AS page_b, "
+            "count(*) FILTER (side = 'a') AS pages_a, count(*) FILTER (side = 'b') AS pages_b FROM ("
+            "SELECT page_id, body, 'a' AS side FROM a_side WHERE page_id NOT IN (SELECT page_id FROM b_side) UNION ALL "
+            "SELECT page_id, body, 'b' FROM b_side WHERE page_id NOT IN (SELECT page_id FROM a_side)) WHERE body <> '' "
+            "GROUP BY body HAVING count(DISTINCT side) = 2",
+        ),
         "snapshot_diff": with_tables(two_snapshots, diffs),
         "diff_verdict": with_tables(
             [*two_snapshots, ("diffs", diffs)],

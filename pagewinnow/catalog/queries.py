@@ -24,6 +24,7 @@ from pagewinnow.streaming.jobs import PAGE_SCHEMA, read_tally, stream_dedup, str
 
 DEFAULTS = ExtractOptions()
 SIZE_CAP = 2600
+PROFILED = ("de", "en", "es", "fr")
 PRUNED = ".ad, h1, a"
 DATE_OVERRIDE = dt.date(2001, 2, 3)
 MAX_BLOCK_PAGES = 5
@@ -288,6 +289,25 @@ def detect_language(spark, d):
     )
 
 
+def _documents(spark, d) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang")
+
+
+def language_profiles(spark, d):
+    return language.language_profiles(_documents(spark, d).where("doc_id % 2 = 0"))
+
+
+def detect_by_profiles(spark, d):
+    return language.detect_by_profiles(_documents(spark, d), language_profiles(spark, d), PROFILED)
+
+
+def profile_agreement(spark, d):
+    """Of the texts that no profile was learned from: named language against the detected one."""
+    named = _documents(spark, d).where("doc_id % 2 <> 0")
+    found = language.detect_by_profiles(named, language_profiles(spark, d), PROFILED)
+    return found.join(named.select("doc_id", "lang"), "doc_id").groupBy("lang", "detected").agg(F.count("*").alias("texts"))
+
+
 def language_gate(spark, d):
     docs = language.detect_language(_bodies(spark, d), "content_text").withColumn(
         "declared", F.expr("CASE WHEN page_id % 2 = 0 THEN declared END")
@@ -344,6 +364,22 @@ def snapshot_diff(spark, d):
     return C.snapshot_diff(*_snapshots(spark, d))
 
 
+def _stored_snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Results as two runs would have stored them, the second with edits."""
+    folder = _fresh(spark, "snapshots")
+    E.process(X.injected(spark, d)).write.parquet(f"{folder}/a")
+    X.edited(spark.read.parquet(f"{folder}/a")).write.parquet(f"{folder}/b")
+    return spark.read.parquet(f"{folder}/a"), spark.read.parquet(f"{folder}/b")
+
+
+def changed_lines(spark, d):
+    return C.changed_lines(*_stored_snapshots(spark, d))
+
+
+def renamed_pages(spark, d):
+    return C.renamed_pages(*_stored_snapshots(spark, d))
+
+
 def diff_verdict(spark, d):
     return C.diff_verdict(*_snapshots(spark, d), "balanced", "precision")
 
@@ -574,7 +610,8 @@ REGISTERED: dict[str, Query] = {
             fallback_select, nested_containers, wrapped_pages, assemble, keep_links_and_images, link_edges, host_degrees, image_rows,
             image_inventory, dedup_blocks, dedup_blocks_by_host, duplicate_pages, meta_pairs,
             jsonld_fields, metadata_fields, null_if_empty, resolve_url, publication_date, date_override,
-            exclude_authors, tag_terms, detect_language, language_gate, essential_metadata_gate,
+            exclude_authors, tag_terms, detect_language, language_profiles, detect_by_profiles, profile_agreement,
+            language_gate, essential_metadata_gate, changed_lines, renamed_pages,
             metadata_coverage, outcome_ledger, outcome_tally, snapshot_diff, diff_verdict,
             dump_manifest, score_extraction, fscore_tripwire, score_dates, paired_agreement,
             stream_overlap, distribution, nesting_profile, determinism_check, measurement_summary,

@@ -1,19 +1,28 @@
-"""Language of a text by stop-word counts, and the language refusals.
+"""Language of a text by stop-word counts or by learned n-gram ranks, and the language refusals.
 
-A vocabulary is at most a few dozen words, so counting is an expression on the
-row that holds the text: no explode, no join, no shuffle.
+A stop-word vocabulary is at most a few dozen words, so counting is an
+expression on the row that holds the text: no explode, no join, no shuffle.
+Rank profiles are learned from texts of known language; they need no list and
+reach texts without stop words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pagewinnow.functions.patterns import STOP_WORDS
 from pagewinnow.functions.text import count_in, letter_words, listed, quoted
 
 MIN_HITS = 2
+#: n-grams of a language that are ranked; the first has the greatest weight, the last a weight of 1
+PROFILE_SIZE = 300
+MIN_GRAMS = 40
+#: the best language leads the next by this many percent ...
+MARGIN = 5
+#: ... and an n-gram has on average at least this percentage of the greatest weight
+FLOOR = 10
 
 
 def detect_language(
@@ -39,6 +48,69 @@ def detect_language(
     )
 
 
+def _grams(word: str) -> str:
+    """Letters, pairs and triples of a word, whose ends count as a letter ``_``."""
+    padded = f"concat('_', {word}, '_')"
+    part = lambda n, count: f"transform(sequence(1, {count}), i -> substr({padded}, i, {n}))"
+    letters = f"transform(sequence(1, length({word})), i -> substr({word}, i, 1))"
+    return f"concat({letters}, {part(2, f'length({word}) + 1')}, {part(3, f'length({word})')})"
+
+
+def language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE_SIZE) -> DataFrame:
+    """``lang, gram, rank``: the ``size`` most frequent n-grams of each language's texts.
+
+    Words are counted before they are cut up, so a frequent word is cut once.
+    Ties go by the n-gram.  Rows without a language or words teach nothing.
+    """
+    words = docs.where(f"{lang} IS NOT NULL").selectExpr(f"{lang} AS lang", f"explode({letter_words(text)}) AS word")
+    counted = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    grams = counted.selectExpr("lang", f"explode({_grams('word')}) AS gram", "n")
+    sums = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    ranked = sums.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
+    return ranked.where(f"rank <= {size}").select("lang", "gram", "rank")
+
+
+def detect_by_profiles(
+    docs: DataFrame,
+    profiles: DataFrame,
+    languages: Sequence[str],
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = PROFILE_SIZE,
+    min_grams: int = MIN_GRAMS,
+    margin: int = MARGIN,
+    floor: int = FLOOR,
+) -> DataFrame:
+    """``key, n_grams, detected``: one row per key, NULL where undecided.
+
+    An n-gram has the weight ``size + 1 - rank`` for each of ``languages`` whose
+    profile ranks it.  A text is undecided when it is short, when the two best languages are
+    close, or when most of its n-grams belong to no profile.  Rows that share a
+    key are read as one text.
+
+    Texts stay where they are: their n-grams meet the profiles (``size`` rows a
+    language) in the scanning task, and one row per key with its sums moves on.
+    """
+    words = docs.selectExpr(key, f"explode_outer({letter_words(text)}) AS word")
+    grams = words.selectExpr(key, f"explode_outer({_grams('word')}) AS gram")
+    known = sorted(languages)
+    weight = lambda lang: F.expr(f"max({size} + 1 - rank) FILTER (WHERE lang = {quoted(lang)})")
+    by_gram = profiles.groupBy("gram").agg(*[weight(lang).alias(f"_w{i}") for i, lang in enumerate(known)])
+    sums = grams.join(by_gram, "gram", "left").groupBy(key).agg(
+        F.count("gram").alias("n_grams"),
+        *[F.expr(f"coalesce(sum(_w{i}), 0) AS _s{i}") for i in range(len(known))],
+    )
+    scores = ", ".join(f"struct(-_s{i} AS loss, {quoted(lang)} AS lang)" for i, lang in enumerate(known))
+    best, following = "-_langs[0].loss", "coalesce(-get(_langs, 1).loss, 0)"
+    sure = (
+        f"n_grams >= {min_grams} AND {best} * 100 >= {following} * {100 + margin} "
+        f"AND {best} * 100 >= n_grams * {size * floor}"
+    )
+    return sums.selectExpr(key, "n_grams", f"sort_array(array({scores})) AS _langs").selectExpr(
+        key, "n_grams", f"CASE WHEN {sure} THEN _langs[0].lang END AS detected"
+    )
+
+
 def mismatch(language: str, target: str | None) -> str:
     """Known and different from the target; never with no target."""
     if target is None:
