@@ -9,6 +9,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagewinnow.llm import catalog, knn, links, mixing, substrings, warc
@@ -157,6 +158,61 @@ def test_trust_and_distrust_spread(spark, engine):
     over(spark, engine, "op8_url_filters", "pages", pages, PAGE, links.judged)
 
 
+def linking(*hosts):
+    return "".join(f'<a href="https://{h}/p">t</a>' for h in hosts)
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark, engine):
+    chain = [(i, f"http://h{i}.net/", linking(f"h{i - 1}.net" if i > 1 else "bad.com")) for i in range(1, 15)]
+    pages = [(0, "http://bad.com/de/", ""), (99, "http://aside.net/", ""), *chain]
+    rows = {r.page_id: r.verdict for r in links.judged(spark.createDataFrame(pages, PAGE)).collect()}
+    assert {i for i, v in rows.items() if v == "allow"} == {99}
+    over(spark, engine, "op8_url_filters", "pages", pages, PAGE, links.judged)
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_table(spark):
+    near = [
+        (1, "http://bad.com/de/", ""),
+        (2, "http://a.net/", linking("bad.com", *(f"x{k}.net" for k in range(30)))),
+        (3, "http://b.net/", linking("a.net", "liked.net")),
+        (4, "http://c.org/", linking("liked.net")),
+        (5, "http://liked.net/", linking("bad.com")),
+    ]
+    many = near + [(100 + k, f"http://far{k % 700}.org/", linking(f"else{k % 90}.org")) for k in range(5000)]
+    alone, among = ({r.page_id: r.verdict for r in links.judged(spark.createDataFrame(p, PAGE)).collect()} for p in (near, many))
+    assert {i: among[i] for i in alone} == alone and set(alone.values()) == {"allow", "block"}
+
+
+def test_links_are_read_past_quoted_brackets(spark, engine):
+    odd = [
+        '<a title="x > y" href="https://bad.com/p">t</a>',
+        "<A\nclass='a>b' data-href=\"//no.net/\" HREF = '//BAD.com?q'>t</A>",
+        "<a href=//bad.com>t</a>",
+        '<a title="see href=//bad.com/ there" href="/local">t</a><abbr href="//bad.com/">t</abbr>',
+        f"<a {' '.join(f'a{i}=b' for i in range(3000))} href='http://bad.com:80/x'>t</a>",
+        "<p>" + "word " * 200_000 + "</p>" + linking("bad.com"),
+        "<a href=''>t</a><a href>t</a><a>t</a>" + linking(""),
+    ]
+    pages = [(0, "http://bad.com/de/", "")] + [(i, f"http://h{i}.net/", html) for i, html in enumerate(odd, 1)]
+    frame = spark.createDataFrame(pages, PAGE)
+    found = {(r.src, r.dst): r.n for r in links.host_edges(frame).collect()}
+    assert found == {("h1.net", "bad.com"): 1, ("h2.net", "bad.com"): 1, ("h3.net", "bad.com"): 1, ("h5.net", "bad.com:80"): 1, ("h6.net", "bad.com"): 1}
+    over(spark, engine, "op8_url_filters", "pages", pages, PAGE, links.judged)
+
+
+def test_links_beside_clashing_names(spark):
+    names = "host path rule verdict by_rule blocked trust distrust score amount src dst n total tag t".split()
+    frame = spark.createDataFrame(PAGES, PAGE)
+    plain, beside = frame, frame.select("*", *(F.lit(7).alias(c) for c in names))
+    rows = lambda df: sorted(map(str, links.judged(df).collect()))
+    assert rows(plain) == rows(beside)
+
+
+def test_a_circle_of_hosts_ends(spark, engine):
+    pages = [(1, "http://a.org/", linking("b.net")), (2, "http://b.net/", linking("a.org", "bad.com")), (3, "http://bad.com/de/", linking("a.org"))]
+    over(spark, engine, "op8_url_filters", "pages", pages, PAGE, links.judged)
+
+
 def plain_top(rows, k):
     good = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = Counter()
