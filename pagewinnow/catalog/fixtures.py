@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pagewinnow.functions.text import plain_text, quoted
 from pagewinnow.sources.pages import read_pages
 
 _ID = "cast(page_id AS varchar(20))"
@@ -226,28 +227,29 @@ def edited(processed: DataFrame) -> DataFrame:
     )
 
 
+# Truth is cut by pattern straight from the document: paragraphs of all articles, marked up
+# or not, without headings; links, notices and footers outside of them.
+ARTICLE = r"(?s)<article>(.*?)</article>"
+HEADING = r"(?s)<h[1-6](?:\s[^<>]*)?>.*?</h[1-6]>"
+BREAKS = r"</?(?:p|ul|ol|li|div|table|tr|td|th|blockquote|pre|section)(?:\s[^<>]*)?>"
+OUTSIDE = (r"(?s)<a(?:\s[^<>]*)?>(.*?)</a>", r"""(?s)<(?:div class="ad"|footer)>(.*?)</(?:div|footer)>""")
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snippets cut from the raw markup by container, for scoring.
+    """``page_id, kind, snippet`` for scoring, as reading text.
 
-    Cut by pattern straight from the document, so that the scored classifier,
-    which never looks at containers, is not judged by its own rules.
+    The scored classifiers, some of which never look at containers, are not
+    judged by their own rules.
     """
-    source = pages(spark, sf_dir)
-    article = r"(?s)<article>(.*?)</article>"
-    para, item = r"<p>([^<>]+)</p>", r">([^<>]+)</a>"
-    rest = r"<(?:div class=\"ad\"|footer)>([^<>]+)</"
-    found = source.select(
-        "page_id",
-        F.regexp_extract_all(F.regexp_extract("html", article, 1), F.lit(para), F.lit(1)).alias("inside"),
-        F.concat(
-            F.regexp_extract_all("html", F.lit(item), F.lit(1)),
-            F.regexp_extract_all("html", F.lit(rest), F.lit(1)),
-        ).alias("outside"),
+    inside = (
+        f"flatten(transform(regexp_extract_all(html, {quoted(ARTICLE)}, 1), "
+        f"a -> split(regexp_replace(a, {quoted(HEADING)}, '<p>'), {quoted(BREAKS)})))"
     )
-    long = found.selectExpr(
+    others = ", ".join(f"regexp_extract_all(html, {quoted(pattern)}, 1)" for pattern in OUTSIDE)
+    found = pages(spark, sf_dir).selectExpr(
         "page_id",
-        "explode(concat(transform(inside, s -> struct('with' AS kind, s AS snippet)), "
-        "transform(outside, s -> struct('without' AS kind, s AS snippet)))) AS t",
-    ).selectExpr("page_id", "t.kind", "trim(t.snippet) AS snippet")
-    # a snippet with a character reference reads differently in plain text
-    return long.where("NOT contains(snippet, '&') AND snippet <> ''").distinct()
+        f"inline(concat(transform({inside}, s -> struct('with' AS kind, s AS markup)), "
+        f"transform(concat({others}), s -> struct('without' AS kind, s AS markup))))",
+    )
+    read = plain_text(found, "markup", "snippet").select("page_id", "kind", "snippet")
+    return read.where("snippet <> ''").distinct()

@@ -468,13 +468,13 @@ def pruned_blocks() -> list[tuple[str, str]]:
     ]
 
 
-def second_pass() -> list[tuple[str, str]]:
+def second_pass(source: tuple[str, str] = UNSTRUCTURED) -> list[tuple[str, str]]:
     """Main, baseline and statistical pass side by side, with their scores."""
     allowed = "(NOT in_teaser OR teasers) AND (NOT in_bottom OR bottoms)"
     texts = lambda flag: f"coalesce(string_agg(text, chr(10) ORDER BY block_no) FILTER ({flag} AND text <> ''), '')"
     score = lambda flag: f"greatest(coalesce(sum(n_chars - link_chars) FILTER ({flag}), 0), 0)"
     return [
-        *block_rows(UNSTRUCTURED),
+        *block_rows(source),
         features(),
         *labelled(),
         *smoothed(),
@@ -635,18 +635,13 @@ def meta_query(final: str, **kw) -> str:
 
 
 def truth_tables() -> list[tuple[str, str]]:
-    rest = '<(?:div class="ad"|footer)>([^<>]+)</'
+    inside = f"unnest(regexp_extract_all(html, {lit(X.ARTICLE)}, 1))"
+    outside = " UNION ALL ".join(f"SELECT page_id, 'without', unnest(regexp_extract_all(html, {lit(o)}, 1)) FROM pages" for o in X.OUTSIDE)
     return [
-        (
-            "cut",
-            "SELECT page_id, 'with' AS kind, unnest(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>([^<>]+)</p>', 1)) AS s FROM pages "
-            "UNION ALL SELECT page_id, 'without', unnest(regexp_extract_all(html, '>([^<>]+)</a>', 1)) FROM pages "
-            f"UNION ALL SELECT page_id, 'without', unnest(regexp_extract_all(html, {lit(rest)}, 1)) FROM pages",
-        ),
-        (
-            "truth",
-            "SELECT DISTINCT page_id, kind, trim(s) AS snippet FROM cut WHERE NOT contains(s, '&') AND trim(s) <> ''",
-        ),
+        ("articles", f"SELECT page_id, {inside} AS a FROM pages"),
+        ("cut", f"SELECT page_id, 'with' AS kind, unnest(regexp_split_to_array(regexp_replace(a, {lit(X.HEADING)}, '<p>', 'g'), {lit(X.BREAKS)})) AS s FROM articles UNION ALL {outside}"),
+        ("readable", f"SELECT page_id, kind, {plain('s')} AS snippet FROM cut"),
+        ("truth", "SELECT DISTINCT page_id, kind, snippet FROM readable WHERE snippet <> ''"),
     ]
 
 
@@ -673,15 +668,24 @@ def statistical_runs() -> list[tuple[str, str]]:
         ("uniq", f"SELECT n.* FROM normed n LEFT JOIN freq USING (norm) WHERE coalesce(df, 0) <= {MAX_BLOCK_PAGES}"),
         *labelled("uniq"),
         *smoothed(),
+        (
+            "called",
+            with_tables(
+                second_pass(PLAIN_PAGES),
+                "SELECT page_id, CASE WHEN rescued THEN b ELSE t END AS fallback, CASE WHEN length(m) < 250 AND length(mb) > length(m) THEN mb ELSE m END AS plainly "
+                "FROM (SELECT *, CASE WHEN m = '' AND strict = '' AND length(loose) >= 250 THEN loose ELSE strict END AS mb FROM rescues)",
+            ),
+        ),
         (
             "runs",
+            "SELECT 'default' AS run, page_id, plainly AS content_text FROM called UNION ALL SELECT 'fallback', page_id, fallback FROM called UNION ALL "
             "SELECT focus AS run, page_id, string_agg(text, chr(10) ORDER BY block_no) AS content_text FROM smooth WHERE keep GROUP BY focus, page_id",
         ),
         *truth_tables(),
         (
             "judged",
-            "SELECT l.focus AS run, t.*, coalesce(contains(content_text, snippet), false) AS found "
-            "FROM truth t CROSS JOIN levels l LEFT JOIN runs r ON r.page_id = t.page_id AND r.run = l.focus",
+            "SELECT l.run, t.*, coalesce(contains(content_text, snippet), false) AS found FROM truth t "
+            "CROSS JOIN (SELECT focus AS run FROM levels UNION ALL VALUES ('default'), ('fallback')) l LEFT JOIN runs r ON r.page_id = t.page_id AND r.run = l.run",
         ),
         (
             "cells",
@@ -959,6 +963,18 @@ def _oracles() -> dict[str, str]:
         "round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, "
         f"round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round({F_SCORE}, 6) AS f_score"
     )
+    run_tables = [
+        *scores,
+        (
+            "levels2",
+            "SELECT DISTINCT page_id FROM blks WHERE n_chars > 0 AND in_content AND NOT in_chrome AND in_bottom",
+        ),
+    ]
+    record = lambda day: (
+        f"SELECT {day} AS run_date, 'corpus-1' AS corpus_version, (SELECT count(*) FROM pages) AS pages, "
+        "CASE WHEN EXISTS (SELECT 1 FROM levels2) THEN 'non-empty' ELSE 'empty' END AS verdict, "
+        f"(SELECT round({F_SCORE}, 6) FROM cells WHERE run = 'default') AS fscore"
+    )
     options = ExtractOptions
     return {
         "read_pages": "SELECT page_id, url, strlen(html) AS n_bytes FROM pages",
@@ -995,18 +1011,8 @@ def _oracles() -> dict[str, str]:
             second_pass(),
             "SELECT page_id, chosen, rescued, CASE WHEN rescued THEN b ELSE t END AS content_text FROM rescues",
         ),
-        "run_record": with_tables(
-            [
-                *scores,
-                (
-                    "levels2",
-                    "SELECT DISTINCT page_id FROM blks WHERE n_chars > 0 AND in_content AND NOT in_chrome AND in_bottom",
-                ),
-            ],
-            "SELECT DATE '2024-01-01' AS run_date, 'corpus-1' AS corpus_version, (SELECT count(*) FROM pages) AS pages, "
-            "CASE WHEN EXISTS (SELECT 1 FROM levels2) THEN 'non-empty' ELSE 'empty' END AS verdict, "
-            f"(SELECT round({F_SCORE}, 6) FROM cells WHERE run = 'balanced') AS fscore",
-        ),
+        "run_record": with_tables(run_tables, record("DATE '2024-01-01'")),
+        "run_log": with_tables(run_tables, record("DATE '2024-01-01'") + " UNION ALL " + record("DATE '2024-01-02'")),
         "exclude_tables": one_run("SELECT page_id, content_text FROM result", exclude_tables=True),
         "split_comments": one_run("SELECT page_id, comments_text, comments_html FROM result"),
         "exclude_comments": one_run("SELECT page_id, comments_text FROM result", exclude_comments=True),
@@ -1129,6 +1135,18 @@ def _oracles() -> dict[str, str]:
             "SELECT page_id, body, 'b' FROM b_side WHERE page_id NOT IN (SELECT page_id FROM a_side)) WHERE body <> '' "
             "GROUP BY body HAVING count(DISTINCT side) = 2",
         ),
+        "lossy_tally": with_tables(
+            [
+                *block_rows(PLAIN_PAGES),
+                *streams(option_table(ExtractOptions())),
+                (
+                    "hosts",
+                    f"SELECT {host('url')} AS host, page_id % 10 = 3 AS lossy, CASE WHEN content_text <> '' OR comments_text <> '' THEN 'ok' ELSE 'refused' END AS outcome "
+                    "FROM result JOIN src USING (page_id)",
+                ),
+            ],
+            "SELECT host, outcome, grouping(host, outcome)::INTEGER AS level, count(*) AS pages, count(*) FILTER (lossy) AS lossy FROM hosts GROUP BY ROLLUP (host, outcome)",
+        ),
         "snapshot_diff": with_tables(two_snapshots, diffs),
         "diff_verdict": with_tables(
             [*two_snapshots, ("diffs", diffs)],
@@ -1149,7 +1167,7 @@ def _oracles() -> dict[str, str]:
         "score_extraction": with_tables(scores, f"SELECT run, tp, fn, fp, tn, {rates} FROM cells"),
         "fscore_tripwire": with_tables(
             scores,
-            f"SELECT run, round({F_SCORE}, 6) AS f_score, CASE WHEN run <> 'balanced' THEN 'reported' "
+            f"SELECT run, round({F_SCORE}, 6) AS f_score, CASE WHEN run <> 'default' THEN 'reported' "
             f"WHEN {F_SCORE} >= 0.903 THEN 'pass' ELSE 'fail' END AS status FROM cells",
         ),
         "score_dates": (
@@ -1167,7 +1185,7 @@ def _oracles() -> dict[str, str]:
                 ("correct", "SELECT run, page_id, kind, snippet, found = (kind = 'with') AS ok FROM judged"),
             ],
             "SELECT a.ok AS a_right, b.ok AS b_right, count(*) AS n FROM correct a JOIN correct b USING (page_id, kind, snippet) "
-            "WHERE a.run = 'favor_precision' AND b.run = 'favor_recall' GROUP BY 1, 2",
+            "WHERE a.run = 'default' AND b.run = 'favor_recall' GROUP BY 1, 2",
         ),
         "stream_overlap": one_run(
             "SELECT page_id, len(list_distinct(list_intersect(list_filter(string_split(content_text, chr(10)), lambda x: x <> ''), "

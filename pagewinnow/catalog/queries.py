@@ -19,7 +19,7 @@ from pagewinnow.plans import extract as E
 from pagewinnow.plans.sweep import option_sweep
 from pagewinnow.sources.pages import read_page_tree, read_pages
 from pagewinnow.session import shared_folder
-from pagewinnow.sources.sinks import read_accepted, read_refused, run_record, split_sinks
+from pagewinnow.sources.sinks import append_run, read_accepted, read_refused, run_record, split_sinks
 from pagewinnow.streaming.jobs import PAGE_SCHEMA, read_tally, stream_dedup, stream_extract, stream_tally, stream_tally_sink, stream_unique
 
 DEFAULTS = ExtractOptions()
@@ -30,6 +30,7 @@ DATE_OVERRIDE = dt.date(2001, 2, 3)
 MAX_BLOCK_PAGES = 5
 REGION_FLAGS = [f"in_{r}" for r in markup.FLAGS]
 FOCUS_SWEEP = [ExtractOptions(focus=f) for f in B.THRESHOLDS]
+CALLS = ("default", "fallback")
 OPTION_SETS = [
     DEFAULTS,
     ExtractOptions(focus="favor_recall"),
@@ -355,6 +356,14 @@ def outcome_tally(spark, d):
     return ledger.outcome_tally(_strict_ledger(spark, d).selectExpr("outcome", f"{host_of('url')} AS host"))
 
 
+def lossy_tally(spark, d):
+    """Outcomes of pages decoded with losses where they must be, and how many those are."""
+    decoded = intake.lossy_decode(X.raw_pages(spark, d))
+    outcomes = E.ledger(decoded.drop("lossy")).select("page_id", "outcome")
+    marked = decoded.selectExpr("page_id", f"{host_of('url')} AS host", "lossy")
+    return ledger.outcome_tally(outcomes.join(marked, "page_id"), "lossy")
+
+
 def _snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
     pages = X.injected(spark, d)
     return E.process(pages), E.process(pages, focus="favor_precision", max_input_bytes=20000)
@@ -398,13 +407,15 @@ def _statistical_runs(spark, d) -> DataFrame:
     return kept.groupBy("run", "page_id").agg(F.expr(f"{text} AS content_text"))
 
 
-def _judged_runs(spark, d) -> DataFrame:
-    """Every truth snippet judged in every run, also where a page is missing."""
-    return scoring.judged_runs(_statistical_runs(spark, d), X.truth(spark, d), list(B.THRESHOLDS))
+def _runs(spark, d) -> DataFrame:
+    """``run, page_id, content_text``: the default call, the one with fallback, the container-blind ones."""
+    swept = option_sweep(X.pages(spark, d), [DEFAULTS, ExtractOptions(enable_fallback=True)])
+    calls = swept.selectExpr(f"element_at(array({', '.join(map(repr, CALLS))}), option_id + 1) AS run", "page_id", "content_text")
+    return calls.unionByName(_statistical_runs(spark, d))
 
 
 def _scores(spark, d) -> DataFrame:
-    return scoring.score_extraction(_statistical_runs(spark, d), X.truth(spark, d), list(B.THRESHOLDS))
+    return scoring.score_extraction(_runs(spark, d), X.truth(spark, d), [*CALLS, *B.THRESHOLDS])
 
 
 def score_extraction(spark, d):
@@ -413,7 +424,7 @@ def score_extraction(spark, d):
 
 
 def fscore_tripwire(spark, d):
-    return scoring.fscore_tripwire(_scores(spark, d), "balanced").selectExpr(
+    return scoring.fscore_tripwire(_scores(spark, d), "default").selectExpr(
         "run", "round(f_score, 6) AS f_score", "status"
     )
 
@@ -429,7 +440,7 @@ def score_dates(spark, d):
 
 
 def paired_agreement(spark, d):
-    return scoring.paired_agreement(_judged_runs(spark, d), "favor_precision", "favor_recall")
+    return scoring.paired_agreement(_runs(spark, d), X.truth(spark, d), "default", "favor_recall")
 
 
 def stream_overlap(spark, d):
@@ -479,10 +490,19 @@ def option_sweep_q(spark, d):
 def run_record_q(spark, d):
     pages = X.pages(spark, d)
     verdict = C.diff_verdict(E.process(pages), E.process(pages, focus="favor_precision"), "a", "b")
-    record = run_record(spark, verdict, _scores(spark, d), dt.date(2024, 1, 1), "corpus-1", "balanced")
+    record = run_record(spark, verdict, _scores(spark, d), dt.date(2024, 1, 1), "corpus-1", "default")
     return _rounded(record)
 
 
+def run_log(spark, d):
+    """Records of two runs, appended to one table and read back."""
+    path, record = f"{_fresh(spark, 'runs')}/log", run_record_q(spark, d)
+    append_run(record, path)
+    # the record of a later run of the same pages
+    append_run(spark.read.parquet(path).withColumn("run_date", F.expr("date_add(run_date, 1)")).coalesce(1), path)
+    return spark.read.parquet(path)
+
+
 def _live(spark, d, table: str, schema: str) -> DataFrame:
     """A table's file as a stream."""
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(d)
@@ -611,7 +631,7 @@ REGISTERED: dict[str, Query] = {
             image_inventory, dedup_blocks, dedup_blocks_by_host, duplicate_pages, meta_pairs,
             jsonld_fields, metadata_fields, null_if_empty, resolve_url, publication_date, date_override,
             exclude_authors, tag_terms, detect_language, language_profiles, detect_by_profiles, profile_agreement,
-            language_gate, essential_metadata_gate, changed_lines, renamed_pages,
+            language_gate, essential_metadata_gate, changed_lines, renamed_pages, lossy_tally, run_log,
             metadata_coverage, outcome_ledger, outcome_tally, snapshot_diff, diff_verdict,
             dump_manifest, score_extraction, fscore_tripwire, score_dates, paired_agreement,
             stream_overlap, distribution, nesting_profile, determinism_check, measurement_summary,

@@ -6,27 +6,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from pagewinnow.functions.text import listed
+from pagewinnow.functions.text import listed, quoted
 
 RELEASE_FLOOR = 0.903
 
 
+def _beside_contents(extracted: DataFrame, truth: DataFrame) -> DataFrame:
+    """The truth with a map of what each run made of the page; no content is repeated per snippet and run."""
+    contents = extracted.groupBy("page_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("run", "content_text"))).alias("_contents")
+    )
+    return truth.join(contents, "page_id", "left")
+
+
+def _found_in(run: str) -> str:
+    """A page that a run lacks finds nothing."""
+    return f"coalesce(contains(try_element_at(_contents, {run}), snippet), false)"
+
+
 def judged_runs(extracted: DataFrame, truth: DataFrame, runs: Sequence[str] | None = None) -> DataFrame:
     """``run, page_id, kind, snippet, found``: every snippet of the truth in every run.
 
-    Expects ``run, page_id, content_text``, a page once per run.  The contents
-    of a page meet in one map, which the truth joins on ``page_id`` once; no
-    content is repeated per snippet and run.  A page that a run lacks finds
-    nothing.  ``runs`` defaults to the runs that are there, a short list.
+    Expects ``run, page_id, content_text``, a page once per run.  The truth joins
+    the contents on ``page_id`` once.  ``runs`` defaults to the runs that are
+    there, a short list, for which a job is started.
     """
     if runs is None:
         runs = sorted(r[0] for r in extracted.select("run").distinct().collect())
-    contents = extracted.groupBy("page_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("run", "content_text"))).alias("_contents")
-    )
-    found = "coalesce(contains(try_element_at(_contents, r), snippet), false)"
-    return truth.join(contents, "page_id", "left").selectExpr(
-        "page_id", "kind", "snippet", f"inline(transform(array({listed(runs)}), r -> struct(r AS run, {found} AS found)))"
+    return _beside_contents(extracted, truth).selectExpr(
+        "page_id", "kind", "snippet", f"inline(transform(array({listed(runs)}), r -> struct(r AS run, {_found_in('r')} AS found)))"
     )
 
 
@@ -98,15 +106,12 @@ def score_dates(extracted: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def paired_agreement(judged_runs: DataFrame, run_a: str, run_b: str, run: str = "run") -> DataFrame:
-    """2x2 table of two runs judged on the same truth.
+def paired_agreement(extracted: DataFrame, truth: DataFrame, run_a: str, run_b: str) -> DataFrame:
+    """2x2 table of two runs judged on the same truth; see ``judged_runs`` for the input.
 
-    Expects ``page_id, kind, snippet, found`` per run; a snippet is right when
-    it is found for ``with`` and not found for ``without``.
+    A snippet is right when it is found for ``with`` and not found for
+    ``without``.  Both runs are judged on the joined row; only counts move on.
     """
-    right = "CASE WHEN kind = 'with' THEN found ELSE NOT found END"
-    paired = judged_runs.groupBy("page_id", "kind", "snippet").agg(
-        F.expr(f"bool_or({run} = '{run_a}' AND {right}) AS a_right"),
-        F.expr(f"bool_or({run} = '{run_b}' AND {right}) AS b_right"),
-    )
-    return paired.groupBy("a_right", "b_right").agg(F.count(F.lit(1)).alias("n"))
+    right = lambda run: f"(kind = 'with') = {_found_in(quoted(run))}"
+    both = _beside_contents(extracted, truth).selectExpr(f"{right(run_a)} AS a_right", f"{right(run_b)} AS b_right")
+    return both.groupBy("a_right", "b_right").agg(F.count(F.lit(1)).alias("n"))
