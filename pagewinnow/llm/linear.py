@@ -16,6 +16,8 @@ ship(__name__)
 
 #: bounds of the samples that models are fitted and calibrated on
 FIT_ROWS, CALIBRATION_ROWS = 3000, 2000
+#: grams of a sample's texts, at the most, that meet in the driver, of 8 bytes each; text has about a third of that
+SAMPLE_GRAMS = 64_000_000
 SAMPLE = "doc_id long, y int, slots array<int>, shares array<float>"
 
 
@@ -42,8 +44,10 @@ class Model:
 Rows = list[tuple[int, np.ndarray, np.ndarray]]
 
 
-def sampled(docs: DataFrame, labels: DataFrame, label: str, fold: int, most: int, balanced: bool) -> Rows:
-    """``(y, slots, shares)`` of the sample in the order of its ids."""
+def sampled(
+    docs: DataFrame, labels: DataFrame, label: str, fold: int, most: int, balanced: bool, most_grams: int = SAMPLE_GRAMS
+) -> Rows:
+    """``(y, slots, shares)`` of the sample in the order of its ids; bounded in rows and in size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,7 +64,7 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, fold: int, most: int
                     ["doc_id", "y", "slots", "shares"],
                 )
 
-    rows = texts_of(docs, labelled(labels, label, fold, most, balanced)).mapInArrow(run, SAMPLE).toArrow()
+    rows = texts_of(docs, labelled(labels, label, fold, most, balanced), most_grams).mapInArrow(run, SAMPLE).toArrow()
     order = np.argsort(rows["doc_id"].to_numpy())
     y, slots, shares = rows["y"].to_numpy(), rows["slots"], rows["shares"]
     return [(int(y[i]), slots[int(i)].values.to_numpy(), shares[int(i)].values.to_numpy()) for i in order]

@@ -10,10 +10,12 @@ table entries over the text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pagewinnow.llm.shared import held_out, ship
 
@@ -25,8 +27,9 @@ KINDS = len(CHARACTERS) + 3
 BACK = (1, 2, 4, 8)
 #: weight of each kind; the few repeat patterns count more than single grams of a varied text
 WEIGHTS = np.array([1.0] * (KINDS - 1) + [20.0])
-#: code points worked on at once
+#: code points worked on at once; a single word is never cut
 PIECE = 1 << 18
+WORD, BLANK = re.compile(r"[^\t-\r ]+"), re.compile(r"[\t-\r ]")
 SPACE = np.zeros(34, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -37,35 +40,45 @@ def slot(x: np.ndarray, salt: int) -> np.ndarray:
     return (x * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)
 
 
-def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts, each followed by zeros, and where each text begins (one more at the end)."""
+class Part(NamedTuple):
+    """A piece of a text between white space, with what its first and last grams reach beyond it."""
+
+    lead: str
+    own: str
+    tail: str
+
+
+def points(parts: list[Part]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all parts, each followed by zeros, and where each part begins (one more at the end)."""
     pad = max(CHARACTERS)
-    data = ("\0" * pad).join([*texts, ""]).encode("utf-32-le")
-    begins = np.cumsum([0, *(len(t) + pad for t in texts)])
+    data = ("\0" * pad).join([*(p.lead + p.own + p.tail for p in parts), ""]).encode("utf-32-le")
+    begins = np.cumsum([0, *(sum(map(len, p)) + pad for p in parts)])
     return np.frombuffer(data, "<u4"), begins
 
 
-def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each kind: the slots of all grams, and how many each text has."""
-    cp, begins = points(texts)
-    lengths = np.diff(begins) - max(CHARACTERS)
-    inside = np.zeros(len(cp), bool)
-    for b, n in zip(begins[:-1], lengths, strict=True):
-        inside[b : b + n] = True
+def grams(parts: list[Part]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each kind: the slots of all grams that begin in the parts' own text, and how many each part has."""
+    cp, begins = points(parts)
+    lengths = np.array([len(p.own) for p in parts])
+    inside, known = np.zeros(len(cp), bool), np.zeros(len(cp), bool)
+    for b, p in zip(begins[:-1], parts, strict=True):
+        inside[b + len(p.lead) : b + len(p.lead) + len(p.own)] = True
+        known[b : b + len(p.lead) + len(p.own)] = True
     whole = cp.copy()
     for n in CHARACTERS:
         if n > 1:
             whole = whole * np.uint32(0x01000193)
             whole[: len(cp) - n + 1] += cp[n - 1 :]
         yield slot(whole, n)[inside], lengths
-    letter = inside & ~SPACE[np.minimum(cp, 33)]
+    letter = known & ~SPACE[np.minimum(cp, 33)]
     begin = letter.copy()
     begin[1:] &= ~letter[:-1]
     first = np.flatnonzero(begin)
     number = np.cumsum(begin)
     at = np.flatnonzero(letter)
     owner = np.searchsorted(begins, first, side="right") - 1
-    counts = np.bincount(owner, minlength=len(texts)) if len(first) else np.zeros(len(texts), int)
+    own = inside[first]
+    counts = np.bincount(owner[own], minlength=len(parts))
     if len(first):
         place = (at - first[number[at] - 1]).astype(np.uint32)
         mixed = (cp[at] + place * np.uint32(65599)) * np.uint32(0x9E3779B1)
@@ -73,40 +86,56 @@ def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         word = np.add.reduceat(mixed * np.uint32(0x27D4EB2F), np.flatnonzero(begin[at]), dtype=np.uint32)
     else:
         word = np.zeros(0, np.uint32)
-    yield slot(word, 11), counts
+    yield slot(word, 11)[own], counts
     same = lambda k: np.append(np.zeros(min(k, len(owner)), bool), owner[k:] == owner[:-k])
     two = word + np.uint32(7)
     two[1:] += np.where(same(1)[1:], word[:-1] * np.uint32(31), np.uint32(0))
-    yield slot(two, 12), counts
+    yield slot(two, 12)[own], counts
     pattern = np.zeros(len(word), np.uint32)
     for i, k in enumerate(BACK):
         again = same(k)
         again[k:] &= word[k:] == word[:-k]
         pattern |= again.astype(np.uint32) << np.uint32(i)
-    yield slot(pattern, 13), counts
-
-
-def pieces(text: str) -> list[str]:
-    """A long text in parts that are cut at white space where there is some."""
-    out = []
-    while len(text) > PIECE:
-        cut = max(text.rfind(" ", PIECE // 2, PIECE), text.rfind("\n", PIECE // 2, PIECE)) + 1 or PIECE
-        out.append(text[:cut])
-        text = text[cut:]
-    return [*out, text]
-
-
-def grouped(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+    yield slot(pattern, 13)[own], counts
+
+
+def cuts(text: str) -> Iterator[int]:
+    """Ends of a text's pieces, each behind white space or at the end."""
+    at = 0
+    while len(text) - at > PIECE:
+        behind = max(text.rfind(blank, at + PIECE // 2, at + PIECE) for blank in "\t\n\v\f\r ") + 1
+        if not behind:  # a long word: up to its end
+            found = BLANK.search(text, at + PIECE)
+            behind = found.end() if found else len(text)
+        yield (at := behind)
+    if at < len(text) or not text:
+        yield len(text)
+
+
+def pieces(text: str) -> Iterator[Part]:
+    """A text in parts; a later one has the eight words before it, all but the last the three code points behind it."""
+    if len(text) <= PIECE:
+        yield Part("", text, "")
+        return
+    before, words = 0, []
+    for end in cuts(text):
+        own = text[before:end]
+        yield Part("".join(w + " " for w in words), own, text[end : end + max(CHARACTERS) - 1])
+        words = [*words, *WORD.findall(own)][-max(BACK) :]
+        before = end
+
+
+def grouped(texts: list[str]) -> Iterator[tuple[list[Part], np.ndarray]]:
     """Parts of all texts in groups of about ``PIECE`` code points, with the number of each part's text."""
     parts, owners, total = [], [], 0
     for i, t in enumerate(texts):
         for part in pieces(t):
-            if parts and total + len(part) > PIECE:
+            if parts and total + len(part.own) > PIECE:
                 yield parts, np.array(owners)
                 parts, owners, total = [], [], 0
             parts.append(part)
             owners.append(i)
-            total += len(part)
+            total += len(part.own)
     if parts:
         yield parts, np.array(owners)
 
@@ -156,8 +185,20 @@ def labelled(labels: DataFrame, label: str, fold: int, most: int, balanced: bool
     return take(known, most)
 
 
-def texts_of(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """``doc_id, text, y`` of a bounded sample, which is broadcast; of repeated ids the least text."""
+def texts_of(docs: DataFrame, sample: DataFrame, most_grams: int | None = None) -> DataFrame:
+    """``doc_id, text, y`` of a bounded sample, which is broadcast; of repeated ids the least text.
+
+    With ``most_grams`` the sample is bounded by its size as well.  A text has at
+    most six kinds of grams per code point and ``2 ** BITS`` slots.  Texts are
+    taken in the order of a hash of their ids; one with which the total would
+    pass the bound is left out, with all that follow.
+    """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    return rows.select("doc_id", "text", "y")
+    if most_grams is None:
+        return rows.select("doc_id", "text", "y")
+    most = F.least(F.char_length("text").cast("long") * (KINDS - 1), F.lit(1 << BITS))
+    # the sample has few rows, and only their sizes meet here
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    fits = rows.select("doc_id", most.alias("n")).withColumn("sum", F.sum("n").over(order)).where(F.col("sum") <= most_grams)
+    return rows.join(fits.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text", "y")

@@ -25,8 +25,8 @@ from pagewinnow.llm.shared import held_out, ship, table
 
 ship(__name__)
 
-#: bounds of the samples the weights and the logistic function are fitted on, and of the lexicon
-FIT_ROWS, CALIBRATION_ROWS, MOST_ENTRIES = 4000, 4000, 600
+#: bounds of the samples the weights and the logistic function are fitted on
+FIT_ROWS, CALIBRATION_ROWS = 4000, 4000
 TOXIC_FROM = 0.7
 #: an entry needs so many toxic texts and these log odds, which lie so many standard errors above zero
 LEAST_TEXTS, LEAST_ODDS, ERRORS = 3, 2.5, 1.64
@@ -139,7 +139,7 @@ def weights_of(docs: DataFrame, sample: DataFrame) -> dict[str, float]:
 
 
 def chosen(ranked: Iterable[tuple[str, float]]) -> dict[str, float]:
-    """The first ``MOST_ENTRIES`` of the entries that say more than those before them."""
+    """All entries that say more than those before them; the sample bounds how many there are."""
     weights: dict[str, float] = {}
     longer: dict[str, list[float]] = {}
     for entry, odds in ranked:
@@ -149,8 +149,6 @@ def chosen(ranked: Iterable[tuple[str, float]]) -> dict[str, float]:
             weights[entry] = odds
             for n in range(1, len(entry) + 1):
                 longer.setdefault(entry[:n], []).append(odds)
-            if len(weights) == MOST_ENTRIES:
-                break
     return weights
 
 

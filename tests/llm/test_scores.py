@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from pagewinnow.llm import linear, ngrams, quality_classifier, quality_rules, toxicity
 from tests.llm.conftest import EDGES
@@ -81,10 +82,71 @@ def test_scores_do_not_depend_on_neighbours_or_pieces(monkeypatch):
     assert np.allclose(together, [ngrams.means([t], table)[0] for t in texts])
     slots, shares = ngrams.features(texts[2])
     assert np.isclose(together[2], float(table[slots] @ shares), rtol=1e-4)
-    monkeypatch.setattr(ngrams, "PIECE", 64)
-    cut = ngrams.pieces(texts[3])
-    assert "".join(cut) == texts[3] and len(cut) > 3 and all(c.endswith((" ", "\n")) for c in cut)
-    assert np.allclose(ngrams.means(texts, table)[[0, 1, 4]], together[[0, 1, 4]])
+    for piece in (16, 64, 500):
+        monkeypatch.setattr(ngrams, "PIECE", piece)
+        parts = list(ngrams.pieces(texts[3]))
+        assert "".join(p.own for p in parts) == texts[3] and all(p.own[-1] in " \n" for p in parts)
+        assert (len(parts) > 3) == (piece < 100)
+        assert np.allclose(ngrams.means(texts, table), together, rtol=1e-9)
+        at, share = ngrams.features(texts[2])
+        assert np.array_equal(at, slots) and np.allclose(share, shares)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(" \n\v\tab漢", max_size=120), st.integers(1, 40))
+def test_every_cut_gives_the_same_grams(text, piece):
+    table = np.random.default_rng(1).normal(size=1 << ngrams.BITS).astype(np.float32)
+    whole = ngrams.means([text, "b a"], table)
+    before, ngrams.PIECE = ngrams.PIECE, piece
+    try:
+        assert "".join(p.own for p in ngrams.pieces(text)) == text
+        assert np.allclose(ngrams.means([text, "b a"], table), whole, rtol=1e-9, atol=1e-12)
+    finally:
+        ngrams.PIECE = before
+
+
+def plain_mean(text, table):
+    """Gram by gram, as the module's docstring says; hashes in plain numbers."""
+    full, words = 0xFFFFFFFF, re.findall(r"[^\x20\x09-\x0D]+", text)
+    entry = lambda x, salt: float(table[int(ngrams.slot(np.array([x], np.uint32), salt)[0])])
+
+    def named(word):
+        total = 0
+        for place, c in enumerate(word):
+            x = (ord(c) + place * 65599) * 0x9E3779B1 & full
+            total += (x ^ x >> 15) * 0x27D4EB2F
+        return total & full
+
+    kinds, data, names = [], [*map(ord, text), 0, 0, 0], [named(w) for w in words]
+    for n in ngrams.CHARACTERS:
+        found = []
+        for i in range(len(text)):
+            x = 0
+            for c in data[i : i + n]:
+                x = (x * 0x01000193 + c) & full
+            found.append(entry(x, n))
+        kinds.append(found)
+    kinds.append([entry(w, 11) for w in names])
+    kinds.append([entry((w + 7 + (names[i - 1] * 31 if i else 0)) & full, 12) for i, w in enumerate(names)])
+    again = lambda i: sum(2**b for b, k in enumerate(ngrams.BACK) if i >= k and names[i] == names[i - k])
+    kinds.append([entry(again(i), 13) for i in range(len(names))])
+    return sum(w * sum(k) / max(len(k), 1) for w, k in zip(ngrams.WEIGHTS, kinds, strict=True))
+
+
+def test_means_against_a_plain_scorer():
+    table = np.random.default_rng(2).normal(size=1 << ngrams.BITS).astype(np.float32)
+    texts = ["", " ", "a", "one two one two\n\vthree  three", "ünï 漢字 \U0001f600 x", *(t for _, t, *_ in EDGES[:2])]
+    assert np.allclose(ngrams.means(texts, table), [plain_mean(t, table) for t in texts])
+
+
+def test_a_sample_is_bounded_in_size(spark):
+    long = " ".join(f"w{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(i, long if i % 2 else "short text") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    whole = linear.sampled(docs, labels, "quality", 0, 100, True)
+    some = linear.sampled(docs, labels, "quality", 0, 100, True, most_grams=400_000)
+    assert 0 < len(some) < len(whole) and sum(len(s) for _, s, _ in some) <= 400_000
+    assert linear.sampled(docs, labels, "quality", 0, 100, True, most_grams=1) == []
 
 
 def test_classifier(spark, labels):
@@ -145,7 +207,7 @@ def test_folding_and_exceptions():
     assert lexicon.measures(short)[0] > 10 * lexicon.measures(long)[0]
 
 
-def test_lexicon_has_rare_words(spark, monkeypatch):
+def test_lexicon_has_rare_words(spark):
     """A word of 10 among 1,000 or more toxic texts is listed however large the sample; chance words aren't."""
     for size in (1000, 2000):
         rows = [(i, f"common filler text{' grobnax' if i < 10 else ''}{' vilest' if i % 2 else ''}{' once' if i == 3 else ''}", 1) for i in range(size)]
@@ -154,7 +216,39 @@ def test_lexicon_has_rare_words(spark, monkeypatch):
         weights = toxicity.weights_of(df.select("doc_id", "text"), df.select("doc_id", "y"))
         assert any("grobnax ".startswith(e) for e in weights) and any("vilest ".startswith(e) for e in weights)
         assert not any(e.startswith(("once", "common", "plain")) for e in weights)
-    # beginnings of a listed word take no place from others
-    monkeypatch.setattr(toxicity, "MOST_ENTRIES", 2)
+
+
+def test_lexicon_has_no_greatest_length(spark):
+    """Each of 900 words is in six toxic texts; all of them are listed."""
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3)) + "zzq"
+    rows = [(i, f"filler {name(i % 900)}", 1) for i in range(5400)] + [(6000 + i, "filler text", 0) for i in range(5400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y int").repartition(8)
     weights = toxicity.weights_of(df.select("doc_id", "text"), df.select("doc_id", "y"))
-    assert len(weights) == 2 and any("grobnax ".startswith(e) for e in weights)
+    lexicon = toxicity.Lexicon(weights)
+    assert all(lexicon.measures(f"filler {name(i)}")[1] > 0 for i in range(900)) and len(weights) > 600
+
+
+def plain_measures(text, weights, exceptions):
+    """Every entry looked for at every place."""
+    text, hits, spared = toxicity.folded(text), {}, []
+    for i in range(len(text)):
+        if i and text[i - 1].isalpha():
+            continue
+        for name in {e.strip() for e in weights} | set(exceptions):
+            if not text.startswith(name, i):
+                continue
+            ends = i + len(name) == len(text) or not text[i + len(name)].isalpha()
+            weight = max(weights.get(name, 0.0), weights.get(name + " ", 0.0) if ends else 0.0)
+            hits[i] = max(hits.get(i, 0.0), weight)
+            if name in exceptions and ends:
+                spared.append(range(i, i + len(name)))
+    kept = [w for i, w in hits.items() if w and not any(i in r for r in spared)]
+    return (10 * sum(kept) / (10 + text.count(" ")), max(kept, default=0.0), float(np.log1p(sum(kept))))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("trash trashy can tr4sh тrash clown circus fish idi0t idiots no not an . ! 10 x".split()), max_size=12), st.sampled_from([" ", "-", ""]))
+def test_the_automaton_finds_what_plain_search_finds(words, between):
+    weights = {"trash ": 4.0, "idiot": 3.0, "idiots ": 3.5, "clow": 2.5, "can ": 2.0}
+    text = between.join(words)
+    assert np.allclose(toxicity.Lexicon(weights).measures(text), plain_measures(text, weights, toxicity.EXCEPTIONS))
