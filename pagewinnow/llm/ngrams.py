@@ -17,7 +17,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pagewinnow.llm.shared import held_out, ship
+from pagewinnow.llm.shared import held_out, ship, written
 
 ship(__name__)
 
@@ -197,8 +197,10 @@ def texts_of(docs: DataFrame, sample: DataFrame, most_grams: int | None = None)
     rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     if most_grams is None:
         return rows.select("doc_id", "text", "y")
+    rows = written(rows.select("doc_id", "text", "y"), "sample")  # read twice, for the sizes and for the texts
     most = F.least(F.char_length("text").cast("long") * (KINDS - 1), F.lit(1 << BITS))
     # the sample has few rows, and only their sizes meet here
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
     fits = rows.select("doc_id", most.alias("n")).withColumn("sum", F.sum("n").over(order)).where(F.col("sum") <= most_grams)
-    return rows.join(fits.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text", "y")
+    # at most as many ids as the sample has rows
+    return rows.join(F.broadcast(fits.select("doc_id")), "doc_id", "left_semi").select("doc_id", "text", "y")
