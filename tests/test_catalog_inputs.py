@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pagewinnow.catalog.queries import REGISTERED
+from pagewinnow.catalog.queries import REGISTERED, _in_batches
 from tests.conftest import article
 
 
@@ -26,3 +26,19 @@ def tables(spark, tmp_path):
 def test_a_stream_of_a_folder_has_the_rows_of_the_file(spark, tables, name):
     of_file, of_folder = (sorted(map(str, REGISTERED[name](spark, d).collect())) for d in tables)
     assert of_file == of_folder and of_file
+
+
+def test_a_part_of_many_partitions_is_one_batch_and_no_single_file(spark, tmp_path):
+    parts = [spark.range(100 * k, 100 * k + 100, numPartitions=4) for k in range(3)]
+    batches, files = [], []
+
+    def start(live):
+        def one_batch(batch, batch_id):
+            batches.append(sorted(r.id for r in batch.collect()))
+            files.append(batch.select(F.input_file_name()).distinct().count())
+
+        return live.writeStream.foreachBatch(one_batch).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+
+    _in_batches(spark, parts, "parts", start)
+    assert batches == [list(range(100 * k, 100 * k + 100)) for k in range(3)]
+    assert files == [4, 4, 4]
