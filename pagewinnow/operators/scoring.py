@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from pagewinnow.functions.text import listed, quoted
+from pagewinnow.session import durable
 
 RELEASE_FLOOR = 0.903
 
@@ -74,8 +75,10 @@ def fscore_tripwire(
 ) -> DataFrame:
     """Every row reported; only the row of the default options can fail.
 
-    Without that row nothing has been gated, which is a failure as well.
+    Without that row nothing has been gated, which is a failure as well.  The
+    scores, a row per run, are read twice and worked out once.
     """
+    scores = durable(scores)
     there = scores.agg(F.coalesce(F.expr(f"bool_or({run} = '{gate_row}')"), F.lit(False)).alias("there"))
     absent = there.where("NOT there").selectExpr(
         f"'{gate_row}' AS {run}", "cast(NULL AS double) AS f_score", "'fail' AS status"
