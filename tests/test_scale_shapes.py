@@ -37,3 +37,24 @@ def test_compared_runs_are_stored(spark, tmp_path, monkeypatch):
     found = Q.determinism_check(spark, str(tmp_path))
     assert {(r.against, r.same) for r in found.collect()} == {("shuffled", True), ("changed", False), ("longer", False)}
     assert len(made) == 2 and not any("pages.parquet" in f for f in found.inputFiles())
+
+
+def test_a_block_is_sorted_once_for_all_focuses(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a.org/1", article("<p>One.</p>"))], "page_id LONG, url STRING, html STRING")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    runs = Q._statistical_runs(spark, str(tmp_path))
+    assert {r.run for r in runs.collect()} == {"favor_precision", "balanced", "favor_recall"}
+    plan = plan_of(runs)
+    # rows multiply above the windows, not below
+    assert plan.index("Generate") < plan.index("Window")
+
+
+def test_tasks_put_files_of_pages_in_place(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    pages = spark.createDataFrame([(i, None, f"<p>{i}</p>") for i in (1, 2)], "page_id LONG, url STRING, html STRING")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    asked, own = {}, DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: asked.update({k: v}) or own(self, k, v))
+    assert sorted(r.file_id for r in Q.read_page_tree_q(spark, str(tmp_path)).collect()) == [1, 2]
+    assert asked["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
