@@ -44,12 +44,14 @@ class Words:
     """Ids of texts.
 
     A faster library encodes with the same vocabulary; only texts that hold the
-    string of a special token go to the vocabulary's own, which makes it that token.
+    string of a special token go to the vocabulary's own, which makes it that token
+    and is loaded when such a text comes.
     """
 
     def __init__(self, path: str):
-        self.whole = Tokenizer.from_file(path)
-        rules = json.loads(self.whole.to_str())
+        self.path, self.whole = path, None
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
         letters = dict(zip(map(chr, self._letters()), range(256), strict=True))
         self.special = [x["content"] for x in rules["added_tokens"]]
         ranks = {
@@ -71,6 +73,7 @@ class Words:
         out = []
         for t in texts:
             if any(s in t for s in self.special):
+                self.whole = self.whole or Tokenizer.from_file(self.path)
                 ids = np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4")
             else:
                 ids = self.encoding.encode_to_numpy(t, allowed_special=set(), disallowed_special=()).astype("<u4")

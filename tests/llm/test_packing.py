@@ -103,3 +103,11 @@ def test_a_large_histogram_needs_a_small_plan():
     assert streamed == plan.total < 0.02 * whole
 
 
+
+
+def test_the_vocabularys_own_encoder_is_loaded_when_needed():
+    words = packing.Words(public_tokenizers.path(packing.VOCABULARY))
+    words.ids(["plain text"])
+    assert words.whole is None
+    words.ids([f"a {words.special[0]} b"])
+    assert words.whole is not None
