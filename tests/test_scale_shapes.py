@@ -1,9 +1,14 @@
 """Work that is done once, and rows that are not made."""
 
+import pytest
+
 from pagewinnow.catalog import queries as Q
 from pagewinnow.operators.language import detect_by_profiles, language_profiles
 from pagewinnow.operators.scoring import fscore_tripwire
-from tests.conftest import article
+from pagewinnow.options import ExtractOptions, OptionError
+from pagewinnow.plans import sweep
+from pagewinnow.plans.extract import process
+from tests.conftest import DATA, article, page
 
 
 def plan_of(df):
@@ -58,3 +63,33 @@ def test_tasks_put_files_of_pages_in_place(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: asked.update({k: v}) or own(self, k, v))
     assert sorted(r.file_id for r in Q.read_page_tree_q(spark, str(tmp_path)).collect()) == [1, 2]
     assert asked["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
+
+
+def test_a_sweep_gives_each_set_what_process_gives(spark):
+    """Also where a page is over one cap alone, over both, no UTF-8, empty, or shares its id."""
+    bodies = [article(), article("<table><tr><td>Figures</td></tr></table>"), article("<p>Long.</p>" * 300), article("<p>Huge.</p>" * 3000), "", page("<nav>Home</nav>")]
+    rows = [(i, f"https://example.org/{i}", b.encode()) for i, b in enumerate(bodies)]
+    rows += [(10, "https://example.org/10", b"<p>\xff</p>"), (11, None, None), (12, "https://example.org/a", article().encode()), (12, "https://example.org/b", article().encode())]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html BINARY")
+    sets = [
+        ExtractOptions(max_input_bytes=20000),
+        ExtractOptions(focus="favor_precision", max_input_bytes=2000),
+        ExtractOptions(exclude_tables=True, enable_fallback=True, include_links=True, max_input_bytes=20000),
+    ]
+    swept = sweep.process_sweep(pages, sets).collect()
+    for i, options in enumerate(sets):
+        expected = sorted((str(r.asDict(True)) for r in process(pages, options).collect()))
+        found = sorted(str({k: v for k, v in r.asDict(True).items() if k != "option_id"}) for r in swept if r.option_id == i)
+        assert found == expected, i
+    with pytest.raises(OptionError, match="deduplicate"):
+        sweep.process_sweep(pages, [ExtractOptions(deduplicate=True)])
+
+
+def test_both_snapshots_come_from_one_extraction(spark, monkeypatch):
+    """Two option sets, one reading of the pages: the blocks are cut once."""
+    calls = []
+    cut = Q.E.content_blocks
+    for module in (sweep, Q.E):
+        monkeypatch.setattr(module, "content_blocks", lambda *a, **b: calls.append(1) or cut(*a, **b))
+    a, b = Q._snapshots(spark, DATA)
+    assert len(calls) == 1 and a.count() == b.count() > 0
