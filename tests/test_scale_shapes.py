@@ -93,3 +93,13 @@ def test_both_snapshots_come_from_one_extraction(spark, monkeypatch):
         monkeypatch.setattr(module, "content_blocks", lambda *a, **b: calls.append(1) or cut(*a, **b))
     a, b = Q._snapshots(spark, DATA)
     assert len(calls) == 1 and a.count() == b.count() > 0
+
+
+def test_a_run_record_reads_the_pages_in_one_sweep(spark, monkeypatch):
+    """The compared and the scored runs share a sweep; the container-blind runs have blocks of their own."""
+    calls = []
+    cut = Q.E.content_blocks
+    for module in (sweep, Q.E):
+        monkeypatch.setattr(module, "content_blocks", lambda *a, **b: calls.append(1) or cut(*a, **b))
+    assert Q.run_record_q(spark, DATA).columns == ["run_date", "corpus_version", "pages", "verdict", "fscore"]
+    assert len(calls) == 2
