@@ -236,10 +236,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     )
 
 
-#: the wide fingerprint, and the min-hash bands that documents meet in
-WORDS, BANDS, BAND_ROWS = 4, 12, 2
+#: 64-bit words of the wide fingerprint
+WORDS = 8
 #: standard deviations from the mean distance of a linked pair to the radius
 MARGIN = 7
+#: the chance that a pair of just the asked similarity meets in no table
+MISSED = 5e-6
+#: wide fingerprints of one chunk of a crowded bucket; buckets are meant to hold no more
+CROWD = 1 << 17
+#: bits of the tables inside a bucket, at most, and the fingerprints that one of their groups is to hold
+FINE_BITS, FINE_GROUP = 14, 4
+#: groups of these tables up to this size are compared pair by pair in vectorised steps
+FINE_SMALL = 64
 #: shingle hashes of one chunk of a crowded group, in bytes
 CHUNK_BYTES = 1 << 23
 WIDE_PIVOTS = np.array([[xxhash.xxh64_intdigest(f"wide {i} {k}") for k in range(WORDS)] for i in range(16)], np.uint64)
@@ -260,34 +268,175 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((hash_of(join(g), 42) for g in grams), np.uint64, max(len(words) - width + 1, 0)))
 
 
-def wide_fingerprint(hashes: np.ndarray) -> tuple[bytes, list[int]]:
-    """A fingerprint of ``64 * WORDS`` bits of a set of shingles, and a name for each band of min-hashes."""
-    least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, np.uint64)
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """A SimHash fingerprint of ``64 * WORDS`` bits of a set of shingles."""
     sums = np.zeros(64 * WORDS, np.int64)
     for i in range(0, len(hashes), STEP):
         part = hashes[i : i + STEP]
-        for k in range(len(least)):
-            least[k] = min(least[k], stirred(part, k + 1).min())
         rows = -(-len(part) // 255)
         bits = np.zeros((rows * 255, 64 * WORDS), np.uint8)
         wide = np.column_stack([stirred(part, 101 + k) for k in range(WORDS)]).astype("<u8")
         bits[: len(part)] = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
         # at most 255 rows add up to a byte
         sums += np.add.reduce(bits.reshape(rows, 255, -1), axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
-    bands = [xxhash.xxh64_intdigest(least[b * BAND_ROWS : (b + 1) * BAND_ROWS].tobytes(), b) >> 1 for b in range(BANDS)]
-    return np.packbits(2 * sums > len(hashes), bitorder="little").tobytes(), bands
+    return np.packbits(2 * sums > len(hashes), bitorder="little").tobytes()
 
 
-def safe_radius(similarity: float) -> int:
-    """A distance of wide fingerprints that a pair of the given Jaccard similarity doesn't reach.
+def bit_differs(similarity: float) -> float:
+    """The chance that a fingerprint bit differs in a pair of the given Jaccard similarity, at most.
 
-    Seven standard deviations above the mean of large sets; of very small ones,
-    whose bits are often tied (four shingles of five: 48 bits at 0.8), still five.
+    That of large sets, or of the smallest even set and the same with one
+    shingle more, where half the ties go apart (0.15 and 0.19 at 0.8).
     """
-    bits, differs = 64 * WORDS, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    half = max(1, math.ceil(similarity / (1 - similarity) / 2 - 1e-9)) if similarity < 1 else 0
+    tied = math.comb(2 * half, half) / 4**half / 2 if half and half < 500 else 0.0
+    return max(math.acos(2 * similarity / (1 + similarity)) / math.pi, tied)
+
+
+def safe_radius(similarity: float) -> int:
+    """A distance of wide fingerprints that a pair of the given similarity doesn't reach: MARGIN deviations above the mean."""
+    bits, differs = 64 * WORDS, bit_differs(similarity)
     return math.ceil(bits * differs + MARGIN * math.sqrt(bits * differs * (1 - differs)))
 
 
+def fine_tables(differs: float, bits: int) -> int:
+    """Tables of so many bits inside a bucket: a pair meets in 3 of them on average."""
+    return math.ceil(3 / (1 - differs) ** bits)
+
+
+def missed(differs: float, coarse: int, tables: int) -> float:
+    """The chance that a pair, each of whose bits differs with chance ``differs``, meets in no table."""
+    bits = 64 * WORDS
+    apart = np.arange(bits + 1)
+    chosen = np.cumsum(np.log(np.append(1, np.arange(bits, 0, -1) / np.arange(1, bits + 1))))
+    weight = np.exp(chosen + apart * math.log(differs) + (bits - apart) * math.log1p(-differs)) if differs else apart == 0
+    same = lambda first, n: np.prod([np.maximum(bits - i - apart, 0) / (bits - i) for i in range(first, first + n)], axis=0)
+    inside = 1 - (1 - same(coarse, FINE_BITS)) ** fine_tables(differs, FINE_BITS)
+    return float((weight * (1 - same(0, coarse) * inside) ** tables).sum())
+
+
+def positions(salt: str, bits: list[int], tables: int, width: int) -> list[list[int]]:
+    """Bit positions of tables of ``width`` bits; tables share none until all bits are used."""
+    out: list[list[int]] = []
+    while len(out) < tables:
+        order = sorted(bits, key=lambda i: xxhash.xxh64_intdigest(f"{salt} {len(out)} {i}"))
+        out += [order[i : i + width] for i in range(0, len(order) - width + 1, width)]
+    return out[:tables]
+
+
+def coarse_tables(nodes: int, similarity: float) -> list[list[int]]:
+    """Bit positions of the tables that fingerprints are exchanged by.
+
+    The bits follow the number of fingerprints, so that a random bucket stays
+    small, and the tables follow the bits, so that the chance to miss a pair
+    stays the same.
+    """
+    coarse = max(4, math.ceil(math.log2(max(nodes, 1) / CROWD)))
+    differs, tables = bit_differs(similarity), 1
+    while missed(differs, coarse, tables) > MISSED:
+        tables += 1
+    return positions("coarse", [*range(64 * WORDS)], tables, coarse)
+
+
+def wide_links(nodes: DataFrame, count: int, similarity: float) -> DataFrame:
+    """Links ``a, b`` that join the wide fingerprints ``nodes(node, fp)`` within the safe radius."""
+    coarse = coarse_tables(count, similarity)
+    width, radius, differs = len(coarse[0]), safe_radius(similarity), bit_differs(similarity)
+    weights = 1 << np.arange(width, dtype=np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = batch.column(1).to_pylist()
+            bits = np.unpackbits(np.frombuffer(b"".join(fp), np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
+            for t, chosen in enumerate(coarse):
+                bucket = bits[:, chosen] @ weights + (t << width)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), *batch.columns], ["bucket", "node", "fp"])
+
+    def solve(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return met_in_tables(rows, radius, differs, coarse)
+
+    met = nodes.select("node", "fp").mapInArrow(deal, "bucket long, node long, fp binary")
+    crowded = met.groupBy("bucket").count().where(F.col("count") > 2 * CROWD)
+    crowded = settle(crowded.select("bucket", F.ceil(F.col("count") / CROWD).cast("int").alias("chunks")))
+    return in_buckets(met, crowded, solve)
+
+
+def met_in_tables(rows: pa.Table, radius: int, differs: float, coarse: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Links of whole buckets of wide fingerprints, a forest for each; the rows are sorted by bucket."""
+    keys = [rows.column(c).to_numpy() for c in ("bucket", "low", "high")]
+    new = np.append(True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
+    edges = np.append(np.flatnonzero(new), rows.num_rows)
+    left, right = [], []
+    for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        some = rows.slice(start, stop - start)
+        node, at = np.unique(some.column("node").to_numpy(), return_index=True)
+        if len(node) < 2:
+            continue
+        fp = np.frombuffer(b"".join(some.column("fp").take(pa.array(at)).to_pylist()), "<u8").reshape(-1, WORDS)
+        table = int(keys[0][start]) >> len(coarse[0])
+        rest = [i for i in range(64 * WORDS) if i not in coarse[table]]
+        bits = min(FINE_BITS, max(0, math.ceil(math.log2(len(node) / FINE_GROUP)))) if len(node) > FINE_SMALL else 0
+        fine = positions(f"fine {table}", rest, fine_tables(differs, bits), bits) if bits else [[]]
+        root = joined(len(node), *pairs_in_tables(fp, radius, fine))
+        child = np.flatnonzero(root != np.arange(len(node)))
+        left.append(node[root[child]])
+        right.append(node[child])
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+
+
+def pairs_in_tables(fp: np.ndarray, radius: int, tables: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within the radius that agree on all bits of one of the tables, a forest of them in large groups."""
+    n = len(fp)
+    coords = np.stack([bits_apart(fp, p[None, :]) for p in WIDE_PIVOTS], axis=1)
+    # a pivot discards nothing where all distances to it lie within the radius
+    coords = coords[:, np.ptp(coords, axis=0) > radius]
+    words = np.ascontiguousarray(fp.T)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for chosen in tables:
+        key = np.zeros(n, np.uint16)
+        for j, i in enumerate(chosen):
+            key |= ((words[i // 64] >> np.uint64(i % 64) & np.uint64(1)) << np.uint64(j)).astype(np.uint16)
+        order = np.argsort(key, kind="stable")
+        key, ordered = key[order], words[:, order]
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, n))
+        behind = np.repeat(starts + sizes, sizes) - np.arange(n)
+        behind[np.repeat(sizes > FINE_SMALL, sizes)] = 0
+        a = np.arange(n)
+        for gap in range(1, min(FINE_SMALL, n)):
+            a = a[behind[a] > gap]
+            if not len(a):
+                break
+            near = a
+            for k in range(coords.shape[1]):
+                near = near[np.abs(coords[order[near], k] - coords[order[near + gap], k]) <= radius]
+            apart = np.zeros(len(near), np.uint16)
+            for w in ordered:
+                apart += np.bitwise_count(w[near] ^ w[near + gap])
+            near = near[apart <= radius]
+            left.append(order[near])
+            right.append(order[near + gap])
+        for g in np.flatnonzero(sizes > FINE_SMALL).tolist():
+            some = order[starts[g] : starts[g] + sizes[g]]
+            parents, children = explore(some, fp[some], coords[some] if coords.shape[1] else np.zeros((len(some), 1), np.int32), radius)
+            left += parents
+            right += children
+    return np.concatenate(left), np.concatenate(right)
+
+
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest row that each of ``n`` rows is joined to by the pairs ``a, b``."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != root[root]).any():
+            root = root[root]
+
+
 def verified(rows: pa.Table, radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of whole groups by exact Jaccard similarity; the rows are sorted by group."""
     keys = [rows.column(c).to_numpy() for c in ("bucket", "low", "high")]
@@ -338,34 +487,27 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
 
     For similarities far below what a few bits of 64 can tell.  Documents are
     linked if the exact Jaccard similarity of their sets of shingles (64-bit
-    hashes) is ``similarity`` or more.  Candidates meet in bands of min-hashes
-    (12 bands of 2: a pair at similarity 0.8 shares none with a chance of
-    0.000005); in a band the pivot tables and explorations of the other search
-    join those whose wide fingerprints are within a safe radius.  Only texts
+    hashes) is ``similarity`` or more.  Candidates are those whose wide SimHash
+    fingerprints are within a safe radius: they meet in buckets of some bits,
+    in a bucket in tables of more bits, and the pivot tables discard as in the
+    other search.  There are as many tables as make the chance to miss a pair
+    of just the similarity ``MISSED`` or less.  Only texts
     that meet another one so have their shingles fetched, and each group's
     pairs are explored again by exact similarity.  ``row_key`` names a row by
     id and text; ``first_key`` is that of its group's first row, the smallest
     id (nulls last).  Null, empty and blank texts form one group.
     """
     radius = safe_radius(similarity)
-    bytes_of_coords = len(WIDE_PIVOTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, fps, bands = [], [], []
+            names, fps = [], []
             for text in column_bytes(batch, "text"):
                 hashes = shingle_set(text, shingle)
-                fp, own = wide_fingerprint(hashes)
                 names.append(xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes()))
-                fps.append(fp)
-                bands.append(own)
-            wide = np.frombuffer(b"".join(fps), "<u8").reshape(-1, 1, WORDS)
-            away = np.bitwise_count(wide ^ WIDE_PIVOTS[None]).sum(axis=2, dtype=np.int32)
-            tables = np.minimum(away, 255).astype(np.uint8).tobytes()
-            coords = [tables[i : i + bytes_of_coords] for i in range(0, len(tables), bytes_of_coords)]
-            arrays = [pa.array(x, pa.binary()) for x in (names, fps, coords)]
-            arrays = [*batch.columns[:2], *arrays, pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "name", "fp", "coords", "bands"])
+                fps.append(wide_fingerprint(hashes))
+            arrays = [*batch.columns[:2], pa.array(names, pa.binary()), pa.array(fps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "name", "fp"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -374,13 +516,13 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("string"))
-    rows = texts.mapInArrow(run, "doc_id long, row_key long, name binary, fp binary, coords binary, bands array<long>")
+    rows = texts.mapInArrow(run, "doc_id long, row_key long, name binary, fp binary")
     rows = settle(rows)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    nodes = rows.groupBy("name").agg(F.min(place).alias("place"), *(F.first(c).alias(c) for c in ("fp", "coords", "bands")))
-    nodes = settle(nodes.select("name", "fp", "bands", "coords", "place", F.col("place.row_key").alias("node")))
-    met = nodes.select(F.explode("bands").alias("bucket"), "node", "fp", "coords")
-    groups = settle(components(links_in(met, radius)).select("node", F.col("root").alias("bucket")))
+    nodes = rows.groupBy("name").agg(F.min(place).alias("place"), F.first("fp").alias("fp"))
+    nodes = settle(nodes.select("name", "fp", "place", F.col("place.row_key").alias("node")))
+    groups = components(wide_links(nodes, nodes.count(), similarity))
+    groups = settle(groups.select("node", F.col("root").alias("bucket")))
     asked = texts.select(F.col("row_key").alias("node"), "text").join(groups, "node", "left_semi").dropDuplicates(["node"])
     sets = asked.mapInArrow(fetch, "node long, shingles binary")
     sets = sets.join(groups, "node").join(nodes.select("node", "fp"), "node").select("bucket", "node", "fp", "shingles")

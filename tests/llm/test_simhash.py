@@ -157,3 +157,50 @@ def test_similar_as_by_all_pairs(spark, monkeypatch):
     first = keyed.select(F.col("row_key").alias("first_key"), F.col("doc_id").alias("first_id"))
     classes = simhash.similar(docs).join(first, "first_key").join(keyed, "row_key")
     assert {r.doc_id: r.first_id for r in classes.collect()} == {i: find(i) for i in range(len(texts))}
+
+
+def flipped(pick, fp, n):
+    return fp ^ sum(1 << b for b in pick.sample(range(64 * simhash.WORDS), n))
+
+
+def test_wide_fingerprints_meet_in_tables_of_their_bits(spark, monkeypatch):
+    """Pairs up to 110 bits apart and a ball, in buckets dealt out in chunks and groups of all sizes: no link lost, none made."""
+    for name, value in (("CROWD", 20), ("FINE_SMALL", 4), ("FINE_GROUP", 2)):
+        monkeypatch.setattr(simhash, name, value)
+    pick = random.Random(5)
+    fps = [pick.getrandbits(512) for _ in range(300)]
+    fps += [flipped(pick, f, 110 * i // 299) for i, f in enumerate(fps)]
+    centre = pick.getrandbits(512)
+    fps += [flipped(pick, centre, pick.randrange(60)) for _ in range(60)]
+    nodes = spark.createDataFrame([(i, f.to_bytes(64, "little")) for i, f in enumerate(fps)], "node long, fp binary")
+    found = {r.node: r.root for r in shared.components(simhash.wide_links(nodes, len(fps), 0.8)).collect()}
+    assert {i: found.get(i, i) for i in range(660)} == {i: i % 300 if i < 600 else 600 for i in range(660)}
+
+
+def test_chance_to_meet_in_no_table():
+    """The tables are as many as the stated chance asks for, and the chance is that of drawn pairs."""
+    differs = simhash.bit_differs(0.8)
+    for nodes in (1000, 1 << 24):
+        tables = simhash.coarse_tables(nodes, 0.8)
+        assert simhash.missed(differs, len(tables[0]), len(tables)) <= simhash.MISSED
+        assert simhash.missed(differs, len(tables[0]), len(tables) - 1) > simhash.MISSED
+    draw = np.random.default_rng(3)
+    apart = draw.random((4000, 512)) < differs
+    missed = np.ones(4000, bool)
+    for t, coarse in enumerate(simhash.coarse_tables(1000, 0.8)[:3]):
+        rest = [i for i in range(512) if i not in coarse]
+        fine = simhash.positions(f"fine {t}", rest, simhash.fine_tables(differs, simhash.FINE_BITS), simhash.FINE_BITS)
+        inside = np.any([~apart[:, f].any(axis=1) for f in fine], axis=0)
+        missed &= apart[:, coarse].any(axis=1) | ~inside
+    assert abs(missed.mean() - simhash.missed(differs, 4, 3)) < 0.04
+
+
+def test_bits_of_small_sets():
+    """A text of few shingles and the same with one more differ in more bits than large ones do."""
+    pick = np.random.default_rng(8)
+    apart = []
+    for _ in range(300):
+        five = np.unique(pick.integers(0, 1 << 63, 5, dtype=np.uint64))
+        a, b = (np.frombuffer(simhash.wide_fingerprint(x), "<u8") for x in (five, five[:4]))
+        apart.append(int(np.bitwise_count(a ^ b).sum()))
+    assert abs(np.mean(apart) / 512 - simhash.bit_differs(0.8)) < 0.005 and max(apart) < simhash.safe_radius(0.8)
