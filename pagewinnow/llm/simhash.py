@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pagewinnow.llm.shared import column_bytes, components, settle, ship, slices, table
 
@@ -250,6 +250,8 @@ FINE_BITS, FINE_GROUP = 14, 4
 FINE_SMALL = 64
 #: shingle hashes of one chunk of a crowded group, in bytes
 CHUNK_BYTES = 1 << 23
+#: texts whose shingles are counted for the order of first shingles, texts that make a shingle common, and the most that are listed
+ORDER_TEXTS, COMMON_IN, COMMON = 1 << 12, 4, 1 << 16
 WIDE_PIVOTS = np.array([[xxhash.xxh64_intdigest(f"wide {i} {k}") for k in range(WORDS)] for i in range(16)], np.uint64)
 
 
@@ -437,6 +439,67 @@ def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
+def shared_most(sizes: int, similarity: float) -> int:
+    """So many of a set's first hashes that two sets of the similarity share one of them.
+
+    Of ``n`` hashes a partner lacks at most ``n - similarity * n``; with one
+    more, in the same order for all sets, one at least is common.
+    """
+    return sizes - max(1, math.ceil(similarity * sizes - 1e-9)) + 1 if sizes else 0
+
+
+def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
+    """Hashes of shingles that many texts hold, in order, counted in some of the texts.
+
+    They stand last in the order of first hashes, so that few texts meet by
+    them.  Any list gives the same links; a better one gives smaller buckets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in column_bytes(batch, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, shingle).view(np.int64))], ["hash"])
+
+    share = max(1, texts.count() // ORDER_TEXTS)
+    some = texts.where(F.pmod(F.xxhash64("row_key"), F.lit(share)) == 0).select("text")
+    held = some.mapInArrow(run, "hash long").groupBy("hash").count().where(F.col("count") >= COMMON_IN)
+    most = held.orderBy(F.desc("count"), "hash").limit(COMMON).collect()
+    return np.sort(np.array([r["hash"] for r in most], np.int64).view(np.uint64))
+
+
+def first_hashes(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """A set's first hashes, common ones last, as many as ``shared_most`` says."""
+    if len(common):
+        late = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+        hashes = np.concatenate([hashes[~late], hashes[late]])
+    return hashes[: shared_most(len(hashes), similarity)]
+
+
+def first_links(prints: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` between different roots of ``prints(node, root, fp, firsts)`` that share a first hash, within the safe radius.
+
+    The tables leave a pair out by chance, this doesn't: no pair of the
+    similarity shares none of its first hashes.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "firsts", 1 << 22):
+                firsts = batch.column(2).to_pylist()
+                times = np.array([len(x) // 8 for x in firsts], np.int64)
+                ids = [np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.frombuffer(b"".join(firsts), "<i8"), *ids)], ["bucket", "node", "root"])
+
+    met = prints.select("node", "root", "firsts").mapInArrow(deal, "bucket long, node long, root long")
+    # what the tables have joined needs no second meeting
+    same = Window.partitionBy("bucket")
+    met = met.withColumn("least", F.min("root").over(same)).withColumn("most", F.max("root").over(same))
+    met = settle(met.where("least < most").select("bucket", "node").distinct())
+    # at this radius no pivot discards anything
+    rows = met.join(prints.select("node", "fp").dropDuplicates(["node"]), "node").withColumn("coords", F.lit(bytearray(1)))
+    return links_in(rows, safe_radius(similarity))
+
+
 def verified(rows: pa.Table, radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of whole groups by exact Jaccard similarity; the rows are sorted by group."""
     keys = [rows.column(c).to_numpy() for c in ("bucket", "low", "high")]
@@ -491,7 +554,8 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
     fingerprints are within a safe radius: they meet in buckets of some bits,
     in a bucket in tables of more bits, and the pivot tables discard as in the
     other search.  There are as many tables as make the chance to miss a pair
-    of just the similarity ``MISSED`` or less.  Only texts
+    of just the similarity ``MISSED`` or less; those missed are found where they
+    share one of their first shingles, which all pairs of the similarity do.  Only texts
     that meet another one so have their shingles fetched, and each group's
     pairs are explored again by exact similarity.  ``row_key`` names a row by
     id and text; ``first_key`` is that of its group's first row, the smallest
@@ -501,13 +565,14 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, fps = [], []
+            names, fps, firsts = [], [], []
             for text in column_bytes(batch, "text"):
                 hashes = shingle_set(text, shingle)
                 names.append(xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes()))
                 fps.append(wide_fingerprint(hashes))
-            arrays = [*batch.columns[:2], pa.array(names, pa.binary()), pa.array(fps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "name", "fp"])
+                firsts.append(first_hashes(hashes, common, similarity).astype("<u8").tobytes())
+            arrays = [*batch.columns[:2], *(pa.array(x, pa.binary()) for x in (names, fps, firsts))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "name", "fp", "firsts"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -516,13 +581,17 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long"), row_key().alias("row_key"), F.col("text").cast("string"))
-    rows = texts.mapInArrow(run, "doc_id long, row_key long, name binary, fp binary")
+    common = common_shingles(texts, shingle)
+    rows = texts.mapInArrow(run, "doc_id long, row_key long, name binary, fp binary, firsts binary")
     rows = settle(rows)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
     nodes = rows.groupBy("name").agg(F.min(place).alias("place"), F.first("fp").alias("fp"))
     nodes = settle(nodes.select("name", "fp", "place", F.col("place.row_key").alias("node")))
-    groups = components(wide_links(nodes, nodes.count(), similarity))
-    groups = settle(groups.select("node", F.col("root").alias("bucket")))
+    met = settle(components(wide_links(nodes, nodes.count(), similarity)))
+    owners = nodes.select("node").join(met, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    prints = rows.withColumnRenamed("row_key", "node").select("node", "fp", "firsts").join(owners, "node")
+    edges = met.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(first_links(prints, similarity))
+    groups = settle(components(edges).select("node", F.col("root").alias("bucket")))
     asked = texts.select(F.col("row_key").alias("node"), "text").join(groups, "node", "left_semi").dropDuplicates(["node"])
     sets = asked.mapInArrow(fetch, "node long, shingles binary")
     sets = sets.join(groups, "node").join(nodes.select("node", "fp"), "node").select("bucket", "node", "fp", "shingles")

@@ -159,6 +159,47 @@ def test_similar_as_by_all_pairs(spark, monkeypatch):
     assert {r.doc_id: r.first_id for r in classes.collect()} == {i: find(i) for i in range(len(texts))}
 
 
+def test_pairs_that_meet_in_no_table_are_linked(spark, monkeypatch):
+    """One table of 48 bits, which nearly all pairs at 0.8 and some at 0.9 miss: the classes are those of exact similarity."""
+    monkeypatch.setattr(simhash, "coarse_tables", lambda nodes, similarity: simhash.positions("coarse", [*range(512)], 1, 48))
+    common, ask = [], simhash.common_shingles
+    monkeypatch.setattr(simhash, "common_shingles", lambda *a: common.append(ask(*a)) or common[-1])
+    pick = random.Random(11)
+    words = [f"w{i}" for i in range(9000)]
+    line = pick.choices(words, k=25)
+    texts, linked = [], []
+    for i in range(60):
+        base = pick.choices(words, k=(8, 40, 300)[i % 3])
+        # shingles of the second are the first's but for a fifth at most, which end it
+        lost = (len(base) - 4) // 5 - (i % 2)
+        linked.append(len(texts))
+        # a line that many share makes no pair
+        extra = line if len(base) == 300 else []
+        texts += [" ".join(base + extra), " ".join((base + extra)[: len(base + extra) - max(lost, 0)])]
+    far = [t for t in range(0, len(texts), 6)]
+    texts += [" ".join(texts[t].split()[: len(texts[t].split()) // 2]) for t in far]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = docs.withColumn("row_key", simhash.row_key())
+    first = keyed.select(F.col("row_key").alias("first_key"), F.col("doc_id").alias("first_id"))
+    found = {r.doc_id: r.first_id for r in simhash.similar(docs).join(first, "first_key").join(keyed, "row_key").collect()}
+    sets = [shingles_of(t) for t in texts]
+    alike = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert alike == {(a, a + 1) for a in linked}
+    assert found == {t: t - 1 if t - 1 in linked else t for t in range(len(texts))}
+    assert len(common[0]) >= len(line) - 4
+
+
+def test_first_hashes_that_pairs_share():
+    """Two sets of the similarity share one of their first hashes, whatever the sizes; one first hash less is too few."""
+    for n in range(1, 60):
+        for more in range(n, 80):
+            if n / more >= 0.8:
+                # the smaller set lacks the first ones of the larger
+                assert simhash.shared_most(more, 0.8) > more - n
+        assert simhash.shared_most(5 * n, 0.8) == n + 1
+    assert simhash.shared_most(0, 0.8) == 0 and simhash.shared_most(1, 0.8) == 1
+
+
 def flipped(pick, fp, n):
     return fp ^ sum(1 << b for b in pick.sample(range(64 * simhash.WORDS), n))
 
