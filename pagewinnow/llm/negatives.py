@@ -9,6 +9,9 @@ Partial scores are summed up along the lists; a pair is dropped as soon as its
 sum and the product of both remaining norms stay below the anchor's threshold,
 and survivors are summed to the end, exactly.
 
+A task keeps the best rows of its anchors' windows from block to block, and a
+full window raises its anchor's threshold.
+
 Thresholds begin high and are lowered, for the anchors (then for the windows of
 an anchor's positives) that are not full yet, down to where every row that may
 count has been reached.
@@ -29,6 +32,8 @@ ship(__name__)
 
 #: rows of a block, anchors of a block
 BLOCK, ASK_BLOCK = 2048, 128
+#: blocks of anchors that travel together, and units of work for each core
+ASKS, UNITS = 16, 4
 #: dimensions whose lists are summed up before pairs are dropped again
 STRIP = 8
 #: share of pairs below which they are followed one by one
@@ -74,31 +79,31 @@ class Index:
         self.order = np.argsort(-lengths, kind="stable")
         self.rows, self.norms = rows[self.order], norms[self.order]
         self.lengths = lengths[self.order]
+        self.most = np.abs(rows).max(initial=0)
         self.cuts = list(range(0, rows.shape[1], STRIP))
 
-    def survivors(self, asks: np.ndarray, least: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    def survivors(self, asks: np.ndarray, least: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | list[int]]:
         """Anchor, row (of the block) and exact score of each wanted pair that reaches its anchor's threshold."""
         asks = asks[:, self.dims]
         norms = remaining(asks)
         size = self.rows.shape[1]
-        alive = wanted[:, self.order] & (self.lengths > 0)
+        alive = np.take(wanted, self.order, axis=1) & (self.lengths > 0)
         sums = np.zeros(alive.shape)
         a = r = part = None
         with np.errstate(invalid="ignore", over="ignore"):
             for begin in self.cuts:
                 end = min(begin + STRIP, size)
-                if a is None and alive.sum() <= FEW * alive.size:
+                if a is None and np.count_nonzero(alive) <= FEW * alive.size:
                     a, r = np.nonzero(alive)
                     # the lists of short rows ended before
                     part = np.einsum("ij,ij->i", asks[a, :begin], self.rows[r, :begin])
                 if a is None:
+                    # rows that left the lists keep what was said of them then
                     n = int((self.lengths > begin).sum())
                     sums[:, :n] += asks[:, begin:end] @ self.rows[:n, begin:end].T
-                    # rows that left the lists keep what their remaining norm was then
-                    done = np.minimum(end, -(-self.lengths // STRIP) * STRIP)
-                    done = np.minimum(done, size)
-                    rest = norms[:, done] * self.norms[np.arange(len(done)), done]
-                    alive &= ~(sums + rest + 1e-9 * rest + 1e-6 < least[:, None])
+                    rest = np.multiply.outer(norms[:, end] * (1 + 1e-9), self.norms[:n, end])
+                    rest += sums[:, :n]
+                    alive[:, :n] &= ~(rest < least[:, None] - 1e-6)
                 else:
                     part = part + np.einsum("ij,ij->i", asks[a, begin:end], self.rows[r, begin:end])
                     rest = norms[a, end] * self.norms[r, end]
@@ -106,69 +111,88 @@ class Index:
                     a, r, part = a[keep], r[keep], part[keep]
             if a is None:
                 a, r = np.nonzero(alive)
-            most = np.abs(asks).max(initial=0) * np.abs(self.rows).max(initial=0) * max(size, 1)
+            most = np.abs(asks).max(initial=0) * self.most * max(size, 1)
             if most < 2**53:
-                scores = np.einsum("ij,ij->i", asks[a], self.rows[r]).astype(np.int64).tolist()
+                scores = np.einsum("ij,ij->i", asks[a], self.rows[r]).astype(np.int64)
             else:
                 scores = [sum(int(x) * int(y) for x, y in zip(asks[i], self.rows[j], strict=True)) for i, j in zip(a, r, strict=True)]
         return a, self.order[r], scores
 
 
-def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
-
-
-Asked = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]
+def clipped(scores: np.ndarray | list[int]) -> np.ndarray:
+    if isinstance(scores, np.ndarray):
+        return scores
+    return np.array([min(max(x, LOW), HIGH) for x in scores], np.int64)
 
 
-def positives_in(index: tuple, asked: Asked, share: float | None, longest: float, k: int) -> Iterator[tuple]:
-    """``ask, 0, vec_id, score, copies``: a block's best rows of each anchor's label that reach its threshold."""
+class Best:
+    """The k best rows of each window so far, ties to the smaller id; windows are of anchors, by their number."""
+
+    def __init__(self, owner: np.ndarray, least: np.ndarray, floor: np.ndarray, top: np.ndarray, k: int):
+        #: the anchor of each window, ascending, and the first window of each anchor
+        self.owner, self.begin = owner, np.searchsorted(owner, np.arange(len(least)))
+        self.counts = np.bincount(owner, minlength=len(least))
+        self.least, self.floor, self.top, self.k = least, floor, top, k
+        self.kept = [np.zeros(0, np.int64) for _ in range(4)]
+
+    def add(self, a: np.ndarray, ids: np.ndarray, scores: np.ndarray, copies: np.ndarray) -> None:
+        """Rows met by anchors ``a``, to all of the anchor's windows that they fit."""
+        times = self.counts[a]
+        pair = np.repeat(np.arange(len(a)), times)
+        window = np.repeat(self.begin[a] - np.cumsum(times) + times, times) + np.arange(len(pair))
+        fits = (scores[pair] >= self.floor[window]) & (scores[pair] <= self.top[window])
+        pair, window = pair[fits], window[fits]
+        self.kept = [np.concatenate(x) for x in zip(self.kept, (window, ids[pair], scores[pair], copies[pair]), strict=True)]
+
+    def settle(self) -> None:
+        """Drops all but the best, and raises the thresholds of full windows to their last row's score."""
+        window, ids, scores, _ = self.kept
+        # the complement falls as scores rise, also at the limits
+        order = np.lexsort((ids, ~scores, window))
+        place = np.arange(len(order)) - np.searchsorted(window[order], window[order])
+        self.kept = [x[order[place < self.k]] for x in self.kept]
+        last = order[place == self.k - 1]
+        self.floor[window[last]] = np.maximum(self.floor[window[last]], scores[last])
+        if len(self.owner):
+            full = np.full(len(self.owner), -np.inf)
+            # sums of larger ones are not exact
+            exact = last[np.abs(scores[last].astype(float)) < 2**53]
+            full[window[exact]] = scores[exact]
+            some = self.counts > 0
+            self.least[some] = np.maximum(self.least[some], np.minimum.reduceat(full, self.begin[some]))
+
+
+def windows_of(who: pa.StructArray, asks: np.ndarray, positive: bool, bound: float | None, longest: float, high: int, k: int) -> tuple[Best, np.ndarray]:
+    """The windows of some anchors, empty yet, and the places of these windows."""
+    if positive:
+        norms = np.sqrt((asks * asks).sum(axis=1))
+        least = np.full(len(asks), -np.inf) if bound is None else bound * longest * norms
+        # scores are whole; none is said to reach a threshold that is no long
+        sure = least < 2.0**63
+        floor = np.ceil(np.where(sure, np.maximum(least, LOW), 0)).astype(np.int64)
+        return Best(np.arange(len(asks)), least, floor, np.where(sure, HIGH, LOW), k), np.zeros(len(asks), np.int32)
+    lists = [sorted((w["place"], w["positive_score"]) for w in ws) for ws in who.field(4).to_pylist()]
+    flat = [w for ws in lists for w in ws]
+    scores = [s for _, s in flat]
+    least = np.array([min((s for _, s in ws), default=np.inf) * bound / 100 for ws in lists])
+    floor, top = (np.array(x, np.int64) for x in ([-(-bound * s // 100) for s in scores], [high * s // 100 for s in scores]))
+    owner = np.repeat(np.arange(len(lists)), [len(ws) for ws in lists])
+    return Best(owner, least, floor, top, k), np.array([p for p, _ in flat], np.int32)
+
+
+def met(index: tuple, asked: tuple, found: Best, positive: bool) -> None:
+    """A block's rows that reach the thresholds, by its index, which all these anchors share."""
     ids, labels, rows, copies = index
-    names, own_ids, own_labels, asks, _ = asked
+    own_ids, own_labels, asks = asked
     norms = np.sqrt((asks * asks).sum(axis=1))
-    least = np.full(len(asks), -np.inf) if share is None else share * longest * norms
-    wanted = (labels[None, :] == own_labels[:, None]) & (ids[None, :] != own_ids[:, None])
-    a, r, scores = Index(rows, norms.max(initial=0), least.min(initial=np.inf)).survivors(asks, least, wanted)
-    scores = clipped(scores)
-    for i, at in groups(a):
-        if share is not None:
-            at = at[scores[at] >= least[i]]
-        at = at[best(ids[r[at]], scores[at], k)]
-        yield from ((names[i], 0, *x) for x in zip(ids[r[at]].tolist(), scores[at].tolist(), copies[r[at]].tolist(), strict=True))
-
-
-def negatives_in(index: tuple, asked: Asked, percent: int, high: int, k: int) -> Iterator[tuple]:
-    """``ask, place, vec_id, score, copies``: for each window a block's best rows of other labels between both bounds."""
-    ids, labels, rows, copies = index
-    names, _, own_labels, asks, windows = asked
-    floors = np.array([min(w["positive_score"] for w in ws) * percent / 100 for ws in windows])
-    norms = np.sqrt((asks * asks).sum(axis=1))
-    wanted = labels[None, :] != own_labels[:, None]
-    a, r, scores = Index(rows, norms.max(initial=0), floors.min(initial=np.inf)).survivors(asks, floors, wanted)
-    scores = clipped(scores)
-    for i, at in groups(a):
-        order = at[best(ids[r[at]], scores[at], len(at))]
-        falling = scores[order]
-        for w in windows[i]:
-            top, floor = high * w["positive_score"] // 100, -(-percent * w["positive_score"] // 100)
-            begin, end = np.searchsorted(-falling, -top, side="left"), np.searchsorted(-falling, -floor, side="right")
-            # equal scores stand in the order of ids
-            found = order[begin : min(end, begin + k)]
-            yield from (
-                (names[i], w["place"], *x) for x in zip(ids[r[found]].tolist(), scores[found].tolist(), copies[r[found]].tolist(), strict=True)
-            )
-
-
-def clipped(scores: list[int]) -> np.ndarray:
-    return np.array([min(max(x, LOW), HIGH) for x in scores], np.int64)
-
-
-def groups(a: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each anchor with the places of its pairs; anchors come in ascending order."""
-    order = np.argsort(a, kind="stable")
-    cuts = np.flatnonzero(np.diff(a[order])) + 1
-    return ((int(a[x[0]]), x) for x in np.split(order, cuts) if len(x))
+    lists = Index(rows, norms.max(initial=0), found.least.min(initial=np.inf))
+    for i in range(0, len(asks), ASK_BLOCK):
+        some = slice(i, i + ASK_BLOCK)
+        same = labels[None, :] == own_labels[some, None]
+        wanted = same & (ids[None, :] != own_ids[some, None]) if positive else ~same
+        a, r, scores = lists.survivors(asks[some], found.least[some], wanted)
+        found.add(a + i, ids[r], clipped(scores), copies[r])
+    found.settle()
 
 
 FOUND = "ask long, place int, vec_id long, score long, copies long"
@@ -176,34 +200,53 @@ WINDOWS = "array<struct<place:int,positive_score:long>>"
 
 
 def searched(blocks: DataFrame, asks: DataFrame, n_blocks: int, n_asks: int, positive: bool, bound: float | None, longest: float, high: int, k: int) -> DataFrame:
-    """Every block of anchors against every block of rows, each by its index; the best of each block."""
-    part = F.pmod(F.xxhash64("ask"), F.lit(-(-max(n_asks, 1) // ASK_BLOCK)))
+    """Every block of anchors against every block of rows, each by its index; the best of each unit of work.
+
+    A unit is a part of the anchors and a slice of the blocks: its anchors
+    come first, its blocks one after the other, and only the best are kept.
+    """
+    n_parts = -(-max(n_asks, 1) // (ASK_BLOCK * ASKS))
+    n_slices = max(1, min(n_blocks, -(-UNITS * blocks.sparkSession.sparkContext.defaultParallelism // n_parts)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    part = F.pmod(F.xxhash64("ask"), F.lit(n_parts)).cast("int")
     asks = asks.groupBy("size", part.alias("part")).agg(F.collect_list(F.struct("ask", "vec_id", "label", "v", "windows")).alias("asks"))
-    asks = asks.select("size", "asks", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-    pairs = blocks.join(asks, ["size", "block"]).select("size", "rows", "asks")
+    asks = asks.select("size", "part", every(n_slices).alias("slice"), F.lit(-1).alias("block"), "asks")
+    blocks = blocks.select("size", every(n_parts).alias("part"), (F.col("block") % n_slices).alias("slice"), "block", "rows")
+    units = asks.unionByName(blocks, allowMissingColumns=True).select("size", "part", "slice", "block", "asks", "rows")
+    # as many tasks as units, however few bytes they have
+    units = units.repartition(n_parts * n_slices, "size", "part", "slice").sortWithinPartitions("size", "part", "slice", "block")
 
     def matrix(lists: pa.ListArray, size: int) -> np.ndarray:
         return lists.flatten().to_numpy().reshape(len(lists), size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        unit = state = None
         for batch in batches:
             for i in range(batch.num_rows):
-                size = batch.column(0)[i].as_py()
-                rows, who = batch.column(1)[i].values, batch.column(2)[i].values
-                index = (rows.field(0).to_numpy(), rows.field(1).to_numpy(), matrix(rows.field(2), size), rows.field(3).to_numpy())
-                names = who.field(0).to_pylist()
-                asked = (names, who.field(1).to_numpy(), who.field(2).to_numpy(), matrix(who.field(3), size), who.field(4).to_pylist())
-                if positive:
-                    found = list(positives_in(index, asked, bound, longest, k))
-                else:
-                    found = list(negatives_in(index, asked, bound, high, k))
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], ["ask", "place", "vec_id", "score", "copies"]
-                    )
-
-    return pairs.mapInArrow(run, FOUND)
+                now = tuple(batch.column(c)[i].as_py() for c in range(3))
+                if now != unit:
+                    yield from told(state)
+                    unit, state = now, None
+                size = now[0]
+                if batch.column(3)[i].as_py() < 0:
+                    who = batch.column(4)[i].values
+                    anchors = matrix(who.field(3), size)
+                    asked = (who.field(1).to_numpy(), who.field(2).to_numpy(), anchors)
+                    state = (who.field(0).to_numpy(), asked, *windows_of(who, anchors, positive, bound, longest, high, k))
+                elif state:
+                    rows = batch.column(5)[i].values
+                    index = (rows.field(0).to_numpy(), rows.field(1).to_numpy(), matrix(rows.field(2), size), rows.field(3).to_numpy())
+                    met(index, state[1], state[2], positive)
+        yield from told(state)
+
+    def told(state: tuple | None) -> Iterator[pa.RecordBatch]:
+        if state and len(state[2].kept[0]):
+            names, _, found, places = state
+            window, ids, scores, copies = found.kept
+            columns = [names[found.owner[window]], places[window], ids, scores, copies]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ask", "place", "vec_id", "score", "copies"])
+
+    return units.mapInArrow(run, FOUND)
 
 
 def first(found: DataFrame, k: int) -> DataFrame:

@@ -76,6 +76,25 @@ def test_small_blocks_and_all_thresholds(spark, monkeypatch):
     assert rows_of(N.mined(frame, every=10)) == brute(rows, every=10)
 
 
+def test_a_unit_tells_only_its_best_and_units_have_tasks(spark, monkeypatch):
+    """Rows found follow the units of work, not the blocks; small tables are spread too."""
+    monkeypatch.setattr(N, "BLOCK", 4)
+    cores = spark.sparkContext.defaultParallelism
+    seen, search = [], N.searched
+
+    def noted(blocks, asks, n_blocks, n_asks, *rest):
+        found = search(blocks, asks, n_blocks, n_asks, *rest).cache()
+        windows = n_asks * (1 if rest[0] else 5)
+        seen.append((n_blocks, found.rdd.getNumPartitions(), found.count() <= windows * rest[-1] * 4 * cores))
+        return found
+
+    monkeypatch.setattr(N, "searched", noted)
+    pick = np.random.default_rng(9)
+    rows = [(i, pick.normal(size=3).tolist(), int(i % 2)) for i in range(1600)]
+    assert rows_of(N.mined(spark.createDataFrame(rows, SCHEMA), every=50)) == brute(rows, every=50)
+    assert all(n == 400 and parts == 4 * cores and few for n, parts, few in seen), seen
+
+
 def test_edges(spark):
     v = [0.5, -0.25]
     rows = [
