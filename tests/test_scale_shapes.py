@@ -1,5 +1,7 @@
 """Work that is done once, and rows that are not made."""
 
+import os
+
 import pytest
 
 from pagewinnow.catalog import queries as Q
@@ -8,6 +10,7 @@ from pagewinnow.operators.scoring import fscore_tripwire
 from pagewinnow.options import ExtractOptions, OptionError
 from pagewinnow.plans import sweep
 from pagewinnow.plans.extract import process
+from pagewinnow.sources.pages import read_page_tree
 from tests.conftest import DATA, article, page
 
 
@@ -65,6 +68,27 @@ def test_tasks_put_files_of_pages_in_place(spark, tmp_path, monkeypatch):
     assert asked["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
 
 
+def test_a_tree_of_many_folders_takes_few_tasks(spark, tmp_path, monkeypatch):
+    """Folders are listed and files read by tasks for many of them, and no page has a file of checksums."""
+    n, name = 400, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    pages = spark.createDataFrame([(i, None, f"<p>{i}</p>") for i in range(n)], "page_id LONG, url STRING, html STRING")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    before, root = spark.conf.get(name), str(tmp_path / "made")
+    monkeypatch.setattr(Q, "_fresh", lambda *_: root)
+    found = Q.read_page_tree_q(spark, str(tmp_path))
+    assert sorted(r.file_id for r in found.collect()) == list(range(n)) and spark.conf.get(name) == before
+    assert not any(f.endswith(".crc") for _, folders, files in os.walk(root) if not folders for f in files)
+    context, cores = spark.sparkContext, spark.sparkContext.defaultParallelism
+    context.setJobGroup("tree", "listing")
+    tree = read_page_tree(spark, root, "*.txt")
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("tree") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [x.numTasks for s in stages if (x := tracker.getStageInfo(s))]
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 16 * cores < n, tasks
+    assert {r.page_id for r in tree.collect()} == set(range(n))
+
+
 def test_a_sweep_gives_each_set_what_process_gives(spark):
     """Also where a page is over one cap alone, over both, no UTF-8, empty, or shares its id."""
     bodies = [article(), article("<table><tr><td>Figures</td></tr></table>"), article("<p>Long.</p>" * 300), article("<p>Huge.</p>" * 3000), "", page("<nav>Home</nav>")]
